@@ -15,10 +15,6 @@ WHITESPACE = (
 TRUE_TEXTS = ("true", "1")
 FALSE_TEXTS = ("false", "0")
 
-# Texts that stand for infinity, compared in lower case.
-INFINITY_TEXTS = ("inf", "+inf", "infinity", "+infinity")
-MINUS_INFINITY_TEXTS = ("-inf", "-infinity")
-
 # Strftime directives and the Java pattern letters for them.
 STRFTIME_TO_JAVA = {
     "%Y": "yyyy",
@@ -109,20 +105,20 @@ def null_if_nan(c: Column, data_type: T.DataType | None = None) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+# Plain decimal numbers, first those too short to overflow a double.
+SHORT_NUMBER = r"^\s*[+-]?((\d{1,200}(\.\d*)?|\.\d{1,200})([eE][+-]?\d{1,2})?|(?i:inf|infinity))\s*$"
+ANY_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def to_number(c: Column) -> Column:
-    """Text to double; a text that is no plain decimal number becomes null.
+    """Text to double; a text that is no plain decimal number, or too large, becomes null.
 
-    The character test keeps out the suffixes and hexadecimal forms a cast to
-    double would take (``12d``, ``0x1p3``); it needs no regular expression.
+    The patterns keep out the suffixes and hexadecimal forms a cast to double
+    would take (``12d``, ``0x1p3``).
     """
-    text = F.btrim(c, F.lit(WHITESPACE))
-    plain = F.translate(text, "0123456789+-.eE", "") == ""
-    value = F.when(plain, text.try_cast("double"))
-    low = F.lower(text)
-    return (
-        F.when(F.abs(value) < float("inf"), value)
-        .when(low.isin(*INFINITY_TEXTS), F.lit(float("inf")))
-        .when(low.isin(*MINUS_INFINITY_TEXTS), F.lit(float("-inf")))
+    value = c.try_cast("double")
+    return F.when(c.rlike(SHORT_NUMBER), value).when(
+        c.rlike(ANY_NUMBER) & (F.abs(value) < float("inf")), value
     )
 
 
@@ -186,4 +182,7 @@ def convert(c: Column, source: T.DataType, target: T.DataType) -> Column:
     if is_text and isinstance(target, T.IntegralType):
         text = F.btrim(c, F.lit(WHITESPACE))
         return F.when(F.translate(text, "0123456789+-", "") == "", text.try_cast(target))
+    if isinstance(source, T.IntegralType) and isinstance(target, T.TimestampType):
+        # Whole numbers count nanoseconds since 1970.
+        return F.timestamp_micros(F.call_function("div", c, F.lit(1000)))
     return missing_aware.try_cast(target)

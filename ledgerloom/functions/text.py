@@ -14,12 +14,24 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
+
+# Marks a word start inside ``title_case``: a code point no character has, and
+# the blank that makes ``initcap`` begin a new word.
+WORD_START = "\ufdd0 "
+
+
 def title_case(c: Column) -> Column:
-    """Capital after every character that is not a cased letter, lower case elsewhere."""
-    cased = r"[\p{Lu}\p{Ll}\p{Lt}]"
-    other = r"[^\p{Lu}\p{Ll}\p{Lt}]"
-    runs = F.regexp_extract_all(F.lower(c), F.lit(f"({cased}+|{other}+)"), F.lit(1))
-    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
+    """Capital after every character that is not a cased letter, lower case elsewhere.
+
+    ``initcap`` begins words after blanks only, so the other word starts are
+    marked first. A text that holds the mark itself takes a slower way.
+    """
+    marked = F.regexp_replace(F.lower(c), rf"([^{CASED} ])(?=[{CASED}])", "$1" + WORD_START)
+    quick = F.replace(F.initcap(marked), F.lit(WORD_START), F.lit(""))
+    runs = F.regexp_extract_all(F.lower(c), F.lit(f"([{CASED}]+|[^{CASED}]+)"), F.lit(1))
+    by_run = F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
+    return F.when(F.contains(c, F.lit(WORD_START)), by_run).otherwise(quick)
 
 
 def to_case(c: Column, case: str | None) -> Column:

@@ -10,13 +10,13 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Count at most ``rows + 1`` rows and the bytes in them."""
+    """Count the rows and the bytes in them; only partial sums move."""
     width = sum(8 for f in df.schema.fields if not isinstance(f.dataType, (T.StringType, T.BinaryType)))
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     length = F.lit(width)
     for name in texts:
         length = length + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("bytes")).first()
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(length.cast("long")).alias("bytes")).first()
     return found["n"] <= rows and (found["bytes"] or 0) <= size
 
 

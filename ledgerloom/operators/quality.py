@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -15,8 +17,6 @@ PASSED, WARNED, FAILED = "PASSED", "PASSED_WITH_WARNINGS", "FAILED"
 
 def expected_columns(schema: T.StructType | str) -> list[dict]:
     """Expected columns from a Spark schema or its JSON text; non-nullable fields are required."""
-    import json
-
     struct = T.StructType.fromJson(json.loads(schema)) if isinstance(schema, str) else schema
     return [{"name": f.name, "type": f.dataType, "required": not f.nullable} for f in struct.fields]
 
@@ -148,6 +148,22 @@ class RunMetrics:
             raise
         self._add(stage, "succeeded", time.perf_counter() - start, tags, None)
 
+    def timed(self, task: str | None = None, records_of=None):
+        """Decorator form; ``records_of`` takes the result and returns its row count."""
+
+        def wrap(function):
+            @wraps(function)
+            def run(*args, **kwargs):
+                with self.stage(task or function.__name__) as stage:
+                    result = function(*args, **kwargs)
+                    if records_of is not None:
+                        stage.set_records(records_of(result))
+                    return result
+
+            return run
+
+        return wrap
+
     def _add(self, stage, status, seconds, tags, error):
         records = stage.records if status == "succeeded" else None
         rate = records / seconds if records is not None and seconds > 0 else None

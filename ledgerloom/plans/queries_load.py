@@ -351,6 +351,19 @@ def j2(spark, sf):
     return jobs.processed_records(raw_orders(spark, sf))
 
 
+@register(
+    "J2_staged_records",
+    RAW
+    + """SELECT TransactionID, TransactionDate || ' ' || TransactionTime AS RawTransactionTimestamp, Amount, Currency,
+                Category, Status, CASE WHEN Status = 'failed' THEN 'PASSED_WITH_WARNINGS' ELSE 'PASSED' END
+                AS PreliminaryValidationStatus
+         FROM raw""",
+)
+def j2_staged(spark, sf):
+    columns = ["TransactionID", "TransactionDate", "TransactionTime", "Amount", "Currency", "Category", "Status"]
+    return jobs.staged_records(raw_orders(spark, sf).select(*columns))
+
+
 CHAIN_TARGET = [
     {"target_name": "TxnID", "source_column": "TransactionID", "dtype": "str", "required": True},
     {"target_name": "Timestamp", "source_column": "TransactionTimestamp", "dtype": "datetime64[ns]"},

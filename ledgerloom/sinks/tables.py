@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ledgerloom.operators.dedup import drop_duplicates
 from ledgerloom.operators.joins import lookup_join
@@ -23,24 +23,28 @@ def load_table(
     path: str | None = None,
     file_format: str = "parquet",
     batch_size: int = 0,
-) -> bool:
+) -> int:
     """Load rows into a table that may exist: fail, replace it, or append by column name.
 
     No rows is a success that changes nothing. ``batch_size`` bounds the rows
-    per file. Returns whether rows were loaded.
+    per file. Returns the rows loaded, counted while they are written.
     """
     if if_exists not in SAVE_MODES:
         raise ValueError(f"if_exists must be one of {sorted(SAVE_MODES)}")
-    if df.isEmpty():
+    # Appending no rows to a table that is there changes nothing anyway.
+    harmless = if_exists == "append" and df.sparkSession.catalog.tableExists(table)
+    if not harmless and df.isEmpty():
         logger.info("no rows for table %s", table)
-        return False
-    writer = df.write.mode(SAVE_MODES[if_exists]).format(file_format)
+        return 0
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.mode(SAVE_MODES[if_exists]).format(file_format)
     if batch_size:
         writer = writer.option("maxRecordsPerFile", batch_size)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
-    return True
+    return seen.get["rows"]
 
 
 def publish_snapshot(df: DataFrame, table: str) -> None:
@@ -144,6 +148,8 @@ def upsert_table(
     rewritten only in the partitions the source touches, which is right only if
     a key never changes its partition: ``partitions_follow_keys`` says so.
     """
+    # Written once: the source is read several times below, and may be costly.
+    source = written_table(source, "upsert-landed")
     if source.isEmpty():
         return
     if not spark.catalog.tableExists(table):
