@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F, types as T
 
 # The characters Python's str.strip() removes.
@@ -71,30 +73,29 @@ def spark_type(dtype) -> T.DataType:
 
 
 def java_pattern(strftime_format: str) -> str:
-    """Translate a strftime format into a Spark datetime pattern."""
-    out, literal, i = [], [], 0
-
-    def flush():
-        if literal:
-            text = "".join(literal).replace("'", "''")
-            out.append(f"'{text}'" if any(ch.isalpha() or ch == "'" for ch in text) else text)
-            literal.clear()
-
-    while i < len(strftime_format):
-        directive = strftime_format[i : i + 2]
-        if directive.startswith("%"):
-            if directive not in STRFTIME_TO_JAVA:
-                raise ValueError(f"unsupported datetime directive {directive!r}")
-            if directive == "%%":
-                literal.append("%")
-            else:
-                flush()
-                out.append(STRFTIME_TO_JAVA[directive])
-            i += 2
+    """Translate a strftime format into a Spark datetime pattern.
+
+    Numbers may lack their leading zero, except where one directive follows
+    another without a separator and only fixed widths tell them apart.
+    """
+    parts = re.findall(r"%.|[^%]+|%$", strftime_format)
+    unknown = [p for p in parts if p.startswith("%") and p not in STRFTIME_TO_JAVA]
+    if unknown:
+        raise ValueError(f"unsupported datetime directive {unknown[0]!r}")
+
+    def is_field(i: int) -> bool:
+        return 0 <= i < len(parts) and parts[i].startswith("%") and parts[i] != "%%"
+
+    out = []
+    for i, part in enumerate(parts):
+        if is_field(i):
+            letters = STRFTIME_TO_JAVA[part]
+            if letters in ("M", "d", "H", "h", "m", "s") and (is_field(i - 1) or is_field(i + 1)):
+                letters *= 2
+            out.append(letters)
         else:
-            literal.append(strftime_format[i])
-            i += 1
-    flush()
+            literal = part.replace("%%", "%").replace("'", "''")
+            out.append(f"'{literal}'" if any(ch.isalpha() or ch == "'" for ch in literal) else literal)
     return "".join(out)
 
 

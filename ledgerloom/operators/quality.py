@@ -42,6 +42,9 @@ def column_rules(df: DataFrame, expected: list[dict]) -> tuple[dict[str, Column]
     return tests, absent
 
 
+REPORT_ENTRIES = "array<struct<column_name:string,rule:string,violations:bigint>>"
+
+
 def check_expected(df: DataFrame, expected: list[dict]) -> DataFrame:
     """Report of ``column_name, rule, violations``: presence, required values, type, datetime format.
 
@@ -51,7 +54,9 @@ def check_expected(df: DataFrame, expected: list[dict]) -> DataFrame:
     counted = [F.count_if(test).alias(f"c{i}") for i, test in enumerate(tests.values())]
     entries = [_entry(rule, F.lit(n).cast("long")) for rule, n in absent.items()]
     entries += [_entry(rule, F.col(f"c{i}")) for i, rule in enumerate(tests)]
-    return df.agg(F.count(F.lit(1)).alias("rows"), *counted).select(F.inline(F.array(*entries)))
+    return df.agg(F.count(F.lit(1)).alias("rows"), *counted).select(
+        F.inline(F.array(*entries).cast(REPORT_ENTRIES))
+    )
 
 
 def _entry(rule: str, violations: Column) -> Column:

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 CODECS = ("snappy", "gzip", "brotli", "zstd", "lz4", "none")
 
 
-# Reader options that take back what ``write_csv`` writes.
+# Reader options that take back what ``write_csv`` writes. The null value is a
+# text no field holds, so that only an unquoted empty field reads as null.
 CSV_READ = {
     "escape": '"',
+    "nullValue": "\0",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }

@@ -3,21 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.errors import AnalysisException
 
 STATE_SCHEMA = "name string, high_mark string, rows long, run_id string, loaded_at timestamp"
 
 
 def read_high_mark(spark: SparkSession, state_path: str, name: str) -> str | None:
     """Highest mark stored for a load, as text; None before its first run."""
-    try:
-        state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    row = state.where(F.col("name") == name).agg(F.max_by("high_mark", "loaded_at")).first()
-    return row[0]
+    # An empty state folder is laid out on first use.
+    spark.createDataFrame([], STATE_SCHEMA).write.mode("ignore").parquet(state_path)
+    state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
+    return state.where(F.col("name") == name).agg(F.max_by("high_mark", "loaded_at")).first()[0]
 
 
 def since_mark(df: DataFrame, watermark_column: str, high_mark) -> DataFrame:

@@ -1,0 +1,105 @@
+"""The plans the operators must have at any size of data."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import entry, oracle_sql, queries
+from ledgerloom.operators import dedup, joins, statistics, values
+from ledgerloom.sources import incremental
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    return spark.read.parquet(f"{SF}/lineitem.parquet")
+
+
+def test_keep_first_cuts_groups_down_before_the_shuffle(lines, plan):
+    text = plan(dedup.drop_duplicates(lines, ["l_orderkey"], "first", ["l_shipdate"]))
+    exchange = text.index("Exchange")
+    assert "WindowGroupLimit" in text[exchange:] and "Partial" in text[exchange:]
+    assert text.count("Exchange") == 1
+
+
+def test_drop_all_repeated_aggregates_before_the_shuffle(lines, plan):
+    text = plan(dedup.drop_duplicates(lines, ["l_orderkey"], keep=False))
+    assert "partial_count" in text[text.index("Exchange"):]
+    assert text.count("Exchange") == 1 and "Join" not in text
+
+
+def test_filters_and_columns_reach_the_scan(spark, plan):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    text = plan(incremental.since_mark(events, "event_id", "500").select("event_id", "value"))
+    assert "GreaterThan(event_id,500)" in text and "ReadSchema: struct<event_id:bigint,value:double>" in text
+    text = plan(incremental.look_back(events, "ts", "2024-01-20", 7).select("event_id"))
+    assert "GreaterThanOrEqual(ts,2024-01-13T00:00)" in text
+
+
+def test_lookup_joins_broadcast_only_what_was_counted(spark, lines, plan):
+    part = spark.read.parquet(f"{SF}/part.parquet").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    assert "BroadcastHashJoin" in plan(joins.lookup_join(lines, part, ["l_partkey"]))
+    assert "SortMergeJoin" in plan(joins.lookup_join(lines, part, ["l_partkey"], rows=10))
+    assert joins.fits_broadcast(part) and not joins.fits_broadcast(part, size=100)
+
+
+STATELESS = [
+    "P1_select_rename", "P2_conform", "P3_missing_source", "T1_convert_types", "T3_boolean_text", "T4_numeric_coerce",
+    "T5_parse_datetime", "T7_transaction_timestamp", "M1_drop_rows", "M3_fill_constant", "M4_fill_mean", "M5_fill_median",
+    "M6_fill_mode", "X1_strip", "X3_title_case", "X6_strip_all", "V1_map_keep", "V4_status", "V5_keyword_tag",
+    "B1_normalize_currency", "B5_date_parts", "Q2_row_status", "J2_processed_records",
+]
+
+
+@pytest.mark.parametrize("name", STATELESS)
+def test_row_by_row_queries_neither_shuffle_nor_leave_the_jvm(spark, plan, name):
+    text = plan(queries()[name](spark, SF))
+    for node in ("Exchange", "Join", "Python", "Arrow", "Cartesian"):
+        assert node not in text
+
+
+@pytest.mark.parametrize("name", ["Q1_expected_columns", "Q3_lost_values"])
+def test_reports_move_one_row_per_task(spark, plan, name):
+    text = plan(queries()[name](spark, SF))
+    assert text.count("Exchange") == 1 and "partial_count" in text[text.index("Exchange"):]
+
+
+def test_no_query_joins_without_keys(spark, plan):
+    for name in ("V1_map_by_table", "B1_rates_by_table", "S13_numbered_pages", "L14_upsert", "S9_sql_query"):
+        text = plan(queries()[name](spark, SF))
+        assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_statistics_scan_once_for_all_columns(spark, lines):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("means", "means")
+    statistics.means(lines, ["l_quantity", "l_tax", "l_discount"])
+    jobs = len(tracker.getJobIdsForGroup("means"))
+    spark.sparkContext.setJobGroup("one", "one")
+    statistics.means(lines, ["l_quantity"])
+    assert jobs == len(tracker.getJobIdsForGroup("one"))
+    spark.sparkContext.setJobGroup("rest", "rest")
+
+
+def test_hot_keys_leave_the_map_tasks_as_single_rows(spark):
+    """A key that holds a third of all rows: each map task passes on one row of it."""
+    rows = spark.range(0, 30_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    for keep, expected in (("first", 20_001), ("last", 20_001), (False, 20_000)):
+        out = dedup.drop_duplicates(rows, ["k"], keep, ["v"])
+        assert out.count() == expected
+        passed = out._jdf.queryExecution().executedPlan()
+        out.write.format("noop").mode("overwrite").save()
+    tagged = values.map_values(
+        rows.withColumn("c", F.col("k").cast("string")),
+        "c",
+        spark.createDataFrame([("-1", "hot")], ["k", "v"]),
+    )
+    assert tagged.where("c = 'hot'").count() == 10_000
+    assert statistics.modes(rows, ["k"]) == {"k": -1}
+
+
+def test_entry_and_names(spark):
+    assert not entry(spark).isEmpty()
+    assert set(oracle_sql()) <= set(queries())
