@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -88,20 +86,6 @@ def write_json_lines(df: DataFrame, path: str, date_format: str = "iso", mode: s
     _with_dates(df, date_format).write.mode(mode).options(ignoreNullFields=False, **ISO_TIMES).json(path)
 
 
-def _array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Object texts to the lines of one array document: brackets around, commas between."""
-    held = None
-    for batch in batches:
-        lines = []
-        for text in batch.column(0).to_pylist():
-            lines.append("[" if held is None else held + ",")
-            held = text
-        if lines:
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-    if held is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([held, "]"], pa.string())], ["value"])
-
-
 def write_json_arrays(df: DataFrame, path: str, date_format: str = "iso", mode: str = "overwrite") -> None:
     """JSON array documents, one per part file.
 
@@ -111,7 +95,22 @@ def write_json_arrays(df: DataFrame, path: str, date_format: str = "iso", mode:
     encoded = _with_dates(df, date_format).select(
         F.to_json(F.struct("*"), {"ignoreNullFields": "false", **ISO_TIMES}).alias("value")
     )
-    encoded.mapInArrow(_array_lines, "value string").write.mode(mode).option("maxRecordsPerFile", 0).text(path)
+
+    # Defined here so that it travels to the tasks by itself: they need not be
+    # able to import this package.
+    def array_lines(batches):
+        held = None
+        for batch in batches:
+            lines = []
+            for text in batch.column(0).to_pylist():
+                lines.append("[" if held is None else held + ",")
+                held = text
+            if lines:
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held, "]"], pa.string())], ["value"])
+
+    encoded.mapInArrow(array_lines, "value string").write.mode(mode).option("maxRecordsPerFile", 0).text(path)
 
 
 def write_parquet(df: DataFrame, path: str, compression: str | None = "snappy", mode: str = "overwrite") -> None:
