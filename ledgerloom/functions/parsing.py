@@ -163,6 +163,35 @@ def combine_timestamp(
     return to_timestamp(text, datetime_format)
 
 
+def to_text(c: Column, source: T.DataType) -> Column:
+    """Text of any value, with numbers and booleans spelled as Python spells them."""
+    if isinstance(source, T.BooleanType):
+        return F.initcap(c.cast("string"))
+    if isinstance(source, (T.DoubleType, T.FloatType)):
+        return _number_text(null_if_nan(c))
+    return c.cast("string")
+
+
+def _number_text(c: Column) -> Column:
+    """Spark turns to exponents at ten million and a thousandth, Python much later."""
+    text, size = c.cast("string"), F.abs(c)
+    # Seventeen digits and these exponents fit the decimal, so nothing is rounded.
+    plain = F.rtrim(text.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
+    plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    sign = F.when(power < 0, "e-").otherwise("e+")
+    exponent = F.concat(mantissa, sign, F.lpad(F.abs(power).cast("string"), 2, "0"))
+    exponent = F.when(F.abs(power) > 99, F.concat(mantissa, sign, F.abs(power).cast("string"))).otherwise(exponent)
+    infinite = F.when(c > 0, "inf").otherwise("-inf")
+    return (
+        F.when(~F.contains(text, F.lit("E")) & ~F.contains(text, F.lit("y")), text)
+        .when(size == float("inf"), infinite)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(exponent)
+    )
+
+
 def convert(c: Column, source: T.DataType, target: T.DataType) -> Column:
     """Convert one column to ``target``; values that do not fit become null."""
     if source == target:
@@ -183,6 +212,8 @@ def convert(c: Column, source: T.DataType, target: T.DataType) -> Column:
     if is_text and isinstance(target, T.IntegralType):
         text = F.btrim(c, F.lit(WHITESPACE))
         return F.when(F.translate(text, "0123456789+-", "") == "", text.try_cast(target))
+    if isinstance(target, T.StringType):
+        return to_text(c, source)
     if isinstance(source, T.IntegralType) and isinstance(target, T.TimestampType):
         # Whole numbers count nanoseconds since 1970.
         return F.timestamp_micros(F.call_function("div", c, F.lit(1000)))

@@ -89,6 +89,8 @@ def create_timestamp(
         return df
     if time_column:
         texts = {c: F.col(c).cast("string") for c in (date_column, time_column)}
+        if isinstance(df.schema[date_column].dataType, (T.TimestampType, T.TimestampNTZType)):
+            texts[date_column] = F.date_format(date_column, "yyyy-MM-dd")
         stamp = parsing.combine_timestamp(*texts.values(), datetime_format=datetime_format)
         return df.withColumns({**texts, new_column: stamp})
     if isinstance(df.schema[date_column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerloom.session import written_table
+
 # A lookup side is broadcast only when counted to lie within both bounds.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -28,8 +30,9 @@ def lookup_join(
     Within the bounds the right side is broadcast and the left side stays where
     it is. Beyond them both sides are shuffled on the key and the adaptive
     planner splits the partitions of hot keys, which it can do here because the
-    right side holds each key once.
+    right side holds each key once. It looks for a plain shuffle on both sides,
+    so the right one is written first, whatever it was computed from.
     """
     if fits_broadcast(right, rows):
         return left.join(F.broadcast(right), on, how)
-    return left.join(right.hint("merge"), on, how)
+    return left.join(written_table(right, "lookup").hint("merge"), on, how)

@@ -25,7 +25,7 @@ def clean_text_column(
         return df
     if to_case and to_case not in text.CASES:
         logger.warning("unknown case %r, case left as it is", to_case)
-    value = F.col(column_name).cast("string")
+    value = parsing.to_text(F.col(column_name), df.schema[column_name].dataType)
     return df.withColumn(column_name, text.clean_text(value, strip_whitespace, to_case, remove_chars))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerloom.functions import business, mapping, parsing, text
 from ledgerloom.operators import convert, dedup, missing, quality, shape, values
 from ledgerloom.sinks import files as file_sinks, tables as table_sinks
-from ledgerloom.sources import files, incremental
+from ledgerloom.sources import files, incremental, pages, tables
 
 
 def transform_records(df: DataFrame, drop: list[str] | None = None) -> DataFrame:
@@ -176,12 +176,70 @@ def column_strategies(declared: dict) -> dict:
     return out
 
 
+def read_configured(spark: SparkSession, extraction: dict, schema: T.StructType | str | None = None) -> DataFrame:
+    """The source an ``extraction`` section names: files, a table, or landed pages of an endpoint.
+
+    A database source with a ``url`` is read over JDBC, one without from the
+    catalog. An API source names the folder its pages landed in.
+    """
+    kind = extraction["source_type"]
+    if kind == "file":
+        source = extraction["file_source"]
+        options = dict(source.get("csv_options", {})) if source["file_format"] == "csv" else {}
+        return files.read_directory(
+            spark, source["input_directory"], source["file_format"], source.get("file_pattern"), schema, **options
+        )
+    if kind == "database":
+        source = extraction["database_source"]
+        table = ".".join(source[k] for k in ("schema", "table_name") if source.get(k))
+        if source.get("url"):
+            return tables.read_jdbc(spark, source["url"], table, fetch_size=source.get("fetch_size", 10_000))
+        return tables.read_table(spark, table)
+    if kind == "api":
+        source = extraction["api_source"]
+        landed = spark.read.parquet(source["landed_directory"]).where(F.col("endpoint") == source["endpoint"])
+        return pages.fetch_configured(landed, schema, source.get("pagination", {}), source.get("results_key"))
+    raise ValueError(f"unknown source type {kind!r}")
+
+
+def write_configured(out: DataFrame, loading: dict) -> None:
+    """Load rows as a ``loading`` section says: upsert, files, or a table load method."""
+    spark = out.sparkSession
+    method = loading["load_method"]
+    table_sinks.run_statements(spark, loading.get("pre_load_sql") or [])
+    if method == "upsert":
+        table_sinks.upsert_table(
+            spark,
+            loading["target_table"],
+            out,
+            loading["conflict_target_columns"],
+            loading.get("order_by"),
+            path=loading.get("path"),
+        )
+    elif method == "files":
+        partitions = loading.get("partition_by", ["year", "month"])
+        dated = {"year": F.year, "month": F.month, "day": F.dayofmonth}
+        derived = {c: dated[c](loading["date_column"]) for c in partitions if c in dated and c not in out.columns}
+        file_sinks.write_partitioned(
+            out.withColumns(derived) if derived else out,
+            loading["output_directory"],
+            partitions,
+            loading.get("file_format", "parquet"),
+            loading.get("compression", "snappy"),
+            mode="append",
+        )
+    else:
+        table_sinks.load_table(
+            out, loading["target_table"], method, loading.get("path"), batch_size=loading.get("batch_size", 0)
+        )
+    table_sinks.run_statements(spark, loading.get("post_load_sql") or [])
+
+
 def run_configured(df: DataFrame, config: dict, run_id: str) -> int:
     """One configured increment: rows above the stored mark, transformed and loaded.
 
-    The ``performance`` section names the watermark column, the state folder and
-    the load; the ``loading`` section either an upsert into a table or
-    partitioned files. The new mark is stored after the load. Returns the rows read.
+    The ``performance`` section names the watermark column and the state folder.
+    The new mark is stored after the load. Returns the rows read.
     """
     spark = df.sparkSession
     state = config["performance"]
@@ -192,29 +250,6 @@ def run_configured(df: DataFrame, config: dict, run_id: str) -> int:
     # the statistics of the cleaning rules do not read the source again.
     landed = file_sinks.stage(batch.df, f"{state['staging_path']}/{run_id}")
     if batch.rows:
-        out = configured_transform(landed, config["transformation"])
-        loading = config["loading"]
-        if loading["load_method"] == "upsert":
-            table_sinks.upsert_table(
-                spark,
-                loading["target_table"],
-                out,
-                loading["conflict_target_columns"],
-                loading.get("order_by"),
-                path=loading.get("path"),
-            )
-        elif loading["load_method"] == "files":
-            stamped = out.withColumns(
-                {"year": F.year(loading["date_column"]), "month": F.month(loading["date_column"])}
-            )
-            file_sinks.write_partitioned(
-                stamped,
-                loading["output_directory"],
-                ["year", "month"],
-                compression=loading.get("compression", "snappy"),
-                mode="append",
-            )
-        else:
-            table_sinks.load_table(out, loading["target_table"], loading["load_method"], loading.get("path"))
+        write_configured(configured_transform(landed, config["transformation"]), config["loading"])
         batch.commit(spark, state["watermark_path"], name, run_id)
     return batch.rows

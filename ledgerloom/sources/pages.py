@@ -143,6 +143,29 @@ def fetch_all(
     )
 
 
+def fetch_configured(
+    pages: DataFrame, record_schema: T.StructType | str, pagination: dict, results_key: str | None = None
+) -> DataFrame:
+    """``fetch_all`` by a ``pagination`` section: page numbers, offsets or next-page keys.
+
+    With offsets, ``page_no`` holds the offset of each page's first record. A
+    page limit of 0 means no limit here.
+    """
+    kind = pagination.get("type", "page_number")
+    if kind not in ("page_number", "offset_limit", "next_url"):
+        raise ValueError(f"unknown pagination type {kind!r}")
+    if kind == "offset_limit":
+        size = F.lit(pagination["page_size"])
+        pages = pages.withColumn("page_no", F.call_function("div", F.col("page_no"), size) + 1)
+    return fetch_all(
+        pages,
+        record_schema,
+        results_key,
+        pagination.get("next_url_key", "next") if kind == "next_url" else None,
+        max_pages=pagination.get("max_pages") or None,
+    )
+
+
 def single_records(pages: DataFrame, record_schema: T.StructType | str) -> DataFrame:
     """One record per page with status 200 and an object for a body; other pages give none."""
     schema = record_schema if isinstance(record_schema, str) else record_schema.simpleString()

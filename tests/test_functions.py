@@ -230,3 +230,14 @@ def test_date_parts(spark):
     got = values(spark, F.struct(*parts.values()), ["2024-02-29 23:59:59", None])
     assert tuple(got[0]) == (2024, 2, 29, "Thursday")
     assert tuple(got[1]) == (None, None, None, None)
+
+
+def test_numbers_are_spelled_like_python(spark):
+    numbers = [
+        0.0, -0.0, 1.0, 25.5, -3.25, 9999999.0, 1e7, 12345678.9, -98765432.125, 1e15, 9007199254740993.0, 1e16, 1.5e17,
+        0.001, 0.00012, 1e-4, 1.5e-5, 1e-10, 2.5e-300, 1e300, 123456789012.34, 0.1, float("inf"), float("-inf"),
+    ]
+    c = parsing.to_text(x(), T.DoubleType())
+    assert values(spark, c, numbers, "x double") == [repr(n) for n in numbers]
+    assert values(spark, c, [None, float("nan")], "x double") == [None, None]
+    assert values(spark, parsing.to_text(x(), T.BooleanType()), [True, None], "x boolean") == ["True", None]

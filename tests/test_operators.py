@@ -153,6 +153,8 @@ def test_create_timestamp_turns_sources_into_text(spark):
     assert tuple(out.first()) == ("2023-01-15", "10:30:00", dt.datetime(2023, 1, 15, 10, 30))
     assert convert.create_timestamp(df, "d", None, "at").first().at == dt.datetime(2023, 1, 15)
     assert convert.create_timestamp(df, "nowhere") is df
+    stamped = df.withColumn("d", F.col("d").cast("timestamp"))
+    assert convert.create_timestamp(stamped, "d", "t", "at").first().at == dt.datetime(2023, 1, 15, 10, 30)
 
 
 # --- missing values
