@@ -121,8 +121,8 @@ def apply_strategies(
     """One strategy per column: drop_row, fill_mean, fill_median, fill_mode or fill_constant.
 
     ``fill_constant`` is written as a pair with its value. Columns not listed
-    follow the default. All statistics are taken from the input, one job per
-    kind; rows are dropped after the fills.
+    follow the default. All statistics are taken from the input, means and
+    medians in shared scans; rows are dropped after the fills.
     """
     by_kind: dict[str, list[str]] = {}
     constants = {}
@@ -137,10 +137,11 @@ def apply_strategies(
             by_kind.setdefault(kind, []).append(name)
         else:
             raise ValueError(f"unknown strategy {kind!r} for column {name}")
-    found: dict[str, object] = {}
     numeric = {c for c in df.columns if statistics.is_numeric(df, c)}
-    found |= statistics.means(df, [c for c in by_kind.get("fill_mean", []) if c in numeric])
-    found |= statistics.medians(df, [c for c in by_kind.get("fill_median", []) if c in numeric])
+    found_means, found_medians = statistics.means_and_medians(
+        df, *[[c for c in by_kind.get(k, []) if c in numeric] for k in ("fill_mean", "fill_median")]
+    )
+    found: dict[str, object] = {**found_means, **found_medians}
     found |= statistics.modes(df, by_kind.get("fill_mode", []))
     out = fill_values(_fill_found(df, found), constants)
     return drop_rows(out, by_kind["drop_row"]) if by_kind.get("drop_row") else out

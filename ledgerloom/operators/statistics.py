@@ -24,10 +24,7 @@ def is_numeric(df: DataFrame, name: str) -> bool:
 
 def means(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
     """Mean of each column, missing values left out: one job for all columns."""
-    if not columns:
-        return {}
-    row = df.agg(*[F.avg(present(df, c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    return {c: row[i] for i, c in enumerate(columns)}
+    return means_and_medians(df, columns, [])[0]
 
 
 @dataclass
@@ -66,7 +63,14 @@ class _Search:
 
 
 def medians(df: DataFrame, columns: list[str], limit: int = SORTED_VALUES_LIMIT) -> dict[str, float | None]:
-    """Exact median of each column, the midpoint of the two middle values for even counts.
+    """Exact median of each column, the midpoint of the two middle values for even counts."""
+    return means_and_medians(df, [], columns, limit)[1]
+
+
+def means_and_medians(
+    df: DataFrame, mean_columns: list[str], median_columns: list[str], limit: int = SORTED_VALUES_LIMIT
+) -> tuple[dict[str, float | None], dict[str, float | None]]:
+    """Means and exact medians; the first scan serves both.
 
     A sketch brackets the middle, exact counts check the bracket, and the few
     values inside it are sorted at the end. No pass shuffles rows: each returns
@@ -74,26 +78,27 @@ def medians(df: DataFrame, columns: list[str], limit: int = SORTED_VALUES_LIMIT)
     end of its own, so ties cannot keep the bracket wide; a wrong sketch costs a
     further pass, never a wrong result.
     """
+    columns = list(dict.fromkeys([*mean_columns, *median_columns]))
     if not columns:
-        return {}
+        return {}, {}
     frame = df.select(*[present(df, c).cast("double").alias(c) for c in columns])
-    first = []
-    for i, c in enumerate(columns):
-        first.append(F.count(F.col(c)).alias(f"n{i}"))
-        first.append(_bracket(F.col(c), 0.5).alias(f"b{i}"))
+    first = [F.avg(F.col(c)).alias(f"m{i}") for i, c in enumerate(mean_columns)]
+    for i, c in enumerate(median_columns):
+        first += [F.count(F.col(c)).alias(f"n{i}"), _bracket(F.col(c), 0.5).alias(f"b{i}")]
     row = frame.agg(*first).first()
+    found_means = {c: row[f"m{i}"] for i, c in enumerate(mean_columns)}
     middle: dict[str, list[_Search]] = {}
     brackets = {}
-    for i, c in enumerate(columns):
-        n = row[2 * i]
+    for i, c in enumerate(median_columns):
+        n = row[f"n{i}"]
         ranks = [] if n == 0 else sorted({(n - 1) // 2, n // 2})
         middle[c] = [_Search(c, r, n) for r in ranks]
-        brackets |= {id(s): row[2 * i + 1] for s in middle[c]}
+        brackets |= {id(s): row[f"b{i}"] for s in middle[c]}
     searches = [s for found in middle.values() for s in found]
     while wide := [s for s in searches if s.value is None and s.size > limit]:
         _narrow(frame, wide, [brackets.pop(id(s), None) for s in wide])
     _finish(frame, [s for s in searches if s.value is None])
-    return {
+    return found_means, {
         c: (found[0].value + found[-1].value) / 2 if found else None for c, found in middle.items()
     }
 

@@ -93,26 +93,26 @@ def l8(spark, sf):
     return released(spark, name)
 
 
-@register("L9_fail_if_exists", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+@register("L9_fail_if_exists", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def l9(spark, sf):
     from pyspark.errors import AnalysisException
 
-    suppliers = table(spark, sf, "supplier")
+    parts = table(spark, sf, "part")
     name = table_name("fail")
-    table_sinks.load_table(suppliers, name, path=fresh_path(spark, "l9"))
+    table_sinks.load_table(parts, name, path=fresh_path(spark, "l9"))
     try:
-        table_sinks.load_table(suppliers, name)
+        table_sinks.load_table(parts, name)
     except AnalysisException:
         return released(spark, name)
     raise AssertionError("the second load should have failed")
 
 
-@register("L10_empty_load", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("L10_empty_load", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def l10(spark, sf):
-    nations = table(spark, sf, "nation")
+    customers = table(spark, sf, "customer")
     name, path = table_name("empty"), fresh_path(spark, "l10")
-    table_sinks.load_table(nations, name, path=path)
-    table_sinks.load_table(nations.where("n_name = 'no such nation'"), name, "replace", path)
+    table_sinks.load_table(customers, name, path=path)
+    table_sinks.load_table(customers.where("c_name = 'nobody'"), name, "replace", path)
     return released(spark, name)
 
 

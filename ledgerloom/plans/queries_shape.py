@@ -67,16 +67,16 @@ def p3(spark, sf):
 
 @register(
     "P4_schema_check",
-    "SELECT s_suppkey AS SupplierID, s_name AS Name, s_acctbal AS Balance FROM supplier",
+    "SELECT c_custkey AS CustomerID, c_name AS Name, c_acctbal AS Balance FROM customer",
 )
 def p4(spark, sf):
     target = [
-        {"target_name": "SupplierID", "source_column": "s_suppkey", "dtype": "int64"},
-        {"target_name": "Name", "source_column": "s_name", "dtype": "str"},
-        {"target_name": "Balance", "source_column": "s_acctbal", "dtype": "float64"},
+        {"target_name": "CustomerID", "source_column": "c_custkey", "dtype": "int64"},
+        {"target_name": "Name", "source_column": "c_name", "dtype": "str"},
+        {"target_name": "Balance", "source_column": "c_acctbal", "dtype": "float64"},
     ]
     shape.check_target_schema(target)
-    return shape.conform(table(spark, sf, "supplier"), target).df
+    return shape.conform(table(spark, sf, "customer"), target).df
 
 
 @register(

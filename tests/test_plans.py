@@ -49,6 +49,7 @@ def test_hot_keys_of_shuffled_lookups_are_split(spark, fresh):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": "32",
     }
     before = {k: spark.conf.get(k) for k in settings}
     path = fresh("hot")
