@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerloom.functions import parsing
+from ledgerloom.functions.columns import column
 
 logger = logging.getLogger(__name__)
 
@@ -30,9 +31,9 @@ def _apply(df: DataFrame, new: dict[str, Column], on_error: str, what: dict[str,
     if on_error not in ERROR_MODES:
         raise ValueError(f"on_error must be one of {ERROR_MODES}")
     if on_error == "raise":
-        new = {c: parsing.raise_where_lost(v, F.col(c), what[c]) for c, v in new.items()}
+        new = {c: parsing.raise_where_lost(v, column(c), what[c]) for c, v in new.items()}
     elif on_error == "keep":
-        lost = lost_counts(df, {c: (F.col(c), v) for c, v in new.items()})
+        lost = lost_counts(df, {c: (column(c), v) for c, v in new.items()})
         for name in [c for c in new if lost[c]]:
             logger.error("%d values of %s do not convert, column kept", lost[name], name)
             del new[name]
@@ -52,7 +53,7 @@ def convert_types(df: DataFrame, column_types: dict[str, object], on_error: str
             logger.warning("column %s not found, not converted", name)
             continue
         target = parsing.spark_type(dtype)
-        new[name] = parsing.convert(F.col(name), types[name], target)
+        new[name] = parsing.convert(column(name), types[name], target)
         what[name] = target.simpleString()
     return _apply(df, new, on_error, what)
 
@@ -69,7 +70,7 @@ def parse_datetime(
         return df
     if isinstance(df.schema[column_name].dataType, (T.TimestampType, T.TimestampNTZType)):
         return df
-    parsed = parsing.to_timestamp(F.col(column_name).cast("string"), datetime_format)
+    parsed = parsing.to_timestamp(column(column_name).cast("string"), datetime_format)
     return _apply(df, {column_name: parsed}, modes[errors], {column_name: "timestamp"})
 
 
@@ -88,11 +89,11 @@ def create_timestamp(
         logger.error("date or time column not found: %s, %s", date_column, time_column)
         return df
     if time_column:
-        texts = {c: F.col(c).cast("string") for c in (date_column, time_column)}
+        texts = {c: column(c).cast("string") for c in (date_column, time_column)}
         if isinstance(df.schema[date_column].dataType, (T.TimestampType, T.TimestampNTZType)):
-            texts[date_column] = F.date_format(date_column, "yyyy-MM-dd")
+            texts[date_column] = F.date_format(column(date_column), "yyyy-MM-dd")
         stamp = parsing.combine_timestamp(*texts.values(), datetime_format=datetime_format)
         return df.withColumns({**texts, new_column: stamp})
     if isinstance(df.schema[date_column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return df.withColumn(new_column, F.col(date_column).cast("timestamp"))
-    return df.withColumn(new_column, parsing.to_timestamp(F.col(date_column).cast("string"), datetime_format))
+        return df.withColumn(new_column, column(date_column).cast("timestamp"))
+    return df.withColumn(new_column, parsing.to_timestamp(column(date_column).cast("string"), datetime_format))

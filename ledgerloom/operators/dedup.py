@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from ledgerloom.functions.columns import column
 from ledgerloom.operators.statistics import present
 
 
@@ -38,7 +39,7 @@ def drop_duplicates(
     grouping = [present(df, k) for k in keys]
     if not order:
         return df.dropDuplicates(keys)
-    ranked = [F.col(c).asc() if keep == "first" else F.col(c).desc() for c in order]
+    ranked = [column(c).asc() if keep == "first" else column(c).desc() for c in order]
     window = Window.partitionBy(*grouping).orderBy(*ranked)
     place = "__place"
     return df.withColumn(place, F.row_number().over(window)).where(F.col(place) == 1).drop(place)
@@ -49,7 +50,7 @@ def _only_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     grouping = [present(df, k).alias(f"__k{i}") for i, k in enumerate(keys)]
     return (
         df.groupBy(*grouping)
-        .agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*df.columns)).alias("__row"))
+        .agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*[column(c) for c in df.columns])).alias("__row"))
         .where(F.col("__n") == 1)
         .select("__row.*")
     )

@@ -6,6 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerloom.functions.columns import quoted
 from ledgerloom.operators import statistics
 
 logger = logging.getLogger(__name__)
@@ -15,7 +16,7 @@ STATISTICS = ("mean", "median", "mode")
 
 def drop_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """Drop rows with a missing value in the subset, or in any column."""
-    return df.dropna(how="any", subset=subset or None)
+    return df.dropna(how="any", subset=[quoted(c) for c in subset] if subset else None)
 
 
 def drop_incomplete_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

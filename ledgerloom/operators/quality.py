@@ -11,6 +11,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerloom.functions import parsing
+from ledgerloom.functions.columns import column
 
 PASSED, WARNED, FAILED = "PASSED", "PASSED_WITH_WARNINGS", "FAILED"
 
@@ -30,7 +31,7 @@ def column_rules(df: DataFrame, expected: list[dict]) -> tuple[dict[str, Column]
         absent[f"{name}.present"] = int(name not in types)
         if name not in types:
             continue
-        c, target = F.col(name), parsing.spark_type(d["type"])
+        c, target = column(name), parsing.spark_type(d["type"])
         given = parsing.null_if_nan(c, types[name])
         if d.get("required"):
             tests[f"{name}.required"] = given.isNull()
@@ -107,7 +108,7 @@ def split_quarantine(
     df: DataFrame, status_column: str = "PreliminaryValidationStatus"
 ) -> tuple[DataFrame, DataFrame]:
     """Rows to go on with, and failed rows to set aside."""
-    failed = F.col(status_column) == FAILED
+    failed = column(status_column) == FAILED
     return df.where(~failed), df.where(failed)
 
 

@@ -8,16 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import parsing
+from ledgerloom.functions.columns import column
 from ledgerloom.operators.convert import lost_counts
 
 logger = logging.getLogger(__name__)
 
 
-def column(name: str):
-    """Reference a column by its exact name, dots and blanks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def select_and_rename(df: DataFrame, column_map: dict[str, str]) -> DataFrame:
     """Keep the mapped columns in map order; names the input lacks are skipped."""
     absent = [name for name in column_map if name not in df.columns]

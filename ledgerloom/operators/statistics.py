@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ledgerloom.functions.columns import column
 from ledgerloom.functions.parsing import null_if_nan
 
 # How many values one task may sort to finish a median; more are narrowed first.
@@ -15,7 +16,7 @@ SKETCH_ACCURACY = 10_000
 
 def present(df: DataFrame, name: str) -> Column:
     """The column with NaN turned into null."""
-    return null_if_nan(F.col(name), df.schema[name].dataType)
+    return null_if_nan(column(name), df.schema[name].dataType)
 
 
 def is_numeric(df: DataFrame, name: str) -> bool:
@@ -82,9 +83,9 @@ def means_and_medians(
     if not columns:
         return {}, {}
     frame = df.select(*[present(df, c).cast("double").alias(c) for c in columns])
-    first = [F.avg(F.col(c)).alias(f"m{i}") for i, c in enumerate(mean_columns)]
+    first = [F.avg(column(c)).alias(f"m{i}") for i, c in enumerate(mean_columns)]
     for i, c in enumerate(median_columns):
-        first += [F.count(F.col(c)).alias(f"n{i}"), _bracket(F.col(c), 0.5).alias(f"b{i}")]
+        first += [F.count(column(c)).alias(f"n{i}"), _bracket(column(c), 0.5).alias(f"b{i}")]
     row = frame.agg(*first).first()
     found_means = {c: row[f"m{i}"] for i, c in enumerate(mean_columns)}
     middle: dict[str, list[_Search]] = {}
@@ -113,7 +114,7 @@ def _narrow(frame: DataFrame, searches: list[_Search], brackets: list) -> None:
     unknown = [i for i, ends in enumerate(brackets) if ends is None]
     if unknown:
         sketches = [
-            _bracket(searches[i].inside(F.col(searches[i].column)), searches[i].rank / (searches[i].size - 1))
+            _bracket(searches[i].inside(column(searches[i].column)), searches[i].rank / (searches[i].size - 1))
             .alias(f"b{i}")
             for i in unknown
         ]
@@ -122,7 +123,7 @@ def _narrow(frame: DataFrame, searches: list[_Search], brackets: list) -> None:
     cells = []
     for i, s in enumerate(searches):
         a, b = brackets[i]
-        x = s.inside(F.col(s.column))
+        x = s.inside(column(s.column))
         between = (x > F.lit(a)) & (x < F.lit(b))
         tests = [x < F.lit(a), x == F.lit(a), between, (x == F.lit(b)) & F.lit(a != b)]
         cells.extend(F.count_if(test).alias(f"c{i}_{j}") for j, test in enumerate(tests))
@@ -140,7 +141,7 @@ def _finish(frame: DataFrame, searches: list[_Search]) -> None:
         by_interval.setdefault((s.column, s.low, s.high), []).append(s)
     picks = []
     for i, group in enumerate(by_interval.values()):
-        ordered = F.array_sort(F.collect_list(group[0].inside(F.col(group[0].column))))
+        ordered = F.array_sort(F.collect_list(group[0].inside(column(group[0].column))))
         picks.append(F.array(*[F.get(ordered, F.lit(s.rank)) for s in group]).alias(f"v{i}"))
     found = frame.agg(*picks).first()
     for i, group in enumerate(by_interval.values()):
@@ -162,7 +163,7 @@ def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
         counted = frame.groupBy(names[0]).agg(F.count(F.lit(1)).alias("n")).withColumn("g", F.lit(0))
         groups = {0: 0}
     else:
-        counted = frame.groupingSets([[F.col(n)] for n in names], *names).agg(
+        counted = frame.groupingSets([[column(n)] for n in names], *names).agg(
             F.grouping_id().alias("g"), F.count(F.lit(1)).alias("n")
         )
         all_absent = 2 ** len(names) - 1
@@ -182,9 +183,9 @@ def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
 
 
 def _any_present(names: list[str]) -> Column:
-    test = F.col(names[0]).isNotNull()
+    test = column(names[0]).isNotNull()
     for n in names[1:]:
-        test = test | F.col(n).isNotNull()
+        test = test | column(n).isNotNull()
     return test
 
 

@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerloom.functions import business, mapping as maps, parsing, text
+from ledgerloom.functions.columns import column
 from ledgerloom.operators.joins import lookup_join
 
 logger = logging.getLogger(__name__)
@@ -25,19 +26,19 @@ def clean_text_column(
         return df
     if to_case and to_case not in text.CASES:
         logger.warning("unknown case %r, case left as it is", to_case)
-    value = parsing.to_text(F.col(column_name), df.schema[column_name].dataType)
+    value = parsing.to_text(column(column_name), df.schema[column_name].dataType)
     return df.withColumn(column_name, text.clean_text(value, strip_whitespace, to_case, remove_chars))
 
 
 def strip_text_columns(df: DataFrame) -> DataFrame:
     """Strip every text column in one projection."""
-    new = {f.name: text.strip(F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    new = {f.name: text.strip(column(f.name)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     return df.withColumns(new) if new else df
 
 
 def normalize_text_fields(df: DataFrame, names: list[str]) -> DataFrame:
     """Strip and lower-case the listed text columns."""
-    new = {c: F.lower(text.strip(F.col(c).cast("string"))) for c in names if c in df.columns}
+    new = {c: F.lower(text.strip(column(c).cast("string"))) for c in names if c in df.columns}
     return df.withColumns(new) if new else df
 
 
@@ -62,7 +63,7 @@ def map_values(
     if column_name not in df.columns:
         logger.warning("column %s not found, not mapped", column_name)
         return df
-    c = F.col(column_name)
+    c = column(column_name)
     if isinstance(mapping, dict):
         if len(mapping) <= maps.LITERAL_MAP_LIMIT:
             return df.withColumn(column_name, maps.map_value(c, mapping, default_value))
@@ -76,7 +77,7 @@ def map_values(
         df.withColumn("__key", c), pairs, ["__key"]
     )
     fallback = c if default_value is None else F.lit(default_value)
-    return joined.withColumn(column_name, F.coalesce(F.col("__value"), fallback)).select(*df.columns)
+    return joined.withColumn(column_name, F.coalesce(F.col("__value"), fallback)).select(*[column(n) for n in df.columns])
 
 
 def standardize_categories(
@@ -87,10 +88,10 @@ def standardize_categories(
         logger.error("category column %s not found", category_column)
         return df
     if mapping and len(mapping) > maps.LITERAL_MAP_LIMIT:
-        stripped = df.withColumn(category_column, text.strip(F.col(category_column)))
+        stripped = df.withColumn(category_column, text.strip(column(category_column)))
         out = map_values(stripped, category_column, mapping)
-        return out.withColumn(category_column, text.to_case(F.col(category_column), to_case))
-    return df.withColumn(category_column, maps.standard_category(F.col(category_column), mapping, to_case))
+        return out.withColumn(category_column, text.to_case(column(category_column), to_case))
+    return df.withColumn(category_column, maps.standard_category(column(category_column), mapping, to_case))
 
 
 def tag_descriptions(
@@ -104,7 +105,7 @@ def tag_descriptions(
     if description_column not in df.columns:
         logger.error("description column %s not found", description_column)
         return df
-    tag = maps.keyword_tag(F.col(description_column).cast("string"), category_map, default_category)
+    tag = maps.keyword_tag(column(description_column).cast("string"), category_map, default_category)
     return df.withColumn(new_column, tag)
 
 
@@ -127,11 +128,11 @@ def normalize_currency(
         logger.error("amount or currency column not found: %s, %s", amount_column, currency_column)
         return df
     data_type = df.schema[amount_column].dataType
-    amount = parsing.convert(F.col(amount_column), data_type, T.DoubleType())
+    amount = parsing.convert(column(amount_column), data_type, T.DoubleType())
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        amount = parsing.null_if_nan(F.col(amount_column)).cast("double")
+        amount = parsing.null_if_nan(column(amount_column)).cast("double")
     out = df.withColumn(amount_column, amount)
-    currency = F.col(currency_column)
+    currency = column(currency_column)
     rate_table = exchange_rates
     if isinstance(rate_table, dict) and len(rate_table) > maps.LITERAL_MAP_LIMIT:
         rates = business.rate_table(rate_table, target_currency)
@@ -144,10 +145,10 @@ def normalize_currency(
         if not rates.groupBy("__code").count().where("count > 1").limit(1).isEmpty():
             raise ValueError("the rates hold a currency more than once")
         out = lookup_join(out.withColumn("__code", F.upper(currency)), rates, ["__code"])
-        value = F.coalesce(F.col(amount_column) * F.col("__rate"), F.col(amount_column))
+        value = F.coalesce(column(amount_column) * F.col("__rate"), column(amount_column))
         lacking = F.col("__rate").isNull() & ~F.coalesce(F.upper(currency) == target, F.lit(False))
     else:
-        value = business.normal_amount(F.col(amount_column), currency, rate_table, target_currency)
+        value = business.normal_amount(column(amount_column), currency, rate_table, target_currency)
         lacking = business.rate_missing(currency, rate_table, target_currency)
     new = {normalized_column: value}
     if international_column:
@@ -160,7 +161,7 @@ def normalize_currency(
 def add_threshold_flags(df: DataFrame, fields: list[dict]) -> DataFrame:
     """Flags ``{name, condition_column, condition_threshold}``: true above the threshold."""
     new = {
-        f["name"]: business.is_high_value(F.col(f["condition_column"]), f["condition_threshold"])
+        f["name"]: business.is_high_value(column(f["condition_column"]), f["condition_threshold"])
         for f in fields
         if f["condition_column"] in df.columns
     }
@@ -171,4 +172,4 @@ def add_date_parts(df: DataFrame, date_column: str, prefix: str = "Transaction")
     """Add year, month, day and weekday name of a date column."""
     if date_column not in df.columns:
         return df
-    return df.withColumns(business.date_parts(F.col(date_column), prefix))
+    return df.withColumns(business.date_parts(column(date_column), prefix))

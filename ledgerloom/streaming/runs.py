@@ -101,7 +101,11 @@ def run_upsert(
     partitions_follow_keys: bool = False,
     path: str | None = None,
 ) -> None:
-    """Upsert each new batch into a table. Repeating a batch leaves the table as it is."""
+    """Upsert each new batch into a table. Repeating a batch leaves the table as it is.
+
+    Each batch rewrites the partitions it touches, or a whole unpartitioned
+    table: partition large targets, and let ``partitions_follow_keys`` hold.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         upsert_table(batch.sparkSession, table, batch, keys, order_by, partitions_follow_keys, path)

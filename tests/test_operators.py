@@ -409,3 +409,20 @@ def test_run_metrics(spark, people, fresh):
     assert rows["write"].records_per_second > 0
     assert (rows["break"].status, rows["break"].error) == ("failed", "no luck")
     assert rows["listed"].records == 3 and rows["rows_dropped"].tags["value"] == "7"
+
+
+def test_names_with_dots_and_blanks(spark):
+    df = spark.createDataFrame(
+        [(1, 1.0, " a ", "USD"), (1, None, "b", "eur"), (2, 3.0, None, None)], ["the id", "an.amount", "a text", "c.y"]
+    )
+    assert dedup.drop_duplicates(df, ["the id"], "first", ["an.amount"]).count() == 2
+    assert dedup.drop_duplicates(df, ["the id"], False).count() == 1
+    assert missing.handle_missing(df, "drop_row", subset_for_drop=["an.amount", "a text"]).count() == 1
+    assert missing.handle_missing(df, "drop_column", columns=["an.amount", "the id"]).columns == ["the id", "a text", "c.y"]
+    for strategy in ("mean", "median", "mode"):
+        assert missing.handle_missing(df, strategy, columns=["an.amount"]).where("`an.amount` is null").isEmpty()
+    filled = missing.fill_constant(df, "?", ["a text"])
+    assert values.map_values(filled, "a text", {"?": "none"}).columns == df.columns
+    assert values.normalize_currency(df, "an.amount", "c.y", exchange_rates={"EUR": 2.0}).count() == 3
+    assert convert.convert_types(df, {"an.amount": "str"}, on_error="keep").schema["an.amount"].dataType.simpleString() == "string"
+    assert quality.check_expected(df, [{"name": "c.y", "type": "str", "required": True}]).where("violations > 0").count() == 1
