@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.plans.registry import register, released, table, table_name
+from ledgerloom.plans.registry import register, table, table_name
 from ledgerloom.session import fresh_path
 from ledgerloom.sinks import files as file_sinks, tables as table_sinks
 from ledgerloom.sources import files, incremental, pages, tables
