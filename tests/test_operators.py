@@ -426,3 +426,22 @@ def test_names_with_dots_and_blanks(spark):
     assert values.normalize_currency(df, "an.amount", "c.y", exchange_rates={"EUR": 2.0}).count() == 3
     assert convert.convert_types(df, {"an.amount": "str"}, on_error="keep").schema["an.amount"].dataType.simpleString() == "string"
     assert quality.check_expected(df, [{"name": "c.y", "type": "str", "required": True}]).where("violations > 0").count() == 1
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    rows=st.lists(
+        st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.sampled_from([0.0, 1.5, NAN]))),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_duplicates_like_pandas(spark, rows):
+    import pandas as pd
+
+    numbered = [(i, *r) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(numbered, "place long, a long, b double").repartition(3)
+    pdf = pd.DataFrame(numbered, columns=["place", "a", "b"]).astype({"a": "Int64", "b": "float64"})
+    for keep in ("first", "last", False):
+        got = dedup.drop_duplicates(df, ["a", "b"], keep, ["place"])
+        assert sorted(column(got, "place")) == sorted(pdf.drop_duplicates(["a", "b"], keep=keep)["place"])
