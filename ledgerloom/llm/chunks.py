@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.session import written_table
 
-# Lines the rolling hash looks at, one end of chunk in so many lines, most lines in a chunk.
+# Lines the rolling hash looks at, one end of chunk in so many lines, fewest and most lines in a chunk.
 WINDOW = 2
-ONE_IN = 3
+ONE_IN = 2
+FEWEST_LINES = 2
 MOST_LINES = 64
 # A line of so many words is a passage by itself.
 LONG_LINE_WORDS = 40
@@ -44,7 +45,8 @@ def chunk_ends(lines: list[bytes]) -> tuple[list[int], list[bool]]:
         if at >= WINDOW:
             rolling = (rolling - hashes[at - WINDOW] * lead) & _MASK
         last = at + 1 == len(lines)
-        cut = (rolling >> 32) % ONE_IN == 0 or at + 1 - begin >= MOST_LINES
+        size = at + 1 - begin
+        cut = size >= FEWEST_LINES and (rolling >> 32) % ONE_IN == 0 or size >= MOST_LINES
         if last or cut or long_line[at] or long_line[at + 1]:
             said = sum(1 for line in lines[begin : at + 1] if line.strip())
             ends.append(at + 1)

@@ -1,9 +1,9 @@
 """Toxicity by multiple-instance learning over sentences.
 
-A sentence's score is the logistic of the summed weights of its different words. A
-document is toxic unless none of its sentences is: its score is the noisy-or of
-theirs. The weights are fitted on document labels alone, and then say which
-sentences offend.
+A sentence's score is the logistic of the summed weights of its different words and
+beginnings of words. A document is toxic unless none of its sentences is: its score
+is the noisy-or of theirs. The weights are fitted on document labels alone, and
+then say which sentences offend.
 """
 
 from __future__ import annotations
@@ -15,18 +15,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import blocks, joined, lowered, tokens
+from ledgerloom.llm.common import blocks, joined, lowered, mixed, span_hashes, tokens
 from ledgerloom.llm.samples import held_out, labelled
-
-BITS = 18
-# The fit reads at most so many labelled documents, leaving out those with more tokens than this.
-SAMPLE_DOCS = 6000
-SAMPLE_TOKENS = 20_000
+from ledgerloom.session import written_table
+
+BITS = 20
+# Beginnings of words that count beside whole words, in bytes.
+PREFIXES = (4, 5, 6, 7, 8)
+# The fit reads at most so many labelled documents, and looks at so many features.
+SAMPLE_DOCS = 8000
+SAMPLE_FEATURES = 4000
 LEAST_DOCS = 3
+# How far from chance a feature must be, in standard deviations, to be looked at.
+SIGNIFICANT = 4.0
 THRESHOLD = 0.3
-ROUNDS = 150
-RATE = 0.5
-PENALTY = 0.02
+ROUNDS = 300
+RATE = 0.05
+PENALTY = 0.01
 
 _STOPS = np.zeros(256, np.uint8)
 _STOPS[np.frombuffer(b".!?\n", np.uint8)] = 1
@@ -34,7 +39,7 @@ _STOPS[np.frombuffer(b".!?\n", np.uint8)] = 1
 
 @dataclass
 class Model:
-    """A weight per hashed word, and the score of a sentence without a known word."""
+    """A weight per hashed feature, and the score of a sentence without a known one."""
 
     weights: np.ndarray
     bias: float
@@ -42,17 +47,29 @@ class Model:
 
 @dataclass
 class Bags:
-    """The different words of every sentence: word numbers, sentence of each, text of each sentence, its span."""
+    """Sentences with a word: their texts and spans, and the different known features of each."""
 
-    words: np.ndarray
+    features: np.ndarray
     sentence: np.ndarray
     text: np.ndarray
     begin: np.ndarray
     end: np.ndarray
 
 
-def sentences(raws: list[bytes]) -> Bags:
-    """Split lower-cased texts at ``. ! ?`` and line ends; sentences without a word are left out."""
+def features(data: np.ndarray, begin: np.ndarray, end: np.ndarray, whole: np.ndarray):
+    """Numbers of the features of every word, one array of (word, feature) per kind."""
+    yield np.arange(len(whole)), (whole >> np.uint64(64 - BITS)).astype(np.int64)
+    for size in PREFIXES:
+        word = np.flatnonzero(end - begin >= size)
+        hashes = mixed(span_hashes(data, begin[word], begin[word] + size) + np.uint64(size))
+        yield word, (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def sentences(raws: list[bytes], known: np.ndarray | None = None) -> Bags:
+    """Split lower-cased texts at ``. ! ?`` and line ends; sentences without a word are left out.
+
+    With ``known``, a flag per feature, other features are left out.
+    """
     data, starts = joined(raws)
     begin, end, hashes = tokens(data)
     stops = np.cumsum(_STOPS[data], dtype=np.int64)
@@ -60,37 +77,44 @@ def sentences(raws: list[bytes]) -> Bags:
         none = np.zeros(0, np.int64)
         return Bags(none, none, none, none, none)
     _, sentence = np.unique(stops[begin], return_inverse=True)
+    sentence = sentence.astype(np.int64)
     text = np.searchsorted(starts, begin, "right") - 1
     first = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
     last = np.append(first[1:], len(begin)) - 1
-    words = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
-    pairs = np.unique(sentence.astype(np.int64) << BITS | words)
+    pairs = []
+    for word, feature in features(data, begin, end, hashes):
+        if known is not None:
+            use = known[feature]
+            word, feature = word[use], feature[use]
+        pairs.append(sentence[word] << BITS | feature)
+    found = np.unique(np.concatenate(pairs))
     of = text[first]
-    return Bags(pairs & ((1 << BITS) - 1), pairs >> BITS, of, begin[first] - starts[of], end[last] - starts[of])
+    return Bags(found & ((1 << BITS) - 1), found >> BITS, of, begin[first] - starts[of], end[last] - starts[of])
 
 
 def sentence_scores(bags: Bags, model: Model) -> np.ndarray:
-    return np.bincount(bags.sentence, model.weights[bags.words], minlength=len(bags.text)) + model.bias
+    return np.bincount(bags.sentence, model.weights[bags.features], minlength=len(bags.text)) + model.bias
 
 
-def fit_model(words: np.ndarray, sentence: np.ndarray, doc: np.ndarray, labels: np.ndarray) -> Model:
-    """Weights by proximal steps on the noisy-or likelihood; an absolute penalty keeps most words at zero.
+def fit_model(
+    known: np.ndarray, odds: np.ndarray, feature: np.ndarray, sentence: np.ndarray, doc: np.ndarray, labels: np.ndarray
+) -> Model:
+    """Weights of the features ``known`` by proximal steps on the noisy-or likelihood, starting at their ``odds``.
 
-    ``sentence`` numbers the sentence of every word, ``doc`` the document of every sentence.
+    ``feature`` and ``sentence`` are the known features of each sentence, ``doc``
+    numbers the document of every sentence.
     """
-    weights, bias = np.zeros(1 << BITS), -6.0
-    if not len(words) or labels.min() == labels.max():
-        share = float(labels.mean()) if len(labels) else 0.0
+    weights = np.zeros(1 << BITS, np.float32)
+    share = float(labels.mean()) if len(labels) else 0.0
+    if share in (0.0, 1.0):
         return Model(weights, -6.0 if share < 0.5 else 6.0)
-    # Words of fewer documents than LEAST_DOCS keep weight zero.
-    spread = np.unique(doc[sentence].astype(np.int64) << BITS | words)
-    common = np.bincount(spread & ((1 << BITS) - 1), minlength=1 << BITS) >= LEAST_DOCS
-    keep = common[words]
-    words, sentence = words[keep], sentence[keep]
-    known, local = np.unique(words, return_inverse=True)
-    value, steps, bias_steps = np.zeros(len(known)), np.full(len(known), 1e-2), 1e-2
-    toxic = labels[doc] == 1
-    n = len(labels)
+    place = np.zeros(1 << BITS, np.int64)
+    place[known] = np.arange(len(known))
+    local = place[feature]
+    toxic, n, bias = labels[doc] == 1, len(labels), -6.0
+    # Several features speak for the same word, so each starts with its part.
+    value = odds / (1 + len(PREFIXES))
+    steps, bias_steps = np.full(len(known), 1e-2), 1e-2
     for _ in range(ROUNDS):
         scores = np.bincount(sentence, value[local], minlength=len(doc)) + bias
         soft = np.logaddexp(0, scores)
@@ -110,44 +134,87 @@ def fit_model(words: np.ndarray, sentence: np.ndarray, doc: np.ndarray, labels:
     return Model(weights, bias)
 
 
-def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def document_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different features of every document, one row each."""
     for batch in batches:
-        out = []
         for at, raws in blocks(lowered(batch.column("text").to_pylist())):
             for row, raw in enumerate(raws, at):
-                bags = sentences([raw])
-                if len(bags.words) <= SAMPLE_TOKENS:
-                    doc_id, label = batch.column("doc_id")[row].as_py(), batch.column("label")[row].as_py()
-                    out.append((doc_id, label, bags.words.astype(np.int32).tobytes(), bags.sentence.astype(np.int32).tobytes()))
-        types = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-        columns = [pa.array(column, kind) for column, kind in zip(list(zip(*out)) or [()] * 4, types)]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "words", "sentences"])
+                found = np.unique(sentences([raw]).features)
+                label = batch.column("label")[row].as_py()
+                columns = [pa.array(found, pa.int64()), pa.array(np.full(len(found), label, np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["feature", "label"])
+
+
+def sampling(known: np.ndarray):
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for at, raws in blocks(lowered(batch.column("text").to_pylist())):
+                for row, raw in enumerate(raws, at):
+                    bags = sentences([raw], known)
+                    packed = [bags.features.astype(np.int32).tobytes(), bags.sentence.astype(np.int32).tobytes()]
+                    out.append((batch.column("doc_id")[row].as_py(), batch.column("label")[row].as_py(), len(bags.text), *packed))
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            columns = [pa.array(column, kind) for column, kind in zip(list(zip(*out)) or [()] * 5, types)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "n", "features", "sentences"])
+
+    return sampled
+
+
+def significant(rows: DataFrame, label: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Features far more frequent in toxic documents than chance allows, and the log odds of each."""
+    of = label.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == 1).cast("int")).alias("toxic")).first()
+    n, toxic = of["n"], of["toxic"] or 0
+    if not 0 < toxic < n:
+        return np.zeros(0, np.int64), np.zeros(0)
+    expected = F.col("all") * (toxic / n)
+    excess = (F.col("toxic") - expected) / F.sqrt(expected * (1 - toxic / n))
+    found = (
+        rows.mapInArrow(document_features, "feature long, label int")
+        .groupBy("feature")
+        .agg(F.count(F.lit(1)).alias("all"), F.sum((F.col("label") == 1).cast("int")).alias("toxic"))
+        .where((F.col("all") >= LEAST_DOCS) & (excess > SIGNIFICANT))
+        .orderBy(excess.desc(), "feature")
+        .limit(SAMPLE_FEATURES)
+        .collect()
+    )
+    found.sort(key=lambda r: r["feature"])
+    held = np.array([(r["toxic"], r["all"] - r["toxic"]) for r in found], float).reshape(-1, 2)
+    odds = np.log((held[:, 0] + 0.5) / (toxic + 1)) - np.log((held[:, 1] + 0.5) / (n - toxic + 1))
+    return np.array([r["feature"] for r in found], np.int64), odds
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SAMPLE_DOCS) -> Model:
-    """A model fitted on at most ``size`` labelled documents; without both labels every text gets the same verdict."""
-    rows = labelled(docs, labels, label, size).mapInArrow(sampled, "doc_id long, label int, words binary, sentences binary")
-    found = sorted(rows.collect(), key=lambda r: (r["doc_id"], bytes(r["words"])))
-    words, sentence, doc, count = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    """A model fitted on at most ``size`` labelled documents; without both labels every text gets the same verdict.
+
+    Frequencies of features are counted over the sample by Spark. The driver
+    gets the significant ones, ``SAMPLE_FEATURES`` at most, and where they occur.
+    """
+    rows = written_table(labelled(docs, labels, label, size), "mil-sample")
+    known, odds = significant(rows, rows.select("label"))
+    flags = np.zeros(1 << BITS, bool)
+    flags[known] = True
+    found = rows.mapInArrow(sampling(flags), "doc_id long, label int, n int, features binary, sentences binary").collect()
+    found.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
+    feature, sentence, doc, count = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
     for number, row in enumerate(found):
-        own = np.frombuffer(row["sentences"], np.int32).astype(np.int64)
-        size_of = int(own.max(initial=-1)) + 1
-        words.append(np.frombuffer(row["words"], np.int32).astype(np.int64))
-        sentence.append(own + count)
-        doc.append(np.full(size_of, number, np.int64))
-        count += size_of
+        feature.append(np.frombuffer(row["features"], np.int32).astype(np.int64))
+        sentence.append(np.frombuffer(row["sentences"], np.int32).astype(np.int64) + count)
+        doc.append(np.full(row["n"], number, np.int64))
+        count += row["n"]
     label_of = np.array([r["label"] for r in found], np.int64)
-    return fit_model(np.concatenate(words), np.concatenate(sentence), np.concatenate(doc), label_of)
+    return fit_model(known, odds, *(np.concatenate(part) for part in (feature, sentence, doc)), label_of)
 
 
 def scoring(model: Model, threshold: float):
+    known = model.weights != 0
     offending = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, offences = [], []
             for _, raws in blocks(lowered(batch.column("text").to_pylist())):
-                bags = sentences(raws)
+                bags = sentences(raws, known)
                 value = sentence_scores(bags, model)
                 # 1 - prod(1 - p), with log(1 - p) = -log(1 + exp(score)); no sentence counts as one without a known word.
                 total = np.bincount(bags.text, np.logaddexp(0, value), minlength=len(raws))
