@@ -11,8 +11,8 @@ from ledgerloom.plans.queries_read import EVENTS, ORDERS
 from ledgerloom.plans.raw import NUMBER, PRESENT, RAW, STRIP, raw_orders
 from ledgerloom.plans.registry import register, released, table, table_name
 from ledgerloom.session import fresh_path
-from ledgerloom.sinks import files as file_sinks, tables as table_sinks
-from ledgerloom.sources import files
+from ledgerloom.sinks import files as file_sinks, store, tables as table_sinks
+from ledgerloom.sources import files, incremental
 from ledgerloom.streaming import runs
 
 AMOUNT = NUMBER.format("Amount")
@@ -155,6 +155,52 @@ def l13(spark, sf):
     return released(spark, name)
 
 
+@register(
+    "L12_update_partitions",
+    """SELECT event_id, CASE WHEN event_type = 'error' AND value > 50 THEN -value ELSE value END AS value, event_type
+       FROM events""",
+)
+def l12_partitions(spark, sf):
+    name, path = table_name("update_parts"), fresh_path(spark, "l12-parts")
+    events = table(spark, sf, "events").select("event_id", "value", "event_type")
+    events.hint("rebalance", "event_type").write.partitionBy("event_type").option("path", path).saveAsTable(name)
+    table_sinks.update_where(spark, name, {"value": "-value"}, "event_type = 'error' AND value > 50")
+    spark.sql(f"DROP TABLE {name}")
+    return files.read_staged(spark, path)
+
+
+@register(
+    "L13_truncate_partitions",
+    "SELECT event_id, value, event_type FROM events WHERE event_type <> 'error'",
+)
+def l13_partitions(spark, sf):
+    name, path = table_name("truncate_parts"), fresh_path(spark, "l13-parts")
+    events = table(spark, sf, "events").select("event_id", "value", "event_type")
+    events.hint("rebalance", "event_type").write.partitionBy("event_type").option("path", path).saveAsTable(name)
+    table_sinks.truncate(spark, name)
+    events.where("event_type <> 'error'").write.insertInto(name)
+    spark.sql(f"DROP TABLE {name}")
+    return files.read_staged(spark, path)
+
+
+NULL_TYPE = "nullif(event_type, 'click')"
+
+
+@register(
+    "L14_upsert_null_partition",
+    f"""SELECT event_id, CASE WHEN {NULL_TYPE} IS NULL AND value > 50 THEN value * 2 ELSE value END AS value,
+               {NULL_TYPE} AS kind FROM events""",
+)
+def l14_null_partition(spark, sf):
+    name, path = table_name("null_parts"), fresh_path(spark, "l14-null")
+    events = table(spark, sf, "events").select("event_id", "value", F.expr(NULL_TYPE).alias("kind"))
+    events.hint("rebalance", "kind").write.partitionBy("kind").option("path", path).saveAsTable(name)
+    doubled = events.where("kind IS NULL AND value > 50").withColumn("value", F.col("value") * 2)
+    table_sinks.upsert_table(spark, name, doubled, ["event_id"], partitions_follow_keys=True)
+    spark.sql(f"DROP TABLE {name}")
+    return files.read_staged(spark, path)
+
+
 CHANGED = """
     SELECT o_orderkey + 7 AS o_orderkey, o_custkey, 'N' AS o_orderstatus, o_totalprice + 1 AS o_totalprice,
            o_orderdate, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT'
@@ -214,6 +260,21 @@ def l15(spark, sf):
     return released(spark, name)
 
 
+@register("L15_repeated_run", "SELECT event_id, ts, user_id, value FROM events")
+def l15_repeated(spark, sf):
+    """A run that stops after it stored its mark, and the runs that follow it."""
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "value")
+    name, path, state = table_name("repeated"), fresh_path(spark, "l15-rep"), fresh_path(spark, "l15-rep-state")
+    table_sinks.load_increment(events.limit(0), name, "ts", state, "events", "run-0", path)
+    batch = incremental.MarkedBatch(events.where(F.col("ts") <= F.lit("2024-01-09 12:00:00").cast("timestamp_ntz")), "ts")
+    staged = store.increment_path(path)
+    batch.df.write.parquet(staged)
+    batch.commit(spark, state, "events", "run-1", staged, path)
+    for run in ("run-2", "run-3"):
+        table_sinks.load_increment(events, name, "ts", state, "events", run, path)
+    return released(spark, name)
+
+
 @register(
     "R1_incremental_files",
     "SELECT o_orderkey, o_totalprice, upper(o_orderpriority) AS priority FROM orders",

@@ -215,6 +215,22 @@ def s13_next(spark, sf):
     )
 
 
+@register(
+    "S13_retried_pages",
+    f"""SELECT * FROM ({PAGED}) t
+        WHERE NOT ((event_id // 1000) % 4 = 2 AND page_no >= 12)
+          AND NOT ((event_id // 1000) % 4 = 3 AND page_no >= 8)""",
+)
+def s13_retried(spark, sf):
+    """Pages that failed are fetched again; what came last counts."""
+    first = event_pages(spark, sf, False).withColumn("attempt", F.lit(1))
+    again = event_pages(spark, sf, True).where("CAST(substring_index(endpoint, '/', -1) AS LONG) % 4 = 1")
+    stale = again.where("page_no <= 3").withColumns({"attempt": F.lit(0), "body": F.lit('{"results": [{"event_id": -1}]}')})
+    landed = first.unionByName(again.where("page_no >= 15").withColumn("attempt", F.lit(2))).unionByName(stale)
+    record = "event_id long, event_type string, value double"
+    return pages.fetch_all(landed, record, results_key="results")
+
+
 @register(
     "S14_single_record",
     """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import logging
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from ledgerloom.functions.columns import column
 from ledgerloom.operators.dedup import drop_duplicates
 from ledgerloom.operators.joins import lookup_join
-from ledgerloom.session import fresh_path, written_table
-from ledgerloom.sources.incremental import MarkedBatch, read_high_mark, since_mark
+from ledgerloom.session import written_table
+from ledgerloom.sinks.store import drop_table, increment_path, place_of, publish_snapshot  # noqa: F401
+from ledgerloom.sources.incremental import MarkedBatch, finish_pending, read_high_mark, since_mark
 
 logger = logging.getLogger(__name__)
 
@@ -47,22 +50,6 @@ def load_table(
     return seen.get["rows"]
 
 
-def publish_snapshot(df: DataFrame, table: str) -> None:
-    """Put the rows of ``df`` in place of the table's, which ``df`` may itself read.
-
-    The rows go to a fresh folder first; the table then points to it in one
-    catalog change, so readers see the old rows or the new ones. Old folders
-    stay until someone removes them.
-    """
-    spark = df.sparkSession
-    if _partition_columns(spark, table):
-        raise ValueError(f"table {table} is partitioned; replace its partitions instead")
-    path = fresh_path(spark, table.replace("`", "").replace(".", "-"))
-    df.write.parquet(path)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(table)
-
-
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -70,8 +57,29 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
 def update_where(
     spark: SparkSession, table: str, assignments: dict[str, Column | str], condition: Column | str
 ) -> None:
-    """``UPDATE table SET .. WHERE ..`` by rewrite: plain tables take no UPDATE."""
-    publish_snapshot(updated(spark.read.table(table), assignments, condition), table)
+    """``UPDATE table SET .. WHERE ..`` by rewrite: plain tables take no UPDATE.
+
+    A partitioned table is rewritten only in the partitions that hold a matching
+    row; its partition columns take no new values. Without a matching row
+    nothing is written.
+    """
+    target = spark.read.table(table)
+    partitions = _partition_columns(spark, table)
+    moved = sorted(set(partitions) & set(assignments))
+    if moved:
+        raise ValueError(f"partition columns take no new values: {', '.join(moved)}")
+    matching = target.where(F.expr(condition) if isinstance(condition, str) else condition)
+    if not partitions:
+        if not matching.isEmpty():
+            publish_snapshot(updated(target, assignments, condition), table)
+        return
+    touched = touched_partitions(target, matching, partitions)
+    if touched is not None:
+        _replace_partitions(updated(touched, assignments, condition).select(*_columns(target)), table, partitions)
+
+
+def _columns(df: DataFrame) -> list[Column]:
+    return [column(c) for c in df.columns]
 
 
 def updated(df: DataFrame, assignments: dict[str, Column | str], condition: Column | str) -> DataFrame:
@@ -80,7 +88,7 @@ def updated(df: DataFrame, assignments: dict[str, Column | str], condition: Colu
     new = {}
     for name, value in assignments.items():
         value = F.expr(value) if isinstance(value, str) else value
-        new[name] = F.when(test, value.cast(df.schema[name].dataType)).otherwise(F.col(name))
+        new[name] = F.when(test, value.cast(df.schema[name].dataType)).otherwise(column(name))
     return df.withColumns(new)
 
 
@@ -91,11 +99,17 @@ def run_statements(spark: SparkSession, statements: list[str]) -> None:
 
 
 def truncate(spark: SparkSession, table: str) -> None:
-    """Empty a table. One whose files lie outside the catalog's folders gets an empty snapshot."""
-    if spark.catalog.getTable(table).tableType == "EXTERNAL":
-        publish_snapshot(spark.read.table(table).limit(0), table)
-    else:
+    """Empty a table, its partitions among it, also where its files lie outside the catalog's folders."""
+    if spark.catalog.getTable(table).tableType != "EXTERNAL":
         run_statements(spark, [f"TRUNCATE TABLE {table}"])
+        return
+    if not _partition_columns(spark, table):
+        publish_snapshot(spark.read.table(table).limit(0), table)
+        return
+    nothing = spark.createDataFrame([], spark.read.table(table).schema)
+    with _overwrite_mode(spark, "static"):
+        nothing.write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
 
 
 def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -> None:
@@ -107,7 +121,7 @@ def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -
 def _any_null(keys: list[str]) -> Column:
     test = F.lit(False)
     for k in keys:
-        test = test | F.col(k).isNull()
+        test = test | column(k).isNull()
     return test
 
 
@@ -127,10 +141,14 @@ def upserted(
     its keys are broadcast, which leaves the target unshuffled. A null key never
     matches, as in SQL.
     """
-    fresh = written_table(last_rows(source, keys, order_by).select(*target.columns), "upsert-source")
-    null_key = _any_null(keys)
-    kept = lookup_join(target, fresh.select(*keys).where(~null_key), keys, "left_anti")
-    return kept.select(*target.columns).unionByName(fresh)
+    fresh = written_table(last_rows(source, keys, order_by).select(*_columns(target)), "upsert-source")
+    return _merged(target, fresh, keys)
+
+
+def _merged(target: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows whose key ``fresh`` does not hold, and all its rows."""
+    held = fresh.where(~_any_null(keys)).select(*[column(k) for k in keys])
+    return lookup_join(target, held, keys, "left_anti").select(*_columns(target)).unionByName(fresh)
 
 
 def upsert_table(
@@ -147,24 +165,25 @@ def upsert_table(
     A plain table is rewritten into a new snapshot. A partitioned table is
     rewritten only in the partitions the source touches, which is right only if
     a key never changes its partition: ``partitions_follow_keys`` says so.
+    The source is read once: its last rows are written, and everything else is
+    taken from there.
     """
-    # Written once: the source is read several times below, and may be costly.
-    source = written_table(source, "upsert-landed")
-    if source.isEmpty():
-        return
-    if not spark.catalog.tableExists(table):
-        load_table(last_rows(source, keys, order_by), table, "fail", path)
-        return
-    target = spark.read.table(table)
-    partitions = _partition_columns(spark, table)
-    if not partitions:
-        publish_snapshot(upserted(target, source, keys, order_by), table)
-        return
-    if not partitions_follow_keys:
+    there = spark.catalog.tableExists(table)
+    target = spark.read.table(table) if there else None
+    partitions = _partition_columns(spark, table) if there else []
+    if partitions and not partitions_follow_keys:
         raise ValueError(f"table {table} is partitioned and keys may move between partitions")
-    touched = touched_partitions(target, source, partitions)
-    merged = upserted(touched, source, keys, order_by)
-    _replace_partitions(merged.select(*target.columns), table, partitions)
+    last = last_rows(source, keys, order_by)
+    fresh = written_table(last.select(*_columns(target)) if there else last, "upsert-source")
+    if fresh.isEmpty():
+        return
+    if not there:
+        load_table(fresh, table, "fail", path)
+    elif not partitions:
+        publish_snapshot(_merged(target, fresh, keys), table)
+    else:
+        touched = touched_partitions(target, fresh, partitions)
+        _replace_partitions(_merged(touched, fresh, keys).select(*_columns(target)), table, partitions)
 
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -176,32 +195,52 @@ def _replace_partitions(df: DataFrame, table: str, partitions: list[str]) -> Non
     Spark writes them aside and moves them in when all tasks are done. The mode
     is a session setting here because an insert into a table takes no options.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(OVERWRITE_MODE)
-    conf.set(OVERWRITE_MODE, "dynamic")
+    with _overwrite_mode(df.sparkSession, "dynamic"):
+        df.hint("rebalance", *[column(p) for p in partitions]).write.insertInto(table, overwrite=True)
+    df.sparkSession.catalog.refreshTable(table)
+
+
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str):
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, mode)
     try:
-        df.hint("rebalance", *partitions).write.insertInto(table, overwrite=True)
+        yield
     finally:
-        conf.set(OVERWRITE_MODE, before)
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
-# More partitions than this are matched by a join instead of a filter.
-PARTITION_FILTER_LIMIT = 1_000
+def touched_partitions(target: DataFrame, rows: DataFrame, partitions: list[str]) -> DataFrame | None:
+    """Target rows in the partitions that occur in ``rows``, None if there are no rows.
 
+    The partition values, one row per partition folder, become a filter that
+    takes NULL as a value like any other; the scan skips all other folders
+    however many there are.
+    """
+    found = rows.select(*[column(p) for p in partitions]).distinct().collect()
+    return target.where(_one_of([tuple(r) for r in found], partitions)) if found else None
 
-def touched_partitions(target: DataFrame, source: DataFrame, partitions: list[str]) -> DataFrame:
-    """Target rows in the partitions that occur in the source; the scan skips the others."""
-    values = source.select(*partitions).distinct()
-    found = values.limit(PARTITION_FILTER_LIMIT + 1).collect()
-    if len(found) > PARTITION_FILTER_LIMIT:
-        return target.join(values, partitions, "left_semi")
-    test = F.lit(False)
-    for row in found:
-        same = F.lit(True)
-        for name in partitions:
-            same = same & F.col(name).eqNullSafe(F.lit(row[name]))
-        test = test | same
-    return target.where(test)
+
+def _one_of(values: list[tuple], names: list[str]) -> Column:
+    """True for rows whose columns ``names`` hold one of the tuples; NULL equals NULL."""
+    first, rest = column(names[0]), names[1:]
+    if not rest:
+        known = [v for (v,) in values if v is not None]
+        tests = [first.isin(known)] if known else []
+        if len(known) < len(values):
+            tests.append(first.isNull())
+        return F.coalesce(_any(tests), F.lit(False))
+    groups: dict = {}
+    for value in values:
+        groups.setdefault(value[0], []).append(value[1:])
+    return _any([first.eqNullSafe(F.lit(v)) & _one_of(below, rest) for v, below in groups.items()])
+
+
+def _any(tests: list[Column]) -> Column:
+    """Their disjunction as a balanced tree, so that many of them nest shallowly."""
+    while len(tests) > 1:
+        tests = [tests[i] | tests[i + 1] if i + 1 < len(tests) else tests[i] for i in range(0, len(tests), 2)]
+    return tests[0]
 
 
 def load_increment(
@@ -213,19 +252,32 @@ def load_increment(
     run_id: str,
     path: str | None = None,
 ) -> int:
-    """Append the rows above the stored mark, then store the new one. Returns the rows loaded.
+    """Append the rows above the stored mark and store the new one. Returns the rows loaded.
 
-    The mark is taken from the very rows that were written, and stored only
-    after the write: a run that fails is simply repeated.
+    A run that fails is simply repeated, whatever step it failed in. The rows go
+    to a folder that readers of the table pass over; then the mark, taken from
+    these very rows, is stored together with that folder; then its files are
+    moved into the table. A run that finds a folder noted but not moved begins
+    by moving it. Rows without a mark are left out and logged.
     """
     spark = df.sparkSession
+    finish_pending(spark, state_path, name)
     new = since_mark(df, watermark_column, read_high_mark(spark, state_path, name))
     batch = MarkedBatch(new, watermark_column)
-    writer = batch.df.write.mode("append").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-    batch.commit(spark, state_path, name, run_id)
+    if not spark.catalog.tableExists(table):
+        writer = df.limit(0).write.format("parquet")
+        (writer.option("path", path) if path else writer).saveAsTable(table)
+    place = place_of(spark, table)
+    if place.partitions:
+        raise ValueError(f"table {table} is partitioned; increments are moved into plain tables only")
+    staged = increment_path(place.location)
+    target = spark.read.table(table)
+    batch.df.select(*_columns(target)).write.format(place.provider).options(**place.options).save(staged)
+    if batch.unmarked:
+        logger.warning("%s rows without a value in %s were left out", batch.unmarked, watermark_column)
+    batch.commit(spark, state_path, name, run_id, staged, place.location)
+    finish_pending(spark, state_path, name)
+    spark.catalog.refreshTable(table)
     return batch.rows
 
 

@@ -2,17 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-STATE_SCHEMA = "name string, high_mark string, rows long, run_id string, loaded_at timestamp"
+from ledgerloom.functions.columns import column
+from ledgerloom.sinks.store import publish_increment
 
+# ``kind`` is the type of the mark. ``staged`` and ``target`` name files that were
+# noted with the mark and are to be moved; a row with ``done`` says they were.
+STATE_SCHEMA = (
+    "name string, high_mark string, rows long, run_id string, loaded_at timestamp, "
+    "kind string, staged string, target string, done boolean"
+)
 
-def read_high_mark(spark: SparkSession, state_path: str, name: str) -> str | None:
-    """Highest mark stored for a load, as text; None before its first run."""
+
+def _state(spark: SparkSession, state_path: str, name: str) -> DataFrame:
     # An empty state folder is laid out on first use.
     spark.createDataFrame([], STATE_SCHEMA).write.mode("ignore").parquet(state_path)
-    state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
-    return state.where(F.col("name") == name).agg(F.max_by("high_mark", "loaded_at")).first()[0]
+    return spark.read.schema(STATE_SCHEMA).parquet(state_path).where(F.col("name") == name)
+
+
+def read_high_mark(spark: SparkSession, state_path: str, name: str) -> str | None:
+    """Highest mark stored for a load, as text; None before its first run.
+
+    The greatest by its own type counts, whenever it was stored; rows without a
+    mark say nothing. Times with a zone carry their offset in the text.
+    """
+    state = _state(spark, state_path, name).where(F.col("high_mark").isNotNull())
+    kinds = [r["kind"] for r in state.select("kind").distinct().collect()]
+    if not kinds:
+        return None
+    if len(kinds) > 1 or kinds[0] is None:
+        # Marks of several types, or without one, cannot be compared.
+        return state.agg(F.max_by("high_mark", "loaded_at")).first()[0]
+    return state.agg(F.max_by("high_mark", F.col("high_mark").cast(kinds[0]))).first()[0]
+
+
+def finish_pending(spark: SparkSession, state_path: str, name: str) -> None:
+    """Move the files of runs that stored their mark but did not get further."""
+    state = _state(spark, state_path, name).where(F.col("staged").isNotNull())
+    open_ = state.groupBy("staged", "target").agg(F.bool_or(F.coalesce("done", F.lit(False))).alias("done")).where("NOT done")
+    for row in open_.collect():
+        publish_increment(spark, row["staged"], row["target"])
+        _append(spark, state_path, [(name, None, None, None, None, row["staged"], row["target"], True)])
+
+
+def _append(spark: SparkSession, state_path: str, rows: list[tuple]) -> None:
+    schema = "name string, high_mark string, rows long, run_id string, kind string, staged string, target string, done boolean"
+    stamped = spark.createDataFrame(rows, schema).withColumn("loaded_at", F.current_timestamp())
+    stamped.coalesce(1).write.mode("append").parquet(state_path)
 
 
 def since_mark(df: DataFrame, watermark_column: str, high_mark) -> DataFrame:
@@ -20,27 +57,40 @@ def since_mark(df: DataFrame, watermark_column: str, high_mark) -> DataFrame:
     if high_mark is None:
         return df
     kind = df.schema[watermark_column].dataType
-    return df.where(F.col(watermark_column) > F.lit(high_mark).cast(kind))
+    return df.where(column(watermark_column) > F.lit(high_mark).cast(kind))
 
 
-def look_back(df: DataFrame, column: str, as_of, days: int) -> DataFrame:
+def look_back(df: DataFrame, column_name: str, as_of, days: int) -> DataFrame:
     """Rows of the last ``days`` days before ``as_of``, that day included; 0 days means all rows."""
     if days == 0:
         return df
     start = F.date_sub(F.lit(as_of).cast("date"), days)
-    kind = df.schema[column].dataType
-    return df.where(F.col(column) >= start.cast(kind))
+    kind = df.schema[column_name].dataType
+    return df.where(column(column_name) >= start.cast(kind))
+
+
+def mark_text(mark: Column, kind: T.DataType) -> Column:
+    """A mark as text that means the same in every session."""
+    if isinstance(kind, T.TimestampType):
+        return F.date_format(mark, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    return mark.cast("string")
 
 
 class MarkedBatch:
-    """A batch that notes its own row count and high mark while it is written."""
+    """A batch that notes its own row count and high mark while it is written.
+
+    Rows without a value in the watermark column have no place in the order: they
+    are left out, counted as ``unmarked``, and would never be found again by a mark.
+    """
 
     def __init__(self, df: DataFrame, watermark_column: str):
-        self._seen = Observation()
-        self.df = df.observe(
-            self._seen,
-            F.max(F.col(watermark_column)).cast("string").alias("high_mark"),
-            F.count(F.lit(1)).alias("rows"),
+        self._seen, self._unmarked = Observation(), Observation()
+        self._kind = df.schema[watermark_column].dataType
+        mark = column(watermark_column)
+        self.df = (
+            df.observe(self._unmarked, F.count(F.when(mark.isNull(), 1)).alias("rows"))
+            .where(mark.isNotNull())
+            .observe(self._seen, mark_text(F.max(mark), self._kind).alias("high_mark"), F.count(F.lit(1)).alias("rows"))
         )
 
     @property
@@ -51,11 +101,19 @@ class MarkedBatch:
     def rows(self) -> int:
         return self._seen.get["rows"]
 
-    def commit(self, spark: SparkSession, state_path: str, name: str, run_id: str) -> None:
-        """Store the mark. Call it after the write succeeded; an empty batch stores nothing."""
+    @property
+    def unmarked(self) -> int:
+        return self._unmarked.get["rows"]
+
+    def commit(
+        self, spark: SparkSession, state_path: str, name: str, run_id: str, staged: str | None = None, target: str | None = None
+    ) -> None:
+        """Store the mark. Call it after the write succeeded; an empty batch stores nothing.
+
+        With ``staged`` the files there belong to the mark, and ``finish_pending``
+        moves them to ``target``.
+        """
         if not self.rows:
             return
-        row = [(name, self.high_mark, self.rows, run_id)]
-        spark.createDataFrame(row, "name string, high_mark string, rows long, run_id string").withColumn(
-            "loaded_at", F.current_timestamp()
-        ).coalesce(1).write.mode("append").parquet(state_path)
+        row = (name, self.high_mark, self.rows, run_id, self._kind.simpleString(), staged, target, False)
+        _append(spark, state_path, [row])

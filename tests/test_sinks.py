@@ -5,8 +5,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.registry import released, table_name
-from ledgerloom.sinks import files as sinks, tables
-from ledgerloom.sources import files
+from ledgerloom.sinks import files as sinks, store, tables
+from ledgerloom.sources import files, incremental
 
 
 @pytest.fixture(scope="module")
@@ -158,9 +158,7 @@ def test_upsert_past_the_broadcast_bound(spark, monkeypatch):
     assert merged.count() == 150 and merged.where("v = 'old'").count() == 50
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_upsert_touches_only_its_partitions(spark, fresh, monkeypatch, limit):
-    monkeypatch.setattr(tables, "PARTITION_FILTER_LIMIT", limit)
+def test_upsert_touches_only_its_partitions(spark, fresh):
     name, path = table_name("parts"), fresh("parts")
     spark.sql("SELECT id, 'old' AS v, id % 4 AS p FROM range(40)").write.partitionBy("p").option("path", path).saveAsTable(name)
     before = {f for f in spark.read.table(name).inputFiles() if "p=1" not in f}
@@ -173,11 +171,98 @@ def test_upsert_touches_only_its_partitions(spark, fresh, monkeypatch, limit):
     assert got.count() == 41 and got.where("v = 'new'").count() == 3 and got.where("p = 1").count() == 11
     assert {f for f in got.inputFiles() if "p=1" not in f} == before
     assert spark.conf.get(tables.OVERWRITE_MODE) == "STATIC" or spark.conf.get(tables.OVERWRITE_MODE) == "static"
-    with pytest.raises(ValueError):
-        tables.update_where(spark, name, {"v": "'x'"}, "true")
     spark.sql(f"DROP TABLE {name}")
 
 
+def null_partitions(spark, fresh, groups):
+    """A table over two partition columns that hold NULL, and its rows."""
+    name, path = table_name("nulls"), fresh("nulls")
+    df = spark.range(4 * groups).selectExpr(
+        "id", "'old' AS v", "if(id % 4 = 0, NULL, id % 4) AS p", f"if(id % {groups} = 1, NULL, concat('q', id % {groups})) AS q"
+    )
+    df.write.partitionBy("p", "q").option("path", path).saveAsTable(name)
+    return name, df
+
+
+@pytest.mark.parametrize("groups", [2, 40])
+def test_upsert_of_null_partitions(spark, fresh, groups):
+    name, df = null_partitions(spark, fresh, groups)
+    changes = df.where("p IS NULL OR q IS NULL").withColumn("v", F.lit("new"))
+    changes = changes.where("id % 3 = 0").unionByName(spark.sql("SELECT 900L AS id, 'new' AS v, NULL AS p, NULL AS q"))
+    tables.upsert_table(spark, name, changes, ["id"], partitions_follow_keys=True)
+    want = df.join(changes.select("id"), "id", "left_anti").unionByName(changes)
+    assert same(spark.read.table(name).select(*df.columns), want.select(*df.columns))
+    tables.drop_table(spark, name)
+
+
+def test_partition_filter_at_any_size(spark, plan):
+    rows = spark.range(3000).selectExpr("id % 1500 AS a", "if(id % 2 = 0, NULL, id) AS b")
+    target = spark.range(6000).selectExpr("id", "id % 3000 AS a", "if(id % 2 = 0, NULL, id) AS b")
+    found = tables.touched_partitions(target, rows, ["a", "b"])
+    assert found.count() == target.join(rows.distinct(), (target.a.eqNullSafe(rows.a)) & (target.b.eqNullSafe(rows.b)), "left_semi").count()
+    assert tables.touched_partitions(target, rows.limit(0), ["a"]) is None
+    assert "Join" not in plan(found)
+
+
+def test_update_of_partitions(spark, fresh):
+    name, df = null_partitions(spark, fresh, 4)
+    before = spark.read.table(name).inputFiles()
+    tables.update_where(spark, name, {"v": "'hit'"}, "p IS NULL AND id > 4")
+    got = spark.read.table(name)
+    assert {r.id for r in got.where("v = 'hit'").collect()} == {8, 12} and got.count() == 16
+    assert {f for f in got.inputFiles() if "p=__" not in f} == {f for f in before if "p=__" not in f}
+    tables.update_where(spark, name, {"v": "'never'"}, "id > 1000")
+    assert spark.read.table(name).where("v = 'never'").isEmpty()
+    with pytest.raises(ValueError):
+        tables.update_where(spark, name, {"p": "7"}, "true")
+    tables.drop_table(spark, name)
+
+
+def test_truncate_of_partitions(spark, fresh):
+    name, df = null_partitions(spark, fresh, 4)
+    tables.truncate(spark, name)
+    assert spark.read.table(name).isEmpty()
+    df.where("id < 3").select("id", "v", "p", "q").write.insertInto(name)
+    assert spark.read.table(name).count() == 3
+    tables.drop_table(spark, name)
+
+
+@pytest.mark.parametrize("kind, options", [("orc", {}), ("csv", {"sep": ";", "header": "true"}), ("parquet", {})])
+def test_snapshots_stay_in_place_and_format(spark, fresh, kind, options):
+    name, path = table_name("kinds"), fresh("kinds")
+    spark.range(5).selectExpr("id", "'a;b' AS v").write.format(kind).options(**options).option("path", path).saveAsTable(name)
+    for n in range(4):
+        tables.update_where(spark, name, {"v": f"'new {n}'"}, f"id >= {n}")
+    assert rows(spark, name) == [(0, "new 0"), (1, "new 1"), (2, "new 2"), (3, "new 3"), (4, "new 3")]
+    assert all(path in f for f in spark.read.table(name).inputFiles())
+    system, place = store._system(spark, path)
+    assert len(system.listStatus(place(f"{path}/_snapshots"))) == 2
+    assert [f.getPath().getName() for f in system.listStatus(place(path))] in (["_snapshots"], ["_snapshots", "_SUCCESS"], ["_SUCCESS", "_snapshots"])
+    tables.drop_table(spark, name)
+    assert not system.exists(place(path))
+
+
+def test_tables_outlive_the_scratch_folder(spark, fresh, tmp_path):
+    name = table_name("outlives")
+    tables.load_table(spark.range(5).withColumn("v", F.lit("old")), name, path=str(tmp_path / "table"))
+    tables.update_where(spark, name, {"v": "'new'"}, "id = 1")
+    changes = spark.createDataFrame([(2, "up")], "id long, v string")
+    tables.upsert_table(spark, name, changes, ["id"])
+    assert all(str(tmp_path) in f for f in spark.read.table(name).inputFiles())
+    assert rows(spark, name) == [(0, "old"), (1, "new"), (2, "up"), (3, "old"), (4, "old")]
+    tables.drop_table(spark, name)
+
+
+def test_names_with_dots(spark, fresh):
+    name = table_name("dots")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "`the.id` long, `a value` string")
+    tables.load_table(df, name, path=fresh("dots"))
+    tables.upsert_table(spark, name, spark.createDataFrame([(2, "c"), (3, "d")], df.schema), ["the.id"])
+    tables.update_where(spark, name, {"a value": "'x'"}, "`the.id` = 1")
+    assert rows(spark, name) == [(1, "x"), (2, "c"), (3, "d")]
+    tables.drop_table(spark, name)
+
+
 def test_increments_load_once(spark, fresh):
     name, state, path = table_name("inc"), fresh("state"), fresh("inc")
     df = spark.range(10).withColumnRenamed("id", "n")
@@ -187,6 +272,55 @@ def test_increments_load_once(spark, fresh):
     assert released(spark, name).count() == 10
 
 
+@pytest.mark.parametrize("step", ["commit", "publish"])
+def test_increment_that_fails_is_repeated(spark, fresh, monkeypatch, step):
+    name, state, path = table_name("crash"), fresh("state"), fresh("crash")
+    df = spark.range(10).withColumnRenamed("id", "n")
+    tables.load_increment(df.where("n < 4"), name, "n", state, "load", "r1", path)
+
+    def fail(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        if step == "commit":
+            broken.setattr(incremental.MarkedBatch, "commit", fail)
+        else:
+            broken.setattr(incremental, "publish_increment", fail)
+        with pytest.raises(RuntimeError):
+            tables.load_increment(df, name, "n", state, "load", "r2", path)
+    spark.catalog.refreshTable(name)
+    assert spark.read.table(name).count() == 4
+    assert tables.load_increment(df, name, "n", state, "load", "r3", path) == (6 if step == "commit" else 0)
+    assert sorted(r.n for r in released(spark, name).collect()) == list(range(10))
+
+
+def test_marks_hold_in_any_zone(spark, fresh):
+    name, state, path = table_name("zones"), fresh("state"), fresh("zones")
+    df = spark.createDataFrame([(1, 0), (2, 3600), (3, None)], "id int, s long").select("id", F.timestamp_seconds("s").alias("at"))
+    assert tables.load_increment(df.where("id <> 2"), name, "at", state, "load", "r1", path) == 1
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert tables.load_increment(df, name, "at", state, "load", "r2", path) == 1
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert tables.load_increment(df, name, "at", state, "load", "r3", path) == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    nothing = df.where("id = 3")
+    assert tables.load_increment(nothing, name, "at", state, "load", "r4", path) == 0
+    assert tables.load_increment(df, name, "at", state, "load", "r5", path) == 0
+    assert released(spark, name).count() == 2
+
+
+def test_the_greatest_mark_counts(spark, fresh):
+    state = fresh("state")
+    for n in (9, 10, 2):
+        batch = incremental.MarkedBatch(spark.range(n, n + 1), "id")
+        batch.df.collect()
+        batch.commit(spark, state, "x", "r")
+    assert incremental.read_high_mark(spark, state, "x") == "10"
+
+
 def test_jdbc_writer_options():
     got = tables.jdbc_writer_options("u", "t", 500, 4, True, "name VARCHAR(64)")
     assert got == {

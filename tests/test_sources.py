@@ -3,6 +3,7 @@ import json
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from ledgerloom.sources import files, incremental, pages, tables
 
 
@@ -91,34 +92,32 @@ def test_xml(spark, fresh):
 # --- pages
 
 
-def read_like_a_client(landed, results_key, next_key, paged, max_pages):
-    """The rules of a paged read, one page after the other."""
-    records, fetched, number = [], 0, 1
-    while max_pages is None or fetched < max_pages:
-        if number not in landed or landed[number][0] != 200:
-            break
-        try:
-            data = json.loads(landed[number][1])
-        except ValueError:
-            break
-        if results_key:
-            found = data.get(results_key, []) if isinstance(data, dict) else None
-            if not isinstance(found, list):
-                break
-        elif isinstance(data, list):
-            found = data
-        else:
-            if isinstance(data, dict):
-                records.append((number, data))
-            break
-        if not found:
-            break
-        records += [(number, r) for r in found]
-        fetched += 1
-        if not paged or (next_key and not (isinstance(data, dict) and data.get(next_key))):
-            break
-        number += 1
-    return [(n, r.get("id") if isinstance(r, dict) else None) for n, r in records]
+def what_a_page_holds(status, body, results_key):
+    """Its records and whether it is a lone object; no records where the page does not count."""
+    try:
+        data = json.loads(body) if status == 200 else None
+    except ValueError:
+        data = None
+    found = data.get(results_key) if results_key and isinstance(data, dict) else data
+    if not results_key and isinstance(data, dict):
+        return [data], True
+    return (found if isinstance(found, list) and not (results_key and not isinstance(data, dict)) else []), False
+
+
+def records_of_a_read(landed, results_key, next_key, paged, max_pages):
+    """All records up to the first page number, by comparison of all of them, that ends the read."""
+    numbers = range(1, max(landed, default=0) + 2)
+    holds = {n: what_a_page_holds(*landed.get(n, (404, "")), results_key) for n in numbers}
+    before = [n - 1 for n in numbers if not holds[n][0]]
+    lone = [n for n in numbers if holds[n][1]]
+    single = [] if paged else [1]
+    limit = [] if max_pages is None else [max_pages]
+    no_next = []
+    if next_key:
+        bodies = {n: json.loads(landed[n][1]) for n in numbers if holds[n][0]}
+        no_next = [n for n, data in bodies.items() if not (isinstance(data, dict) and data.get(next_key))]
+    last = min(before + lone + single + limit + no_next)
+    return [(n, r.get("id") if isinstance(r, dict) else None) for n in numbers if n <= last for r in holds[n][0]]
 
 
 RECORD = st.fixed_dictionaries({"id": st.integers(0, 9)})
@@ -156,12 +155,39 @@ def test_pages_like_a_client(spark, endpoints, options, max_pages):
     expected = []
     for i, e in enumerate(endpoints):
         place = {}
-        for number, value in read_like_a_client(e, results_key, next_key, paged, max_pages):
+        for number, value in records_of_a_read(e, results_key, next_key, paged, max_pages):
             place[number] = place.get(number, -1) + 1
             expected.append((f"e{i}", number, place[number], value))
     assert found == sorted(expected)
 
 
+def test_bodies_of_any_size(spark):
+    many = json.dumps({"results": [{"id": n, "text": "x" * 1000} for n in range(40_000)], "next": None})
+    wide = json.dumps([{"id": 1, "text": "y" * 21_000_000}])
+    rows = [("many", 1, 200, many), ("wide", 1, 200, wide)]
+    landed = spark.createDataFrame(rows, "endpoint string, page_no long, status int, body string")
+    got = pages.fetch_all(landed.where("endpoint = 'many'"), "id long, text string", "results", "next")
+    assert got.count() == 40_000 and got.agg(F.sum("id")).first()[0] == 40_000 * 39_999 // 2
+    assert pages.fetch_all(landed.where("endpoint = 'wide'"), "id long, text string").select(F.length("text")).first()[0] == 21_000_000
+    single = spark.createDataFrame([(200, wide[1:-1])], "status int, body string")
+    assert pages.single_records(single, "id long, text string").select(F.length("text")).first()[0] == 21_000_000
+
+
+def test_repeated_keys_and_loose_values(spark):
+    body = '{"results": [{"id": 1, "id": "2", "at": "2024-05-06", "in": {"a": [1]}}, {"id": 3.0, "in": null}]}'
+    landed = spark.createDataFrame([("e", 1, 200, body)], "endpoint string, page_no long, status int, body string")
+    got = pages.fetch_all(landed, "id long, at date, in struct<a: array<int>>", "results").orderBy("record_no").collect()
+    assert [(r.id, str(r.at)) for r in got] == [(2, "2024-05-06"), (3, "None")] and got[0]["in"].a == [1]
+
+
+def test_attempts_of_a_page(spark):
+    rows = [("e", 1, 500, "", 1), ("e", 1, 200, '[{"id": 1}]', 2), ("e", 2, 200, '[{"id": 9}]', 1), ("e", 2, 200, '[{"id": 2}]', 2)]
+    landed = spark.createDataFrame(rows, "endpoint string, page_no long, status int, body string, attempt int")
+    assert sorted(r.id for r in pages.fetch_all(landed, "id long").collect()) == [1, 2]
+    unordered = landed.where("NOT (page_no = 2 AND attempt = 1)").drop("attempt")
+    assert sorted(r.id for r in pages.fetch_all(unordered, "id long").collect()) == [1, 2]
+
+
 def test_single_records(spark):
     landed = spark.createDataFrame(
         [("a", 200, '{"id": 1, "name": "x"}'), ("b", 404, '{"id": 2}'), ("c", 200, "{"), ("d", 200, "[1]"), ("e", 200, '{"id": "7"}')],
