@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ledgerloom.functions.columns import column
+from ledgerloom.operators.joins import fits_broadcast
 from ledgerloom.operators.statistics import present
+from ledgerloom.session import written_table
 
 
 def drop_duplicates(
@@ -29,7 +31,7 @@ def drop_duplicates(
     if keep is False:
         return _only_unique(df, keys)
     if subset is None:
-        return df.dropDuplicates()
+        return _whole_rows(df)
     order = list(order_by or [])
     order += [
         f.name
@@ -45,12 +47,28 @@ def drop_duplicates(
     return df.withColumn(place, F.row_number().over(window)).where(F.col(place) == 1).drop(place)
 
 
+def _whole_rows(df: DataFrame) -> DataFrame:
+    """One of each group of equal rows; NaN and NULL are equal, as in keys."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    if not floats:
+        return df.dropDuplicates()
+    same = {f"__p{i}": present(df, c) for i, c in enumerate(floats)}
+    keys = [*same, *[c for c in df.columns if c not in floats]]
+    return df.withColumns(same).dropDuplicates(keys).select(*[column(c) for c in df.columns])
+
+
 def _only_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key occurs once. The row rides along with the count, so no join is needed."""
-    grouping = [present(df, k).alias(f"__k{i}") for i, k in enumerate(keys)]
-    return (
-        df.groupBy(*grouping)
-        .agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*[column(c) for c in df.columns])).alias("__row"))
-        .where(F.col("__n") == 1)
-        .select("__row.*")
-    )
+    """Rows whose key occurs once.
+
+    Keys are counted alone, in the map tasks first; those that repeat are written
+    and then left out by a lookup. While they are few enough to broadcast, rows
+    are not shuffled.
+    """
+    named = [f"__k{i}" for i in range(len(keys))]
+    counted = df.select(*[present(df, k).alias(n) for n, k in zip(named, keys)]).groupBy(*named)
+    repeated = written_table(counted.agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n"), "repeated")
+    test = F.lit(True)
+    for name, key in zip(named, keys):
+        test = test & present(df, key).eqNullSafe(F.col(name))
+    side = F.broadcast(repeated) if fits_broadcast(repeated) else repeated.hint("merge")
+    return df.join(side, test, "left_anti")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerloom.functions.columns import column
 from ledgerloom.session import written_table
 
 # A lookup side is broadcast only when counted to lie within both bounds.
@@ -12,12 +13,22 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Count the rows and the bytes in them; only partial sums move."""
-    width = sum(8 for f in df.schema.fields if not isinstance(f.dataType, (T.StringType, T.BinaryType)))
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    length = F.lit(width)
-    for name in texts:
-        length = length + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    """Count the rows and the bytes in them; only partial sums move.
+
+    Arrays, maps and structs count by their text, which is no shorter than what
+    they hold. Types without one are not broadcast.
+    """
+    length = F.lit(0)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            length = length + F.coalesce(F.octet_length(column(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # Eight bytes for each mark of the text cover the numbers in it.
+            length = length + F.coalesce(F.octet_length(F.to_json(F.struct(column(f.name)))), F.lit(0)) * 8
+        elif isinstance(f.dataType, T.VariantType):
+            return False
+        else:
+            length = length + F.lit(8)
     found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(length.cast("long")).alias("bytes")).first()
     return found["n"] <= rows and (found["bytes"] or 0) <= size
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerloom.functions.columns import column
 from ledgerloom.functions.parsing import null_if_nan
+from ledgerloom.session import written_table
 
 # How many values one task may sort to finish a median; more are narrowed first.
 SORTED_VALUES_LIMIT = 1_000_000
@@ -96,9 +97,12 @@ def means_and_medians(
         middle[c] = [_Search(c, r, n) for r in ranks]
         brackets |= {id(s): row[f"b{i}"] for s in middle[c]}
     searches = [s for found in middle.values() for s in found]
+    if any(s.size > limit for s in searches):
+        # More passes follow: they read the numbers alone, written once.
+        frame = written_table(frame.select(*[column(c) for c in median_columns]), "numbers")
     while wide := [s for s in searches if s.value is None and s.size > limit]:
         _narrow(frame, wide, [brackets.pop(id(s), None) for s in wide])
-    _finish(frame, [s for s in searches if s.value is None])
+    _finish(frame, [s for s in searches if s.value is None], limit)
     return found_means, {
         c: (found[0].value + found[-1].value) / 2 if found else None for c, found in middle.items()
     }
@@ -132,31 +136,50 @@ def _narrow(frame: DataFrame, searches: list[_Search], brackets: list) -> None:
         s.narrow(*brackets[i], *counted[4 * i : 4 * i + 4])
 
 
-def _finish(frame: DataFrame, searches: list[_Search]) -> None:
-    """Sort the at most ``limit`` values left in each interval and pick the rank."""
-    if not searches:
-        return
+def _finish(frame: DataFrame, searches: list[_Search], limit: int) -> None:
+    """Sort the values left in the intervals and pick the ranks, at most ``limit`` values in a job."""
     by_interval: dict[tuple, list[_Search]] = {}
     for s in searches:
         by_interval.setdefault((s.column, s.low, s.high), []).append(s)
-    picks = []
-    for i, group in enumerate(by_interval.values()):
-        ordered = F.array_sort(F.collect_list(group[0].inside(column(group[0].column))))
-        picks.append(F.array(*[F.get(ordered, F.lit(s.rank)) for s in group]).alias(f"v{i}"))
-    found = frame.agg(*picks).first()
-    for i, group in enumerate(by_interval.values()):
-        for s, value in zip(group, found[i]):
-            s.value = value
+    jobs: list[list[list[_Search]]] = []
+    held = limit
+    for group in by_interval.values():
+        if held + group[0].size > limit:
+            jobs.append([])
+            held = 0
+        jobs[-1].append(group)
+        held += group[0].size
+    for groups in jobs:
+        picks = []
+        for i, group in enumerate(groups):
+            ordered = F.array_sort(F.collect_list(group[0].inside(column(group[0].column))))
+            picks.append(F.array(*[F.get(ordered, F.lit(s.rank)) for s in group]).alias(f"v{i}"))
+        found = frame.agg(*picks).first()
+        for i, group in enumerate(groups):
+            for s, value in zip(group, found[i]):
+                s.value = value
+
+
+# Columns counted in one scan; Spark's grouping sets take 64 at most.
+MODES_AT_ONCE = 50
 
 
 def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
     """Most frequent value of each column, the smallest among ties; None for an empty column.
 
-    One scan counts every column's values through grouping sets; the counts are
-    combined before the shuffle and only one row per column leaves the job.
+    One scan counts up to ``MODES_AT_ONCE`` columns' values through grouping
+    sets; the counts are combined before the shuffle and only one row per column
+    leaves the job. More columns are written once and counted group by group.
     """
     if not columns:
         return {}
+    if len(columns) > MODES_AT_ONCE:
+        distinct = list(dict.fromkeys(columns))
+        narrow = written_table(df.select(*[column(c) for c in distinct]), "values")
+        out: dict[str, object] = {}
+        for at in range(0, len(distinct), MODES_AT_ONCE):
+            out |= modes(narrow, distinct[at : at + MODES_AT_ONCE])
+        return out
     names = [f"v{i}" for i in range(len(columns))]
     frame = df.select(*[present(df, c).alias(n) for c, n in zip(columns, names)])
     if len(columns) == 1:
@@ -175,7 +198,7 @@ def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
         .agg(F.min(order).alias("best"))
         .collect()
     )
-    out: dict[str, object] = dict.fromkeys(columns)
+    out = dict.fromkeys(columns)
     for row in best:
         position = groups[row["g"]]
         out[columns[position]] = row["best"][1 + position]

@@ -17,17 +17,23 @@ CSV_READ = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+STAGED_CSV_ROWS = 200_000
+
 
 def stage(df: DataFrame, path: str, staging_format: str = "parquet") -> DataFrame:
-    """Write rows to a staging folder and go on from the written files."""
+    """Write rows to a staging folder and go on from the written files.
+
+    Staged CSV may hold line ends inside values: its files are read whole, and
+    hold ``STAGED_CSV_ROWS`` rows at most.
+    """
     from ledgerloom.sources.files import read_staged
 
     if staging_format == "parquet":
         df.write.mode("overwrite").parquet(path)
         return read_staged(df.sparkSession, path).select(*df.columns)
     if staging_format == "csv":
-        write_csv(df, path)
-        return read_staged(df.sparkSession, path, "csv", schema=df.schema, **CSV_READ)
+        write_csv(df, path, max_rows_per_file=STAGED_CSV_ROWS)
+        return read_staged(df.sparkSession, path, "csv", schema=df.schema, multi_line=True, **CSV_READ)
     raise ValueError(f"unsupported staging format {staging_format!r}")
 
 
@@ -99,16 +105,20 @@ def write_json_arrays(df: DataFrame, path: str, date_format: str = "iso", mode:
     # Defined here so that it travels to the tasks by itself: they need not be
     # able to import this package.
     def array_lines(batches):
-        held = None
+        import pyarrow.compute as pc
+
+        started = False
         for batch in batches:
-            lines = []
-            for text in batch.column(0).to_pylist():
-                lines.append("[" if held is None else held + ",")
-                held = text
-            if lines:
-                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-        if held is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([held, "]"], pa.string())], ["value"])
+            if not batch.num_rows:
+                continue
+            lines = pc.binary_join_element_wise(",", batch.column(0), "")
+            if not started:
+                first = pa.array(["[" + batch.column(0)[0].as_py()], lines.type)
+                lines = pa.concat_arrays([first, lines[1:]])
+                started = True
+            yield pa.RecordBatch.from_arrays([lines], ["value"])
+        if started:
+            yield pa.RecordBatch.from_arrays([pa.array(["]"], pa.string())], ["value"])
 
     encoded.mapInArrow(array_lines, "value string").write.mode(mode).option("maxRecordsPerFile", 0).text(path)
 

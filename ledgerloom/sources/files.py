@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+
+from ledgerloom.functions.columns import column
 
 CORRUPT = "_corrupt_record"
 FORMATS = ("csv", "json", "jsonl", "parquet", "orc", "xml")
@@ -22,18 +24,24 @@ def read_csv(
     header: bool = True,
     encoding: str = "utf-8",
     on_malformed: str = "fail",
+    multi_line: bool = False,
     **options,
 ) -> DataFrame:
     """Delimited text with a header row.
 
     Declare a schema for anything large: without one, types are inferred by a
-    further pass over the files. Malformed rows ``fail`` the job or are dropped;
-    ``read_csv_split`` sets them aside instead.
+    further pass over the files. A header that names other columns than the
+    schema, or in another order, fails the job. Malformed rows ``fail`` the job
+    or are dropped; ``read_csv_split`` sets them aside instead. ``multi_line``
+    takes line ends inside quotes as part of the value; such a file does not
+    split, so keep its size to what one task should read.
     """
     modes = {"fail": "FAILFAST", "drop": "DROPMALFORMED", "null": "PERMISSIVE"}
     reader = spark.read.options(
-        sep=delimiter, header=header, encoding=encoding, mode=modes[on_malformed], **options
+        sep=delimiter, header=header, encoding=encoding, mode=modes[on_malformed], multiLine=multi_line, **options
     )
+    if schema is not None and header:
+        reader = reader.option("enforceSchema", False)
     reader = reader.schema(_struct(schema)) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -51,6 +59,7 @@ def read_csv_split(
     delimiter: str = ",",
     header: bool = True,
     encoding: str = "utf-8",
+    multi_line: bool = False,
     **options,
 ) -> SplitScan:
     """Well-formed rows with their types, and the raw text of malformed ones.
@@ -63,6 +72,7 @@ def read_csv_split(
     rows = (
         spark.read.schema(full)
         .options(sep=delimiter, header=header, encoding=encoding, mode="PERMISSIVE", columnPruning=False)
+        .options(multiLine=multi_line, enforceSchema=not header)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .options(**options)
         .csv(path)
@@ -79,38 +89,89 @@ def read_csv_split(
     )
 
 
+NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType, T.BinaryType)
+
+
+def _split(reader: DataFrameReader, path, schema: T.StructType, options: dict) -> SplitScan:
+    """Rows that fit the schema, and the others as text.
+
+    Plain values are read as text and cast here, so that a value that does not
+    fit costs its row and not the document it stands in.
+    """
+    plain = [f for f in schema if not isinstance(f.dataType, NESTED)]
+    loose = [f if isinstance(f.dataType, NESTED) else T.StructField(f.name, T.StringType()) for f in schema]
+    rows = reader.schema(T.StructType([*loose, T.StructField(CORRUPT, T.StringType())])).load(path)
+    formats = {T.TimestampType: "timestampFormat", T.TimestampNTZType: "timestampNTZFormat", T.DateType: "dateFormat"}
+
+    def typed(field: T.StructField) -> Column:
+        text, kind = column(field.name), field.dataType
+        value = text.try_cast(kind)
+        pattern = options.get(formats.get(type(kind)))
+        if pattern:
+            value = F.coalesce(value, F.try_to_timestamp(text, F.lit(pattern)).cast(kind))
+        if isinstance(kind, T.IntegralType):
+            value = F.coalesce(value, text.try_cast("decimal(38,6)").try_cast(kind))
+        return value
+
+    # Every column is looked at, so the split is the same whatever is read from it.
+    bad = column(CORRUPT).isNotNull() | (F.xxhash64(*[column(f.name) for f in loose]).bitwiseAND(F.lit(1)) < 0)
+    for field in plain:
+        bad = bad | (column(field.name).isNotNull() & typed(field).isNull())
+    nested = [column(f.name) for f in schema if isinstance(f.dataType, NESTED)]
+    order = {f.name: typed(f).alias(f.name) for f in plain} | dict(zip((f.name for f in schema if f not in plain), nested))
+    raw = F.coalesce(column(CORRUPT), F.to_json(F.struct(*[column(f.name) for f in loose])))
+    return SplitScan(
+        rows.where(~bad).select(*[order[f.name] for f in schema]),
+        rows.where(bad).select(raw.alias("raw_text"), F.col("_metadata.file_path").alias("source_file")),
+    )
+
+
+def read_json_split(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str, lines: bool = False, **options
+) -> SplitScan:
+    """Objects that fit the schema, and as text those that do not, with documents or ``lines`` that do not parse."""
+    reader = spark.read.format("json").options(multiLine=not lines, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    return _split(reader.options(**options), path, _struct(schema), options)
+
+
 def read_json_documents(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, **options
 ) -> DataFrame:
     """One JSON document per file: an array gives its objects as rows, an object one row.
 
-    Files that hold anything else, or do not parse, give no rows. One file is
-    one task's work, so spread large data over many files.
+    Files that hold anything else, or do not parse, give no rows, and neither do
+    objects with a value that does not fit: ``read_json_split`` shows them. One
+    file is one task's work, so spread large data over many files.
     """
-    reader = spark.read.options(multiLine=True, mode="DROPMALFORMED", **options)
     if schema is not None:
-        reader = reader.schema(_struct(schema))
-    return reader.json(path)
+        return read_json_split(spark, path, schema, **options).good
+    return spark.read.options(multiLine=True, mode="DROPMALFORMED", **options).json(path)
 
 
 def read_json_lines(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, **options
 ) -> DataFrame:
-    """One JSON object per line; files split freely."""
-    reader = spark.read.options(**options)
+    """One JSON object per line; files split freely. Lines that do not parse or fit are left out, as above."""
     if schema is not None:
-        reader = reader.schema(_struct(schema))
-    return reader.json(path)
+        return read_json_split(spark, path, schema, lines=True, **options).good
+    return spark.read.options(mode="DROPMALFORMED", **options).json(path)
+
+
+def read_xml_split(
+    spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str, **options
+) -> SplitScan:
+    """Elements of the given tag that fit the schema, and as text those that do not."""
+    reader = spark.read.format("xml").option("rowTag", row_tag).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    return _split(reader.options(**options), path, _struct(schema), options)
 
 
 def read_xml(
     spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str | None = None, **options
 ) -> DataFrame:
-    """XML files, one row for each element of the given tag."""
-    reader = spark.read.format("xml").option("rowTag", row_tag).options(**options)
+    """XML files, one row for each element of the given tag; elements that do not fit are left out, as above."""
     if schema is not None:
-        reader = reader.schema(_struct(schema))
-    return reader.load(path)
+        return read_xml_split(spark, path, row_tag, schema, **options).good
+    return spark.read.format("xml").option("rowTag", row_tag).options(**options).load(path)
 
 
 def read_directory(

@@ -14,19 +14,19 @@ NAN = float("nan")
 
 
 @pytest.fixture(scope="module")
-def people(spark):
+def stalls(spark):
+    """Market stalls: gaps in every kind of column, odd booleans, blanks, a row that comes twice but for one case."""
     rows = [
-        (1, "  Alice  ", 25, 50000.0, "A", "True", None),
-        (2, "Bob", 30, 60000.0, "B", "False", "Good"),
-        (3, "  Charlie", None, 55000.0, "A", "true", "Excellent"),
-        (2, "Bob", 30, 60000.0, "B", "FALSE", "Good"),
-        (5, "Eve  ", 28, NAN, "  a  ", "1", "Okay"),
-        (6, "  Frank  ", 35, 80000.0, " C", "0", "Super"),
-        (None, "Grace", 40, 75000.0, "B", None, "New"),
-        (8, "Heidi", 22, 62000.0, "c", "yes", "Pending"),
+        (41, "\tNorth Pier", 7, 12.5, "kiosk", "0", "late"),
+        (42, "Old Mill ", None, NAN, "KIOSK ", "TRUE", None),
+        (None, "Harbour", 19, 30.0, "stall", "maybe", "wet floor"),
+        (44, "Quay", 7, 12.5, " Stall", "false", "late"),
+        (45, " Depot ", 3, 99.5, "depot", "1", ""),
+        (46, "Quay", 7, 12.5, "stall", None, None),
+        (44, "Quay", 7, 12.5, " Stall", "FALSE", "late"),
     ]
     return spark.createDataFrame(
-        rows, "ID long, Name string, Age long, Salary double, Category string, IsActive string, Notes string"
+        rows, "Code long, Title string, Stock long, Price double, Kind string, Open string, Remark string"
     ).cache()
 
 
@@ -37,9 +37,9 @@ def column(df, name, by=None):
 # --- shaping
 
 
-def test_select_and_rename_skips_absent(people):
-    out = shape.select_and_rename(people, {"Name": "Who", "Nowhere": "Gone", "ID": "Key"})
-    assert out.columns == ["Who", "Key"]
+def test_select_and_rename_skips_absent(stalls):
+    out = shape.select_and_rename(stalls, {"Title": "Where", "Nowhere": "Gone", "Code": "Key"})
+    assert out.columns == ["Where", "Key"]
 
 
 def test_names_are_cleaned(spark):
@@ -115,25 +115,25 @@ def test_source_columns_with_dots(spark):
 # --- conversion
 
 
-def test_convert_types(people):
-    out = convert.convert_types(people, {"ID": "str", "Salary": "float32", "IsActive": "bool", "Nowhere": "int"})
-    assert [out.schema[c].dataType.simpleString() for c in ("ID", "Salary", "IsActive")] == [
+def test_convert_types(stalls):
+    out = convert.convert_types(stalls, {"Code": "str", "Price": "float32", "Open": "bool", "Nowhere": "int"})
+    assert [out.schema[c].dataType.simpleString() for c in ("Code", "Price", "Open")] == [
         "string", "float", "boolean",
     ]
-    assert column(out, "IsActive") == [True, False, True, False, True, False, None, None]
+    assert column(out, "Open") == [False, True, None, False, True, None, False]
 
 
-def test_keep_is_all_or_nothing(people):
-    out = convert.convert_types(people, {"IsActive": "bool", "Age": "float64"}, on_error="keep")
-    assert out.schema["IsActive"].dataType.simpleString() == "string"
-    assert out.schema["Age"].dataType.simpleString() == "double"
+def test_keep_is_all_or_nothing(stalls):
+    out = convert.convert_types(stalls, {"Open": "bool", "Stock": "float64"}, on_error="keep")
+    assert out.schema["Open"].dataType.simpleString() == "string"
+    assert out.schema["Stock"].dataType.simpleString() == "double"
 
 
-def test_raise_fails_the_job(people):
+def test_raise_fails_the_job(stalls):
     with pytest.raises(PySparkException):
-        convert.convert_types(people, {"IsActive": "bool"}, on_error="raise").collect()
+        convert.convert_types(stalls, {"Open": "bool"}, on_error="raise").collect()
     with pytest.raises(ValueError):
-        convert.convert_types(people, {"IsActive": "bool"}, on_error="ignore")
+        convert.convert_types(stalls, {"Open": "bool"}, on_error="ignore")
 
 
 def test_parse_datetime_modes(spark):
@@ -160,31 +160,31 @@ def test_create_timestamp_turns_sources_into_text(spark):
 # --- missing values
 
 
-def test_drop_rows_and_columns(people):
-    assert missing.handle_missing(people, "drop_row", subset_for_drop=["ID", "Salary"]).count() == 6
-    assert missing.handle_missing(people).count() == 4
-    kept = missing.handle_missing(people, "drop_column", columns=["ID", "Name", "Salary"])
-    assert kept.columns == ["Name", "Age", "Category", "IsActive", "Notes"]
+def test_drop_rows_and_columns(stalls):
+    assert missing.handle_missing(stalls, "drop_row", subset_for_drop=["Code", "Price"]).count() == 5
+    assert missing.handle_missing(stalls).count() == 4
+    kept = missing.handle_missing(stalls, "drop_column", columns=["Code", "Title", "Price"])
+    assert kept.columns == ["Title", "Stock", "Kind", "Open", "Remark"]
 
 
-def test_fill_constants(people):
-    out = missing.handle_missing(people, "fill", columns=["Age", "Notes", "Nowhere"], fill_value=-1)
-    assert column(out, "Age")[2] == -1 and column(out, "Notes")[0] == "-1"
-    assert missing.handle_missing(people, "fill", columns=["Age"]) is people
-    texts = missing.handle_missing(people, "fill", fill_value="UNKNOWN")
-    assert column(texts, "Notes")[0] == "UNKNOWN" and column(texts, "Age")[2] is None
+def test_fill_constants(stalls):
+    out = missing.handle_missing(stalls, "fill", columns=["Stock", "Remark", "Nowhere"], fill_value=-1)
+    assert column(out, "Stock")[1] == -1 and column(out, "Remark")[1] == "-1"
+    assert missing.handle_missing(stalls, "fill", columns=["Stock"]) is stalls
+    texts = missing.handle_missing(stalls, "fill", fill_value="UNKNOWN")
+    assert column(texts, "Remark")[1] == "UNKNOWN" and column(texts, "Stock")[1] is None
     with pytest.raises(ValueError):
-        missing.handle_missing(people, "fill", columns=["Age"], fill_value="UNKNOWN")
+        missing.handle_missing(stalls, "fill", columns=["Stock"], fill_value="UNKNOWN")
 
 
-def test_fill_statistics(people):
-    out = missing.handle_missing(people, "mean", columns=["Age", "Name"])
-    assert column(out, "Age")[2] == pytest.approx((25 + 30 + 30 + 28 + 35 + 40 + 22) / 7)
-    out = missing.handle_missing(people, "median", columns=["Salary"])
-    assert column(out, "Salary")[4] == 60000.0
-    out = missing.handle_missing(people, "mode", columns=["ID", "IsActive", "Salary"])
-    assert column(out, "ID")[6] == 2 and column(out, "Salary")[4] == 60000.0
-    assert column(out, "IsActive")[6] == "0"
+def test_fill_statistics(stalls):
+    out = missing.handle_missing(stalls, "mean", columns=["Stock", "Title"])
+    assert column(out, "Stock")[1] == pytest.approx((7 + 19 + 7 + 3 + 7 + 7) / 6)
+    out = missing.handle_missing(stalls, "median", columns=["Price"])
+    assert column(out, "Price")[1] == 12.5
+    out = missing.handle_missing(stalls, "mode", columns=["Code", "Open", "Price"])
+    assert column(out, "Code")[2] == 44 and column(out, "Price")[1] == 12.5
+    assert column(out, "Open")[5] == "0"
 
 
 def test_columns_of_nulls_stay(spark):
@@ -194,16 +194,16 @@ def test_columns_of_nulls_stay(spark):
         assert row.a is None
 
 
-def test_strategies_per_column(people):
+def test_strategies_per_column(stalls):
     out = missing.apply_strategies(
-        people,
-        {"Notes": ("fill_constant", "none"), "Salary": "fill_median", "Age": "fill_mean", "ID": "fill_mode"},
+        stalls,
+        {"Remark": ("fill_constant", "none"), "Price": "fill_median", "Stock": "fill_mean", "Code": "fill_mode"},
         "drop_row",
     )
-    assert out.count() == 7  # IsActive falls under the default
-    assert out.where("Notes = 'none'").count() == 1
+    assert out.count() == 6  # Open falls under the default
+    assert out.where("Remark = 'none'").count() == 1
     with pytest.raises(ValueError):
-        missing.apply_strategies(people, {"Age": "guess"})
+        missing.apply_strategies(stalls, {"Stock": "guess"})
 
 
 FLOATS = st.lists(
@@ -273,10 +273,35 @@ def test_nan_and_null_keys_are_equal(spark):
     assert dedup.drop_duplicates(df, ["k"], False).count() == 0
 
 
-def test_whole_rows(people):
-    assert dedup.drop_duplicates(people.drop("IsActive")).count() == 7
-    assert dedup.drop_duplicates(people.drop("IsActive"), keep=False).count() == 6
-    assert dedup.drop_duplicates(people, ["Name", "Age", "Salary"]).count() == 7
+def test_whole_rows(stalls):
+    assert dedup.drop_duplicates(stalls.drop("Open")).count() == 6
+    assert dedup.drop_duplicates(stalls.drop("Open"), keep=False).count() == 5
+    assert dedup.drop_duplicates(stalls, ["Title", "Stock", "Price"]).count() == 5
+
+
+def test_whole_rows_with_nan_and_null(spark):
+    df = spark.createDataFrame([(1, NAN), (1, None), (2, 1.0)], "a long, b double")
+    assert dedup.drop_duplicates(df).count() == 2
+    assert dedup.drop_duplicates(df, keep=False).count() == 1
+
+
+def test_wide_tables(spark):
+    names = [f"c{n}" for n in range(100)]
+    rows = [tuple(float(r * r % 7 + n) for n in range(100)) for r in range(25)]
+    df = spark.createDataFrame(rows, names)
+    middle = statistics.medians(df, names, limit=60)
+    mode = statistics.modes(df, names)
+    for n, name in enumerate(names):
+        own = [r[n] for r in rows]
+        assert middle[name] == py_statistics.median(own)
+        top = Counter(own).most_common()
+        assert mode[name] == min(v for v, k in top if k == top[0][1])
+
+
+def test_nested_lookups_are_measured(spark):
+    wide = spark.range(50).select(F.col("id").alias("k"), F.sequence(F.lit(1), F.lit(30_000)).alias("v"))
+    assert not joins.fits_broadcast(wide, size=4 << 20)
+    assert joins.fits_broadcast(spark.range(50).select("id", F.array(F.lit(1)).alias("v")), size=4 << 20)
 
 
 def test_all_columns_as_keys(spark):
@@ -334,66 +359,66 @@ def test_many_rates_take_the_join(spark):
     assert out.columns == ["amount", "ccy", "usd"] and out.first().usd == 7.0
 
 
-def test_text_columns(people):
-    out = values.clean_text_column(people, "Category", to_case="upper", remove_chars=" ")
-    assert column(out, "Category") == ["A", "B", "A", "B", "A", "C", "B", "C"]
-    assert column(values.clean_text_column(people, "Age"), "Age")[:3] == ["25", "30", None]
-    assert values.clean_text_column(people, "nowhere") is people
-    assert column(values.strip_text_columns(people), "Name")[0] == "Alice"
-    assert column(values.normalize_text_fields(people, ["Name"]), "Name")[0] == "alice"
+def test_text_columns(stalls):
+    out = values.clean_text_column(stalls, "Kind", to_case="upper", remove_chars=" ")
+    assert column(out, "Kind") == ["KIOSK", "KIOSK", "STALL", "STALL", "DEPOT", "STALL", "STALL"]
+    assert column(values.clean_text_column(stalls, "Stock"), "Stock")[:3] == ["7", None, "19"]
+    assert values.clean_text_column(stalls, "nowhere") is stalls
+    assert column(values.strip_text_columns(stalls), "Title")[0] == "North Pier"
+    assert column(values.normalize_text_fields(stalls, ["Title"]), "Title")[0] == "north pier"
 
 
 # --- quality
 
 
 EXPECTED = [
-    {"name": "ID", "type": "int", "required": True},
-    {"name": "IsActive", "type": "bool", "required": False},
-    {"name": "Name", "type": "datetime", "datetime_format": "%Y", "required": False},
+    {"name": "Code", "type": "int", "required": True},
+    {"name": "Open", "type": "bool", "required": False},
+    {"name": "Title", "type": "datetime", "datetime_format": "%Y", "required": False},
     {"name": "customer", "type": "string", "required": True},
 ]
 
 
-def test_expected_columns(people):
-    report = {(r.column_name, r.rule): r.violations for r in quality.check_expected(people, EXPECTED).collect()}
+def test_expected_columns(stalls):
+    report = {(r.column_name, r.rule): r.violations for r in quality.check_expected(stalls, EXPECTED).collect()}
     assert report == {
-        ("ID", "present"): 0, ("IsActive", "present"): 0, ("Name", "present"): 0, ("customer", "present"): 1,
-        ("ID", "required"): 1, ("ID", "type"): 0, ("IsActive", "type"): 1, ("Name", "datetime_format"): 8,
+        ("Code", "present"): 0, ("Open", "present"): 0, ("Title", "present"): 0, ("customer", "present"): 1,
+        ("Code", "required"): 1, ("Code", "type"): 0, ("Open", "type"): 1, ("Title", "datetime_format"): 7,
     }
     with pytest.raises(quality.SchemaViolation):
-        quality.require_expected(people, EXPECTED)
-    assert quality.require_expected(people, EXPECTED[1:1]) is people
+        quality.require_expected(stalls, EXPECTED)
+    assert quality.require_expected(stalls, EXPECTED[1:1]) is stalls
 
 
-def test_expected_columns_from_a_schema(people):
-    found = quality.expected_columns(people.schema.json())
-    assert [d["name"] for d in found] == people.columns and not found[0]["required"]
+def test_expected_columns_from_a_schema(stalls):
+    found = quality.expected_columns(stalls.schema.json())
+    assert [d["name"] for d in found] == stalls.columns and not found[0]["required"]
 
 
-def test_row_status_and_quarantine(people):
+def test_row_status_and_quarantine(stalls):
     tagged = quality.tag_rows(
-        people,
-        warnings={"no_notes": F.col("Notes").isNull()},
-        errors={"no_id": F.col("ID").isNull(), "odd": F.col("IsActive") == "yes"},
+        stalls,
+        warnings={"no_remark": F.col("Remark").isNull()},
+        errors={"no_code": F.col("Code").isNull(), "odd": F.col("Open") == "maybe"},
     )
-    status = dict(tagged.select("Name", "PreliminaryValidationStatus").collect())
-    assert status["  Alice  "] == "PASSED_WITH_WARNINGS" and status["Grace"] == "FAILED" and status["Bob"] == "PASSED"
+    status = dict(tagged.select("Title", "PreliminaryValidationStatus").collect())
+    assert status["Old Mill "] == "PASSED_WITH_WARNINGS" and status["Harbour"] == "FAILED" and status[" Depot "] == "PASSED"
     good, bad = quality.split_quarantine(tagged)
-    assert (good.count(), bad.count()) == (6, 2)
-    assert sorted(column(bad, "failed_rules")) == [["no_id"], ["odd"]]
+    assert (good.count(), bad.count()) == (6, 1)
+    assert column(bad, "failed_rules") == [["no_code", "odd"]]
 
 
-def test_lost_values(people):
+def test_lost_values(stalls):
     from ledgerloom.functions.parsing import to_boolean
 
-    report = quality.lost_values(people, {"IsActive": (F.col("IsActive"), to_boolean(F.col("IsActive")))})
-    assert [tuple(r) for r in report.collect()] == [("IsActive", 7, 1)]
+    report = quality.lost_values(stalls, {"Open": (F.col("Open"), to_boolean(F.col("Open")))})
+    assert [tuple(r) for r in report.collect()] == [("Open", 6, 1)]
 
 
-def test_run_metrics(spark, people, fresh):
+def test_run_metrics(spark, stalls, fresh):
     metrics = quality.RunMetrics("r1", {"env": "test"})
-    with metrics.stage("write", source="people") as stage:
-        stage.counted(people).write.parquet(fresh())
+    with metrics.stage("write", source="stalls") as stage:
+        stage.counted(stalls).write.parquet(fresh())
     with pytest.raises(RuntimeError):
         with metrics.stage("break"):
             raise RuntimeError("no luck")
@@ -405,7 +430,7 @@ def test_run_metrics(spark, people, fresh):
     assert listed() == [1, 2, 3]
     metrics.record("rows_dropped", 7)
     rows = {r.task: r for r in metrics.frame(spark).collect()}
-    assert rows["write"].records == 8 and rows["write"].tags == {"env": "test", "source": "people"}
+    assert rows["write"].records == 7 and rows["write"].tags == {"env": "test", "source": "stalls"}
     assert rows["write"].records_per_second > 0
     assert (rows["break"].status, rows["break"].error) == ("failed", "no luck")
     assert rows["listed"].records == 3 and rows["rows_dropped"].tags["value"] == "7"

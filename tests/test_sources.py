@@ -20,8 +20,8 @@ PEOPLE = "ID long, Name string, Value double"
 
 
 def test_csv_with_header(spark, fresh):
-    path = put(spark, fresh(), ["ID,Name,Value", "1,Alice,100", "2,Bob,150"])
-    assert [tuple(r) for r in files.read_csv(spark, path, PEOPLE).collect()] == [(1, "Alice", 100.0), (2, "Bob", 150.0)]
+    path = put(spark, fresh(), ["ID,Name,Value", "70,copper,0.25", "71,zinc,18"])
+    assert [tuple(r) for r in files.read_csv(spark, path, PEOPLE).collect()] == [(70, "copper", 0.25), (71, "zinc", 18.0)]
     assert files.read_csv(spark, path).columns == ["ID", "Name", "Value"]
 
 
@@ -31,8 +31,35 @@ def test_csv_of_a_header_only(spark, fresh):
 
 
 def test_quote_inside_a_value_is_legal(spark, fresh):
-    path = put(spark, fresh(), ["ID,Name,Value", '1,Eve"unclosed,300'])
-    assert files.read_csv(spark, path, PEOPLE).first().Name == 'Eve"unclosed'
+    path = put(spark, fresh(), ["ID,Name,Value", '9,6" pipe,41'])
+    assert files.read_csv(spark, path, PEOPLE).first().Name == '6" pipe'
+
+
+def test_line_ends_inside_quotes(spark, fresh):
+    path = put(spark, fresh(), ["ID,Name,Value", '5,"two', 'lines",1', "6,one,2"])
+    assert [tuple(r) for r in files.read_csv(spark, path, PEOPLE, multi_line=True).collect()] == [(5, "two\nlines", 1.0), (6, "one", 2.0)]
+    split = files.read_csv_split(spark, path, PEOPLE, multi_line=True)
+    assert (split.good.count(), split.quarantine.count()) == (2, 0)
+
+
+def test_other_headers_fail(spark, fresh):
+    path = put(spark, fresh(), ["Name,ID,Value", "5,6,1"])
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, path, "ID string, Name string, Value string").collect()
+
+
+def test_a_bad_value_costs_its_row(spark, fresh):
+    path = put(spark, fresh(), ['[{"ID": 1, "Name": "a"}, {"ID": "x", "Name": "b"}, {"ID": 3.0, "Value": "7"}]'])
+    assert sorted(r.ID for r in files.read_json_documents(spark, path, PEOPLE).collect()) == [1, 3]
+    bad = files.read_json_split(spark, path, PEOPLE).quarantine.collect()
+    assert [json.loads(r.raw_text) for r in bad] == [{"ID": "x", "Name": "b"}]
+    lines = put(spark, fresh(), ['{"ID": 1}', '{"ID": 2', '{"ID": "z"}'])
+    assert [r.ID for r in files.read_json_lines(spark, lines, PEOPLE).collect()] == [1]
+    assert files.read_json_split(spark, lines, PEOPLE, lines=True).quarantine.count() == 2
+    assert files.read_json_lines(spark, lines, PEOPLE).count() == 1
+    xml = put(spark, fresh(), ["<all><r><ID>1</ID></r><r><ID>one</ID><Name>n</Name></r></all>"])
+    assert [r.ID for r in files.read_xml(spark, xml, "r", PEOPLE).collect()] == [1]
+    assert [json.loads(r.raw_text) for r in files.read_xml_split(spark, xml, "r", PEOPLE).quarantine.collect()] == [{"ID": "one", "Name": "n"}]
 
 
 def test_malformed_rows(spark, fresh):
