@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import datetime as dt
+import decimal
 
-from ledgerloom.functions import text
+from pyspark.sql import Column, functions as F, types as T
+
+from ledgerloom.functions import parsing, text
 
 # A literal map is searched entry by entry, so longer ones go through a join
 # (operators.values.map_values); likewise a long chain of conditions is slower
@@ -17,13 +20,81 @@ def literal_map(mapping: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
 
 
-def map_value(c: Column, mapping: dict, default=None) -> Column:
-    """Look up ``c``; keep it where unmapped, or use ``default`` if one is given."""
-    present = {k: v for k, v in mapping.items() if k is not None and v is not None}
-    fallback = c if default is None else F.lit(default)
-    if not present:
-        return F.coalesce(c, c) if default is None else fallback
-    return F.coalesce(F.try_element_at(literal_map(present), c), fallback)
+def common_type(types: list[T.DataType]) -> T.DataType:
+    """The type that holds values of all these types: their own, a number, or text."""
+    if len(set(types)) == 1:
+        return types[0]
+    if all(isinstance(t, T.NumericType) for t in types):
+        return T.LongType() if all(isinstance(t, T.IntegralType) for t in types) else T.DoubleType()
+    return T.StringType()
+
+
+def _type_of(value) -> T.DataType:
+    if isinstance(value, bool):
+        return T.BooleanType()
+    if isinstance(value, int):
+        return T.LongType()
+    if isinstance(value, float):
+        return T.DoubleType()
+    if isinstance(value, str):
+        return T.StringType()
+    if isinstance(value, decimal.Decimal):
+        return T.DoubleType()
+    if isinstance(value, dt.datetime):
+        return T.TimestampType()
+    if isinstance(value, dt.date):
+        return T.DateType()
+    raise ValueError(f"no mapping to values like {value!r}")
+
+
+def _as(value, kind: T.DataType):
+    """A Python value as the type wants it."""
+    if isinstance(kind, T.StringType):
+        return str(value)
+    return float(value) if isinstance(kind, T.DoubleType) else value
+
+
+def _can_equal(key, kind: T.DataType) -> bool:
+    """Whether a column of this type can hold the key: text is never equal to a number."""
+    if isinstance(kind, T.BooleanType) or isinstance(key, bool):
+        return isinstance(kind, T.BooleanType) and isinstance(key, bool)
+    if isinstance(kind, T.NumericType):
+        whole = isinstance(kind, T.IntegralType)
+        return isinstance(key, (int, float, decimal.Decimal)) and not (whole and key != int(key))
+    return isinstance(_type_of(key), type(kind))
+
+
+def typed_pairs(mapping: dict, kind: T.DataType, default=None) -> tuple[list[tuple], T.DataType]:
+    """Entries that can apply to a column of type ``kind``, and the type of the mapped column.
+
+    The type is settled by all values together with what unmapped rows keep, so
+    it does not hang on how many entries there are or which of them occur.
+    """
+    pairs = [(k, v) for k, v in mapping.items() if k is not None and v is not None and k == k and _can_equal(k, kind)]
+    values = [v for v in mapping.values() if v is not None]
+    kept = kind if default is None else _type_of(default)
+    target = common_type([kept, *map(_type_of, values)]) if values else common_type([kept])
+    keyed = [(int(k) if isinstance(kind, T.IntegralType) else k, _as(v, target)) for k, v in pairs]
+    return keyed, target
+
+
+def fallback(c: Column, kind: T.DataType, target: T.DataType, default=None) -> Column:
+    """What unmapped rows hold, in the type of the mapped column."""
+    if default is not None:
+        return F.lit(_as(default, target)).cast(target)
+    if isinstance(target, T.StringType) and not isinstance(kind, T.StringType):
+        return parsing.to_text(c, kind)
+    return c if kind == target else c.cast(target)
+
+
+def map_value(c: Column, mapping: dict, default=None, kind: T.DataType = T.StringType()) -> Column:
+    """Look up ``c``, a column of type ``kind``; keep it where unmapped, or use ``default`` if one is given."""
+    pairs, target = typed_pairs(mapping, kind, default)
+    rest = fallback(c, kind, target, default)
+    if not pairs:
+        return F.coalesce(rest, rest)
+    entries = F.create_map(*[x for k, v in pairs for x in (F.lit(k).cast(kind), F.lit(v).cast(target))])
+    return F.coalesce(F.try_element_at(entries, c), rest)
 
 
 def standard_category(c: Column, mapping: dict | None = None, case: str | None = "upper") -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import decimal
 import logging
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ledgerloom.functions import business, mapping as maps, parsing, text
 from ledgerloom.functions.columns import column
 from ledgerloom.operators.joins import lookup_join
+from ledgerloom.session import written_table
 
 logger = logging.getLogger(__name__)
 
@@ -42,42 +44,46 @@ def normalize_text_fields(df: DataFrame, names: list[str]) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
-def _mapped_frame(df: DataFrame, column_name: str, mapping: dict) -> DataFrame:
-    value_type = "string" if any(isinstance(v, str) for v in mapping.values()) else None
-    rows = [(k, v) for k, v in mapping.items() if k is not None and v is not None]
-    key_type = df.schema[column_name].dataType
-    schema = T.StructType([T.StructField("__key", key_type), T.StructField("__value", T.StringType())])
-    if value_type is None:
-        return df.sparkSession.createDataFrame(rows, ["__key", "__value"])
-    return df.sparkSession.createDataFrame(rows, schema)
-
-
 def map_values(
     df: DataFrame, column_name: str, mapping: dict | DataFrame, default_value=None
 ) -> DataFrame:
     """Replace values by dictionary; unmapped ones are kept, or take the default.
 
     A mapping may also be a frame of two columns, key and value, with unique
-    keys. Short dictionaries become a literal map, longer ones a join.
+    keys. Short dictionaries become a literal map, longer ones a join, to the
+    same result: where values and what unmapped rows keep differ in type, the
+    column turns to text. Keys of another kind than the column never match.
     """
     if column_name not in df.columns:
         logger.warning("column %s not found, not mapped", column_name)
         return df
-    c = column(column_name)
+    c, kind = column(column_name), df.schema[column_name].dataType
     if isinstance(mapping, dict):
         if len(mapping) <= maps.LITERAL_MAP_LIMIT:
-            return df.withColumn(column_name, maps.map_value(c, mapping, default_value))
-        pairs = _mapped_frame(df, column_name, mapping)
+            return df.withColumn(column_name, maps.map_value(c, mapping, default_value, kind))
+        entries, target = maps.typed_pairs(mapping, kind, default_value)
+        key = T.DecimalType(38, 18) if isinstance(kind, T.DecimalType) else kind
+        plain = [(float(k) if isinstance(kind, (T.DoubleType, T.FloatType)) else k, v) for k, v in entries]
+        if isinstance(kind, T.DecimalType):
+            plain = [(decimal.Decimal(str(k)), v) for k, v in plain]
+        schema = T.StructType([T.StructField("__key", key), T.StructField("__value", target)])
+        pairs = df.sparkSession.createDataFrame(plain, schema)
     else:
         pairs = mapping.toDF("__key", "__value").where("__key is not null and __value is not null")
-        repeated = pairs.groupBy("__key").count().where("count > 1").limit(1)
-        if not repeated.isEmpty():
+        value = pairs.schema["__value"].dataType
+        kept = kind if default_value is None else maps._type_of(default_value)
+        target = maps.common_type([kept, value])
+        if target != value:
+            text_of = parsing.to_text(F.col("__value"), value)
+            new = text_of if isinstance(target, T.StringType) else F.col("__value").cast(target)
+            pairs = pairs.withColumn("__value", new)
+        # Written once: it is counted, measured and joined.
+        pairs = written_table(pairs, "mapping")
+        if not pairs.groupBy("__key").count().where("count > 1").isEmpty():
             raise ValueError("the mapping holds a key more than once")
-    joined = lookup_join(
-        df.withColumn("__key", c), pairs, ["__key"]
-    )
-    fallback = c if default_value is None else F.lit(default_value)
-    return joined.withColumn(column_name, F.coalesce(F.col("__value"), fallback)).select(*[column(n) for n in df.columns])
+    joined = lookup_join(df.withColumn("__key", c.cast(pairs.schema["__key"].dataType)), pairs, ["__key"])
+    rest = maps.fallback(c, kind, target, default_value)
+    return joined.withColumn(column_name, F.coalesce(F.col("__value"), rest)).select(*[column(n) for n in df.columns])
 
 
 def standardize_categories(

@@ -12,9 +12,9 @@ from ledgerloom.sinks import tables
 @pytest.fixture(scope="module")
 def payments(spark):
     rows = [
-        ("T1", "2025-05-01", "08:30:15", "A1", "DEBIT", "55.75", "USD", " Groceries ", "food", "COMPLETED"),
-        ("T2", "2025-05-02", "09:00:00", "A2", "CREDIT", "5000.00", "EUR", "Salary", "Salary", "PENDING"),
-        ("T3", "2025-05-03", "10:00:00", "A3", "DEBIT", "65.20", "CAD", "Books", " books", "FAILED"),
+        ("T1", "2031-11-18", "23:04:59", "A1", "FEE", "7.4", "USD", " ferry ticket ", "boats", "COMPLETED"),
+        ("T2", "2031-12-02", "00:10:00", "A2", "GRANT", "1200", "EUR", "moorings", "Harbour", "PENDING"),
+        ("T3", "2032-01-30", "12:00:00", "A3", "FEE", "80", "CAD", "rope", " ropes", "FAILED"),
         ("T4", "bad", "10:00:00", "A4", "DEBIT", "x", None, None, None, None),
     ]
     names = (
@@ -26,16 +26,16 @@ def payments(spark):
 
 def test_processed_records(payments):
     got = {r.TransactionID: r for r in jobs.processed_records(payments).collect()}
-    assert got["T1"].TransactionTimestamp == dt.datetime(2025, 5, 1, 8, 30, 15)
-    assert got["T2"].NormalizedAmountUSD == pytest.approx(5450.0) and got["T2"].IsInternational
-    assert got["T3"].NormalizedAmountUSD == pytest.approx(48.90)
-    assert got["T3"].StandardizedCategory == "BOOKS" and got["T3"].StandardizedStatus == "FAILED"
+    assert got["T1"].TransactionTimestamp == dt.datetime(2031, 11, 18, 23, 4, 59)
+    assert got["T2"].NormalizedAmountUSD == pytest.approx(1308.0) and got["T2"].IsInternational
+    assert got["T3"].NormalizedAmountUSD == pytest.approx(60.0)
+    assert got["T3"].StandardizedCategory == "ROPES" and got["T3"].StandardizedStatus == "FAILED"
     assert got["T4"].OriginalAmount is None and got["T4"].TransactionTimestamp is None
 
 
 def test_staged_records(payments):
     got = {r.TransactionID: r for r in jobs.staged_records(payments).collect()}
-    assert got["T1"].RawTransactionTimestamp == "2025-05-01 08:30:15"
+    assert got["T1"].RawTransactionTimestamp == "2031-11-18 23:04:59"
     assert [got[t].PreliminaryValidationStatus for t in ("T1", "T3", "T4")] == [
         "PASSED", "PASSED_WITH_WARNINGS", "PASSED",
     ]
@@ -58,7 +58,7 @@ def test_simple_run(spark, payments, fresh):
     got = {r.TransactionID: r for r in released(spark, name).collect()}
     assert got["T1"].Status == "Processed" and got["T2"].Status == "AwaitingSettlement" and got["T3"].Status == "failed"
     assert got["T4"].amount == 0.0 and got["T4"].Merchant == "Unknown" and got["T4"].Date is None
-    assert got["T1"].TransactionDayOfWeek == "Thursday" and got["T1"].TransactionYear == 2025
+    assert got["T1"].TransactionDayOfWeek == "Tuesday" and got["T1"].TransactionYear == 2031
     empty = f"{root}/empty"
     source.limit(0).write.option("header", True).csv(empty)
     config["source_data"]["path"] = empty
@@ -130,7 +130,7 @@ def test_configured_run_with_files_and_statements(spark, payments, fresh):
     assert jobs.run_configured(payments, config, "r1") == 4
     assert jobs.run_configured(payments, config, "r2") == 0
     got = spark.read.parquet(f"{root}/out")
-    assert got.count() == 3 and got.where("year = 2025 AND month = 5 AND day = 2").first().TransactionID == "T2"
+    assert got.count() == 3 and got.where("year = 2031 AND month = 12 AND day = 2").first().TransactionID == "T2"
     config["transformation"]["schema_validation"]["strict"] = True
     config["performance"]["watermark_name"] = "strict"
     with pytest.raises(SchemaViolation):

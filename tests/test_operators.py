@@ -285,6 +285,24 @@ def test_whole_rows_with_nan_and_null(spark):
     assert dedup.drop_duplicates(df, keep=False).count() == 1
 
 
+@pytest.mark.parametrize("extra", [0, 100])
+def test_mapping_between_types(spark, extra):
+    df = spark.createDataFrame([(1, 1.0, "k1", True), (2, 2.5, "k2", False), (None, None, None, None)], "n long, d double, t string, b boolean")
+    more = {f"more{n}": n for n in range(extra)}
+    numbers = {10_000 + n: "x" for n in range(extra)}
+    assert column(values.map_values(df, "n", {1: "one"} | numbers), "n") == ["one", "2", None]
+    assert column(values.map_values(df, "d", {1: "one"} | numbers), "d") == ["one", "2.5", None]
+    assert column(values.map_values(df, "d", {1: 7, 2.5: 8.5} | dict.fromkeys(numbers, 1)), "d") == [7.0, 8.5, None]
+    assert column(values.map_values(df, "n", {1: 7, 2.5: 8} | dict.fromkeys(numbers, 1)), "n") == [7, 2, None]
+    assert column(values.map_values(df, "t", {"k1": 10} | more), "t") == ["10", "k2", None]
+    assert column(values.map_values(df, "t", {"k1": 10, "k2": 20} | more, default_value=0), "t") == [10, 20, 0]
+    assert column(values.map_values(df, "t", {"k1": 10, "k2": "b", 1: "never"} | more), "t") == ["10", "b", None]
+    assert column(values.map_values(df, "b", {True: "yes", False: "no"} | numbers), "b") == ["yes", "no", None]
+    assert column(values.map_values(df, "n", {1: True} | dict.fromkeys(numbers, False)), "n") == ["True", "2", None]
+    table = spark.createDataFrame([(1, "one"), (9, "nine")], "k long, v string")
+    assert column(values.map_values(df, "n", table), "n") == ["one", "2", None]
+
+
 def test_wide_tables(spark):
     names = [f"c{n}" for n in range(100)]
     rows = [tuple(float(r * r % 7 + n) for n in range(100)) for r in range(25)]
