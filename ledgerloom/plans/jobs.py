@@ -2,19 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import datetime as dt
+import logging
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.functions import business, mapping, parsing, text
+from ledgerloom.functions.columns import column
 from ledgerloom.operators import convert, dedup, missing, quality, shape, values
-from ledgerloom.sinks import files as file_sinks, tables as table_sinks
+from ledgerloom.sinks import files as file_sinks, store, tables as table_sinks
 from ledgerloom.sources import files, incremental, pages, tables
 
 
-def transform_records(df: DataFrame, drop: list[str] | None = None) -> DataFrame:
+logger = logging.getLogger(__name__)
+
+
+def parsed_date(c: Column, date_formats: str | list[str] | None = None) -> Column:
+    """A date text by ISO, then by each strftime pattern in turn."""
+    found = parsing.to_timestamp(c)
+    return F.coalesce(found, parsing.to_timestamp(text.strip(c), date_formats)) if date_formats else found
+
+
+def transform_records(
+    df: DataFrame, drop: list[str] | None = None, date_formats: str | list[str] | None = None
+) -> DataFrame:
     """Defaults, types, trimmed text, normal states and date parts for payment records.
 
     Each step applies only if its column is there. The merchant default is set
-    before texts are stripped, so a blank merchant ends up empty.
+    before texts are stripped, so a blank merchant ends up empty. Dates are ISO,
+    or of one of ``date_formats``; ``lost_in_transform`` counts those that are neither.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     new = {}
@@ -26,7 +43,7 @@ def transform_records(df: DataFrame, drop: list[str] | None = None) -> DataFrame
             amount = parsing.convert(c, data_type, T.DoubleType())
             new[name] = F.coalesce(parsing.null_if_nan(amount), F.lit(0.0))
         elif name == "Date" and isinstance(data_type, T.StringType):
-            new[name] = parsing.to_timestamp(c)
+            new[name] = parsed_date(c, date_formats)
         elif name == "Status" and isinstance(data_type, T.StringType):
             new[name] = mapping.normal_status(c)
         elif isinstance(data_type, T.StringType):
@@ -37,17 +54,35 @@ def transform_records(df: DataFrame, drop: list[str] | None = None) -> DataFrame
     return shape.drop_columns(out, drop or [])
 
 
+def lost_in_transform(df: DataFrame, date_formats: str | list[str] | None = None) -> DataFrame:
+    """Report of ``column_name, present, lost``: dates and amounts that are there and do not convert."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    found = {}
+    if isinstance(kinds.get("Date"), T.StringType):
+        found["Date"] = (F.col("Date"), parsed_date(F.col("Date"), date_formats))
+    if "Amount" in kinds:
+        found["Amount"] = (F.col("Amount"), parsing.convert(F.col("Amount"), kinds["Amount"], T.DoubleType()))
+    return quality.lost_values(df, found)
+
+
 def run_simple(spark: SparkSession, config: dict) -> DataFrame | None:
     """Read, stage, transform, load.
 
-    Config: ``source_data {type, path}``, optional ``staging_area {path, format}``,
-    ``transformations {drop_columns, rename_map}`` and
-    ``target_database {target_table, load_method, path}``. Returns the
+    Config: ``source_data {type, path, options}``, optional ``staging_area {path,
+    format}``, ``transformations {drop_columns, rename_map, date_formats}``,
+    ``report_path`` for the counts of values that did not convert, and
+    ``target_database {target_table, load_method, path}``. ``options`` go to the
+    reader: delimiter, encoding, quoting, ``multi_line``. Returns the
     transformed rows, or None if the source holds none.
     """
     source = config["source_data"]
     df = files.read_directory(
-        spark, source["path"], source["type"], schema=source.get("schema"), recursive=False
+        spark,
+        source["path"],
+        source["type"],
+        schema=source.get("schema"),
+        recursive=False,
+        **source.get("options", {}),
     )
     if df.isEmpty():
         return None
@@ -55,7 +90,10 @@ def run_simple(spark: SparkSession, config: dict) -> DataFrame | None:
     if staging:
         df = file_sinks.stage(df, staging["path"], staging.get("format", "parquet"))
     steps = config.get("transformations", {})
-    out = transform_records(df, steps.get("drop_columns"))
+    formats = steps.get("date_formats")
+    if config.get("report_path"):
+        lost_in_transform(df, formats).write.mode("overwrite").json(config["report_path"])
+    out = transform_records(df, steps.get("drop_columns"), formats)
     out = shape.rename_columns(out, steps.get("rename_map", {}))
     target = config.get("target_database")
     if target:
@@ -202,54 +240,192 @@ def read_configured(spark: SparkSession, extraction: dict, schema: T.StructType
     raise ValueError(f"unknown source type {kind!r}")
 
 
-def write_configured(out: DataFrame, loading: dict) -> None:
-    """Load rows as a ``loading`` section says: upsert, files, or a table load method."""
+# How a ``loading`` section may name the plain ways into a table.
+APPENDS = ("append", "insert", "bulk")
+
+
+def destination(loading: dict) -> dict:
+    """The destination a ``loading`` section names, its keys in one place.
+
+    The section is either flat, or nests ``database_destination`` and
+    ``file_system_destination`` below a ``destination_type``.
+    """
+    kind = loading.get("destination_type")
+    if kind is None:
+        return loading
+    if kind == "file_system":
+        return {**loading.get("file_system_destination", {}), "load_method": "files"}
+    if kind != "database":
+        raise ValueError(f"unsupported destination type {kind!r}")
+    found = dict(loading.get("database_destination", {}))
+    if found.get("schema"):
+        found["target_table"] = f"{found['schema']}.{found['target_table']}"
+    return found
+
+
+def _partitioned_files(out: DataFrame, loading: dict, path: str, mode: str) -> None:
+    partitions = loading.get("partition_by", ["year", "month"])
+    dated = {"year": F.year, "month": F.month, "day": F.dayofmonth}
+    derived = {c: dated[c](loading["date_column"]) for c in partitions if c in dated and c not in out.columns}
+    file_sinks.write_partitioned(
+        out.withColumns(derived) if derived else out,
+        path,
+        partitions,
+        loading.get("file_format", "parquet"),
+        loading.get("compression", "snappy"),
+        mode=mode,
+    )
+
+
+def write_configured(out: DataFrame, loading: dict) -> tuple[str, str] | None:
+    """Load rows as a ``loading`` section says: upsert, files, or a table load method.
+
+    What would be doubled by a repeated run is written to a folder readers pass
+    over, and its path is returned with the folder its files belong to;
+    ``incremental.finish_pending`` moves them once the run's mark is stored.
+    """
     spark = out.sparkSession
+    loading = destination(loading)
     method = loading["load_method"]
-    table_sinks.run_statements(spark, loading.get("pre_load_sql") or [])
+    if method == "files":
+        target = loading["output_directory"]
+        staged = store.increment_path(target)
+        _partitioned_files(out, loading, staged, "append")
+        return staged, target
+    table = loading["target_table"]
     if method == "upsert":
         table_sinks.upsert_table(
             spark,
-            loading["target_table"],
+            table,
             out,
             loading["conflict_target_columns"],
             loading.get("order_by"),
-            path=loading.get("path"),
-        )
-    elif method == "files":
-        partitions = loading.get("partition_by", ["year", "month"])
-        dated = {"year": F.year, "month": F.month, "day": F.dayofmonth}
-        derived = {c: dated[c](loading["date_column"]) for c in partitions if c in dated and c not in out.columns}
-        file_sinks.write_partitioned(
-            out.withColumns(derived) if derived else out,
-            loading["output_directory"],
-            partitions,
-            loading.get("file_format", "parquet"),
-            loading.get("compression", "snappy"),
-            mode="append",
-        )
-    else:
-        table_sinks.load_table(
-            out, loading["target_table"], method, loading.get("path"), batch_size=loading.get("batch_size", 0)
+            loading.get("partitions_follow_keys", False),
+            loading.get("path"),
         )
-    table_sinks.run_statements(spark, loading.get("post_load_sql") or [])
+        return None
+    if method not in APPENDS:
+        table_sinks.load_table(out, table, method, loading.get("path"), batch_size=loading.get("batch_size") or 0)
+        return None
+    if not spark.catalog.tableExists(table):
+        writer = out.limit(0).write.format("parquet")
+        (writer.option("path", loading["path"]) if loading.get("path") else writer).saveAsTable(table)
+    place = store.place_of(spark, table)
+    if place.partitions:
+        raise ValueError(f"table {table} is partitioned: load it by upsert")
+    staged = store.increment_path(place.location)
+    fitted = out.select(*[column(c) for c in spark.read.table(table).columns])
+    writer = fitted.write.format(place.provider).options(**place.options)
+    writer.option("maxRecordsPerFile", loading.get("batch_size") or 0).save(staged)
+    return staged, place.location
+
+
+@dataclass(frozen=True)
+class RunState:
+    """Where a configured run keeps its mark, and where it lands what it reads."""
+
+    name: str
+    column: str | None
+    path: str
+    staging: str
+
+
+def run_state(config: dict) -> RunState:
+    """The state a configuration names, in its own keys or those of the nested sections.
+
+    Without ``use_watermarking``, or without a watermark column, runs have no
+    mark and load all they read.
+    """
+    own = config["performance"]
+    source = config.get("extraction", {}).get("database_source", {})
+    wanted = own.get("use_watermarking", True)
+    return RunState(
+        own.get("watermark_name") or own.get("watermark_pipeline_name") or config.get("pipeline_name", "pipeline"),
+        (own.get("watermark_column") or source.get("watermark_column")) if wanted else None,
+        own.get("watermark_path") or own["watermark_file_path"],
+        own.get("staging_path") or config["transformation"]["staging_directory"].rstrip("/"),
+    )
+
+
+def set_aside(df: DataFrame, transformation: dict, path: str) -> DataFrame:
+    """Check expected columns; rows with values of the wrong type or format go to ``path``.
+
+    The report of all rules goes to ``<path>/report``, the rows and the names of
+    the rules they break to ``<path>/rows``. A missing required value is only
+    counted: the cleaning rules say what becomes of it. Strict sections raise instead.
+    """
+    validation = transformation.get("schema_validation", {})
+    expected = validation.get("expected_columns", [])
+    if not validation.get("enabled") or validation.get("strict") or not expected:
+        return df
+    quality.check_expected(df, expected).write.mode("overwrite").json(f"{path}/report")
+    tests, _ = quality.column_rules(df, expected)
+    wrong = {rule: test for rule, test in tests.items() if not rule.endswith(".required")}
+    good, bad = quality.split_quarantine(quality.tag_rows(df, {}, wrong, "__status"), "__status")
+    bad.drop("__status").write.mode("overwrite").parquet(f"{path}/rows")
+    return good.select(*[column(c) for c in df.columns])
 
 
 def run_configured(df: DataFrame, config: dict, run_id: str) -> int:
     """One configured increment: rows above the stored mark, transformed and loaded.
 
     The ``performance`` section names the watermark column and the state folder.
-    The new mark is stored after the load. Returns the rows read.
+    Rows that break the expected types are set aside below the staging folder. A
+    run that fails is repeated with the same outcome: appended files appear only
+    once its mark is stored. Returns the rows read.
     """
     spark = df.sparkSession
-    state = config["performance"]
-    name, column = state["watermark_name"], state["watermark_column"]
-    mark = incremental.read_high_mark(spark, state["watermark_path"], name)
-    batch = incremental.MarkedBatch(incremental.since_mark(df, column, mark), column)
-    # The batch is written once as read: its mark and its rows then agree, and
-    # the statistics of the cleaning rules do not read the source again.
-    landed = file_sinks.stage(batch.df, f"{state['staging_path']}/{run_id}")
-    if batch.rows:
-        write_configured(configured_transform(landed, config["transformation"]), config["loading"])
-        batch.commit(spark, state["watermark_path"], name, run_id)
-    return batch.rows
+    state = run_state(config)
+    loading = config["loading"]
+    if state.column is None:
+        landed = file_sinks.stage(df, f"{state.staging}/{run_id}")
+        rows, batch = landed.count(), None
+    else:
+        incremental.finish_pending(spark, state.path, state.name)
+        mark = incremental.read_high_mark(spark, state.path, state.name)
+        batch = incremental.MarkedBatch(incremental.since_mark(df, state.column, mark), state.column)
+        # The batch is written once as read: its mark and its rows then agree, and
+        # the statistics of the cleaning rules do not read the source again.
+        landed = file_sinks.stage(batch.df, f"{state.staging}/{run_id}")
+        rows = batch.rows
+        if batch.unmarked:
+            logger.warning("%s rows without a value in %s were left out", batch.unmarked, state.column)
+    if not rows:
+        return 0
+    table_sinks.run_statements(spark, destination(loading).get("pre_load_sql") or [])
+    good = set_aside(landed, config["transformation"], f"{state.staging}/quarantine-{run_id}")
+    moves = write_configured(configured_transform(good, config["transformation"]), loading)
+    if batch is not None:
+        batch.commit(spark, state.path, state.name, run_id, *(moves or ()))
+        incremental.finish_pending(spark, state.path, state.name)
+    elif moves:
+        store.publish_increment(spark, *moves)
+    table = destination(loading).get("target_table")
+    if moves and table:
+        spark.catalog.refreshTable(table)
+    table_sinks.run_statements(spark, destination(loading).get("post_load_sql") or [])
+    return rows
+
+
+def run_pipeline(
+    spark: SparkSession, config: dict, run_id: str, schema: T.StructType | str | None = None, as_of: str | None = None
+) -> int:
+    """A whole configuration: extraction, transformation, loading, and the archive of what was read.
+
+    Files of a file source move to its ``processed_directory`` after the load. An
+    API source with ``lookback_days`` and a ``date_column`` takes the records of
+    these days up to ``as_of``. Returns the rows read.
+    """
+    extraction = config["extraction"]
+    df = read_configured(spark, extraction, schema)
+    api = extraction.get("api_source", {})
+    days = api.get("parameters", {}).get("lookback_days", 0)
+    if extraction["source_type"] == "api" and days and api.get("date_column"):
+        df = incremental.look_back(df, api["date_column"], as_of or dt.date.today().isoformat(), days)
+    source = extraction.get("file_source", {})
+    archive = source.get("processed_directory") if extraction["source_type"] == "file" else None
+    names = df.inputFiles() if archive else []
+    rows = run_configured(df, config, run_id)
+    if archive:
+        store.move_files(spark, names, source["input_directory"], archive)
+    return rows

@@ -99,7 +99,7 @@ def m7(spark, sf):
 @register(
     "M8_column_strategies",
     RAW
-    + f"""SELECT TransactionID, coalesce(Merchant, 'Unknown Merchant') AS Merchant,
+    + f"""SELECT TransactionID, coalesce(Merchant, '(not named)') AS Merchant,
                  coalesce({SCORE}, (SELECT quantile_cont({SCORE}, 0.5) FROM raw)) AS Score,
                  round(coalesce(Points, (SELECT avg(Points) FROM raw)), 4) AS Points,
                  coalesce(Tier, (SELECT Tier FROM raw WHERE Tier IS NOT NULL
@@ -110,7 +110,7 @@ def m7(spark, sf):
 def m8(spark, sf):
     raw = raw_orders(spark, sf).select("TransactionID", "Merchant", "Score", "Points", "Tier", "IsActive")
     strategies = {
-        "Merchant": ("fill_constant", "Unknown Merchant"),
+        "Merchant": ("fill_constant", "(not named)"),
         "Score": "fill_median",
         "Points": "fill_mean",
         "Tier": "fill_mode",
@@ -119,6 +119,39 @@ def m8(spark, sf):
     return out.withColumn("Points", F.round("Points", 4))
 
 
+WIDE = 80
+
+
+@register(
+    "M8_wide_table",
+    "WITH wide AS (SELECT c_custkey, "
+    + ", ".join(f"CASE WHEN (c_custkey + {i}) % 7 > 0 THEN c_custkey * {i + 3} % 41 END AS v{i}" for i in range(WIDE))
+    + " FROM customer), filled AS (SELECT c_custkey, "
+    + ", ".join(
+        f"coalesce(v{i}, (SELECT quantile_cont(v{i}, 0.5) FROM wide)) AS v{i}"
+        if i % 2
+        else f"coalesce(v{i}, (SELECT v{i} FROM wide WHERE v{i} IS NOT NULL GROUP BY v{i} ORDER BY count(*) DESC, v{i} LIMIT 1)) AS v{i}"
+        for i in range(WIDE)
+    )
+    + " FROM wide) SELECT c_custkey, CAST("
+    + " + ".join(f"v{i}" for i in range(1, WIDE, 2))
+    + " AS DOUBLE) AS medians, CAST("
+    + " + ".join(f"v{i}" for i in range(0, WIDE, 2))
+    + " AS BIGINT) AS modes FROM filled",
+)
+def m8_wide(spark, sf):
+    """Medians and modes of many columns at once."""
+    key = F.col("c_custkey")
+    gaps = {f"v{i}": F.when((key + i) % 7 > 0, key * (i + 3) % 41) for i in range(WIDE)}
+    wide = table(spark, sf, "customer").select("c_custkey", *[c.alias(n) for n, c in gaps.items()])
+    out = missing.apply_strategies(wide, {f"v{i}": "fill_median" if i % 2 else "fill_mode" for i in range(WIDE)})
+    return out.select(
+        "c_custkey",
+        F.expr(" + ".join(f"v{i}" for i in range(1, WIDE, 2))).cast("double").alias("medians"),
+        F.expr(" + ".join(f"v{i}" for i in range(0, WIDE, 2))).cast("long").alias("modes"),
+    )
+
+
 LINE_COLUMNS = (
     "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
     "l_returnflag, l_linestatus, l_shipdate"
@@ -288,6 +321,21 @@ def v1(spark, sf):
     return values.map_values(orders, "o_orderpriority", {"1-URGENT": "now", "5-LOW": "later", "2-HIGH": None})
 
 
+@register(
+    "V1_map_codes",
+    """SELECT c_custkey, CASE c_nationkey WHEN 1 THEN 'one' WHEN 7 THEN 'seven' ELSE CAST(c_nationkey AS VARCHAR) END AS nation,
+              CASE c_mktsegment WHEN 'BUILDING' THEN '10' ELSE c_mktsegment END AS segment FROM customer""",
+)
+def v1_codes(spark, sf):
+    """Numbers to text and text to numbers; what stays decides the type too."""
+    customers = table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")
+    )
+    unused = {f"none {n}": n for n in range(100)}
+    out = values.map_values(customers, "nation", {1: "one", 7: "seven", "7": "never"})
+    return values.map_values(out, "segment", {"BUILDING": 10, **unused})
+
+
 @register(
     "V1_map_by_table",
     """SELECT l_orderkey, l_linenumber, coalesce(p_name, CAST(l_partkey AS VARCHAR)) AS part
@@ -500,7 +548,8 @@ def q1(spark, sf):
                                 CASE WHEN Currency IS NULL THEN 'no_currency' END) AS failed_rules,
                  CASE WHEN ({AMOUNT}) IS NULL THEN 'FAILED'
                       WHEN Status = 'failed' OR Currency IS NULL THEN 'PASSED_WITH_WARNINGS'
-                      ELSE 'PASSED' END AS PreliminaryValidationStatus
+                      ELSE 'PASSED' END AS PreliminaryValidationStatus,
+                 ({AMOUNT}) IS NULL AS set_aside
           FROM raw""",
 )
 def q2(spark, sf):
@@ -512,8 +561,11 @@ def q2(spark, sf):
         },
         errors={"bad_amount": to_number(F.col("Amount")).isNull()},
     )
-    return tagged.select(
+    good, bad = quality.split_quarantine(tagged)
+    split = good.withColumn("set_aside", F.lit(False)).unionByName(bad.withColumn("set_aside", F.lit(True)))
+    return split.select(
         "TransactionID",
+        "set_aside",
         F.concat_ws(",", "failed_rules").alias("failed_rules"),
         "PreliminaryValidationStatus",
     )

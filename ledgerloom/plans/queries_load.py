@@ -116,13 +116,13 @@ def l10(spark, sf):
     return released(spark, name)
 
 
-@register("L11_batched_load", EVENTS)
+@register("L11_batched_load", EVENTS.replace(" FROM", ", TRUE AS in_batches FROM"))
 def l11(spark, sf):
-    name = table_name("batched")
-    table_sinks.load_table(
-        table(spark, sf, "events"), name, "append", fresh_path(spark, "l11"), batch_size=1_000_000
-    )
-    return released(spark, name)
+    name, events = table_name("batched"), table(spark, sf, "events")
+    size = -(-events.count() // 10)
+    table_sinks.load_table(events, name, "append", fresh_path(spark, "l11"), batch_size=size)
+    loaded = released(spark, name)
+    return loaded.withColumn("in_batches", F.lit(len(loaded.inputFiles()) >= 10))
 
 
 @register(
@@ -360,36 +360,44 @@ def q4(spark, sf):
 @register(
     "J1_records",
     RAW
-    + f"""SELECT TransactionID, TRY_STRPTIME(TransactionDate, '%Y-%m-%d') AS Date, coalesce({AMOUNT}, 0.0) AS Amount,
+    + f"""SELECT TransactionID, Date, coalesce({AMOUNT}, 0.0) AS Amount,
                  Currency, {STRIP.format("Description")} AS Description,
                  {STRIP.format("coalesce(Merchant, 'Unknown')")} AS Merchant,
                  CASE trim(Status) WHEN 'COMPLETED' THEN 'Processed' WHEN 'Pending' THEN 'AwaitingSettlement'
                       ELSE 'failed' END AS Status,
-                 CAST(year(TRY_STRPTIME(TransactionDate, '%Y-%m-%d')) AS INTEGER) AS TransactionYear,
-                 CAST(month(TRY_STRPTIME(TransactionDate, '%Y-%m-%d')) AS INTEGER) AS TransactionMonth,
-                 CAST(day(TRY_STRPTIME(TransactionDate, '%Y-%m-%d')) AS INTEGER) AS TransactionDay,
-                 strftime(TRY_STRPTIME(TransactionDate, '%Y-%m-%d'), '%A') AS TransactionDayOfWeek
-          FROM raw""",
+                 CAST(year(Date) AS INTEGER) AS TransactionYear,
+                 CAST(month(Date) AS INTEGER) AS TransactionMonth,
+                 CAST(day(Date) AS INTEGER) AS TransactionDay,
+                 strftime(Date, '%A') AS TransactionDayOfWeek, {STRIP.format("Category")} AS Category
+          FROM (SELECT *, TRY_STRPTIME(TransactionDate, '%Y-%m-%d') AS Date FROM raw) t""",
 )
 def j1(spark, sf):
+    # Three ways to write a date; what is none of them stays as it is.
+    at, number = F.try_to_timestamp("TransactionDate", F.lit("yyyy-MM-dd")), F.substring("TransactionID", -1, 1)
+    styled = F.coalesce(
+        F.when(number == "1", F.date_format(at, "dd.MM.yyyy")).when(number == "2", F.date_format(at, "MM/dd/yyyy")),
+        F.col("TransactionDate"),
+    )
     raw = raw_orders(spark, sf).select(
         "TransactionID",
-        F.col("TransactionDate").alias("Date"),
+        styled.alias("Date"),
         "Amount",
         "Currency",
         "Description",
         "Merchant",
         "Status",
-        F.col("Tier").alias("unused_column1"),
+        "Category",
+        F.col("Tier").alias("leftover"),
     )
     root, name = fresh_path(spark, "j1"), table_name("records")
-    file_sinks.write_csv(raw, f"{root}/input")
+    file_sinks.write_csv(raw, f"{root}/input", max_rows_per_file=file_sinks.STAGED_CSV_ROWS, sep=";")
+    options = {"delimiter": ";", "multi_line": True, **file_sinks.CSV_READ}
     jobs.run_simple(
         spark,
         {
-            "source_data": {"type": "csv", "path": f"{root}/input", "schema": raw.schema},
-            "staging_area": {"path": f"{root}/staged", "format": "parquet"},
-            "transformations": {"drop_columns": ["unused_column1", "nowhere"]},
+            "source_data": {"type": "csv", "path": f"{root}/input", "schema": raw.schema, "options": options},
+            "staging_area": {"path": f"{root}/staged", "format": "csv"},
+            "transformations": {"drop_columns": ["leftover", "nowhere"], "date_formats": ["%d.%m.%Y", "%m/%d/%Y"]},
             "target_database": {"target_table": name, "load_method": "replace", "path": f"{root}/table"},
         },
     )
@@ -432,7 +440,7 @@ CHAIN_TARGET = [
     {"target_name": "AmountUSD", "source_column": "NormalizedAmountUSD", "dtype": "float64"},
     {"target_name": "Merchant", "source_column": "Merchant", "dtype": "str"},
     {"target_name": "Foreign", "source_column": "IsInternational", "dtype": "bool"},
-    {"target_name": "TransactionNotes", "source_column": "LegacyNotes", "dtype": "str"},
+    {"target_name": "ReviewMark", "source_column": "old_remarks", "dtype": "str"},
 ]
 
 
@@ -445,7 +453,7 @@ CHAIN_TARGET = [
                  CASE upper(Currency) WHEN 'EUR' THEN {AMOUNT} * CAST(1.09 AS DOUBLE)
                       WHEN 'CAD' THEN {AMOUNT} * CAST(0.75 AS DOUBLE) ELSE {AMOUNT} END AS AmountUSD,
                  coalesce(Merchant, 'UNKNOWN') AS Merchant, coalesce(Currency <> 'USD', TRUE) AS Foreign,
-                 CASE WHEN {AMOUNT} > 400000 THEN 'review' END AS TransactionNotes
+                 CASE WHEN {AMOUNT} > 400000 THEN 'review' END AS ReviewMark
           FROM raw""".replace("AS Foreign", 'AS "Foreign"').replace("AS Timestamp", 'AS "Timestamp"'),
 )
 def j3(spark, sf):
@@ -455,7 +463,7 @@ def j3(spark, sf):
         name,
         CHAIN_TARGET,
         ["Merchant", "Description"],
-        [({"TransactionNotes": "'review'"}, "Amount > 400000")],
+        [({"ReviewMark": "'review'"}, "Amount > 400000")],
         fresh_path(spark, "j3"),
     )
     return released(spark, name)
@@ -473,14 +481,14 @@ TRANSFORMATION = {
     "cleaning_rules": {
         "handle_missing_values": {
             "default_strategy": "drop_row",
-            "column_strategies": {"Merchant": "fill_constant", "Merchant_fill_value": "Unknown Merchant"},
+            "column_strategies": {"Merchant": "fill_constant", "Merchant_fill_value": "(not named)"},
         },
         "normalize_text_fields": ["Merchant", "Description"],
         "remove_duplicates": True,
     },
     "business_logic": {
         "add_calculated_fields": [
-            {"name": "is_high_value", "condition_column": "Amount", "condition_threshold": 10000.0}
+            {"name": "above_limit", "condition_column": "Amount", "condition_threshold": 12500.0}
         ]
     },
 }
@@ -488,8 +496,8 @@ TRANSFORMATION = {
 CONFIGURED = (
     RAW
     + f"""SELECT TransactionID, seq, {AMOUNT} AS Amount, TRY_STRPTIME(TransactionDate, '%Y-%m-%d') AS TransactionDate,
-                 lower({STRIP.format("coalesce(Merchant, 'Unknown Merchant')")}) AS Merchant,
-                 lower({STRIP.format("Description")}) AS Description, ({AMOUNT}) > 10000 AS is_high_value --more
+                 lower({STRIP.format("coalesce(Merchant, '(not named)')")}) AS Merchant,
+                 lower({STRIP.format("Description")}) AS Description, ({AMOUNT}) > 12500 AS above_limit --more
           FROM (SELECT *, CAST(substr(TransactionID, 4) AS BIGINT) AS seq FROM raw) t
           WHERE ({AMOUNT}) IS NOT NULL AND TRY_STRPTIME(TransactionDate, '%Y-%m-%d') IS NOT NULL"""
 )
@@ -576,3 +584,120 @@ def j4_stream(spark, sf):
 
         runs.run_batches(stream, load, f"{root}/state")
     return released(spark, name)
+
+
+@register(
+    "J4_shipped_config",
+    RAW
+    + f"""SELECT TransactionID AS transaction_id, {AMOUNT} AS amount, Currency AS currency,
+                 TRY_STRPTIME(TransactionDate || ' ' || TransactionTime, '%Y-%m-%d %H:%M:%S') AS transaction_date,
+                 AccountNumber AS customer_id, lower({STRIP.format("coalesce(Merchant, '(no name)')")}) AS merchant_name,
+                 {AMOUNT} > 12500 AS above_limit
+          FROM raw
+          WHERE {AMOUNT} IS NOT NULL AND Currency IS NOT NULL
+            AND TRY_STRPTIME(TransactionDate || ' ' || TransactionTime, '%Y-%m-%d %H:%M:%S') IS NOT NULL""",
+)
+def j4_shipped(spark, sf):
+    """A nested configuration over files: archive, quarantine, bulk load, in two runs."""
+    raw = raw_orders(spark, sf).select(
+        F.col("TransactionID").alias("transaction_id"),
+        F.col("Amount").alias("amount"),
+        F.col("Currency").alias("currency"),
+        F.concat("TransactionDate", F.lit(" "), "TransactionTime").alias("transaction_date"),
+        F.col("AccountNumber").alias("customer_id"),
+        F.col("Merchant").alias("merchant_name"),
+    )
+    root, name = fresh_path(spark, "j4-shipped"), table_name("shipped")
+    text_column = {"type": "string", "required": True}
+    config = {
+        "pipeline_name": "records",
+        "extraction": {
+            "source_type": "file",
+            "file_source": {
+                "enabled": True,
+                "input_directory": f"{root}/input",
+                "processed_directory": f"{root}/archive",
+                "file_pattern": "*.csv",
+                "file_format": "csv",
+                "csv_options": {"delimiter": "|", "header": True, "encoding": "utf-8", **file_sinks.CSV_READ},
+            },
+        },
+        "transformation": {
+            "schema_validation": {
+                "enabled": True,
+                "expected_columns": [
+                    {"name": "transaction_id", **text_column},
+                    {"name": "amount", "type": "float", "required": True},
+                    {"name": "currency", **text_column},
+                    {
+                        "name": "transaction_date",
+                        "type": "datetime",
+                        "datetime_format": "%Y-%m-%d %H:%M:%S",
+                        "required": True,
+                    },
+                    {"name": "customer_id", **text_column},
+                    {"name": "merchant_name", "type": "string", "required": False},
+                ],
+            },
+            "cleaning_rules": {
+                "handle_missing_values": {
+                    "default_strategy": "drop_row",
+                    "column_strategies": {"merchant_name": "fill_constant", "merchant_name_fill_value": "(no name)"},
+                },
+                "normalize_text_fields": ["merchant_name", "description"],
+                "remove_duplicates": True,
+            },
+            "business_logic": {
+                "add_calculated_fields": [
+                    {"name": "above_limit", "condition_column": "amount", "condition_threshold": 12500.0}
+                ]
+            },
+            "staging_format": "parquet",
+            "staging_directory": f"{root}/staging/",
+        },
+        "loading": {
+            "destination_type": "database",
+            "database_destination": {
+                "enabled": True,
+                "schema": "default",
+                "target_table": name,
+                "load_method": "bulk",
+                "batch_size": 10_000,
+                "pre_load_sql": None,
+                "post_load_sql": [f"ANALYZE TABLE {name} COMPUTE STATISTICS"],
+                "path": f"{root}/table",
+            },
+        },
+        "performance": {"use_watermarking": True, "watermark_file_path": f"{root}/mark"},
+    }
+    halves = (raw.where("substring(transaction_id, -1) < '5'"), raw.where("substring(transaction_id, -1) >= '5'"))
+    for run, half in enumerate(halves):
+        file_sinks.write_csv(half, f"{root}/input", sep="|", mode="append")
+        jobs.run_pipeline(spark, config, f"run-{run}", raw.schema)
+    return released(spark, name)
+
+
+@register(
+    "Q2_quarantine",
+    RAW
+    + f"""SELECT TransactionID, Amount, TransactionDate,
+                 ({AMOUNT}) IS NULL AND Amount IS NOT NULL AS bad_amount,
+                 TransactionDate IS NOT NULL AND TRY_STRPTIME(TransactionDate, '%Y-%m-%d') IS NULL AS bad_date
+          FROM raw WHERE (({AMOUNT}) IS NULL AND Amount IS NOT NULL)
+             OR (TransactionDate IS NOT NULL AND TRY_STRPTIME(TransactionDate, '%Y-%m-%d') IS NULL)""",
+)
+def q2_quarantine(spark, sf):
+    """What a configured run sets aside."""
+    path = fresh_path(spark, "q2-quarantine")
+    records = landed_records(spark, sf)
+    kept = jobs.set_aside(records, TRANSFORMATION, path)
+    if kept.count() + spark.read.parquet(f"{path}/rows").count() != records.count():
+        raise AssertionError("every row is kept or set aside")
+    rules = F.col("failed_rules")
+    return files.read_staged(spark, f"{path}/rows").select(
+        "TransactionID",
+        "Amount",
+        "TransactionDate",
+        F.array_contains(rules, "Amount.type").alias("bad_amount"),
+        F.array_contains(rules, "TransactionDate.datetime_format").alias("bad_date"),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.plans.raw import RAW, raw_orders
 from ledgerloom.plans.registry import register, table, table_name
 from ledgerloom.session import fresh_path
 from ledgerloom.sinks import files as file_sinks, tables as table_sinks
@@ -22,6 +23,15 @@ def s1(spark, sf):
     return files.read_csv(spark, path, orders.schema, delimiter=";", **file_sinks.CSV_READ)
 
 
+@register("S1_line_ends", RAW + "SELECT TransactionID, Category, Description, Amount FROM raw")
+def s1_line_ends(spark, sf):
+    """Values with line ends, quotes and separators, in files of a bounded size."""
+    raw = raw_orders(spark, sf).select("TransactionID", "Category", "Description", "Amount")
+    path = fresh_path(spark, "s1-lines")
+    file_sinks.write_csv(raw, path, max_rows_per_file=file_sinks.STAGED_CSV_ROWS)
+    return files.read_csv(spark, path, raw.schema, multi_line=True, **file_sinks.CSV_READ)
+
+
 @register(
     "S2_csv_malformed",
     """WITH lines AS (
@@ -52,16 +62,18 @@ def s2(spark, sf):
     return split.good.unionByName(bad, allowMissingColumns=True)
 
 
-@register("S3_csv_chunks", EVENTS)
+@register("S3_csv_chunks", EVENTS.replace(" FROM", ", TRUE AS in_chunks FROM"))
 def s3(spark, sf):
     events = table(spark, sf, "events")
     source, out, state = (fresh_path(spark, n) for n in ("s3-source", "s3-out", "s3-state"))
-    file_sinks.write_csv(events, source, max_rows_per_file=100_000)
+    file_sinks.write_csv(events.coalesce(1), source, max_rows_per_file=-(-events.count() // 8))
     chunks = runs.read_file_stream(
-        spark, source, "csv", events.schema, max_files_per_batch=1_000, header=True, **file_sinks.CSV_READ
+        spark, source, "csv", events.schema, max_files_per_batch=3, header=True, **file_sinks.CSV_READ
     )
-    runs.run_to_files(chunks, out, state)
-    return files.read_staged(spark, out)
+    runs.run_batches(chunks, lambda df, number: df.write.mode("overwrite").parquet(f"{out}/chunk={number}"), state)
+    loaded = files.read_staged(spark, out)
+    several = loaded.select("chunk").distinct().count() > 1
+    return loaded.drop("chunk").withColumn("in_chunks", F.lit(several))
 
 
 @register("S4_json_documents", EVENTS)
@@ -72,6 +84,41 @@ def s4(spark, sf):
     return files.read_json_documents(spark, path, events.schema, **file_sinks.ISO_TIMES)
 
 
+PRICED = """
+    SELECT CASE WHEN o_orderkey % 20 > 0 THEN o_orderkey END AS o_orderkey,
+           CASE WHEN o_orderkey % 20 > 0 THEN o_orderstatus END AS o_orderstatus,
+           CASE WHEN o_orderkey % 20 > 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS price,
+           CASE WHEN o_orderkey % 20 = 0 THEN o_orderkey END AS set_aside
+    FROM orders
+"""
+
+
+def priced(spark, sf):
+    """Orders with a price, one in twenty of them a price that is no number."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    wrong = F.when(F.col("o_orderkey") % 20 == 0, "on request").otherwise(price)
+    return table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", wrong.alias("price"))
+
+
+def with_set_aside(split: files.SplitScan):
+    key = F.get_json_object("raw_text", "$.o_orderkey").cast("long")
+    return split.good.unionByName(split.quarantine.select(key.alias("set_aside")), allowMissingColumns=True)
+
+
+@register("S4_json_quarantine", PRICED)
+def s4_quarantine(spark, sf):
+    path = fresh_path(spark, "s4-bad")
+    file_sinks.write_json_arrays(priced(spark, sf), path)
+    return with_set_aside(files.read_json_split(spark, path, "o_orderkey long, o_orderstatus string, price double"))
+
+
+@register("S15_xml_quarantine", PRICED)
+def s15_quarantine(spark, sf):
+    path = fresh_path(spark, "s15-bad")
+    priced(spark, sf).write.format("xml").options(rowTag="order", rootTag="orders").save(path)
+    return with_set_aside(files.read_xml_split(spark, path, "order", "o_orderkey long, o_orderstatus string, price double"))
+
+
 @register("S5_staged_scan", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def s5(spark, sf):
     path = fresh_path(spark, "s5")
@@ -95,8 +142,9 @@ def s7(spark, sf):
     return files.read_directory(spark, root, "csv", "*.csv", events.schema, **file_sinks.CSV_READ)
 
 
-@register("S8_archived_files", ORDERS)
+@register("S8_archived_files", f"SELECT *, 2 AS held FROM ({ORDERS}) t")
 def s8(spark, sf):
+    """Every row is loaded once, and lies once in the archive or, from the last run, in the source folder."""
     orders = table(spark, sf, "orders")
     root = fresh_path(spark, "s8")
     settled = F.col("o_orderstatus") == "F"
@@ -106,7 +154,12 @@ def s8(spark, sf):
             spark, f"{root}/landing", "parquet", orders.schema, "*.parquet", archive_dir=f"{root}/archive"
         )
         runs.run_to_files(stream, f"{root}/loaded", f"{root}/state")
-    return files.read_staged(spark, f"{root}/loaded")
+    archived = spark.read.schema(orders.schema).option("recursiveFileLookup", True).parquet(f"{root}/archive")
+    left = spark.read.schema(orders.schema).parquet(f"{root}/landing")
+    if archived.isEmpty():
+        raise AssertionError("nothing was archived")
+    held = files.read_staged(spark, f"{root}/loaded").unionByName(archived).unionByName(left)
+    return held.groupBy(*orders.columns).agg(F.count(F.lit(1)).cast("int").alias("held"))
 
 
 @register(

@@ -27,22 +27,19 @@ def p1(spark, sf):
 
 
 TARGET = [
-    {"target_name": "Identifier", "source_column": "TransactionID", "dtype": "str", "required": True},
-    {"target_name": "Stamp", "source_column": "TransactionDate", "dtype": "datetime64[ns]"},
-    {"target_name": "MetricValue", "source_column": "Amount", "dtype": "float64"},
-    {"target_name": "ActiveFlag", "source_column": "IsActive", "dtype": "bool"},
-    {"target_name": "PointsText", "source_column": "Points", "dtype": "str"},
+    {"target_name": "points_text", "source_column": "Points", "dtype": "str"},
+    {"target_name": "open", "source_column": "IsActive", "dtype": "bool"},
+    {"target_name": "charged", "source_column": "Amount", "dtype": "float64"},
+    {"target_name": "order_ref", "source_column": "TransactionID", "dtype": "str", "required": True},
+    {"target_name": "placed", "source_column": "TransactionDate", "dtype": "datetime64[ns]"},
 ]
 
 
 @register(
     "P2_conform",
     RAW
-    + f"""SELECT TransactionID AS Identifier,
-                 TRY_STRPTIME(TransactionDate, '%Y-%m-%d') AS Stamp,
-                 {AMOUNT} AS MetricValue,
-                 {ACTIVE} AS ActiveFlag,
-                 CAST(Points AS VARCHAR) AS PointsText
+    + f"""SELECT CAST(Points AS VARCHAR) AS points_text, {ACTIVE} AS "open", {AMOUNT} AS charged,
+                 TransactionID AS order_ref, TRY_STRPTIME(TransactionDate, '%Y-%m-%d') AS placed
           FROM raw""",
 )
 def p2(spark, sf):
@@ -59,7 +56,7 @@ def p3(spark, sf):
     target = [
         {"target_name": "ID", "source_column": "o_orderkey", "dtype": "int64"},
         {"target_name": "MissingValue", "source_column": "nowhere", "dtype": "float64", "required": True},
-        {"target_name": "Notes", "source_column": "LegacyNotes", "dtype": "str"},
+        {"target_name": "Notes", "source_column": "old_remarks", "dtype": "str"},
         {"target_name": "SeenAt", "source_column": "seen", "dtype": "datetime64[ns]"},
     ]
     return shape.conform(table(spark, sf, "orders"), target).df
@@ -67,7 +64,7 @@ def p3(spark, sf):
 
 @register(
     "P4_schema_check",
-    "SELECT c_custkey AS CustomerID, c_name AS Name, c_acctbal AS Balance FROM customer",
+    "SELECT c_custkey AS CustomerID, c_name AS Name, c_acctbal AS Balance, 4 AS refused FROM customer",
 )
 def p4(spark, sf):
     target = [
@@ -76,7 +73,13 @@ def p4(spark, sf):
         {"target_name": "Balance", "source_column": "c_acctbal", "dtype": "float64"},
     ]
     shape.check_target_schema(target)
-    return shape.conform(table(spark, sf, "customer"), target).df
+    refused = 0
+    for bad in (target[0], ["c_custkey"], [{"target_name": "x", "dtype": "str"}], [{**target[0], "dtype": None}, target[1:]]):
+        try:
+            shape.check_target_schema(bad)
+        except ValueError:
+            refused += 1
+    return shape.conform(table(spark, sf, "customer"), target).df.withColumn("refused", F.lit(refused))
 
 
 @register(
