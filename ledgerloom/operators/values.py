@@ -148,6 +148,8 @@ def normalize_currency(
         rates = rate_table.toDF("code", "rate").select(
             F.upper("code").alias("__code"), F.col("rate").cast("double").alias("__rate")
         ).where(F.col("__code") != target)
+        # Written once: it is counted, measured and joined.
+        rates = written_table(rates, "rates")
         if not rates.groupBy("__code").count().where("count > 1").limit(1).isEmpty():
             raise ValueError("the rates hold a currency more than once")
         out = lookup_join(out.withColumn("__code", F.upper(currency)), rates, ["__code"])

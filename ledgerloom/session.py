@@ -43,9 +43,21 @@ def shared_dir(spark: SparkSession) -> str:
     return fresh
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder below the shared one that this application's intermediate tables go to."""
+    return f"{shared_dir(spark)}/ledgerloom/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote to its scratch folder. Frames that read from there end with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written_table(df: DataFrame, name: str) -> DataFrame:

@@ -77,7 +77,8 @@ def deduplicate_stream(
     A stream has no partial aggregation to thin out a hot key, so a first round
     works on the key and the input partition, folded to ``spread`` values: the
     copies of a hot key split over that many tasks, and the second round sees at
-    most ``spread`` of them. ``spread=1`` is a single round.
+    most ``spread`` of them. Every key pays for this with state in both rounds:
+    where no key is hot, ``spread=1`` is a single round with half the state.
     """
     if isinstance(stream.schema[event_time].dataType, T.TimestampNTZType):
         stream = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
