@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.session import written_table
@@ -130,16 +130,25 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     return keys.join(written_table(compared, "chunk-owners").hint("merge"), ["h0", "h1"])
 
 
+def dropped_numbers(places: list[dict]) -> set[int]:
+    """Which of a document's repeated passages go: all that another document keeps, and all but the first of its own."""
+    first: dict[tuple[int, int], int] = {}
+    for place in places:
+        key = (place["h0"], place["h1"])
+        first[key] = min(first.get(key, place["number"]), place["number"])
+    return {p["number"] for p in places if not (p["mine"] and first[(p["h0"], p["h1"])] == p["number"])}
+
+
 def cutting(doc: str):
-    """Put texts together again without the chunks listed in ``drop``."""
+    """Put texts together again without the repeated passages, listed in ``places``, that other places keep."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, dropped_lines, dropped_chunks = [], [], []
-            for text, drop in zip(batch.column(doc).to_pylist(), batch.column("drop").to_pylist()):
+            for text, places in zip(batch.column(doc).to_pylist(), batch.column("places").to_pylist()):
                 n_lines = n_chunks = 0
-                if text is not None and drop:
-                    gone = set(drop)
+                gone = dropped_numbers(places or [])
+                if text is not None and gone:
                     lines = text.encode("utf-8", "surrogatepass").split(b"\n")
                     ends, _ = chunk_ends(lines)
                     kept, begin = [], 0
@@ -153,7 +162,7 @@ def cutting(doc: str):
                 texts.append(text)
                 dropped_lines.append(n_lines)
                 dropped_chunks.append(n_chunks)
-            columns = {name: batch.column(name) for name in batch.schema.names if name != "drop"}
+            columns = {name: batch.column(name) for name in batch.schema.names if name != "places"}
             columns[doc] = pa.array(texts, batch.schema.field(doc).type)
             columns["removed_lines"] = pa.array(dropped_lines, pa.int64())
             columns["removed_chunks"] = pa.array(dropped_chunks, pa.int64())
@@ -172,26 +181,15 @@ def remove_repeated(docs: DataFrame, counts: bool = False) -> DataFrame:
     never touched. With ``counts``, ``removed_lines`` and ``removed_chunks`` are
     added behind the other columns.
     """
-    found = repeated_passages(docs)
-    first: Column = F.min("number")
-    # Per document and passage: where it stands, and which of these places go.
-    places = found.groupBy("k0", "k1", "h0", "h1", "owner").agg(
-        F.collect_list("number").alias("numbers"), first.alias("first")
-    )
-    drop = F.when(F.col("owner") == F.col("k0"), F.array_remove("numbers", F.col("first"))).otherwise(F.col("numbers"))
-    drops = (
-        places.select("k0", "k1", drop.alias("drop"))
-        .where(F.size("drop") > 0)
-        .groupBy("k0", "k1")
-        .agg(F.flatten(F.collect_list("drop")).alias("drop"))
-    )
+    place = F.struct("number", "h0", "h1", (F.col("owner") == F.col("k0")).alias("mine"))
+    # Straight to documents: a passage that very many share leaves its task before it is gathered.
+    places = repeated_passages(docs).groupBy("k0", "k1").agg(F.collect_list(place).alias("places"))
     rows = keyed(docs).drop("text")
     text = f"c{docs.columns.index('text')}"
-    # Rows of one document repeat only if the table repeats them; its places are then listed once per repeat.
-    joined = rows.join(written_table(drops, "chunk-drops").hint("merge"), ["k0", "k1"], "left")
+    joined = rows.join(written_table(places, "chunk-places").hint("merge"), ["k0", "k1"], "left")
     plain = [f"c{at}" for at in range(len(docs.columns))]
-    out = joined.select(*plain, "drop")
-    schema = out.drop("drop").schema.add("removed_lines", "long").add("removed_chunks", "long")
+    out = joined.select(*plain, "places")
+    schema = out.drop("places").schema.add("removed_lines", "long").add("removed_chunks", "long")
     cut = out.mapInArrow(cutting(text), schema)
     names = [*docs.columns, "removed_lines", "removed_chunks"]
     cut = cut.toDF(*names) if len(set(names)) == len(names) else cut.select(
