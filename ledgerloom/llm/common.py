@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, functions as F
 
 BLOCK_BYTES = 1 << 20
+STRETCH = 1 << 22
 _U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -71,11 +72,24 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans, read off one rolling polynomial over all bytes."""
-    up, down = _powers(len(data) + 1)
-    rolling = np.zeros(len(data) + 1, dtype=_U64)
-    np.cumsum((data.astype(_U64) + _U64(1)) * up[: len(data)], out=rolling[1:])
-    return mixed((rolling[ends] - rolling[starts]) * down[starts])
+    """64-bit hashes of byte spans, read off one rolling polynomial over all bytes.
+
+    ``starts`` rise. Long texts are gone through in stretches, so that the
+    polynomial's eight bytes per byte of text stay small; only a span longer
+    than a stretch makes a longer one.
+    """
+    out = np.empty(len(starts), dtype=_U64)
+    at = 0
+    while at < len(starts):
+        first = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, first + STRETCH, "right"))) if len(data) > STRETCH else len(starts)
+        last = int(ends[at:to].max())
+        piece, up, down = data[first:last], *_powers(last - first + 1)
+        rolling = np.zeros(len(piece) + 1, dtype=_U64)
+        np.cumsum((piece.astype(_U64) + _U64(1)) * up[: len(piece)], out=rolling[1:])
+        out[at:to] = (rolling[ends[at:to] - first] - rolling[starts[at:to] - first]) * down[starts[at:to] - first]
+        at = to
+    return mixed(out)
 
 
 def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
