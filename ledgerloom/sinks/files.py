@@ -5,6 +5,8 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerloom.functions.columns import column
+
 CODECS = ("snappy", "gzip", "brotli", "zstd", "lz4", "none")
 
 
@@ -75,9 +77,9 @@ def _epoch_times(df: DataFrame) -> DataFrame:
     new = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, T.TimestampType):
-            new[f.name] = F.unix_millis(F.col(f.name))
+            new[f.name] = F.unix_millis(column(f.name))
         elif isinstance(f.dataType, T.TimestampNTZType):
-            new[f.name] = F.timestamp_diff("MILLISECOND", start, F.col(f.name))
+            new[f.name] = F.timestamp_diff("MILLISECOND", start, column(f.name))
     return df.withColumns(new) if new else df
 
 
@@ -145,7 +147,7 @@ def write_partitioned(
     while the adaptive planner splits a value that holds very many rows.
     """
     writer = (
-        df.hint("rebalance", *partition_by)
+        df.hint("rebalance", *[column(p) for p in partition_by])
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
