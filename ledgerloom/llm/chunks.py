@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.operators.joins import lookup_join
+from ledgerloom.operators.joins import BROADCAST_ROWS, fits_broadcast
 from ledgerloom.session import written_table
 
 # Lines the rolling hash looks at, one end of chunk in so many lines, fewest and most lines in a chunk.
@@ -104,13 +104,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
+def repeated_passages(docs: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``k0, k1, number, h0, h1, owner``: every occurrence of a passage that repeats, with the id that keeps it.
 
-    Hashes are counted first. The bytes of those that repeat are then compared:
-    rows are counted by the chunk itself, in the map tasks before anything is
-    shuffled, so a very common passage moves once per task. Passages whose
-    hash is shared by different bytes are left alone.
+    The bytes of passages are compared by counting rows by the chunk itself, in
+    the map tasks before anything is shuffled, so a very common passage moves
+    once per task. While the hashes that repeat are few enough to broadcast, the
+    others leave before that; beyond ``most_rows`` all chunks are counted, to
+    the same result. Passages whose hash is shared by different bytes are left alone.
     """
     rows = keyed(docs).select("k0", "k1", "text")
     keys = written_table(rows.mapInArrow(listing(False), "k0 long, k1 long, number int, h0 long, h1 long"), "chunk-keys")
@@ -118,13 +119,14 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         keys.groupBy("h0", "h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h0", "h1"), "chunk-often"
     )
     texts = rows.mapInArrow(listing(True), "k0 long, k1 long, number int, h0 long, h1 long, chunk binary")
+    if fits_broadcast(often, most_rows):
+        texts = texts.join(F.broadcast(often), ["h0", "h1"], "left_semi")
     compared = (
-        lookup_join(texts.select("h0", "h1", "chunk", "k0"), often, ["h0", "h1"], "inner")
-        .groupBy("h0", "h1", "chunk")
+        texts.groupBy("h0", "h1", "chunk")
         .agg(F.count(F.lit(1)).alias("n"), F.min("k0").alias("owner"))
         .groupBy("h0", "h1")
-        .agg(F.count(F.lit(1)).alias("kinds"), F.min("owner").alias("owner"))
-        .where("kinds = 1")
+        .agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"), F.min("owner").alias("owner"))
+        .where("kinds = 1 AND n > 1")
         .select("h0", "h1", "owner")
     )
     return keys.join(written_table(compared, "chunk-owners").hint("merge"), ["h0", "h1"])

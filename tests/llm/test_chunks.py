@@ -34,6 +34,12 @@ def test_documents_against_dictionaries(spark):
     assert sum(map(len, want.values())) < docs.agg(F.sum(F.length("text"))).first()[0]
 
 
+def test_same_passages_without_a_broadcast(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    few, many = (sorted(map(tuple, chunks.repeated_passages(docs, n).collect())) for n in (0, 500_000))
+    assert few == many and few
+
+
 def test_passages_inside_other_text(spark):
     draw = random.Random(5)
 
