@@ -176,8 +176,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
 
     Files get fresh names and count only when listed, and the list is written by
     Spark: files of failed or repeated tasks are never listed. ``folder`` must
-    be reachable by every executor; by default it is a fresh one in the shared
-    folder. Repeated rows get a record each, an empty table no file.
+    be reachable by every executor; the default, for archives read back at
+    once, is a scratch folder in the shared one. Repeated rows get a record each, an empty table no file.
     """
     folder = folder or fresh_path(pages.sparkSession, "warc")
     rows = chunk_table(records(pages, least_bytes), chunk_bytes)
