@@ -94,6 +94,12 @@ def increment_path(target: str) -> str:
     return f"{target.rstrip('/')}/{INCREMENT}{uuid.uuid4().hex}"
 
 
+def discard_increment(spark: SparkSession, staged: str) -> None:
+    """Remove a folder whose files will not be published."""
+    system, path = _system(spark, staged)
+    system.delete(path(staged), True)
+
+
 def publish_increment(spark: SparkSession, staged: str, target: str) -> None:
     """Move the files written to ``staged`` into ``target``, at the same place below it.
 

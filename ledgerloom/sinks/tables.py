@@ -11,7 +11,13 @@ from ledgerloom.functions.columns import column
 from ledgerloom.operators.dedup import drop_duplicates
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.session import written_table
-from ledgerloom.sinks.store import drop_table, increment_path, place_of, publish_snapshot  # noqa: F401
+from ledgerloom.sinks.store import (  # noqa: F401
+    discard_increment,
+    drop_table,
+    increment_path,
+    place_of,
+    publish_snapshot,
+)
 from ledgerloom.sources.incremental import MarkedBatch, finish_pending, read_high_mark, since_mark
 
 logger = logging.getLogger(__name__)
@@ -275,6 +281,10 @@ def load_increment(
     batch.df.select(*_columns(target)).write.format(place.provider).options(**place.options).save(staged)
     if batch.unmarked:
         logger.warning("%s rows without a value in %s were left out", batch.unmarked, watermark_column)
+    if not batch.rows:
+        discard_increment(spark, staged)
+        spark.catalog.refreshTable(table)
+        return 0
     batch.commit(spark, state_path, name, run_id, staged, place.location)
     finish_pending(spark, state_path, name)
     spark.catalog.refreshTable(table)

@@ -92,20 +92,27 @@ def read_csv_split(
 NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType, T.BinaryType)
 
 
-def _split(reader: DataFrameReader, path, schema: T.StructType, options: dict) -> SplitScan:
+def _split(reader: DataFrameReader, path, schema: T.StructType, options: dict, variants: bool) -> SplitScan:
     """Rows that fit the schema, and the others as text.
 
-    Plain values are read as text and cast here, so that a value that does not
-    fit costs its row and not the document it stands in.
+    Plain values are read as they stand, as variants or as text, and cast here,
+    so that a value that does not fit costs its row and not the document it
+    stands in.
     """
     plain = [f for f in schema if not isinstance(f.dataType, NESTED)]
-    loose = [f if isinstance(f.dataType, NESTED) else T.StructField(f.name, T.StringType()) for f in schema]
+    other = T.VariantType() if variants else T.StringType()
+    kept = (*NESTED, T.StringType)
+    loose = [f if isinstance(f.dataType, kept) else T.StructField(f.name, other) for f in schema]
     rows = reader.schema(T.StructType([*loose, T.StructField(CORRUPT, T.StringType())])).load(path)
     formats = {T.TimestampType: "timestampFormat", T.TimestampNTZType: "timestampNTZFormat", T.DateType: "dateFormat"}
 
     def typed(field: T.StructField) -> Column:
-        text, kind = column(field.name), field.dataType
-        value = text.try_cast(kind)
+        given, kind = column(field.name), field.dataType
+        if isinstance(kind, T.StringType):
+            return given
+        name = kind.simpleString()
+        text = F.try_variant_get(given, "$", "string") if variants else given
+        value = F.try_variant_get(given, "$", name) if variants else text.try_cast(kind)
         pattern = options.get(formats.get(type(kind)))
         if pattern:
             value = F.coalesce(value, F.try_to_timestamp(text, F.lit(pattern)).cast(kind))
@@ -113,15 +120,23 @@ def _split(reader: DataFrameReader, path, schema: T.StructType, options: dict) -
             value = F.coalesce(value, text.try_cast("decimal(38,6)").try_cast(kind))
         return value
 
+    def given(field: T.StructField) -> Column:
+        there = column(field.name).isNotNull()
+        typeless = variants and not isinstance(field.dataType, T.StringType)
+        return there & ~F.is_variant_null(column(field.name)) if typeless else there
+
     # Every column is looked at, so the split is the same whatever is read from it.
-    bad = column(CORRUPT).isNotNull() | (F.xxhash64(*[column(f.name) for f in loose]).bitwiseAND(F.lit(1)) < 0)
+    looked_at = [typed(f) for f in plain]
+    looked_at += [column(f.name) for f in schema if isinstance(f.dataType, (T.StructType, T.ArrayType, T.BinaryType))]
+    bad = column(CORRUPT).isNotNull()
+    if looked_at:
+        bad = bad | (F.xxhash64(*looked_at).bitwiseAND(F.lit(1)) < 0)
     for field in plain:
-        bad = bad | (column(field.name).isNotNull() & typed(field).isNull())
-    nested = [column(f.name) for f in schema if isinstance(f.dataType, NESTED)]
-    order = {f.name: typed(f).alias(f.name) for f in plain} | dict(zip((f.name for f in schema if f not in plain), nested))
+        bad = bad | (given(field) & typed(field).isNull())
+    out = [typed(f).alias(f.name) if f in plain else column(f.name) for f in schema]
     raw = F.coalesce(column(CORRUPT), F.to_json(F.struct(*[column(f.name) for f in loose])))
     return SplitScan(
-        rows.where(~bad).select(*[order[f.name] for f in schema]),
+        rows.where(~bad).select(*out),
         rows.where(bad).select(raw.alias("raw_text"), F.col("_metadata.file_path").alias("source_file")),
     )
 
@@ -131,7 +146,8 @@ def read_json_split(
 ) -> SplitScan:
     """Objects that fit the schema, and as text those that do not, with documents or ``lines`` that do not parse."""
     reader = spark.read.format("json").options(multiLine=not lines, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-    return _split(reader.options(**options), path, _struct(schema), options)
+    # Variants, as Spark fetches numbers read as text from a document one by one.
+    return _split(reader.options(**options), path, _struct(schema), options, True)
 
 
 def read_json_documents(
@@ -162,7 +178,7 @@ def read_xml_split(
 ) -> SplitScan:
     """Elements of the given tag that fit the schema, and as text those that do not."""
     reader = spark.read.format("xml").option("rowTag", row_tag).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-    return _split(reader.options(**options), path, _struct(schema), options)
+    return _split(reader.options(**options), path, _struct(schema), options, False)
 
 
 def read_xml(
