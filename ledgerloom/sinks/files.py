@@ -19,7 +19,7 @@ CSV_READ = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
-STAGED_CSV_ROWS = 200_000
+STAGED_CSV_ROWS = 50_000
 
 
 def stage(df: DataFrame, path: str, staging_format: str = "parquet") -> DataFrame:
