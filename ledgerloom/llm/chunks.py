@@ -4,6 +4,11 @@ A rolling hash over the hashes of neighbouring lines says where a chunk ends, so
 a passage falls into the same chunks wherever it stands. A line as long as a
 passage is a chunk of its own. Chunks of several lines, and such long lines, that
 occur more than once in the corpus stay where they occur first and go elsewhere.
+
+A passage of a few lines may fall into chunks mixed with its neighbours. Besides
+the chunks, the shortest runs of lines that reach ``PASSAGE_WORDS`` from each line
+on, and back from each line, are looked up; they follow from the lines alone, and
+any longer run of equal lines is covered by those inside it.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ FEWEST_LINES = 2
 MOST_LINES = 64
 # A line of so many words is a passage by itself.
 LONG_LINE_WORDS = 40
+# Equal lines in a row are a passage from so many words on, wherever chunks end.
+PASSAGE_WORDS = 50
 
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -68,32 +75,88 @@ def passages_of(text: str | None) -> Iterator[tuple[int, bytes]]:
         begin = end
 
 
-def _halves(chunk: bytes) -> tuple[int, int]:
-    digest = np.frombuffer(xxhash.xxh3_128_digest(chunk), np.int64)
+def shortest_runs(lines: list[bytes]) -> set[tuple[int, int]]:
+    """Runs of lines (begin, end) with ``PASSAGE_WORDS`` words that lose them without their first or their last line."""
+    counts = [len(line.split()) for line in lines]
+    said = [at for at, n in enumerate(counts) if n]
+    runs, words, first = set(), 0, 0
+    for at in said:
+        # The shortest run that ends here.
+        words += counts[at]
+        while words - counts[said[first]] >= PASSAGE_WORDS:
+            words -= counts[said[first]]
+            first += 1
+        if words >= PASSAGE_WORDS:
+            runs.add((said[first], at + 1))
+    words, last = 0, 0
+    for at in said:
+        # The shortest run that begins here.
+        while last < len(said) and words < PASSAGE_WORDS:
+            words += counts[said[last]]
+            last += 1
+        if words < PASSAGE_WORDS:
+            break
+        runs.add((at, said[last - 1] + 1))
+        words -= counts[at]
+    return runs
+
+
+def spans_of(lines: list[bytes], runs: bool) -> list[tuple[int, int]]:
+    """Where passages stand: the chunks that count as such, and with ``runs`` the shortest runs of lines."""
+    ends, passages = chunk_ends(lines)
+    spans = {span for span, passage in zip(zip([0, *ends], ends), passages) if passage}
+    return sorted(spans | shortest_runs(lines) if runs else spans)
+
+
+def _halves(digests: list[bytes]) -> tuple[int, int]:
+    digest = np.frombuffer(xxhash.xxh3_128_digest(b"".join(digests)), np.int64)
     return int(digest[0]), int(digest[1])
 
 
-def listing(with_text: bool):
+def listing(with_text: bool, runs: bool):
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * with_text
-        names = ["k0", "k1", "number", "h0", "h1"] + ["chunk"] * with_text
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * with_text
+        names = ["k0", "k1", "begin", "end", "h0", "h1"] + ["chunk"] * with_text
         for batch in batches:
             rows: list[tuple] = []
             size = 0
             ids, keys = batch.column("k0").to_pylist(), batch.column("k1").to_pylist()
             for k0, k1, text in zip(ids, keys, batch.column("text")):
-                for number, chunk in passages_of(text.as_py()):
-                    rows.append((k0, k1, number, *_halves(chunk)) + ((chunk,) if with_text else ()))
-                    size += len(chunk)
-                if with_text and size > 1 << 24 or len(rows) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-                    rows, size = [], 0
+                if not text.is_valid:
+                    continue
+                lines = text.as_py().encode("utf-8", "surrogatepass").split(b"\n")
+                digests = [xxhash.xxh3_128_digest(line) for line in lines]
+                for begin, end in spans_of(lines, runs):
+                    chunk = (b"\n".join(lines[begin:end]),) if with_text else ()
+                    rows.append((k0, k1, begin, end, *_halves(digests[begin:end]), *chunk))
+                    size += sum(map(len, chunk))
+                    if size > 1 << 24 or len(rows) > 50_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+                        rows, size = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     return listed
 
 
+def quoting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of the passages listed in ``places``."""
+    types, names = [pa.int64(), pa.int64(), pa.binary()], ["h0", "h1", "chunk"]
+    for batch in batches:
+        for text, places in zip(batch.column("text"), batch.column("places")):
+            lines = text.as_py().encode("utf-8", "surrogatepass").split(b"\n")
+            rows: list[tuple] = []
+            size = 0
+            for place in places.as_py():
+                rows.append((place["h0"], place["h1"], b"\n".join(lines[place["begin"] : place["end"]])))
+                size += len(rows[-1][2])
+                if size > 1 << 24:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+                    rows, size = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with plain column names and the two row keys; null ids sort last as the largest long."""
     plain = docs.toDF(*[f"c{at}" for at in range(len(docs.columns))])
@@ -104,41 +167,47 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_passages(docs: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``k0, k1, number, h0, h1, owner``: every occurrence of a passage that repeats, with the id that keeps it.
+def repeated_passages(docs: DataFrame, most_rows: int = BROADCAST_ROWS, runs: bool = False) -> DataFrame:
+    """``k0, k1, begin, end, h0, h1, owner``: every place of a passage that repeats, with the id that keeps it.
 
-    The bytes of passages are compared by counting rows by the chunk itself, in
+    The bytes of passages are compared by counting rows by the passage itself, in
     the map tasks before anything is shuffled, so a very common passage moves
     once per task. While the hashes that repeat are few enough to broadcast, the
-    others leave before that; beyond ``most_rows`` all chunks are counted, to
-    the same result. Passages whose hash is shared by different bytes are left alone.
+    others leave before that; beyond ``most_rows`` documents get the places of
+    theirs by a shuffle, to the same result. Passages whose hash is shared by
+    different bytes are left alone.
     """
     rows = keyed(docs).select("k0", "k1", "text")
-    keys = written_table(rows.mapInArrow(listing(False), "k0 long, k1 long, number int, h0 long, h1 long"), "chunk-keys")
-    often = written_table(
-        keys.groupBy("h0", "h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h0", "h1"), "chunk-often"
-    )
-    texts = rows.mapInArrow(listing(True), "k0 long, k1 long, number int, h0 long, h1 long, chunk binary")
-    if fits_broadcast(often, most_rows):
-        texts = texts.join(F.broadcast(often), ["h0", "h1"], "left_semi")
-    compared = (
-        texts.groupBy("h0", "h1", "chunk")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("k0").alias("owner"))
-        .groupBy("h0", "h1")
-        .agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"), F.min("owner").alias("owner"))
-        .where("kinds = 1 AND n > 1")
-        .select("h0", "h1", "owner")
+    schema = "k0 long, k1 long, begin int, end int, h0 long, h1 long"
+    keys = written_table(rows.mapInArrow(listing(False, runs), schema), "chunk-keys")
+    counted = keys.groupBy("h0", "h1").agg(F.count(F.lit(1)).alias("n"), F.min("k0").alias("owner")).where("n > 1")
+    often = written_table(counted.select("h0", "h1", "owner"), "chunk-often")
+    hashes = often.select("h0", "h1")
+    if fits_broadcast(hashes, most_rows):
+        texts = rows.mapInArrow(listing(True, runs), schema + ", chunk binary")
+        texts = texts.join(F.broadcast(hashes), ["h0", "h1"], "left_semi")
+    else:
+        found = keys.join(hashes.hint("merge"), ["h0", "h1"])
+        places = found.groupBy("k0", "k1").agg(F.collect_list(F.struct("begin", "end", "h0", "h1")).alias("places"))
+        texts = rows.join(places.hint("merge"), ["k0", "k1"]).select("text", "places")
+        texts = texts.mapInArrow(quoting, "h0 long, h1 long, chunk binary")
+    different = (
+        texts.groupBy("h0", "h1", "chunk").agg(F.lit(1).alias("kind")).groupBy("h0", "h1").agg(F.count("kind").alias("kinds"))
     )
+    compared = often.join(different.where("kinds = 1"), ["h0", "h1"]).select("h0", "h1", "owner")
     return keys.join(written_table(compared, "chunk-owners").hint("merge"), ["h0", "h1"])
 
 
-def dropped_numbers(places: list[dict]) -> set[int]:
-    """Which of a document's repeated passages go: all that another document keeps, and all but the first of its own."""
+def dropped_spans(places: list[dict]) -> list[tuple[int, int]]:
+    """Which of a document's repeated passages go: all that another document keeps, and its own behind the first."""
     first: dict[tuple[int, int], int] = {}
-    for place in places:
-        key = (place["h0"], place["h1"])
-        first[key] = min(first.get(key, place["number"]), place["number"])
-    return {p["number"] for p in places if not (p["mine"] and first[(p["h0"], p["h1"])] == p["number"])}
+    gone = []
+    for place in sorted(places, key=lambda p: p["begin"]):
+        # A place that overlaps the first one is no copy of it.
+        kept_to = first.setdefault((place["h0"], place["h1"]), place["end"])
+        if not place["mine"] or place["begin"] >= kept_to:
+            gone.append((place["begin"], place["end"]))
+    return gone
 
 
 def cutting(doc: str):
@@ -149,17 +218,17 @@ def cutting(doc: str):
             texts, dropped_lines, dropped_chunks = [], [], []
             for text, places in zip(batch.column(doc).to_pylist(), batch.column("places").to_pylist()):
                 n_lines = n_chunks = 0
-                gone = dropped_numbers(places or [])
-                if text is not None and gone:
+                spans = dropped_spans(places or [])
+                if text is not None and spans:
                     lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+                    gone = np.zeros(len(lines) + 1, np.int64)
+                    np.add.at(gone, [begin for begin, _ in spans], 1)
+                    np.add.at(gone, [end for _, end in spans], -1)
+                    gone = np.cumsum(gone)[:-1] > 0
                     ends, _ = chunk_ends(lines)
-                    kept, begin = [], 0
-                    for number, end in enumerate(ends):
-                        if number in gone:
-                            n_lines, n_chunks = n_lines + end - begin, n_chunks + 1
-                        else:
-                            kept += lines[begin:end]
-                        begin = end
+                    n_lines = int(gone.sum())
+                    n_chunks = int(np.logical_or.reduceat(gone, [0, *ends[:-1]]).sum())
+                    kept = [line for line, cut_out in zip(lines, gone.tolist()) if not cut_out]
                     text = b"\n".join(kept).decode("utf-8", "surrogatepass")
                 texts.append(text)
                 dropped_lines.append(n_lines)
@@ -173,19 +242,22 @@ def cutting(doc: str):
     return cut
 
 
-def remove_repeated(docs: DataFrame, counts: bool = False) -> DataFrame:
+def remove_repeated(docs: DataFrame, counts: bool = False, runs: bool = False) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; all rows and columns stay.
 
     A passage stays once, in the rows with the smallest doc_id that hold it (a
     null id comes last) and there at its first place. Rows that share a doc_id
     count as one document in this, so identical rows stay identical. Null texts
-    stay null, empty ones empty; a text may become empty. Short single lines are
-    never touched. With ``counts``, ``removed_lines`` and ``removed_chunks`` are
+    stay null, empty ones empty; a text may become empty. With ``runs``,
+    as op7_line_chunks has it, runs of equal lines that have ``PASSAGE_WORDS``
+    go besides the chunks, wherever chunks end; without, whole chunks alone.
+    Other short single lines are never touched. With ``counts``,
+    ``removed_lines`` and ``removed_chunks``, the chunks that lost a line, are
     added behind the other columns.
     """
-    place = F.struct("number", "h0", "h1", (F.col("owner") == F.col("k0")).alias("mine"))
+    place = F.struct("begin", "end", "h0", "h1", (F.col("owner") == F.col("k0")).alias("mine"))
     # Straight to documents: a passage that very many share leaves its task before it is gathered.
-    places = repeated_passages(docs).groupBy("k0", "k1").agg(F.collect_list(place).alias("places"))
+    places = repeated_passages(docs, runs=runs).groupBy("k0", "k1").agg(F.collect_list(place).alias("places"))
     rows = keyed(docs).drop("text")
     text = f"c{docs.columns.index('text')}"
     joined = rows.join(written_table(places, "chunk-places").hint("merge"), ["k0", "k1"], "left")

@@ -101,7 +101,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op7_line_chunks")
 def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = chunks.remove_repeated(table(spark, sf_dir, "documents"), counts=True)
+    kept = chunks.remove_repeated(table(spark, sf_dir, "documents"), counts=True, runs=True)
     return kept.select(
         "doc_id",
         "removed_lines",

@@ -90,3 +90,46 @@ def test_equal_rows_stay_equal(spark):
     rows = sorted((r["doc_id"] or 99, r["text"]) for r in chunks.remove_repeated(df).collect())
     assert rows[0] == rows[1] and rows[2][1] == rows[3][1]
     assert len(rows[2][1]) < len(text)
+
+
+def equal_runs(docs):
+    """Lines that a search of all runs of ``PASSAGE_WORDS`` finds again in an earlier document, or earlier in their own."""
+    texts = [text.split("\n") for _, text in sorted(docs)]
+    gone = [set() for _ in texts]
+    for n, lines in enumerate(texts):
+        for m in range(n + 1):
+            for i in range(len(lines)):
+                for j in range(len(texts[m]) if m < n else i):
+                    words = size = 0
+                    while i + size < len(lines) and j + size < (len(texts[m]) if m < n else i) and lines[i + size] == texts[m][j + size]:
+                        words += len(lines[i + size].split())
+                        size += 1
+                    if words >= chunks.PASSAGE_WORDS:
+                        gone[n].update(range(i, i + size))
+    return [[line for k, line in enumerate(lines) if k not in gone[n]] for n, lines in enumerate(texts)]
+
+
+def test_short_passages_against_all_equal_runs(spark):
+    draw = random.Random(11)
+
+    def lines(count, words):
+        cuts = [0, *sorted(draw.sample(range(1, words), count - 1)), words]
+        return [" ".join(f"w{draw.randrange(10**6)}" for _ in range(b - a)) for a, b in zip(cuts, cuts[1:])]
+
+    passages = [p for n in range(2, 9) for p in (lines(n, draw.randrange(51, 101)) for _ in range(8)) if max(len(x.split()) for x in p) < 40]
+    docs, foreign = [], lambda: lines(3, 24)
+    for n in range(60):
+        text = foreign()
+        for passage in draw.sample(passages, 4):
+            text += passage + foreign()
+        docs.append((n, "\n".join(text)))
+    docs.append((60, "\n".join(passages[0] + foreign() + passages[0])))
+    # The same line over and over: one passage of it stays.
+    docs.append((61, "\n".join(["w0 w1 w2 w3 w4 w5 w6 w7 w8 w9"] * 40)))
+    want = equal_runs(docs[:61])
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"].split("\n") for r in chunks.remove_repeated(df, runs=True).collect()}
+    assert [got[n] for n in range(61)] == want
+    assert len(got[61]) <= 5 and sum(map(len, want)) < sum(text.count("\n") + 1 for _, text in docs[:61])
+    few, many = (sorted(map(tuple, chunks.repeated_passages(df, n, runs=True).collect())) for n in (0, 500_000))
+    assert few == many and few
