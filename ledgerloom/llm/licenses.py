@@ -1,14 +1,16 @@
-"""License statements in documents, by winnowed fingerprints and banded alignment.
+"""License statements in documents, by an index of template tokens and banded alignment.
 
-Templates and documents are winnowed alike: of every ``WINDOW`` neighbouring hashes
-of ``GRAM`` tokens the smallest is a fingerprint, so a shared run of
-``GRAM + WINDOW - 1`` tokens shares one. An inverted index of the templates'
-fingerprints gives candidates with the offset at which they would stand; a banded
-alignment then finds which tokens of the template are there.
+A statement may miss a fixed number of its template's tokens, so of one token more
+than that at least one is there, whatever was put between them. An inverted index of
+so many tokens of each template, the rarest by their looks, gives candidates with the
+offset at which they would stand; where enough tokens of the template are near, a
+banded alignment finds which of them are there.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,11 +18,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import blocks, grams, joined, lowered, tokens
+from ledgerloom.llm.common import blocks, joined, lowered, tokens
 
-GRAM = 3
-WINDOW = 3
+FEWEST_TOKENS = 5
 COVERAGE = 0.8
+# Words not looked up as long as others do; only the speed hangs on them.
+COMMON = frozenset(b"a and any as at be but by files for from in is it may not of on or other person such that the this to under use with without work you".split())
 
 # Statements as their licenses word them.
 TEMPLATES: dict[str, str] = {
@@ -53,39 +56,42 @@ TEMPLATES: dict[str, str] = {
 
 @dataclass
 class Index:
-    """Tokens of every template, and their fingerprints in order of hash."""
+    """Tokens of every template, how many a statement needs, and those looked up in order of hash."""
 
     names: list[str]
     hashes: list[np.ndarray]
-    prints: np.ndarray
+    needed: list[int]
+    keys: np.ndarray
     template: np.ndarray
     place: np.ndarray
 
 
-def winnowed(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Positions of the fingerprints: the rightmost smallest hash of every window."""
-    if not len(hashes):
-        return np.zeros(0, np.int64)
-    if len(hashes) <= window:
-        return np.array([len(hashes) - 1 - int(np.argmin(hashes[::-1]))])
-    views = np.lib.stride_tricks.sliding_window_view(hashes, window)[:, ::-1]
-    return np.unique(np.arange(len(views)) + window - 1 - views.argmin(axis=1))
-
-
-def index_templates(templates: dict[str, str]) -> Index:
-    hashes = [tokens(joined([text.lower().encode()])[0])[2] for text in templates.values()]
-    short = [name for name, found in zip(templates, hashes) if len(found) < GRAM + WINDOW - 1]
+def index_templates(templates: dict[str, str], coverage: float = COVERAGE) -> Index:
+    hashes, needed, keys, template, place = [], [], [], [], []
+    short = []
+    for number, (name, text) in enumerate(templates.items()):
+        data = joined([text.lower().encode()])[0]
+        begin, end, found = tokens(data)
+        if len(found) < FEWEST_TOKENS:
+            short.append(name)
+            continue
+        hashes.append(found)
+        needed.append(max(1, math.ceil(coverage * len(found) - 1e-9)))
+        raw = [data[a:b].tobytes() for a, b in zip(begin, end)]
+        rare = sorted(range(len(raw)), key=lambda at: (raw[at] in COMMON, -len(raw[at]), at))
+        # Missing all of these, a statement would miss one token too many.
+        looked_up = rare[: len(found) - needed[-1] + 1]
+        keys += found[looked_up].tolist()
+        template += [number] * len(looked_up)
+        place += looked_up
     if short:
-        raise ValueError(f"templates of fewer than {GRAM + WINDOW - 1} tokens: {', '.join(short)}")
-    each = [grams(found, GRAM) for found in hashes]
-    places = [winnowed(found) for found in each]
-    prints = np.concatenate([found[at] for found, at in zip(each, places)])
-    template = np.repeat(np.arange(len(each)), [len(at) for at in places])
-    order = np.argsort(prints, kind="stable")
-    return Index(list(templates), hashes, prints[order], template[order], np.concatenate(places)[order])
+        raise ValueError(f"templates of fewer than {FEWEST_TOKENS} tokens: {', '.join(short)}")
+    keys = np.array(keys, np.uint64)
+    order = np.argsort(keys, kind="stable")
+    return Index(list(templates), hashes, needed, keys[order], np.array(template)[order], np.array(place)[order])
 
 
-def align(template: np.ndarray, doc: np.ndarray, offset: int, band: int) -> list[tuple[int, int]]:
+def align(template: np.ndarray | list, doc: np.ndarray | list, offset: int, band: int) -> list[tuple[int, int]]:
     """Pairs (template token, document token) of the best alignment near a diagonal.
 
     Most equal tokens count first, then the fewest gaps between them. Cells off
@@ -125,38 +131,65 @@ def align(template: np.ndarray, doc: np.ndarray, offset: int, band: int) -> list
     return pairs[::-1]
 
 
-def find(doc: np.ndarray, index: Index, coverage: float = COVERAGE) -> list[tuple[int, float, list[tuple[int, int]]]]:
-    """(template, covered share, runs of matched document tokens) of every statement, best first where they overlap."""
-    each = grams(doc, GRAM)
-    at = winnowed(each)
-    low, high = np.searchsorted(index.prints, each[at], "left"), np.searchsorted(index.prints, each[at], "right")
-    hit = np.flatnonzero(high > low)
+def offsets_of(diagonals: np.ndarray, doc: np.ndarray, wanted: np.ndarray, needed: int, band: int) -> np.ndarray:
+    """Offsets whose band holds a looked-up token and has enough tokens of the template near."""
+    inside = np.zeros(len(doc) + 1, np.int64)
+    np.cumsum(np.isin(doc, wanted), out=inside[1:])
+    found = [np.zeros(0, np.int64)]
+    for at in range(-band, band + 1):
+        offsets = diagonals + at
+        low, high = np.clip(offsets - band, 0, len(doc)), np.clip(offsets + len(wanted) + band, 0, len(doc))
+        found.append(offsets[inside[high] - inside[low] >= needed])
+    return np.unique(np.concatenate(found))
+
+
+def find(doc: np.ndarray, index: Index) -> list[tuple[int, float, list[tuple[int, int]]]]:
+    """(template, covered share, runs of matched document tokens) of every statement, best first.
+
+    Every place where an alignment within a band has the tokens a statement
+    needs is reported, or shares a token with a better one of its template.
+    """
+    low, high = np.searchsorted(index.keys, doc, "left"), np.searchsorted(index.keys, doc, "right")
     candidates: dict[int, list[int]] = {}
-    for number in hit.tolist():
+    for number in np.flatnonzero(high > low).tolist():
         for found in range(int(low[number]), int(high[number])):
-            candidates.setdefault(int(index.template[found]), []).append(int(at[number] - index.place[found]))
+            candidates.setdefault(int(index.template[found]), []).append(number - int(index.place[found]))
     statements = []
-    for template, offsets in candidates.items():
-        wanted = index.hashes[template]
+    for template, diagonals in candidates.items():
+        wanted, needed = index.hashes[template], index.needed[template]
         band = max(4, len(wanted) // 5)
-        last = None
-        for offset in sorted(set(offsets)):
-            # Offsets within half a band of each other are looked at once.
-            if last is not None and offset - last <= band // 2:
-                continue
-            last = offset
+        offsets = offsets_of(np.unique(diagonals), doc, wanted, needed, band).tolist()
+        if not offsets:
+            continue
+        counts, votes = Counter(wanted.tolist()), Counter(diagonals)
+        # Tokens that belong to a statement are None from then on.
+        free: list = doc.tolist()
+        tokens_wanted = wanted.tolist()
+
+        def most(offset: int) -> int:
+            near = Counter(token for token in free[max(0, offset - band) : offset + len(wanted) + band] if token in counts)
+            return sum(min(n, counts[token]) for token, n in near.items())
+
+        def aligned(offset: int) -> tuple[list[int], int]:
             begin = max(0, offset - band)
-            window = doc[begin : offset + len(wanted) + band + 1]
-            pairs = align(wanted, window, offset - begin, band)
-            if len(pairs) >= coverage * len(wanted):
-                statements.append((template, len(pairs) / len(wanted), [begin + j for _, j in pairs]))
+            window = free[begin : max(0, offset + len(wanted) + band + 1)]
+            pairs = align(tokens_wanted, window, offset - begin, band)
+            diagonal = [begin + j - i for i, j in pairs]
+            return [begin + j for _, j in pairs], (min(diagonal) + max(diagonal)) // 2 if pairs else offset
+
+        for _, _, offset in sorted((-most(offset), -votes[offset], offset) for offset in offsets):
+            while most(offset) >= needed:
+                places, middle = aligned(offset)
+                if len(places) < needed:
+                    break
+                if middle != offset:
+                    places = max(places, aligned(middle)[0], key=len)
+                statements.append((template, len(places) / len(wanted), places))
+                for at in places:
+                    free[at] = None
     statements.sort(key=lambda s: (-s[1], -len(s[2]), s[2][0], s[0]))
-    taken: dict[int, set[int]] = {}
     out = []
     for template, share, places in statements:
-        if taken.setdefault(template, set()) & set(places):
-            continue
-        taken[template] |= set(places)
         breaks = [k for k in range(1, len(places)) if places[k] != places[k - 1] + 1]
         edges = [0, *breaks, len(places)]
         out.append((template, share, [(places[a], places[b - 1]) for a, b in zip(edges, edges[1:])]))
@@ -166,7 +199,7 @@ def find(doc: np.ndarray, index: Index, coverage: float = COVERAGE) -> list[tupl
 HITS = "array<struct<license: string, coverage: double, begin: int, end: int, spans: array<struct<begin: int, end: int>>>>"
 
 
-def scanning(index: Index, coverage: float):
+def scanning(index: Index):
     span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
     hit = pa.list_(
         pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("begin", pa.int32()), ("end", pa.int32()), ("spans", span)])
@@ -178,19 +211,17 @@ def scanning(index: Index, coverage: float):
             for _, raws in blocks(lowered(batch.column("text").to_pylist())):
                 data, starts = joined(raws)
                 begin, end, hashes = tokens(data)
-                every = grams(hashes, GRAM)
-                place = np.minimum(np.searchsorted(index.prints, every), len(index.prints) - 1)
-                known = np.zeros(len(hashes) + 1, np.int64)
-                known[1 : len(every) + 1] = index.prints[place] == every
-                hits = np.cumsum(known)
+                place = np.minimum(np.searchsorted(index.keys, hashes), len(index.keys) - 1)
+                hits = np.zeros(len(hashes) + 1, np.int64)
+                np.cumsum(index.keys[place] == hashes, out=hits[1:])
                 first = np.searchsorted(begin, starts)
                 for row in range(len(raws)):
                     a, b = int(first[row]), int(first[row + 1])
-                    if hits[max(a, b - GRAM + 1)] == hits[a]:
+                    if hits[b] == hits[a]:
                         found.append([])
                         continue
                     rows = []
-                    for template, share, places in find(hashes[a:b], index, coverage):
+                    for template, share, places in find(hashes[a:b], index):
                         spans = [(int(begin[a + x] - starts[row]), int(end[a + y] - starts[row])) for x, y in places]
                         rows.append(
                             {
@@ -220,6 +251,6 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float
     job; documents are not shuffled.
     """
     kind = docs.select("doc_id").schema["doc_id"].dataType.simpleString()
-    index = index_templates(templates)
-    found = docs.select("doc_id", "text").mapInArrow(scanning(index, coverage), f"doc_id {kind}, hits {HITS}")
+    index = index_templates(templates, coverage)
+    found = docs.select("doc_id", "text").mapInArrow(scanning(index), f"doc_id {kind}, hits {HITS}")
     return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")

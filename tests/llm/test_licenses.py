@@ -53,3 +53,47 @@ def test_short_templates_are_refused():
 def test_awkward_rows(awkward, nothing):
     assert licenses.scan(awkward).count() == 0 and licenses.scan(nothing).count() == 0
     assert licenses.scan(awkward).columns == ["doc_id", "license", "coverage", "begin", "end", "spans"]
+
+
+def all_alignments(doc, index):
+    """Document tokens of every alignment that has the coverage, of every template at every offset."""
+    for number, wanted in enumerate(index.hashes):
+        band = max(4, len(wanted) // 5)
+        for offset in range(-len(wanted) - band, len(doc) + band):
+            begin = max(0, offset - band)
+            pairs = licenses.align(wanted, doc[begin : max(0, offset + len(wanted) + band + 1)], offset - begin, band)
+            if len(pairs) >= licenses.COVERAGE * len(wanted):
+                yield number, {begin + j for _, j in pairs}
+
+
+def test_changed_statements_against_aligning_everywhere():
+    templates = {name: text for name, text in licenses.TEMPLATES.items() if len(text) < 200}
+    index = licenses.index_templates(templates)
+    draw = np.random.default_rng(4)
+    found = changed = 0
+    for _ in range(60):
+        doc = draw.integers(1, 1 << 60, 8).tolist()
+        for number in draw.integers(0, len(templates), 2):
+            tokens = index.hashes[number].tolist()
+            for _ in range(int(draw.integers(0, 1 + len(tokens) // 4))):
+                at, kind = int(draw.integers(len(tokens))), draw.integers(4)
+                tokens[at : at + (kind > 0)] = [] if kind == 1 else draw.integers(1, 1 << 60, 1).tolist()
+            doc += tokens + draw.integers(1, 1 << 60, int(draw.integers(0, 6))).tolist()
+        doc = np.array(doc, np.uint64)
+        got = [(t, {k for a, b in runs for k in range(a, b + 1)}) for t, share, runs in licenses.find(doc, index)]
+        for number, places in all_alignments(doc, index):
+            assert any(t == number and places & own for t, own in got)
+            found, changed = found + 1, changed + (len(places) < len(index.hashes[number]))
+        assert all(any(t == n and own & p for n, p in all_alignments(doc, index)) for t, own in got)
+    assert found > changed > 50
+
+
+def test_one_word_replaced_anywhere(spark):
+    docs, want = [], set()
+    for name in ("MIT-line", "CC-BY-NC-4.0-line", "Apache-2.0-line"):
+        words = re.findall("[A-Za-z0-9]+", licenses.TEMPLATES[name])
+        for at in range(len(words)):
+            want.add((len(docs), name))
+            docs.append((len(docs), "Head of it. " + " ".join([*words[:at], "quux", *words[at + 1 :]]) + " tail"))
+    rows = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert want <= {(r["doc_id"], r["license"]) for r in rows}
