@@ -188,7 +188,7 @@ def repeated_passages(docs: DataFrame, most_rows: int = BROADCAST_ROWS, runs: bo
         texts = texts.join(F.broadcast(hashes), ["h0", "h1"], "left_semi")
     else:
         found = keys.join(hashes.hint("merge"), ["h0", "h1"])
-        places = found.groupBy("k0", "k1").agg(F.collect_list(F.struct("begin", "end", "h0", "h1")).alias("places"))
+        places = found.groupBy("k0", "k1").agg(F.collect_set(F.struct("begin", "end", "h0", "h1")).alias("places"))
         texts = rows.join(places.hint("merge"), ["k0", "k1"]).select("text", "places")
         texts = texts.mapInArrow(quoting, "h0 long, h1 long, chunk binary")
     different = (
@@ -256,8 +256,9 @@ def remove_repeated(docs: DataFrame, counts: bool = False, runs: bool = False) -
     added behind the other columns.
     """
     place = F.struct("begin", "end", "h0", "h1", (F.col("owner") == F.col("k0")).alias("mine"))
-    # Straight to documents: a passage that very many share leaves its task before it is gathered.
-    places = repeated_passages(docs, runs=runs).groupBy("k0", "k1").agg(F.collect_list(place).alias("places"))
+    # Straight to documents: a passage that very many share leaves its task before it is gathered. Rows equal in id and
+    # text have the same places, which count once.
+    places = repeated_passages(docs, runs=runs).groupBy("k0", "k1").agg(F.collect_set(place).alias("places"))
     rows = keyed(docs).drop("text")
     text = f"c{docs.columns.index('text')}"
     joined = rows.join(written_table(places, "chunk-places").hint("merge"), ["k0", "k1"], "left")

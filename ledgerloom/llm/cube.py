@@ -6,6 +6,8 @@ the cube method: the probabilities of three documents at a time move along the
 direction that changes neither the words nor the number of documents to be taken,
 until one of them is 0 or 1. At most two documents per block stay open; they go on
 together with those of other blocks, and the last two of a source are landed.
+Of rows equal in doc_id, text and source as many as their chances add up to are
+taken at once, and one stays with the rest of the sum; both sums are kept by that.
 """
 
 from __future__ import annotations
@@ -123,17 +125,12 @@ def settle(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(chance=chance)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TIMES, seed: int = 7) -> DataFrame:
-    """``doc_id, row_key, source, size, source_size, target, copies, taken``, one row per row of ``docs``.
-
-    ``taken`` is ``copies`` times the size; no document is taken more than
-    ``most`` times. Words of null and empty texts are 0, null is a source of its
-    own, a source without words has target 0. The draw hangs on a hash of doc_id
-    and text, so reruns agree however the table is stored; rows equal in both
-    may swap places. Other columns are ignored, an empty table gives no rows.
+def settled_keys(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int = 7) -> DataFrame:
+    """``doc_id, row_key, source, size, source_size, target, whole, n, more``, one row for all rows equal in the first four.
 
-    Blocks of a source are groups of hashes, so a hot source is spread over
-    tasks; what a block leaves open, two rows at most, goes to the next round.
+    ``n`` rows of the table are such, ``more`` of them are taken ``whole + 1``
+    times, the others ``whole`` times. A row that many share is counted in the
+    map tasks and then one row, so no block grows with it.
     """
     sizes = written_table(
         docs.select(
@@ -154,10 +151,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
             *("source_size", "target", "number", "whole", "chance", "blocks"),
         )
     )
-    rows = sizes.withColumns({"unnamed": F.col("source").isNull(), "named": F.coalesce("source", F.lit(""))})
+    rows = sizes.groupBy("doc_id", "row_key", "source", "size").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumns({"unnamed": F.col("source").isNull(), "named": F.coalesce("source", F.lit(""))})
     dice = F.xxhash64("doc_id", "row_key", F.lit(seed))
+    total = F.col("n") * F.col("chance")
+    sure = F.least(F.floor(total + 1e-9), F.col("n")).cast("long")
     rows = lookup_join(rows, share, ["unnamed", "named"]).select(
-        *("doc_id", "row_key", "source", "size", "source_size", "target", "number", "whole", "chance", "blocks"),
+        *("doc_id", "row_key", "source", "size", "source_size", "target", "number", "whole", "n", "blocks"),
+        sure.alias("sure"),
+        F.greatest(total - sure, F.lit(0.0)).alias("chance"),
         dice.alias("dice"),
         F.pmod(F.xxhash64("doc_id", "row_key"), F.col("blocks")).cast("int").alias("block"),
     )
@@ -173,8 +175,35 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
         # Two rows a block are left, so this many old blocks make a new one.
         fewer = F.ceil(F.col("blocks") / F.lit(BLOCK_ROWS // 2)).cast("int")
         open_ = open_.withColumn("block", F.pmod("block", fewer).cast("int")).withColumn("blocks", fewer)
-    copies = F.col("whole") + F.col("chance").cast("int")
     return settled.select(
+        *("doc_id", "row_key", "source", "size", "source_size", "target", "whole", "n"),
+        (F.col("sure") + F.col("chance").cast("long")).alias("more"),
+    )
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TIMES, seed: int = 7) -> DataFrame:
+    """``doc_id, row_key, source, size, source_size, target, copies, taken``, one row per row of ``docs``.
+
+    ``taken`` is ``copies`` times the size; no document is taken more than
+    ``most`` times. Words of null and empty texts are 0, null is a source of its
+    own, a source without words has target 0. The draw hangs on a hash of doc_id
+    and text, so reruns agree however the table is stored; rows equal in both
+    may swap places. Other columns are ignored, an empty table gives no rows.
+
+    Blocks of a source are groups of hashes, so a hot source is spread over
+    tasks; what a block leaves open, two rows at most, goes to the next round.
+    A row that very many share is spread over tasks in pieces of a block.
+    """
+    keys = settled_keys(docs, weights, most, seed)
+    size = F.lit(BLOCK_ROWS).cast("long")
+    few = keys.where(F.col("n") <= size).withColumn("place", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    last = F.floor((F.col("n") - 1) / size).cast("long")
+    many = keys.where(F.col("n") > size).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    many = many.repartition("doc_id", "row_key", "piece").withColumn(
+        "place", F.explode(F.sequence(F.col("piece") * size + 1, F.least("n", (F.col("piece") + 1) * size)))
+    )
+    copies = F.col("whole") + (F.col("place") <= F.col("more")).cast("int")
+    return few.union(many.drop("piece").select(few.columns)).select(
         *("doc_id", "row_key", "source", "size", "source_size", "target"),
         copies.alias("copies"),
         (copies * F.col("size")).alias("taken"),
@@ -184,22 +213,42 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TIMES) -> DataFrame:
     """``docs`` with a column ``copies``: the rows the mix takes, and how often; rows not taken are left out.
 
-    Rows that agree in doc_id and text are matched in any order. A column
-    ``copies`` of the input is replaced.
+    Rows that agree in doc_id, text and source are matched in any order. Where
+    they differ in copies they are numbered in pieces of about a block each. A
+    column ``copies`` of the input is replaced.
     """
-    taken = mix(docs, weights, most).where("copies > 0")
     if "copies" in docs.columns:
         docs = docs.drop("copies")
-    plain = docs.toDF(*[f"c{at}" for at in range(len(docs.columns))])
-    doc_id, text = (plain[f"c{docs.columns.index(name)}"] for name in ("doc_id", "text"))
-    keyed = plain.select("*", doc_id.cast("long").alias("k0"), F.xxhash64(text).alias("k1"))
     counted = written_table(
-        taken.groupBy("doc_id", "row_key")
-        .agg(F.sort_array(F.collect_list("copies")).alias("copies"))
-        .select(F.col("doc_id").alias("w0"), F.col("row_key").alias("w1"), "copies"),
+        settled_keys(docs, weights, most)
+        .groupBy(F.col("doc_id").alias("w0"), F.col("row_key").alias("w1"), F.col("source").alias("w2"))
+        .agg(F.sum("n").alias("n"), F.sum("more").alias("more"), F.max("whole").alias("whole")),
         "mix-copies",
     )
-    joined = keyed.join(counted.hint("merge"), F.expr("k0 <=> w0 AND k1 = w1"))
-    place = F.row_number().over(Window.partitionBy("k0", "k1").orderBy("k1"))
-    out = joined.withColumn("copies", F.get("copies", place - 1)).where("copies IS NOT NULL")
-    return out.select(*plain.columns, F.col("copies").cast("int").alias("copies")).toDF(*docs.columns, "copies")
+    plain = docs.toDF(*[f"c{at}" for at in range(len(docs.columns))])
+    doc_id, text, source = (plain[f"c{docs.columns.index(name)}"] for name in ("doc_id", "text", "source"))
+    keyed = plain.select("*", doc_id.cast("long").alias("k0"), F.xxhash64(text).alias("k1"), source.alias("k2"))
+    same = F.expr("k0 <=> w0 AND k1 = w1 AND k2 <=> w2")
+    alike = counted.where("more = n OR more = 0 AND whole > 0").withColumn("copies", F.expr("whole + int(more > 0)"))
+    out = keyed.join(alike.hint("merge"), same).select(*plain.columns, "copies")
+    differing = counted.where("more > 0 AND more < n")
+    if not differing.isEmpty():
+        out = out.union(numbered(keyed.join(differing.hint("merge"), same)).select(*plain.columns, "copies"))
+    return out.withColumn("copies", F.col("copies").cast("int")).toDF(*docs.columns, "copies")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copies``: ``whole + 1`` for ``more`` of the ``n`` rows of a key (w0, w1, w2), ``whole`` for the others, if any."""
+    pieces = F.ceil(F.col("n") / F.lit(BLOCK_ROWS))
+    # Written once, as the random pieces must stay what they are.
+    rows = written_table(rows.withColumn("piece", F.floor(F.rand(7) * pieces).cast("int")), "mix-pieces")
+    key = ["w0", "w1", "w2"]
+    before = F.sum("held").over(Window.partitionBy(*key).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1))
+    room = (
+        rows.groupBy(*key, "piece", "more")
+        .agg(F.count(F.lit(1)).alias("held"))
+        .select(*[F.col(k).alias(f"r{k}") for k in key], F.col("piece").alias("rpiece"), (F.col("more") - F.coalesce(before, F.lit(0))).alias("room"))
+    )
+    rows = rows.join(room, F.expr("w0 <=> rw0 AND w1 = rw1 AND w2 <=> rw2 AND piece = rpiece"))
+    place = F.row_number().over(Window.partitionBy(*key, "piece").orderBy("w1"))
+    return rows.withColumn("copies", F.col("whole") + (place <= F.col("room")).cast("int")).where("copies > 0")

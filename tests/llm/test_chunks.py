@@ -133,3 +133,20 @@ def test_short_passages_against_all_equal_runs(spark):
     assert len(got[61]) <= 5 and sum(map(len, want)) < sum(text.count("\n") + 1 for _, text in docs[:61])
     few, many = (sorted(map(tuple, chunks.repeated_passages(df, n, runs=True).collect())) for n in (0, 500_000))
     assert few == many and few
+
+
+def test_places_of_equal_rows_count_once(spark, monkeypatch):
+    most = []
+
+    def written(df, name, write=chunks.written_table):
+        out = write(df, name)
+        if name == "chunk-places":
+            most.append(out.agg(F.max(F.size("places"))).first()[0])
+        return out
+
+    monkeypatch.setattr(chunks, "written_table", written)
+    text = "\n".join(f"line {n} of a text that many rows have" for n in range(20))
+    df = spark.range(600).selectExpr("if(id < 500, 1, id) AS doc_id").withColumn("text", F.lit(text)).repartition(8)
+    rows = chunks.remove_repeated(df, runs=True).collect()
+    assert len(rows) == 600 and most[0] <= 60
+    assert all((r["text"] == text) == (r["doc_id"] == 1) for r in rows)

@@ -81,3 +81,38 @@ def test_awkward_rows(awkward, nothing):
     assert out.columns == [*awkward.columns, "copies"]
     assert sum(r["copies"] for r in out.collect()) == sum(r["copies"] for r in rows)
     assert cube.mix(nothing).count() == 0 and cube.mixed_documents(nothing).count() == 0
+
+
+def test_rows_that_many_share(spark, monkeypatch):
+    monkeypatch.setattr(cube, "BLOCK_ROWS", 64)
+    largest = []
+
+    def written(df, name, write=cube.written_table):
+        out = write(df, name)
+        if name == "mix-settled":
+            largest.append(out.groupBy("number", "block").count().agg({"count": "max"}).first()[0])
+        if name == "mix-pieces":
+            largest.append(out.groupBy("w0", "w1", "w2", "piece").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(cube, "written_table", written)
+    docs = spark.range(3000).selectExpr(
+        "if(id < 2000, if(id < 1500, 7, null), id) AS doc_id",
+        "if(id < 2000, 'one two three', repeat('w ', cast(id % 17 as int))) AS text",
+        "if(id % 3 = 0, 'a', if(id % 3 = 1, 'b', null)) AS source",
+        "id AS other",
+    )
+    rows = cube.mix(docs).collect()
+    assert len(rows) == 3000 and max(largest) < 200
+    for source in ("a", "b", None):
+        own = [r for r in rows if r["source"] == source]
+        assert len(own) == 1000 and abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 16
+        shared = [r["copies"] for r in own if r["doc_id"] == 7]
+        assert len(shared) == 500 and max(shared) - min(shared) <= 1
+    out = cube.mixed_documents(docs).collect()
+    assert max(largest) < 200 and len({r["other"] for r in out}) == len(out)
+
+    def tally(found):
+        return sorted((r["doc_id"] or 0, str(r["source"]), r["copies"]) for r in found if r["copies"])
+
+    assert tally(out) == tally(rows)
