@@ -15,8 +15,9 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, size: int) -> DataF
     """``doc_id, text, label`` of at most ``size`` labelled documents outside the held-out fold.
 
     They are chosen by a hash of their id. Null ids and labels are left out; of
-    several labels of a document the smallest counts. Only the chosen ids, at
-    most ``size`` of them, are broadcast.
+    several labels of a document the smallest counts, of several texts the one
+    with the smallest hash; a null text counts if there is no other. Only the
+    chosen ids, at most ``size`` of them, are broadcast.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -27,4 +28,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, size: int) -> DataF
         .limit(size)
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.join(F.broadcast(chosen), "doc_id")
+    # Hashes are reduced in the map tasks, so an id of many rows moves no more texts than there are tasks.
+    least = F.min_by(F.struct("text", "label"), F.struct(F.col("text").isNull(), F.xxhash64("text"), "text"))
+    found = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(least.alias("row"))
+    return found.select("doc_id", "row.text", "row.label")

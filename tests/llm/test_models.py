@@ -89,3 +89,16 @@ def test_awkward_rows(spark, awkward, nothing, operator):
     assert len(rows) == 11 and all(0 <= r["score"] <= 1 for r in rows)
     assert operator.classify(nothing, labels).count() == 0
     assert operator.classify(awkward, labels.limit(0)).count() == 11
+
+
+def test_sample_has_one_row_for_each_id(spark):
+    docs = spark.range(900).selectExpr(
+        "id % 30 AS doc_id", "if(id % 30 = 4 or id < 30, null, concat('text ', id % 7)) AS text"
+    )
+    labels = spark.range(30).selectExpr("id AS doc_id", "int(id % 2) AS quality")
+    rows = labelled(docs.repartition(5), labels, "quality", 20).collect()
+    ids = [r["doc_id"] for r in rows]
+    assert 0 < len(ids) == len(set(ids)) <= 20
+    assert all((r["text"] is None) == (r["doc_id"] == 4) and r["label"] == r["doc_id"] % 2 for r in rows)
+    again = labelled(docs.repartition(3), labels, "quality", 20).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, rows), key=str)
