@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import chat, chunks, crf, cube, licenses, mil, rules, simhash, tiling, warc
+from ledgerloom.llm import bpe, chat, chunks, crf, cube, licenses, mil, rules, simhash, tiling, warc
 from ledgerloom.plans.registry import register, table
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -178,3 +178,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mil.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
+def byte_vocabulary() -> str:
+    """The byte-level vocabulary of 50,257 tokens."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op11_byte_bpe")
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = byte_vocabulary()
+    read = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return read.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
