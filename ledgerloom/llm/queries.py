@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, chat, chunks, crf, cube, licenses, mil, rules, simhash, tiling, warc
+from ledgerloom.llm import bpe, chat, chunks, crf, cube, licenses, mil, rules, simhash, tiling, trie, warc
 from ledgerloom.plans.registry import register, table
+from ledgerloom.session import written_table
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -194,3 +195,75 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Numbered turns, the first few of each conversation taken from one that twenty share.
+
+    Of conversation c the first h turns come from conversation c - c % 20, with
+    h the CRC-32 of its decimal id modulo 4; its own turns follow from the h-th on.
+    """
+    most, spacing = 3, 20
+    heads = turns.where(f"pos < {most} AND conv_id % {spacing} = 0").groupBy(F.col("conv_id").alias("base"))
+    heads = heads.agg(F.collect_list(F.struct("pos", "digest", "words")).alias("heads"))
+    wanted = F.crc32(F.col("conv_id").cast("string").cast("binary")) % (most + 1)
+    convs = turns.where("pos = 0").select("conv_id", (F.col("conv_id") - F.col("conv_id") % spacing).alias("base"), wanted.alias("h"))
+    begun = convs.join(heads, "base").select("conv_id", "h", F.explode("heads").alias("t")).where("t.pos < h")
+    own = turns.withColumn("h", wanted).where("pos >= h")
+    return begun.select("conv_id", "t.pos", "t.digest", "t.words").unionByName(
+        own.select("conv_id", (F.col("pos") + most).alias("pos"), "digest", "words")
+    )
+
+
+@register(
+    "op12_prefix_trie",
+    r"""
+    WITH numbered AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), convs AS (
+        SELECT conv_id, conv_id - conv_id % 20 AS base,
+            xor(4294967295, list_reduce(
+                list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+                lambda crc, byte: list_reduce(range(0, 8),
+                    lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(crc, byte)),
+                4294967295::BIGINT)) % 4 AS h
+        FROM (SELECT DISTINCT conv_id FROM numbered)
+    ), rebuilt AS (
+        SELECT c.conv_id, pos, role, text FROM convs c JOIN numbered n ON n.conv_id = c.base AND n.pos < c.h
+        UNION ALL
+        SELECT c.conv_id, pos + 4, role, text FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.pos >= c.h
+    ), walks AS (
+        SELECT conv_id, row_number() OVER w AS depth, sha256(list(sha256(length(role) || ':' || role || text)) OVER w::VARCHAR) AS node,
+            len(regexp_extract_all(text, '[^ 	-]+')) AS words, lead(pos) OVER w IS NULL AS ends
+        FROM rebuilt
+        WINDOW w AS (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    ), members AS (
+        SELECT * FROM walks
+        UNION ALL SELECT conv_id, 0, 'root', 0, conv_id NOT IN (SELECT conv_id FROM rebuilt) FROM convs
+    ), steps AS (
+        SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM members
+    ), nodes AS (
+        SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+        FROM steps GROUP BY node, depth
+    ), families AS (
+        SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n_children, 0) AS n_children
+        FROM nodes n LEFT JOIN nodes p ON p.node = n.parent
+            LEFT JOIN (SELECT parent, count(*) AS n_children FROM nodes GROUP BY parent) c ON c.parent = n.node
+    ), sums AS (
+        SELECT m.node, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.words) AS saved_tokens
+        FROM families f JOIN members m ON m.conv_id = f.conv_id AND m.depth <= f.depth GROUP BY m.node
+    )
+    SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+        n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+    FROM families JOIN sums USING (node)
+    """,
+)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = written_table(trie.numbered(table(spark, sf_dir, "conversations")), "trie-turns")
+    found = trie.nodes(rebuilt(turns), turns.where("pos = 0").select("conv_id"))
+    return found.select(
+        *("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    )
