@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, chat, chunks, crf, cube, licenses, mil, rules, simhash, tiling, trie, warc
+from ledgerloom.llm import bpe, chat, chunks, crf, cube, licenses, mil, ranked, rules, simhash, tiling, trie, warc
 from ledgerloom.plans.registry import register, table
 from ledgerloom.session import written_table
 
@@ -236,7 +236,8 @@ def rebuilt(turns: DataFrame) -> DataFrame:
         SELECT c.conv_id, pos + 4, role, text FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.pos >= c.h
     ), walks AS (
         SELECT conv_id, row_number() OVER w AS depth, sha256(list(sha256(length(role) || ':' || role || text)) OVER w::VARCHAR) AS node,
-            len(regexp_extract_all(text, '[^ 	-]+')) AS words, lead(pos) OVER w IS NULL AS ends
+            len(regexp_extract_all(text, '[^ 	-
+]+')) AS words, lead(pos) OVER w IS NULL AS ends
         FROM rebuilt
         WINDOW w AS (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
     ), members AS (
@@ -267,3 +268,39 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         *("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
     )
+
+
+TERMS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
+@register(
+    "op13_ranked_search",
+    rf"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS row, doc_id, {TERMS_SQL} AS terms FROM documents
+    ), total AS (
+        SELECT count(*) FILTER (WHERE len(terms) > 0) AS n, sum(len(terms))::BIGINT AS l FROM docs
+    ), found AS (
+        SELECT row, doc_id, n_terms, term, count(*) AS tf
+        FROM (SELECT row, doc_id, len(terms) AS n_terms, unnest(terms) AS term FROM docs) GROUP BY ALL
+    ), weights AS (
+        SELECT term, floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+        FROM found, total GROUP BY term
+    ), asked AS (
+        SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL
+    ), scores AS (
+        SELECT item_id, doc_id,
+            sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n_terms * n) // l))))::BIGINT AS score
+        FROM asked JOIN found USING (term) JOIN weights USING (term), total GROUP BY item_id, row, doc_id
+    ), ranks AS (
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scores WHERE score > 0
+    )
+    SELECT * FROM ranks WHERE rank <= 10
+    """,
+)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
