@@ -157,7 +157,7 @@ class Encoder:
         made = vocabulary.made("tables", lambda: tables(vocabulary))
         self.pair, self.left, self.right, self.made_at = made["pair"], made["left"], made["right"], made["made_at"]
         self.whole, self.shorter, self.sizes = made["whole"], made["shorter"], made["sizes"]
-        self.automaton, self.cut, self.odd, self.cut_odd, self.special = made["cutting"]
+        self.automaton, self.cut, self.high, self.odd, self.cut_odd, self.special = made["cutting"]
         self.seams = made["seams"]
         self.kept = vocabulary.made("kept", lambda: Kept(self.piece))
 
@@ -195,26 +195,27 @@ class Encoder:
         whole = self.whole.get(raw)
         if whole is not None:
             return array("I", (whole,))
-        n, sizes, shorter = len(raw), self.sizes, self.shorter
-        longest = array("i", [-1]) * (n + 1)
-        for end, token in self.automaton.iter(raw.decode("latin-1")):
+        n, sizes, shorter, seams = len(raw), self.sizes, self.shorter, self.seams
+        text, longest = raw.decode("latin-1"), [-1] * (n + 1) if n < STRETCH else array("i", [-1]) * (n + 1)
+        for end, token in self.automaton.iter(text):
             # Ends rise, so the last token noted for a start is its longest.
             longest[end + 1 - sizes[token]] = token
         open_at = bytearray(b"\x01") * (n + 1)
-        out, at, token = array("I"), 0, longest[0]
+        out, at, token, last = array("I"), 0, longest[0], -1
         while at < n:
             end = at + sizes[token]
-            if open_at[end] and (not out or self.compatible(out[-1], token)):
-                out.append(token)
-                at, token = end, longest[end]
-                continue
+            if open_at[end]:
+                fits = last < 0 or seams.get(last << 32 | token)
+                if self.compatible(last, token) if fits is None else fits:
+                    out.append(token)
+                    at, last, token = end, token, longest[end]
+                    continue
             token = shorter[token]
             while token < 0:
                 # No token goes on from here: this place is closed, and the one that led to it gives way.
                 open_at[at] = 0
-                last = out.pop()
-                at -= sizes[last]
-                token = shorter[last]
+                at -= sizes[out.pop()]
+                token, last = shorter[last], out[-1] if out else -1
         return out
 
     def encode(self, text: str) -> bytes:
@@ -229,7 +230,8 @@ class Encoder:
         return b"".join(out)
 
     def _plain(self, text: str, out: list[bytes]) -> None:
-        cut = self.cut_odd if self.odd and self.odd.search(text) else self.cut
+        # One comparison a character settles most texts; the many ranges are looked through for the others.
+        cut = self.cut_odd if self.odd and self.high.search(text) and self.odd.search(text) else self.cut
         kept, at, width = self.kept, 0, STRETCH
         while at < len(text):
             part = text if at == 0 and len(text) <= width else text[at : at + width]
@@ -267,7 +269,7 @@ def tables(vocabulary: Vocabulary) -> dict:
         sizes[token] = len(raw)
     special = sorted(vocabulary.added, key=len, reverse=True)
     out = {"pair": pair, "left": left, "right": right, "made_at": made_at, "sizes": sizes, "seams": {}}
-    out |= {"whole": {}, "shorter": [-1] * size, "cutting": (None,) * 5}
+    out |= {"whole": {}, "shorter": [-1] * size, "cutting": (None,) * 6}
     maker = Encoder.__new__(Encoder)
     maker.pair, maker.left, maker.right, maker.made_at, maker.seams = pair, left, right, made_at, {}
     whole = out["whole"]
@@ -298,6 +300,7 @@ def tables(vocabulary: Vocabulary) -> dict:
     out["cutting"] = (
         automaton,
         regex.compile(PIECES),
+        regex.compile(rf"[^\x00-\U{int(odd[2:10], 16) - 1:08x}]") if odd else None,
         regex.compile(f"[{odd}]") if odd else None,
         regex.compile(pattern),
         regex.compile("|".join(map(regex.escape, special))) if special else None,
