@@ -30,7 +30,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 STRETCH = 1 << 20
 # Pieces of up to so many characters are remembered, so many of them.
 KEPT_LENGTH, KEPT_PIECES = 48, 1 << 18
-KEPT_PAIRS = 1 << 20
+KEPT_PAIRS = 1 << 18
 # Bytes of encoded or decoded rows handed on at a time.
 OUT_BYTES = 16 << 20
 NEVER = 1 << 62
