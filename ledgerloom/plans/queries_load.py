@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import business, mapping, parsing, text
@@ -250,6 +252,34 @@ def l14_partitions(spark, sf):
     return files.read_staged(spark, path)
 
 
+@register("L14_interleaved_writers", UPSERTED)
+def l14_writers(spark, sf):
+    """Three writers at once, each with a third of the changes."""
+    orders = table(spark, sf, "orders")
+    name = table_name("writers")
+    table_sinks.load_table(orders, name, path=fresh_path(spark, "l14-writers"))
+    parts = [changed_orders(orders).where(F.col("o_orderkey") % 3 == part) for part in range(3)]
+    with ThreadPoolExecutor(len(parts)) as pool:
+        list(pool.map(lambda part: table_sinks.upsert_table(spark, name, part, ["o_orderkey"]), parts))
+    return released(spark, name)
+
+
+@register(
+    "L14_moving_keys",
+    """SELECT event_id, value, CASE WHEN event_type = 'error' AND value > 50 THEN 'settled' ELSE event_type END AS event_type
+       FROM events""",
+)
+def l14_moving(spark, sf):
+    """Events that change their partition, some to one that was not there."""
+    events = table(spark, sf, "events").select("event_id", "value", "event_type")
+    name, path = table_name("moving"), fresh_path(spark, "l14-moving")
+    events.hint("rebalance", "event_type").write.partitionBy("event_type").option("path", path).saveAsTable(name)
+    settled = events.where("event_type = 'error' AND value > 50").withColumn("event_type", F.lit("settled"))
+    table_sinks.upsert_table(spark, name, settled, ["event_id"])
+    spark.sql(f"DROP TABLE {name}")
+    return files.read_staged(spark, path)
+
+
 @register("L15_load_state", "SELECT event_id, ts, user_id, value FROM events")
 def l15(spark, sf):
     events = table(spark, sf, "events").select("event_id", "ts", "user_id", "value")
@@ -316,6 +346,28 @@ def r3(spark, sf):
     return released(spark, name)
 
 
+@register(
+    "R3_repeated_batch",
+    """SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS o_orderkey, o_totalprice, o_orderstatus FROM orders""",
+)
+def r3_repeated(spark, sf):
+    """Batches that come twice, as after a failure, with keys that are null."""
+    keyed = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("o_orderkey")
+    orders = table(spark, sf, "orders").select(keyed, "o_totalprice", "o_orderstatus")
+    root, name = fresh_path(spark, "r3-twice"), table_name("twice")
+    for status in ("F", "P", "O"):
+        orders.where(F.col("o_orderstatus") == status).write.mode("append").parquet(f"{root}/landing")
+        stream = runs.read_file_stream(spark, f"{root}/landing", "parquet", orders.schema)
+
+        def twice(batch, number):
+            for _ in range(2):
+                table_sinks.upsert_table(batch.sparkSession, name, batch, ["o_orderkey"], path=f"{root}/table", batch=("orders", number))
+
+        runs.run_batches(stream, twice, f"{root}/state")
+    spark.catalog.refreshTable(name)
+    return released(spark, name)
+
+
 @register(
     "R4_stream_columns",
     RAW

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -14,9 +13,15 @@ from ledgerloom.session import written_table
 from ledgerloom.sinks.store import (  # noqa: F401
     discard_increment,
     drop_table,
+    files_with,
     increment_path,
+    located,
     place_of,
     publish_snapshot,
+    refreshed,
+    rewrite,
+    rewrite_files,
+    rows_of,
 )
 from ledgerloom.sources.incremental import MarkedBatch, finish_pending, read_high_mark, since_mark
 
@@ -65,23 +70,27 @@ def update_where(
 ) -> None:
     """``UPDATE table SET .. WHERE ..`` by rewrite: plain tables take no UPDATE.
 
-    A partitioned table is rewritten only in the partitions that hold a matching
-    row; its partition columns take no new values. Without a matching row
-    nothing is written.
+    Of a partitioned table only the files that hold a matching row are written
+    again; its partition columns take no new values. Without a matching row
+    nothing is written. Writers at the same time take their turns.
     """
-    target = spark.read.table(table)
+    test = F.expr(condition) if isinstance(condition, str) else condition
     partitions = _partition_columns(spark, table)
     moved = sorted(set(partitions) & set(assignments))
     if moved:
         raise ValueError(f"partition columns take no new values: {', '.join(moved)}")
-    matching = target.where(F.expr(condition) if isinstance(condition, str) else condition)
-    if not partitions:
-        if not matching.isEmpty():
-            publish_snapshot(updated(target, assignments, condition), table)
-        return
-    touched = touched_partitions(target, matching, partitions)
-    if touched is not None:
-        _replace_partitions(updated(touched, assignments, condition).select(*_columns(target)), table, partitions)
+
+    def whole(target: DataFrame) -> DataFrame | None:
+        return None if target.where(test).isEmpty() else updated(target, assignments, condition)
+
+    def some(target: DataFrame) -> tuple[DataFrame, list[str]] | None:
+        files = files_with(located(target).where(test))
+        return (updated(rows_of(target, files), assignments, condition).select(*_columns(target)), files) if files else None
+
+    if partitions:
+        rewrite_files(spark, table, None, some)
+    else:
+        rewrite(spark, table, whole)
 
 
 def _columns(df: DataFrame) -> list[Column]:
@@ -112,10 +121,7 @@ def truncate(spark: SparkSession, table: str) -> None:
     if not _partition_columns(spark, table):
         publish_snapshot(spark.read.table(table).limit(0), table)
         return
-    nothing = spark.createDataFrame([], spark.read.table(table).schema)
-    with _overwrite_mode(spark, "static"):
-        nothing.write.insertInto(table, overwrite=True)
-    spark.catalog.refreshTable(table)
+    rewrite_files(spark, table, None, lambda target: (target.limit(0), files_with(located(target))))
 
 
 def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -> None:
@@ -153,10 +159,14 @@ def upserted(
 
 def _merged(target: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key ``fresh`` does not hold, and all its rows."""
-    held = fresh.where(~_any_null(keys)).select(*[column(k) for k in keys])
+    held = _keys_of(fresh, keys)
     return lookup_join(target, held, keys, "left_anti").select(*_columns(target)).unionByName(fresh)
 
 
+def _keys_of(fresh: DataFrame, keys: list[str]) -> DataFrame:
+    return fresh.where(~_any_null(keys)).select(*[column(k) for k in keys])
+
+
 def upsert_table(
     spark: SparkSession,
     table: str,
@@ -165,55 +175,48 @@ def upsert_table(
     order_by: list[str] | None = None,
     partitions_follow_keys: bool = False,
     path: str | None = None,
-) -> None:
-    """Insert new keys and replace known ones.
-
-    A plain table is rewritten into a new snapshot. A partitioned table is
-    rewritten only in the partitions the source touches, which is right only if
-    a key never changes its partition: ``partitions_follow_keys`` says so.
-    The source is read once: its last rows are written, and everything else is
-    taken from there.
+    owner: str | None = None,
+    batch: tuple[str, int] | None = None,
+) -> bool:
+    """Insert new keys and replace known ones. Returns whether the table was written.
+
+    A plain table is rewritten into a new snapshot. Of a partitioned table only
+    the files that hold a key of the source are written again. They are found by
+    the key columns of the whole table, as a key may have moved to another
+    partition; where ``partitions_follow_keys`` says that it never does, only the
+    partitions of the source are looked at, and writers of other partitions go on
+    at the same time. The source is read once: its last rows are written, and
+    everything else is taken from there.
+
+    ``batch`` (name, number) is stored with the rows; a batch stored before is
+    not loaded again, whatever its keys. Open claims of the same ``owner``, a run
+    that died, are taken over.
     """
-    there = spark.catalog.tableExists(table)
-    target = spark.read.table(table) if there else None
-    partitions = _partition_columns(spark, table) if there else []
-    if partitions and not partitions_follow_keys:
-        raise ValueError(f"table {table} is partitioned and keys may move between partitions")
-    last = last_rows(source, keys, order_by)
-    fresh = written_table(last.select(*_columns(target)) if there else last, "upsert-source")
+    if not spark.catalog.tableExists(table):
+        if source.isEmpty():
+            return False
+        writer = source.limit(0).write.mode("ignore").format("parquet")
+        (writer.option("path", path) if path else writer).saveAsTable(table)
+    fields = spark.read.table(table).schema.fields
+    last = last_rows(source, keys, order_by).select(*[column(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    fresh = written_table(last, "upsert-source")
     if fresh.isEmpty():
-        return
-    if not there:
-        load_table(fresh, table, "fail", path)
-    elif not partitions:
-        publish_snapshot(_merged(target, fresh, keys), table)
-    else:
-        touched = touched_partitions(target, fresh, partitions)
-        _replace_partitions(_merged(touched, fresh, keys).select(*_columns(target)), table, partitions)
-
-
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
-def _replace_partitions(df: DataFrame, table: str, partitions: list[str]) -> None:
-    """Replace the partitions ``df`` holds rows for; it may read the same table.
-
-    Spark writes them aside and moves them in when all tasks are done. The mode
-    is a session setting here because an insert into a table takes no options.
-    """
-    with _overwrite_mode(df.sparkSession, "dynamic"):
-        df.hint("rebalance", *[column(p) for p in partitions]).write.insertInto(table, overwrite=True)
-    df.sparkSession.catalog.refreshTable(table)
+        return False
+    partitions = _partition_columns(spark, table)
+    if not partitions:
+        return rewrite(spark, table, lambda target: _merged(target, fresh, keys), owner, batch)
 
+    def some(target: DataFrame) -> tuple[DataFrame, list[str]]:
+        scope = touched_partitions(target, fresh, partitions) if partitions_follow_keys else target
+        held = _keys_of(fresh, keys)
+        files = files_with(lookup_join(located(scope), held, keys, "left_semi"))
+        return _merged(rows_of(target, files), fresh, keys).select(*_columns(target)), files
 
-@contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str):
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+    claimed = None
+    if partitions_follow_keys:
+        named = fresh.select(F.to_json(F.struct(*[column(p).cast("string").alias(p) for p in partitions])).alias("p")).distinct()
+        claimed = [r["p"] for r in named.collect()]
+    return rewrite_files(spark, table, claimed, some, owner, batch)
 
 
 def touched_partitions(target: DataFrame, rows: DataFrame, partitions: list[str]) -> DataFrame | None:
@@ -287,7 +290,7 @@ def load_increment(
         return 0
     batch.commit(spark, state_path, name, run_id, staged, place.location)
     finish_pending(spark, state_path, name)
-    spark.catalog.refreshTable(table)
+    refreshed(spark, table, place.analyzed)
     return batch.rows
 
 

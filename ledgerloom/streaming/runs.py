@@ -102,13 +102,24 @@ def run_upsert(
     partitions_follow_keys: bool = False,
     path: str | None = None,
 ) -> None:
-    """Upsert each new batch into a table. Repeating a batch leaves the table as it is.
+    """Upsert each new batch into a table. A batch that comes again is left out, null keys and all.
 
-    Each batch rewrites the partitions it touches, or a whole unpartitioned
-    table: partition large targets, and let ``partitions_follow_keys`` hold.
+    The table's log of commits holds the last batch of each stream, stored in the
+    same step as its rows. A stream is known by the id in its checkpoint: a new
+    checkpoint is a new stream, which loads everything anew. Each batch rewrites
+    the files that hold its keys, or a whole unpartitioned table: partition large
+    targets, and say where ``partitions_follow_keys``.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(batch.sparkSession, table, batch, keys, order_by, partitions_follow_keys, path)
+        spark = batch.sparkSession
+        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        upsert_table(
+            spark, table, batch, keys, order_by, partitions_follow_keys, path, f"stream {stream_id}", (stream_id, batch_id)
+        )
 
     run_batches(stream, merge, checkpoint)
+    # Batches run in a session of their own; this one must not go by the files it knew.
+    spark = stream.sparkSession
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)

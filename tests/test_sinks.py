@@ -163,14 +163,11 @@ def test_upsert_touches_only_its_partitions(spark, fresh):
     spark.sql("SELECT id, 'old' AS v, id % 4 AS p FROM range(40)").write.partitionBy("p").option("path", path).saveAsTable(name)
     before = {f for f in spark.read.table(name).inputFiles() if "p=1" not in f}
     changes = spark.sql("SELECT id, 'new' AS v, 1L AS p FROM (SELECT explode(array(1, 5, 101)) AS id)")
-    with pytest.raises(ValueError):
-        tables.upsert_table(spark, name, changes, ["id"])
-    tables.upsert_table(spark, name, changes.withColumn("id", F.col("id").cast("long")), ["id"], partitions_follow_keys=True)
+    tables.upsert_table(spark, name, changes, ["id"], partitions_follow_keys=True)
     spark.catalog.refreshTable(name)
     got = spark.read.table(name)
     assert got.count() == 41 and got.where("v = 'new'").count() == 3 and got.where("p = 1").count() == 11
     assert {f for f in got.inputFiles() if "p=1" not in f} == before
-    assert spark.conf.get(tables.OVERWRITE_MODE) == "STATIC" or spark.conf.get(tables.OVERWRITE_MODE) == "static"
     spark.sql(f"DROP TABLE {name}")
 
 
@@ -237,7 +234,7 @@ def test_snapshots_stay_in_place_and_format(spark, fresh, kind, options):
     assert all(path in f for f in spark.read.table(name).inputFiles())
     system, place = store._system(spark, path)
     assert len(system.listStatus(place(f"{path}/_snapshots"))) == 2
-    assert [f.getPath().getName() for f in system.listStatus(place(path))] in (["_snapshots"], ["_snapshots", "_SUCCESS"], ["_SUCCESS", "_snapshots"])
+    assert {f.getPath().getName() for f in system.listStatus(place(path))} - {"_SUCCESS"} == {"_snapshots", "_commits"}
     tables.drop_table(spark, name)
     assert not system.exists(place(path))
 
