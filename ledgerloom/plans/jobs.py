@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ledgerloom.functions import business, mapping, parsing, text
 from ledgerloom.functions.columns import column
 from ledgerloom.operators import convert, dedup, missing, quality, shape, values
-from ledgerloom.sinks import files as file_sinks, store, tables as table_sinks
+from ledgerloom.sinks import files as file_sinks, journal, store, tables as table_sinks
 from ledgerloom.sources import files, incremental, pages, tables
 
 
@@ -214,9 +214,15 @@ def column_strategies(declared: dict) -> dict:
     return out
 
 
-def read_configured(spark: SparkSession, extraction: dict, schema: T.StructType | str | None = None) -> DataFrame:
+def read_configured(
+    spark: SparkSession,
+    extraction: dict,
+    schema: T.StructType | str | None = None,
+    names: list[str] | None = None,
+) -> DataFrame:
     """The source an ``extraction`` section names: files, a table, or landed pages of an endpoint.
 
+    Of a file source ``names`` may give the files to read, rather than all there are.
     A database source with a ``url`` is read over JDBC, one without from the
     catalog. An API source names the folder its pages landed in.
     """
@@ -224,9 +230,8 @@ def read_configured(spark: SparkSession, extraction: dict, schema: T.StructType
     if kind == "file":
         source = extraction["file_source"]
         options = dict(source.get("csv_options", {})) if source["file_format"] == "csv" else {}
-        return files.read_directory(
-            spark, source["input_directory"], source["file_format"], source.get("file_pattern"), schema, **options
-        )
+        where = names or source["input_directory"]
+        return files.read_directory(spark, where, source["file_format"], source.get("file_pattern"), schema, **options)
     if kind == "database":
         source = extraction["database_source"]
         table = ".".join(source[k] for k in ("schema", "table_name") if source.get(k))
@@ -277,12 +282,15 @@ def _partitioned_files(out: DataFrame, loading: dict, path: str, mode: str) -> N
     )
 
 
-def write_configured(out: DataFrame, loading: dict) -> tuple[str, str] | None:
+def write_configured(
+    out: DataFrame, loading: dict, owner: str | None = None, batch: tuple[str, int] | None = None
+) -> tuple[str, str] | None:
     """Load rows as a ``loading`` section says: upsert, files, or a table load method.
 
     What would be doubled by a repeated run is written to a folder readers pass
     over, and its path is returned with the folder its files belong to;
-    ``incremental.finish_pending`` moves them once the run's mark is stored.
+    ``incremental.finish_pending`` moves them once the run's mark is stored. An
+    upsert stores ``batch`` with its rows and leaves one out that it has.
     """
     spark = out.sparkSession
     loading = destination(loading)
@@ -302,6 +310,8 @@ def write_configured(out: DataFrame, loading: dict) -> tuple[str, str] | None:
             loading.get("order_by"),
             loading.get("partitions_follow_keys", False),
             loading.get("path"),
+            owner,
+            batch,
         )
         return None
     if method not in APPENDS:
@@ -366,13 +376,14 @@ def set_aside(df: DataFrame, transformation: dict, path: str) -> DataFrame:
     return good.select(*[column(c) for c in df.columns])
 
 
-def run_configured(df: DataFrame, config: dict, run_id: str) -> int:
+def run_configured(df: DataFrame, config: dict, run_id: str, run: journal.Run | None = None) -> int:
     """One configured increment: rows above the stored mark, transformed and loaded.
 
     The ``performance`` section names the watermark column and the state folder.
-    Rows that break the expected types are set aside below the staging folder. A
-    run that fails is repeated with the same outcome: appended files appear only
-    once its mark is stored. Returns the rows read.
+    Rows that break the expected types, and rows without a mark, are set aside
+    below the staging folder. A run that fails is repeated with the same outcome:
+    appended files appear only once its mark is stored, or without a mark once
+    the journal of ``run`` says where they are. Returns the rows read.
     """
     spark = df.sparkSession
     state = run_state(config)
@@ -388,23 +399,33 @@ def run_configured(df: DataFrame, config: dict, run_id: str) -> int:
         # the statistics of the cleaning rules do not read the source again.
         landed = file_sinks.stage(batch.df, f"{state.staging}/{run_id}")
         rows = batch.rows
-        if batch.unmarked:
-            logger.warning("%s rows without a value in %s were left out", batch.unmarked, state.column)
+        if batch.unmarked or (mark is not None and run is not None):
+            unmarked = df.where(column(state.column).isNull())
+            unmarked.write.mode("overwrite").parquet(f"{state.staging}/unmarked-{run_id}")
+            logger.warning("rows without a value in %s went to %s/unmarked-%s", state.column, state.staging, run_id)
     if not rows:
         return 0
     table_sinks.run_statements(spark, destination(loading).get("pre_load_sql") or [])
     good = set_aside(landed, config["transformation"], f"{state.staging}/quarantine-{run_id}")
-    moves = write_configured(configured_transform(good, config["transformation"]), loading)
+    name = f"run {state.name}"
+    out = configured_transform(good, config["transformation"])
+    moves = write_configured(out, loading, name if run else None, (name, run.number) if run else None)
     if batch is not None:
         batch.commit(spark, state.path, state.name, run_id, *(moves or ()))
         incremental.finish_pending(spark, state.path, state.name)
     elif moves:
+        if run:
+            run.note("staged", staged=moves[0], target=moves[1])
         store.publish_increment(spark, *moves)
+    _after_load(spark, loading, moves)
+    return rows
+
+
+def _after_load(spark: SparkSession, loading: dict, moves: tuple[str, str] | None) -> None:
     table = destination(loading).get("target_table")
     if moves and table:
         spark.catalog.refreshTable(table)
     table_sinks.run_statements(spark, destination(loading).get("post_load_sql") or [])
-    return rows
 
 
 def run_pipeline(
@@ -412,20 +433,40 @@ def run_pipeline(
 ) -> int:
     """A whole configuration: extraction, transformation, loading, and the archive of what was read.
 
-    Files of a file source move to its ``processed_directory`` after the load. An
-    API source with ``lookback_days`` and a ``date_column`` takes the records of
-    these days up to ``as_of``. Returns the rows read.
+    Files of a file source move to its ``processed_directory`` after the load,
+    each run's into a folder of its own. What a run reads is noted before it
+    loads; a run that stopped, at whatever step, is finished first, with the
+    files it had. An API source with ``lookback_days`` and a ``date_column``
+    takes the records of these days up to ``as_of``. Returns the rows read.
     """
     extraction = config["extraction"]
+    source = extraction.get("file_source", {})
+    if extraction["source_type"] == "file" and source.get("processed_directory"):
+        state = run_state(config)
+        folder = journal.journal_folder(state.path, state.name)
+        for stopped in journal.unfinished(spark, folder):
+            _run_files(stopped, config, schema)
+        found = journal.files_in(spark, source["input_directory"], source.get("file_pattern"))
+        return _run_files(journal.begin(spark, folder, run_id, found), config, schema) if found else 0
     df = read_configured(spark, extraction, schema)
     api = extraction.get("api_source", {})
     days = api.get("parameters", {}).get("lookback_days", 0)
     if extraction["source_type"] == "api" and days and api.get("date_column"):
         df = incremental.look_back(df, api["date_column"], as_of or dt.date.today().isoformat(), days)
-    source = extraction.get("file_source", {})
-    archive = source.get("processed_directory") if extraction["source_type"] == "file" else None
-    names = df.inputFiles() if archive else []
-    rows = run_configured(df, config, run_id)
-    if archive:
-        store.move_files(spark, names, source["input_directory"], archive)
+    return run_configured(df, config, run_id)
+
+
+def _run_files(run: journal.Run, config: dict, schema: T.StructType | str | None) -> int:
+    """Load the files of a journalled run and archive them, from the step it got to."""
+    spark, extraction = run.spark, config["extraction"]
+    source, rows = extraction["file_source"], 0
+    if run.facts("loaded") is None:
+        moves = run.facts("staged")
+        if moves is None:
+            rows = run_configured(read_configured(spark, extraction, schema, run.files), config, run.label, run)
+        else:
+            store.publish_increment(spark, moves["staged"], moves["target"])
+            _after_load(spark, config["loading"], (moves["staged"], moves["target"]))
+        run.note("loaded", rows=rows)
+    journal.archive(run, source["input_directory"], source["processed_directory"])
     return rows

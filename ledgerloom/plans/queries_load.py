@@ -13,7 +13,7 @@ from ledgerloom.plans.queries_read import EVENTS, ORDERS
 from ledgerloom.plans.raw import NUMBER, PRESENT, RAW, STRIP, raw_orders
 from ledgerloom.plans.registry import register, released, table, table_name
 from ledgerloom.session import fresh_path
-from ledgerloom.sinks import files as file_sinks, store, tables as table_sinks
+from ledgerloom.sinks import files as file_sinks, journal, store, tables as table_sinks
 from ledgerloom.sources import files, incremental
 from ledgerloom.streaming import runs
 
@@ -753,3 +753,35 @@ def q2_quarantine(spark, sf):
         F.array_contains(rules, "Amount.type").alias("bad_amount"),
         F.array_contains(rules, "TransactionDate.datetime_format").alias("bad_date"),
     )
+
+
+@register("J4_resumed_run", ORDERS)
+def j4_resumed(spark, sf):
+    """Runs over landed files that stopped: one before its load, one between its load and the archive."""
+    orders = table(spark, sf, "orders")
+    root, name = fresh_path(spark, "j4-resumed"), table_name("resumed")
+    config = {
+        "pipeline_name": "orders",
+        "extraction": {
+            "source_type": "file",
+            "file_source": {"input_directory": f"{root}/in", "processed_directory": f"{root}/done", "file_format": "parquet"},
+        },
+        "transformation": {},
+        "loading": {"load_method": "append", "target_table": name, "path": f"{root}/table"},
+        "performance": {"use_watermarking": False, "watermark_path": f"{root}/state", "staging_path": f"{root}/staged"},
+    }
+    folder = journal.journal_folder(f"{root}/state", "orders")
+
+    def land(status):
+        orders.where(F.col("o_orderstatus") == status).write.mode("append").parquet(f"{root}/in")
+        return journal.files_in(spark, f"{root}/in", "*.parquet")
+
+    config["extraction"]["file_source"]["file_pattern"] = "*.parquet"
+    journal.begin(spark, folder, "stopped before the load", land("F"))
+    land("P")
+    jobs.run_pipeline(spark, config, "the next", orders.schema)
+    stopped = journal.begin(spark, folder, "stopped before the archive", land("O"))
+    jobs.run_configured(jobs.read_configured(spark, config["extraction"], orders.schema, stopped.files), config, stopped.label, stopped)
+    for again in ("again", "and again"):
+        jobs.run_pipeline(spark, config, again, orders.schema)
+    return released(spark, name)

@@ -271,16 +271,3 @@ def publish_increment(spark: SparkSession, staged: str, target: str) -> None:
         if not system.rename(file, goal) and not system.exists(goal):
             raise OSError(f"{file} cannot be moved to {goal}")
     system.delete(top, True)
-
-
-def move_files(spark: SparkSession, names: list[str], source: str, archive: str) -> None:
-    """Move files read from below ``source`` to the same place below ``archive``."""
-    system, path = _system(spark, source)
-    prefix = system.makeQualified(path(source)).toString().rstrip("/")
-    for name in names:
-        place = system.makeQualified(path(unquote(name))).toString()
-        below = place[len(prefix) + 1 :] if place.startswith(prefix + "/") else place.rpartition("/")[2]
-        goal = path(f"{archive.rstrip('/')}/{below}")
-        system.mkdirs(goal.getParent())
-        if not system.rename(path(unquote(name)), goal):
-            raise OSError(f"{name} cannot be moved to {goal}")

@@ -192,14 +192,14 @@ def read_xml(
 
 def read_directory(
     spark: SparkSession,
-    directory: str,
+    directory: str | list[str],
     file_format: str,
     pattern: str | None = None,
     schema: T.StructType | str | None = None,
     recursive: bool = True,
     **options,
 ) -> DataFrame:
-    """All files of one format below a folder whose names match a glob pattern."""
+    """All files of one format below a folder, or of those listed, whose names match a glob pattern."""
     if file_format not in FORMATS:
         raise ValueError(f"unsupported file format {file_format!r}")
     found = dict(options)

@@ -141,3 +141,90 @@ def test_configured_run_with_files_and_statements(spark, payments, fresh):
 def test_declared_fill_values_are_paired():
     declared = {"merchant": "fill_constant", "merchant_fill_value": "Unknown", "amount": "drop_row"}
     assert jobs.column_strategies(declared) == {"merchant": ("fill_constant", "Unknown"), "amount": "drop_row"}
+
+
+PLAIN = "id long, name string, at long"
+
+
+def file_pipeline(root, loading, watermark=False):
+    state = {"watermark_name": "files", "watermark_path": f"{root}/state", "staging_path": f"{root}/staged"}
+    return {
+        "extraction": {
+            "source_type": "file",
+            "file_source": {
+                "input_directory": f"{root}/in", "processed_directory": f"{root}/done", "file_pattern": "*.csv", "file_format": "csv",
+            },
+        },
+        "transformation": {},
+        "loading": loading,
+        "performance": state | ({"watermark_column": "at"} if watermark else {"use_watermarking": False}),
+    }
+
+
+def land(spark, root, rows, name):
+    """One file of a given name."""
+    from ledgerloom.sinks.files_log import system_of
+
+    spark.createDataFrame(rows, PLAIN).coalesce(1).write.option("header", True).csv(f"{root}/aside-{name}")
+    system, path = system_of(spark, root)
+    (part,) = [s.getPath() for s in system.globStatus(path(f"{root}/aside-{name}/part-*"))]
+    system.mkdirs(path(f"{root}/in"))
+    assert system.rename(part, path(f"{root}/in/{name}.csv"))
+
+
+STEPS = [
+    (jobs.file_sinks, "stage", "after"),
+    (jobs, "write_configured", "before"),
+    (jobs, "write_configured", "after"),
+    (jobs.store, "publish_increment", "before"),
+    (jobs.store, "publish_increment", "after"),
+    (jobs.journal, "archive", "before"),
+    (jobs.journal.Run, "note", "after"),
+]
+
+
+@pytest.mark.parametrize("method, watermark", [("append", False), ("append", True), ("upsert", False), ("files", False)])
+def test_a_run_that_stops_is_taken_up(spark, fresh, monkeypatch, method, watermark):
+    """The run stops at each step in turn; what it left is finished once, with the files it had."""
+    for where, step, when in STEPS:
+        root, name = fresh("resumed"), table_name("resumed")
+        loading = {"load_method": method, "target_table": name, "conflict_target_columns": ["id"], "path": f"{root}/table"}
+        if method == "files":
+            loading = {"load_method": "files", "output_directory": f"{root}/table", "partition_by": ["id"]}
+        config = file_pipeline(root, loading, watermark)
+        land(spark, root, [(1, "a", 10), (2, "b", 11), (None, "no key", 12)], "one")
+        real = getattr(where, step)
+
+        def dies(*a, **k):
+            if when == "after":
+                real(*a, **k)
+            raise OSError("gone")
+
+        with monkeypatch.context() as m:
+            m.setattr(where, step, dies)
+            try:
+                jobs.run_pipeline(spark, config, "run-1", PLAIN)
+            except OSError:
+                pass
+        # Another file lands before the run is repeated.
+        land(spark, root, [(3, "c", 20), (None, "no key either", 21)], "two")
+        jobs.run_pipeline(spark, config, "run-2", PLAIN)
+        got = spark.read.parquet(f"{root}/table") if method == "files" else spark.read.table(name)
+        assert sorted(r["name"] for r in got.collect()) == ["a", "b", "c", "no key", "no key either"], (step, when)
+        assert jobs.journal.files_in(spark, f"{root}/in") == []
+        assert len(jobs.journal.files_in(spark, f"{root}/done")) == 2
+
+
+def test_equal_names_stay_apart_in_the_archive(spark, fresh):
+    root, name = fresh("names"), table_name("names")
+    config = file_pipeline(root, {"load_method": "append", "target_table": name, "path": f"{root}/table"}, True)
+    land(spark, root, [(1, "a", 10), (4, "unmarked", None)], "day")
+    assert jobs.run_pipeline(spark, config, "daily", PLAIN) == 1
+    spark.createDataFrame([(2, "b", 20)], PLAIN).coalesce(1).write.option("header", True).csv(f"{root}/aside")
+    system, path = jobs.journal.system_of(spark, root)
+    (part,) = [s.getPath() for s in system.globStatus(path(f"{root}/aside/part-*"))]
+    assert system.rename(part, path(f"{root}/in/day.csv"))
+    assert jobs.run_pipeline(spark, config, "daily", PLAIN) == 1
+    assert sorted(n.rpartition("/done/")[2] for n, _ in jobs.journal.files_in(spark, f"{root}/done")) == ["000000001-daily/day.csv", "000000002-daily/day.csv"]
+    assert [r.name for r in spark.read.parquet(f"{root}/staged/unmarked-000000001-daily").collect()] == ["unmarked"]
+    assert spark.read.table(name).count() == 2
