@@ -24,11 +24,22 @@ def common_type(types: list[T.DataType]) -> T.DataType:
     """The type that holds values of all these types: their own, a number, or text."""
     if len(set(types)) == 1:
         return types[0]
+    if any(isinstance(t, T.DecimalType) for t in types) and all(isinstance(t, (T.DecimalType, T.IntegralType)) for t in types):
+        return exact_type(types)
     if all(isinstance(t, T.NumericType) for t in types):
         return T.LongType() if all(isinstance(t, T.IntegralType) for t in types) else T.DoubleType()
     return T.StringType()
 
 
+def exact_type(types: list[T.DataType]) -> T.DecimalType:
+    """A decimal that holds every value of these types as it is."""
+    sizes = [(t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (19, 0) for t in types]
+    whole, scale = max(w for w, _ in sizes), max(s for _, s in sizes)
+    if whole + scale > 38:
+        raise ValueError(f"no decimal holds {whole} digits before and {scale} behind the point")
+    return T.DecimalType(whole + scale, scale)
+
+
 def _type_of(value) -> T.DataType:
     if isinstance(value, bool):
         return T.BooleanType()
@@ -39,7 +50,9 @@ def _type_of(value) -> T.DataType:
     if isinstance(value, str):
         return T.StringType()
     if isinstance(value, decimal.Decimal):
-        return T.DoubleType()
+        _, digits, power = value.as_tuple()
+        scale = max(0, -power)
+        return T.DecimalType(max(len(digits) + max(0, power), scale), scale)
     if isinstance(value, dt.datetime):
         return T.TimestampType()
     if isinstance(value, dt.date):
@@ -51,16 +64,30 @@ def _as(value, kind: T.DataType):
     """A Python value as the type wants it."""
     if isinstance(kind, T.StringType):
         return str(value)
+    if isinstance(kind, T.DecimalType):
+        return decimal.Decimal(value)
     return float(value) if isinstance(kind, T.DoubleType) else value
 
 
+def _fits(key, kind: T.DecimalType) -> bool:
+    """Whether a decimal type holds a number without rounding."""
+    number = decimal.Decimal(str(key))
+    if not number.is_finite():
+        return False
+    _, digits, power = number.normalize(decimal.Context(prec=100)).as_tuple()
+    return -power <= kind.scale and len(digits) + power <= kind.precision - kind.scale
+
+
 def _can_equal(key, kind: T.DataType) -> bool:
     """Whether a column of this type can hold the key: text is never equal to a number."""
     if isinstance(kind, T.BooleanType) or isinstance(key, bool):
         return isinstance(kind, T.BooleanType) and isinstance(key, bool)
     if isinstance(kind, T.NumericType):
-        whole = isinstance(kind, T.IntegralType)
-        return isinstance(key, (int, float, decimal.Decimal)) and not (whole and key != int(key))
+        if not isinstance(key, (int, float, decimal.Decimal)):
+            return False
+        if isinstance(kind, T.DecimalType):
+            return _fits(key, kind)
+        return not (isinstance(kind, T.IntegralType) and key != int(key))
     return isinstance(_type_of(key), type(kind))
 
 
@@ -74,8 +101,14 @@ def typed_pairs(mapping: dict, kind: T.DataType, default=None) -> tuple[list[tup
     values = [v for v in mapping.values() if v is not None]
     kept = kind if default is None else _type_of(default)
     target = common_type([kept, *map(_type_of, values)]) if values else common_type([kept])
-    keyed = [(int(k) if isinstance(kind, T.IntegralType) else k, _as(v, target)) for k, v in pairs]
-    return keyed, target
+    return [(_key(k, kind), _as(v, target)) for k, v in pairs], target
+
+
+def _key(key, kind: T.DataType):
+    """A key that can apply, as a column of the type holds it."""
+    if isinstance(kind, T.IntegralType):
+        return int(key)
+    return decimal.Decimal(str(key)) if isinstance(kind, T.DecimalType) else key
 
 
 def fallback(c: Column, kind: T.DataType, target: T.DataType, default=None) -> Column:

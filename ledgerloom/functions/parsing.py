@@ -143,10 +143,50 @@ def to_timestamp(c: Column, datetime_format: str | list[str] | None = None) -> C
         )
         return F.when(dated, text.try_cast("timestamp"))
     patterns = [datetime_format] if isinstance(datetime_format, str) else datetime_format
-    parsed = [F.try_to_timestamp(c, F.lit(java_pattern(p))) for p in patterns]
+    parsed = [by_pattern(c, p) for p in patterns]
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
 
+# English weekday names; Spark reads none of them, so they are looked for beforehand.
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+# Stands for a weekday in a text and in its pattern.
+WEEKDAY_MARK = "\u2020"
+
+
+def by_pattern(c: Column, strftime_format: str) -> Column:
+    """Text to timestamp by one strftime pattern; null where it does not parse.
+
+    Two-digit years from 69 on are those of the 1900s, weekday names must be
+    there but need not fit the date, and an offset may be ``+0100``, ``+01:00``
+    or ``Z``, as in Python.
+    """
+    directives = re.findall(r"%.", strftime_format)
+    pattern = strftime_format
+    for directive, names in (("%A", WEEKDAYS), ("%a", [day[:3] for day in WEEKDAYS])):
+        if directive in directives:
+            word = rf"(?i)(?<![a-z])({'|'.join(names)})(?![a-z])"
+            c = F.regexp_replace(c, word, WEEKDAY_MARK)
+            pattern = re.sub(r"%(.)", lambda m, d=directive: WEEKDAY_MARK if m[0] == d else m[0], pattern)
+    java = java_pattern(pattern)
+    forms = [java]
+    if "%z" in directives:
+        forms = [java.replace("xx", "XX"), java.replace("xx", "XXX")]
+    parsed = [F.try_to_timestamp(c, F.lit(form)) for form in forms]
+    out = parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
+    if "%y" in directives:
+        out = F.when(F.year(out) >= 2069, out - F.make_ym_interval(F.lit(100))).otherwise(out)
+    return out
+
+
+# The patterns a column of dates is tried with when none is declared. Month-first stands before day-first.
+CANDIDATE_DATES = (
+    *("%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y", "%m-%d-%Y", "%d-%m-%Y", "%d.%m.%Y", "%Y%m%d"),
+    *("%d %b %Y", "%d %B %Y", "%b %d, %Y", "%B %d, %Y", "%d-%b-%Y", "%m/%d/%y", "%d/%m/%y", "%d.%m.%y"),
+)
+CANDIDATE_TIMES = ("", " %H:%M:%S", " %H:%M", "T%H:%M:%S", " %I:%M:%S %p", " %I:%M %p", "T%H:%M:%S.%f", " %H:%M:%S.%f", "T%H:%M:%S%z")
+CANDIDATES = tuple(date + time for time in CANDIDATE_TIMES for date in CANDIDATE_DATES)
+
+
 def raise_where_lost(parsed: Column, source: Column, what: str) -> Column:
     """Fail the job at the first value that was present and did not convert."""
     return F.when(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -97,3 +99,104 @@ def create_timestamp(
     if isinstance(df.schema[date_column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return df.withColumn(new_column, column(date_column).cast("timestamp"))
     return df.withColumn(new_column, parsing.to_timestamp(column(date_column).cast("string"), datetime_format))
+
+
+@dataclass(frozen=True)
+class Inferred:
+    """What the values of a text column say about its pattern."""
+
+    pattern: str | None
+    present: int
+    parsed: int
+    # Other patterns that read all the same values, some of them to another date.
+    ambiguous: tuple[str, ...] = ()
+
+
+# What a directive leaves of a value's shape: ``E`` eight digits, ``Y`` four, ``9`` any other number, ``a`` letters.
+SHAPES = {"%Y": "Y", "%f": "9Y", "%b": "a", "%B": "a", "%p": "a", "%a": "a", "%A": "a"}
+
+
+def shapes_of(pattern: str) -> set[str]:
+    """The shapes that values of a pattern can have."""
+    out = {""}
+    for part in re.findall(r"%.|[^%]", pattern.replace("%Y%m%d", "\0")):
+        if part == "%z":
+            ends = ["+Y", "-Y", "+9:9", "-9:9", "a"]
+        elif part.startswith("%"):
+            ends = list(SHAPES.get(part, "9"))
+        else:
+            ends = ["E" if part == "\0" else "a" if part.isalpha() else part]
+        out = {head + end for head in out for end in ends}
+    return out
+
+
+def shape(c: Column) -> Column:
+    """A text with its numbers and words told apart by kind and length only."""
+    for found, mark in ((r"[A-Za-z]+", "a"), (r"(?<![0-9])[0-9]{8}(?![0-9])", "E"), (r"(?<![0-9])[0-9]{4}(?![0-9])", "Y"), (r"[0-9]+", "9")):
+        c = F.regexp_replace(c, found, mark)
+    return c
+
+
+def infer_patterns(
+    df: DataFrame, names: list[str], candidates: tuple[str, ...] = parsing.CANDIDATES, day_first: bool = False
+) -> dict[str, Inferred]:
+    """The strftime pattern of each text column, by all its values, in two scans for all columns.
+
+    The first counts the shapes of values, as many as candidates have at most;
+    the second tries the candidates whose shape occurs. The one that reads the
+    most values is taken. Where others read as many, but some of them to another
+    time, they are named as ``ambiguous`` (05/01 against 01/05, where no day is
+    above 12); month-first is taken then, or with ``day_first`` the other. A
+    column without a readable value has no pattern.
+    """
+    known = {p: shapes_of(p) for p in candidates}
+    every = sorted(set().union(*known.values()))
+    texts = {name: F.btrim(column(name).cast("string"), F.lit(parsing.WHITESPACE)) for name in names}
+    pairs = [F.struct(F.lit(at).alias("at"), shape(texts[name]).alias("shape")) for at, name in enumerate(names)]
+    seen: dict[int, dict] = {at: {} for at in range(len(names))}
+    rows = df.select(F.explode(F.array(*pairs)).alias("p")).where("p.shape IS NOT NULL")
+    rows = rows.select("p.at", F.when(F.col("p.shape").isin(every), F.col("p.shape")).alias("shape")).groupBy("at", "shape").count()
+    for row in rows.collect():
+        seen[row["at"]][row["shape"]] = row["count"]
+    tried = {at: [p for p in candidates if known[p] & set(found)] for at, found in seen.items()}
+    if day_first:
+        tried = {at: sorted(ps, key=lambda p: p.startswith(("%m/", "%m-"))) for at, ps in tried.items()}
+    wanted = []
+    for at, name in enumerate(names):
+        stamps = [parsing.by_pattern(texts[name], p) for p in tried[at]]
+        wanted += [F.count(stamp).alias(f"n{at}_{n}") for n, stamp in enumerate(stamps)]
+        wanted += [
+            F.count(F.when(stamps[m] != stamps[n], 1)).alias(f"d{at}_{m}_{n}")
+            for m in range(len(stamps))
+            for n in range(m + 1, len(stamps))
+            if known[tried[at][m]] & known[tried[at][n]]
+        ]
+    found = df.agg(*wanted).first().asDict() if wanted else {}
+    out = {}
+    for at, name in enumerate(names):
+        present = sum(seen[at].values())
+        counts = [found[f"n{at}_{n}"] for n in range(len(tried[at]))]
+        most = max(counts, default=0)
+        if not most:
+            out[name] = Inferred(None, present, 0)
+            continue
+        best = counts.index(most)
+        rivals = [n for n in range(best + 1, len(counts)) if counts[n] == most and found.get(f"d{at}_{best}_{n}")]
+        out[name] = Inferred(tried[at][best], present, most, tuple(tried[at][n] for n in rivals))
+    return out
+
+
+def parse_inferred(df: DataFrame, names: list[str], day_first: bool = False) -> DataFrame:
+    """Text columns of dates without a declared pattern to timestamps; values of another pattern become null.
+
+    Ambiguous columns are logged. A column without a pattern is left as it is.
+    """
+    for name, found in infer_patterns(df, [n for n in names if n in df.columns], day_first=day_first).items():
+        if found.ambiguous:
+            logger.warning("column %s read by %s could also be %s", name, found.pattern, ", ".join(found.ambiguous))
+        if found.pattern is None:
+            logger.warning("column %s has no known date pattern", name)
+            continue
+        text = F.btrim(column(name).cast("string"), F.lit(parsing.WHITESPACE))
+        df = df.withColumn(name, parsing.by_pattern(text, found.pattern))
+    return df

@@ -31,7 +31,7 @@ def drop_duplicates(
     if keep is False:
         return _only_unique(df, keys)
     if subset is None:
-        return _whole_rows(df)
+        return _by_keys(df, keys)
     order = list(order_by or [])
     order += [
         f.name
@@ -40,21 +40,21 @@ def drop_duplicates(
     ]
     grouping = [present(df, k) for k in keys]
     if not order:
-        return df.dropDuplicates(keys)
+        return _by_keys(df, keys)
     ranked = [column(c).asc() if keep == "first" else column(c).desc() for c in order]
     window = Window.partitionBy(*grouping).orderBy(*ranked)
     place = "__place"
     return df.withColumn(place, F.row_number().over(window)).where(F.col(place) == 1).drop(place)
 
 
-def _whole_rows(df: DataFrame) -> DataFrame:
-    """One of each group of equal rows; NaN and NULL are equal, as in keys."""
-    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+def _by_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each group of equal keys, whichever; NaN and NULL are equal."""
+    floats = [k for k in keys if isinstance(df.schema[k].dataType, (T.DoubleType, T.FloatType))]
     if not floats:
-        return df.dropDuplicates()
+        return df.dropDuplicates(keys)
     same = {f"__p{i}": present(df, c) for i, c in enumerate(floats)}
-    keys = [*same, *[c for c in df.columns if c not in floats]]
-    return df.withColumns(same).dropDuplicates(keys).select(*[column(c) for c in df.columns])
+    kept = [*same, *[k for k in keys if k not in floats]]
+    return df.withColumns(same).dropDuplicates(kept).select(*[column(c) for c in df.columns])
 
 
 def _only_unique(df: DataFrame, keys: list[str]) -> DataFrame:

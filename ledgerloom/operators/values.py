@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import decimal
 import logging
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ledgerloom.functions import business, mapping as maps, parsing, text
 from ledgerloom.functions.columns import column
@@ -62,11 +61,8 @@ def map_values(
         if len(mapping) <= maps.LITERAL_MAP_LIMIT:
             return df.withColumn(column_name, maps.map_value(c, mapping, default_value, kind))
         entries, target = maps.typed_pairs(mapping, kind, default_value)
-        key = T.DecimalType(38, 18) if isinstance(kind, T.DecimalType) else kind
         plain = [(float(k) if isinstance(kind, (T.DoubleType, T.FloatType)) else k, v) for k, v in entries]
-        if isinstance(kind, T.DecimalType):
-            plain = [(decimal.Decimal(str(k)), v) for k, v in plain]
-        schema = T.StructType([T.StructField("__key", key), T.StructField("__value", target)])
+        schema = T.StructType([T.StructField("__key", kind), T.StructField("__value", target)])
         pairs = df.sparkSession.createDataFrame(plain, schema)
     else:
         pairs = mapping.toDF("__key", "__value").where("__key is not null and __value is not null")
@@ -166,6 +162,60 @@ def normalize_currency(
     return out.withColumns(new).drop("__code", "__rate")
 
 
+def normalize_currency_dated(
+    df: DataFrame,
+    amount_column: str,
+    currency_column: str,
+    date_column: str,
+    rates: DataFrame,
+    target_currency: str = "USD",
+    normalized_column: str = "NormalizedAmountUSD",
+    rate_missing_column: str | None = None,
+    bucket: str = "month",
+) -> DataFrame:
+    """Amounts in one currency by the rate that held on the row's date.
+
+    ``rates`` holds code, first date and rate; the last rate at or before the
+    row's date counts. Before a currency's first rate, without a date or with an
+    unknown currency the amount is kept, with an optional flag.
+
+    No range is joined: rates are laid out by currency and ``bucket`` (a unit of
+    ``date_trunc``), each with its own rates in order and the one carried in, so
+    rows look one entry up by an equal key. A currency with a third of all rows
+    spreads over its buckets, and if the rates are too many to broadcast the
+    adaptive planner may split each of them, as entries are unique. Choose the
+    bucket so that it holds some dozens of rates.
+    """
+    data_type = df.schema[amount_column].dataType
+    amount = parsing.null_if_nan(parsing.convert(column(amount_column), data_type, T.DoubleType()))
+    target, at = target_currency.upper(), column(date_column).cast("timestamp_ntz")
+    known = rates.toDF("code", "at", "rate").select(
+        F.upper("code").alias("__code"), F.col("at").cast("timestamp_ntz").alias("at"), F.col("rate").cast("double").alias("rate")
+    )
+    known = written_table(known.dropna().where(F.col("__code") != target), "dated-rates")
+    if not known.groupBy("__code", "at").count().where("count > 1").limit(1).isEmpty():
+        raise ValueError("the rates hold a currency and date more than once")
+    unit = lambda c: F.date_trunc(bucket, c).cast("timestamp_ntz")
+    steps = known.groupBy("__code", unit(F.col("at")).alias("__bucket")).agg(F.sort_array(F.collect_list(F.struct("at", "rate"))).alias("__steps"))
+    last = df.agg(F.max(at).alias("last")).first()["last"]
+    stride = {"quarter": "3 months"}.get(bucket, f"1 {bucket}")
+    first = steps.groupBy("__code").agg(F.min("__bucket").alias("first"), F.max("__bucket").alias("end"))
+    until = F.greatest("end", unit(F.lit(last).cast("timestamp_ntz"))) if last is not None else F.col("end")
+    spans = first.select("__code", F.explode(F.sequence("first", until, F.expr(f"INTERVAL {stride}"))).alias("__bucket"))
+    before = Window.partitionBy("__code").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    entries = spans.join(steps, ["__code", "__bucket"], "left").select(
+        "__code", "__bucket", "__steps", F.last(F.try_element_at("__steps", F.lit(-1))["rate"], True).over(before).alias("__carried")
+    )
+    keyed = df.withColumns({amount_column: amount, "__code": F.upper(column(currency_column)), "__at": at, "__bucket": unit(at)})
+    found = lookup_join(keyed, written_table(entries, "rate-entries"), ["__code", "__bucket"])
+    here = F.filter("__steps", lambda s: s["at"] <= F.col("__at"))
+    rate = F.coalesce(F.try_element_at(here, F.lit(-1))["rate"], F.col("__carried"))
+    new = {normalized_column: F.coalesce(column(amount_column) * rate, column(amount_column))}
+    if rate_missing_column:
+        new[rate_missing_column] = rate.isNull() & ~F.coalesce(F.col("__code") == target, F.lit(False))
+    return found.withColumns(new).drop("__code", "__at", "__bucket", "__steps", "__carried")
+
+
 def add_threshold_flags(df: DataFrame, fields: list[dict]) -> DataFrame:
     """Flags ``{name, condition_column, condition_threshold}``: true above the threshold."""
     new = {

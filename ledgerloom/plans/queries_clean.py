@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import business, mapping, text
@@ -454,6 +456,50 @@ def b1_table(spark, sf):
     )
 
 
+@register(
+    "B1_dated_rates",
+    """WITH rates AS (
+           SELECT upper(o_orderpriority) AS code, date_trunc('day', o_orderdate)::TIMESTAMP AS since,
+                  CAST(1 + max(o_orderkey % 1000) / 1000.0 AS DOUBLE) AS rate
+           FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderkey % 40 = 0 GROUP BY ALL
+       )
+       SELECT o_orderkey, o_totalprice AS amount, lower(o_orderpriority) AS currency, o_orderdate::TIMESTAMP AS dated,
+              o_totalprice * coalesce(rate, 1) AS normalized, rate IS NULL AND o_orderpriority <> '1-URGENT' AS rate_missing
+       FROM orders ASOF LEFT JOIN (SELECT * FROM rates WHERE code <> '1-URGENT') r
+            ON upper(o_orderpriority) = code AND o_orderdate >= since""",
+)
+def b1_dated(spark, sf):
+    """Rates that change from day to day; one currency is the target, one has no rate."""
+    orders = table(spark, sf, "orders")
+    rates = orders.where("o_orderpriority <> '5-LOW' AND o_orderkey % 40 = 0")
+    rates = rates.groupBy("o_orderpriority", F.date_trunc("day", "o_orderdate").alias("since"))
+    rates = rates.agg((1 + F.max(F.col("o_orderkey") % 1000) / 1000.0).alias("rate"))
+    rows = orders.select(
+        "o_orderkey", F.col("o_totalprice").alias("amount"), F.lower("o_orderpriority").alias("currency"), F.col("o_orderdate").alias("dated")
+    )
+    return values.normalize_currency_dated(
+        rows, "amount", "currency", "dated", rates, "1-urgent", "normalized", "rate_missing"
+    )
+
+
+@register(
+    "V1_map_decimals",
+    """SELECT l_orderkey, l_linenumber,
+              CASE l_quantity WHEN 7 THEN '12345678901234567890.12' WHEN 8 THEN '0.05'
+                   ELSE CAST(l_quantity AS DECIMAL(30, 2))::VARCHAR END AS few,
+              CASE WHEN l_quantity <= 45 THEN '987654321098765432' || (10 + CAST(l_quantity AS INTEGER))::VARCHAR || '.25'
+                   ELSE CAST(l_quantity AS DECIMAL(30, 2))::VARCHAR END AS many
+       FROM lineitem""",
+)
+def v1_decimals(spark, sf):
+    """Decimals of more digits than a double holds, by a short and a long dictionary."""
+    amount = F.col("l_quantity").cast("decimal(30,2)")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", amount.alias("few"), amount.alias("many"))
+    rows = values.map_values(rows, "few", {7: Decimal("12345678901234567890.12"), 8: Decimal("0.05"), 9.001: Decimal("1.00")})
+    long = {n: n + Decimal("98765432109876543210.25") for n in range(-60, 46)}
+    return values.map_values(rows, "many", long).withColumns({c: F.col(c).cast("string") for c in ("few", "many")})
+
+
 @register(
     "B2_international",
     RAW + "SELECT TransactionID, Currency IS NULL OR upper(Currency) <> 'USD' AS foreign_currency FROM raw",

@@ -284,6 +284,20 @@ def s13_retried(spark, sf):
     return pages.fetch_all(landed, record, results_key="results")
 
 
+@register(
+    "S13_null_attempts",
+    f"""SELECT * FROM ({PAGED}) t
+        WHERE NOT ((event_id // 1000) % 4 = 2 AND page_no >= 12)
+          AND NOT ((event_id // 1000) % 4 = 3 AND page_no >= 8)""",
+)
+def s13_null_attempts(spark, sf):
+    """First reads bear no attempt; a page that was read again has a number."""
+    first = event_pages(spark, sf, False).withColumn("attempt", F.lit(None).cast("int"))
+    again = event_pages(spark, sf, True).where("CAST(substring_index(endpoint, '/', -1) AS LONG) % 4 = 1")
+    landed = first.unionByName(again.where("page_no >= 15").withColumn("attempt", F.lit(0)))
+    return pages.fetch_all(landed, "event_id long, event_type string, value double", results_key="results")
+
+
 @register(
     "S14_single_record",
     """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events

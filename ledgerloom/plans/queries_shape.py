@@ -197,6 +197,49 @@ def t5(spark, sf):
     return convert.parse_datetime(parsed, "day", "%d %b %Y", errors="coerce")
 
 
+@register(
+    "T5_all_directives",
+    """SELECT event_id, date_trunc('minute', ts)::TIMESTAMP AS named, date_trunc('day', ts)::TIMESTAMP AS short,
+              date_trunc('second', ts)::TIMESTAMP - INTERVAL 1 HOUR AS zoned, date_trunc('day', ts)::TIMESTAMP - INTERVAL 30 YEAR AS old
+       FROM events""",
+)
+def t5_directives(spark, sf):
+    """Weekdays, two-digit years of both centuries, offsets in three forms."""
+    ts = F.col("ts")
+    offset = F.when(F.col("event_id") % 3 == 0, "+0100").when(F.col("event_id") % 3 == 1, "+01:00").otherwise("Z")
+    utc = F.when(F.col("event_id") % 3 == 2, ts - F.expr("INTERVAL 1 HOUR")).otherwise(ts)
+    texts = table(spark, sf, "events").select(
+        "event_id",
+        F.date_format(ts, "EEEE, d MMMM yyyy hh:mm a").alias("named"),
+        F.date_format(ts, "EEE dd.MM.yy").alias("short"),
+        F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), offset).alias("zoned"),
+        F.date_format(ts - F.expr("INTERVAL 30 YEAR"), "d/M/yy").alias("old"),
+    )
+    formats = {"named": "%A, %d %B %Y %I:%M %p", "short": "%a %d.%m.%y", "zoned": "%Y-%m-%dT%H:%M:%S%z", "old": "%d/%m/%y"}
+    for name, pattern in formats.items():
+        texts = convert.parse_datetime(texts, name, pattern)
+    return texts
+
+
+@register(
+    "T6_inferred_patterns",
+    """SELECT l_orderkey, l_linenumber, l_shipdate::TIMESTAMP AS shipped, l_shipdate::TIMESTAMP + INTERVAL 90 MINUTE AS seen,
+              CASE WHEN l_linenumber % 7 <> 0 THEN date_trunc('day', l_shipdate)::TIMESTAMP END AS noted
+       FROM lineitem""",
+)
+def t6_inferred(spark, sf):
+    """Dates whose pattern nobody declared: day-first, with a time, and with values that are none."""
+    at = F.col("l_shipdate")
+    texts = table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.date_format(at, "dd/MM/yyyy").alias("shipped"),
+        F.date_format(at + F.expr("INTERVAL 90 MINUTE"), "yyyy-MM-dd HH:mm:ss").alias("seen"),
+        F.when(F.col("l_linenumber") % 7 == 0, "tomorrow").otherwise(F.date_format(at, "MMM d, yyyy")).alias("noted"),
+    )
+    return convert.parse_inferred(texts, ["shipped", "seen", "noted"])
+
+
 @register(
     "T6_parse_date",
     RAW + "SELECT TransactionID, TRY_STRPTIME(TransactionDate, '%Y-%m-%d') AS dated FROM raw",

@@ -75,11 +75,15 @@ def _struct(schema: T.StructType | str) -> T.StructType:
 
 
 def last_attempts(pages: DataFrame) -> DataFrame:
-    """Of a page that landed several times the last attempt, where a column ``attempt`` tells them apart."""
+    """Of a page that landed several times the last attempt, where a column ``attempt`` tells them apart.
+
+    A null attempt comes before all others: it counts where there is no other.
+    """
     if "attempt" not in pages.columns:
         return pages
-    last = pages.groupBy("endpoint", "page_no").agg(F.max("attempt").alias("attempt"))
-    return lookup_join(pages, written_table(last, "last-attempts"), ["endpoint", "page_no", "attempt"], "inner")
+    last = pages.groupBy("endpoint", "page_no").agg(F.max("attempt").alias("__last"), F.count("attempt").alias("__n"))
+    found = lookup_join(pages, written_table(last, "last-attempts"), ["endpoint", "page_no"], "inner")
+    return found.where((F.col("__n") == 0) | (F.col("attempt") == F.col("__last"))).drop("__last", "__n")
 
 
 def _page_ends(
