@@ -1,35 +1,84 @@
 import random
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import chunks
 
 
-def plain(docs):
+def chunk_spans(lines):
+    """Chunks that count as passages, by the rule: an end after a long line, before one, or where two lines' hashes say so."""
+    words = [len(line.split()) for line in lines]
+    hashes = [xxhash.xxh64_intdigest(line) for line in lines]
+    spans, begin = set(), 0
+    for at in range(len(lines)):
+        two = (hashes[at] + (hashes[at - 1] * chunks._BASE if at else 0)) % (1 << 64)
+        size = at + 1 - begin
+        ended = at + 1 == len(lines) or words[at] >= 40 or words[at + 1] >= 40
+        if ended or size >= 2 and (two >> 32) % 2 == 0 or size >= 64:
+            said = [w for w in words[begin : at + 1] if w]
+            if len(said) >= 2 or (said and max(said) >= 40):
+                spans.add((begin, at + 1))
+            begin = at + 1
+    return spans
+
+
+def run_spans(lines):
+    """Runs with 50 words, a word in their first and last line, that have fewer without the one or without the other."""
+    words = [len(line.split()) for line in lines]
+    spans = set()
+    for i in range(len(lines)):
+        if not words[i]:
+            continue
+        total = 0
+        for j in range(i, len(lines)):
+            total += words[j]
+            if total >= 50:
+                if words[j]:
+                    spans.add((i, j + 1))
+                break
+    for j in range(len(lines)):
+        if not words[j]:
+            continue
+        total = 0
+        for i in range(j, -1, -1):
+            total += words[i]
+            if total >= 50:
+                if words[i]:
+                    spans.add((i, j + 1))
+                break
+    return spans
+
+
+def plain(docs, runs=False):
     """The same removal with dictionaries: rows in order of id, first occurrence stays."""
-    owner, count = {}, {}
+    owner, count, spans, split = {}, {}, {}, {}
     for doc_id, text in docs:
-        for _, chunk in chunks.passages_of(text):
-            count[chunk] = count.get(chunk, 0) + 1
-            owner[chunk] = min(owner.get(chunk, doc_id), doc_id)
+        lines = split[doc_id] = text.encode().split(b"\n")
+        spans[doc_id] = sorted(chunk_spans(lines) | (run_spans(lines) if runs else set()))
+        for i, j in spans[doc_id]:
+            held = b"\n".join(lines[i:j])
+            count[held] = count.get(held, 0) + 1
+            owner[held] = min(owner.get(held, doc_id), doc_id)
     out = {}
-    for doc_id, text in docs:
-        lines, seen, kept, begin = text.split("\n"), set(), [], 0
-        ends, passages = chunks.chunk_ends([line.encode() for line in lines])
-        for end, passage in zip(ends, passages):
-            chunk = "\n".join(lines[begin:end]).encode()
-            gone = passage and count[chunk] > 1 and (owner[chunk] != doc_id or chunk in seen)
-            seen.add(chunk)
-            kept += [] if gone else lines[begin:end]
-            begin = end
-        out[doc_id] = "\n".join(kept)
+    for doc_id, lines in split.items():
+        gone, first = set(), {}
+        for i, j in spans[doc_id]:
+            held = b"\n".join(lines[i:j])
+            if count[held] > 1:
+                kept_to = first.setdefault(held, j)
+                if owner[held] != doc_id or i >= kept_to:
+                    gone.update(range(i, j))
+        out[doc_id] = b"\n".join(line for at, line in enumerate(lines) if at not in gone).decode()
     return out
 
 
-def test_documents_against_dictionaries(spark):
+@pytest.mark.parametrize("runs", [False, True])
+def test_documents_against_dictionaries(spark, runs):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    want = plain([(r["doc_id"], r["text"]) for r in docs.collect()])
-    got = {r["doc_id"]: r["text"] for r in chunks.remove_repeated(docs).collect()}
+    want = plain([(r["doc_id"], r["text"]) for r in docs.collect()], runs)
+    got = {r["doc_id"]: r["text"] for r in chunks.remove_repeated(docs, runs=runs).collect()}
     assert got == want
     assert sum(map(len, want.values())) < docs.agg(F.sum(F.length("text"))).first()[0]
 
@@ -75,13 +124,14 @@ def test_boundaries_shift_with_the_text():
     assert len(set(ends) - {end - 2 for end in moved}) <= 2
 
 
-def test_awkward_rows(awkward, nothing):
-    out = chunks.remove_repeated(awkward)
+@pytest.mark.parametrize("runs", [False, True])
+def test_awkward_rows(awkward, nothing, runs):
+    out = chunks.remove_repeated(awkward, runs=runs)
     assert out.columns == awkward.columns and out.count() == 11
     rows = {r["doc_id"]: r["text"] for r in out.where("doc_id <> 7").collect()}
     assert rows[2] is None and rows[3] == "" and rows[4] == " \n\t\n "
     assert rows[5].count("\n") == 3999 and rows[6].count("\n") <= 1
-    assert chunks.remove_repeated(nothing).count() == 0
+    assert chunks.remove_repeated(nothing, runs=runs).count() == 0
 
 
 def test_equal_rows_stay_equal(spark):

@@ -28,7 +28,7 @@ def test_stages_against_brute_force(spark):
 
             assert set(after) == {k for k, r in before.items() if passes(r["text"])}
         if name == "line_dedup":
-            want = {k: t for k, t in plain_chunks([(k, r["text"]) for k, r in before.items()]).items() if t.strip()}
+            want = {k: t for k, t in plain_chunks([(k, r["text"]) for k, r in before.items()], True).items() if t.strip()}
             assert {k: r["text"] for k, r in after.items()} == want
             assert all(r["n_chars"] == len(r["text"]) for r in after.values())
         if name == "near_dedup":
