@@ -21,7 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, passages that stand elsewhere cut out. ``n_chars`` follows the text; texts left without a word go."""
-    cut = chunks.remove_repeated(docs)
+    cut = chunks.remove_repeated(docs, runs=True)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.selectExpr(*[f"CAST(char_length(text) AS {kind.simpleString()}) AS n_chars" if c == "n_chars" else f"`{c}`" for c in docs.columns])
