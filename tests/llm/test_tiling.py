@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from ledgerloom.llm import tiling
 
@@ -30,22 +31,73 @@ def plain_tiles(a, b, k):
         total.append((i, j, n))
 
 
-def test_tiles_by_definition():
-    draw = random.Random(2)
-    for _ in range(60):
-        a = [draw.choice("abc") for _ in range(draw.randrange(5, 40))]
-        b = [draw.choice("abc") for _ in range(draw.randrange(5, 25))]
+def windows(tokens, k):
+    """A number for each window of ``k`` tokens, equal for equal windows."""
+    return np.array([sum(ord(t) * 1000**n for n, t in enumerate(tokens[i : i + k])) for i in range(len(tokens) - k + 1)], np.uint64)
+
+
+@pytest.mark.parametrize("pairs", [1, 7, 1 << 20])
+def test_tiles_by_definition(monkeypatch, pairs):
+    monkeypatch.setattr(tiling, "PAIRS", pairs)
+    draw = random.Random(pairs)
+    for _ in range(150):
+        letters = draw.choice(["a", "ab", "abc"])
+        a = [draw.choice(letters) for _ in range(draw.randrange(5, 40))]
+        b = [draw.choice(letters) for _ in range(draw.randrange(5, 25))]
         k = draw.randrange(2, 5)
-        pairs = [(i, j) for i in range(len(a) - k + 1) for j in range(len(b) - k + 1) if a[i : i + k] == b[j : j + k]]
-        if not pairs:
-            continue
-        i, j = (np.array(x) for x in zip(*pairs))
-        got = tiling.tiles(i, j, k, len(a), len(b))
-        assert [n for _, _, n in got] == [n for _, _, n in plain_tiles(a, b, k)] or sum(n for *_, n in got) > 0
+        i, j, n = tiling.matches(windows(a, k), windows(b, k))
+        got = tiling.tiles(i, j, n + k - 1, k, len(a), len(b))
+        assert [n for _, _, n in got] == [n for _, _, n in plain_tiles(a, b, k)]
         assert all(a[x : x + n] == b[y : y + n] for x, y, n in got)
         assert sum(n for *_, n in got) == len({x + d for x, _, n in got for d in range(n)}) == len({y + d for _, y, n in got for d in range(n)})
 
 
+def texts_of(text):
+    raw = tiling.folded(text).encode()
+    starts, ends, _ = tiling.tokens(np.frombuffer(raw + b"\n", np.uint8))
+    return [raw[a:b].decode() for a, b in zip(starts, ends)]
+
+
+def test_scripts_without_blanks_have_a_token_per_character():
+    assert texts_of("Hello, wörld 42") == ["hello", "wörld", "42"]
+    assert texts_of("北京是首都。Tokyo東京x") == [*"北京是首都", "tokyo", *"東京", "x"]
+    assert texts_of("ภาษาไทย ok") == [*"ภาษาไทย", "ok"]
+    assert texts_of("「かな」，カナ！𠀋𠀋") == [*"かなカナ𠀋𠀋"]
+    assert texts_of("한국어 낱말") == ["한국어", "낱말"]
+    assert texts_of("中") == ["中"] and texts_of("") == []
+
+
+def test_short_items_and_unspaced_scripts(spark):
+    bench = [(1, "Quux zork?"), (2, "法国的首都是巴黎吗"), (3, "。、"), (4, "blorp")]
+    docs = [(1, "say quux, zork and go"), (2, "quux then zork"), (3, "请问法国的首都是巴黎吗？谢谢"), (4, "法国有首都"), (5, "nothing"), (6, "BLORP!"), (7, "blorps")]
+    found = tiling.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    assert {r["doc_id"]: r["item_ids"] for r in found.collect()} == {1: [1], 3: [2], 6: [4]}
+
+
+def test_spans_are_those_of_the_text(spark):
+    text = "İİİ İstanbul ẞ K alpha Beta GAMMA delta epsilon, zeta İ end"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta")], "item_id long, text string")
+    (span,) = tiling.contaminated(docs, bench).first()["hits"][0]["spans"]
+    assert text.encode()[span["begin"] : span["end"]].decode() == "alpha Beta GAMMA delta epsilon, zeta"
+
+
+def test_a_word_over_and_over_stays_within_bounds():
+    import tracemalloc
+
+    groups = tiling.index_items([1, 2], ["word " * 160, "word other " * 80])
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["word " * 2_000_000])], ["scan_text"])
+    tracemalloc.start()
+    (out,) = list(tiling.scanning(groups, 0.5)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    (hits,) = out.column("hits").to_pylist()
+    assert [(h["item_id"], h["coverage"], len(h["spans"])) for h in hits] == [(1, 1.0, 1)]
+    assert peak < 500e6, peak
+
+
 def test_table_against_all_pairs(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
@@ -80,6 +132,7 @@ def reordered(spark):
         (13, None, "x"),
         (14, "", "x"),
         (15, "so: No id but quite a few tokens to find here!", "x"),
+        (16, "these are two words", "x"),
         (None, ". ".join(sentences), "x"),
     ]
     return spark.createDataFrame(docs, "doc_id long, text string, hits string"), spark.createDataFrame(bench, "item_id long, text string")
@@ -88,7 +141,7 @@ def reordered(spark):
 def test_reordered_passages(spark):
     docs, bench = reordered(spark)
     got = {r["doc_id"]: (r["item_ids"], r["coverage"]) for r in tiling.contaminated(docs, bench).collect()}
-    assert got == {10: ([1], 1.0), None: ([1], 1.0), 15: ([-1], 1.0)}
+    assert got == {10: ([1], 1.0), None: ([1], 1.0), 15: ([-1], 1.0), 16: ([2], 1.0)}
     kept = tiling.remove_contaminated(docs, bench)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [11, 12, 13, 14]
 
