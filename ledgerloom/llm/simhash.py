@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.llm.common import row_key, small_components
 from ledgerloom.llm.graph import components
+from ledgerloom.operators.joins import lookup_join
 from ledgerloom.session import written_table
 
 SHINGLE_WORDS = 3
@@ -302,23 +303,28 @@ def keep_one_each(docs: DataFrame, words_each: int = SHINGLE_WORDS, bits: int =
     """``docs`` with one row of each near-duplicate class: the smallest doc_id, ties by text hash, nulls last.
 
     Of rows that agree in doc_id and text one stays. All columns are kept,
-    whatever their names. Winners are found on keys alone; a class of any size is
-    cut to one row before it is shuffled.
+    whatever their names. Winners are found on keys alone, aggregated in the map
+    tasks. Texts stay where they are while the keys that go can be broadcast.
     """
     found = near_duplicates(docs, words_each, bits)
-    first = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "row_key")
-    winners = (
-        found.select("root", "doc_id", "row_key")
-        .withColumn("rank", F.row_number().over(first))
-        .where("rank = 1")
-        .select(F.col("doc_id").alias("k0"), F.col("row_key").alias("k1"))
-    )
+    key = ["k0", "k1", "no_id"]
+    named = found.select("root", F.col("doc_id").alias("k0"), F.col("row_key").alias("k1"))
+    named = named.withColumn("no_id", F.col("k0").isNull()).withColumn("k0", F.coalesce("k0", F.lit(0).cast("long")))
+    counted = written_table(named.groupBy("root", *key).agg(F.count(F.lit(1)).alias("n")), "simhash-counted")
+    least = F.min(F.struct("no_id", "k0", "k1")).alias("least")
+    winners = written_table(counted.groupBy("root").agg(least).select("least.*"), "simhash-winners")
+    losers = counted.select(*key).join(winners.hint("merge"), key, "left_anti")
+    # Rows equal in id and text that win together: one of them stays.
+    repeated = written_table(counted.where("n > 1").select(*key).join(winners.hint("merge"), key, "left_semi"), "simhash-repeated")
     plain = docs.toDF(*[f"c{at}" for at in range(len(docs.columns))])
     doc_id, text = (plain[f"c{docs.columns.index(name)}"] for name in ("doc_id", "text"))
-    keyed = plain.select("*", doc_id.cast("long").alias("k0"), F.xxhash64(text).alias("k1"))
-    winners = written_table(winners, "simhash-winners")
-    kept = keyed.alias("d").join(
-        winners.alias("w").hint("merge"), F.expr("d.k0 <=> w.k0 AND d.k1 = w.k1"), "left_semi"
+    keyed = plain.select(
+        "*", F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")).alias("k0"), F.xxhash64(text).alias("k1"), doc_id.isNull().alias("no_id")
     )
-    only = Window.partitionBy("k0", "k1").orderBy("k1")
-    return kept.withColumn("rank", F.row_number().over(only)).where("rank = 1").select(plain.columns).toDF(*docs.columns)
+    kept = lookup_join(keyed, written_table(losers, "simhash-losers"), key, "left_anti")
+    if repeated.isEmpty():
+        return kept.select(plain.columns).toDF(*docs.columns)
+    only = Window.partitionBy(*key).orderBy("k1")
+    once = lookup_join(kept, repeated, key, "left_semi").withColumn("rank", F.row_number().over(only)).where("rank = 1")
+    single = lookup_join(kept, repeated, key, "left_anti")
+    return single.select(plain.columns).union(once.select(plain.columns)).toDF(*docs.columns)
