@@ -242,7 +242,9 @@ def cutting(doc: str):
     return cut
 
 
-def remove_repeated(docs: DataFrame, counts: bool = False, runs: bool = False) -> DataFrame:
+def remove_repeated(
+    docs: DataFrame, counts: bool = False, runs: bool = False, most_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; all rows and columns stay.
 
     A passage stays once, in the rows with the smallest doc_id that hold it (a
@@ -253,19 +255,28 @@ def remove_repeated(docs: DataFrame, counts: bool = False, runs: bool = False) -
     go besides the chunks, wherever chunks end; without, whole chunks alone.
     Other short single lines are never touched. With ``counts``,
     ``removed_lines`` and ``removed_chunks``, the chunks that lost a line, are
-    added behind the other columns.
+    added behind the other columns. Up to ``most_rows`` keys of texts that lose a
+    passage are broadcast; beyond, all texts are shuffled, to the same result.
     """
     place = F.struct("begin", "end", "h0", "h1", (F.col("owner") == F.col("k0")).alias("mine"))
     # Straight to documents: a passage that very many share leaves its task before it is gathered. Rows equal in id and
     # text have the same places, which count once.
-    places = repeated_passages(docs, runs=runs).groupBy("k0", "k1").agg(F.collect_set(place).alias("places"))
+    places = repeated_passages(docs, most_rows, runs).groupBy("k0", "k1").agg(F.collect_set(place).alias("places"))
     rows = keyed(docs).drop("text")
     text = f"c{docs.columns.index('text')}"
-    joined = rows.join(written_table(places, "chunk-places").hint("merge"), ["k0", "k1"], "left")
+    places = written_table(places, "chunk-places")
     plain = [f"c{at}" for at in range(len(docs.columns))]
-    out = joined.select(*plain, "places")
+    held = places.select("k0", "k1")
+    others = None
+    if fits_broadcast(held, most_rows):
+        # Only texts that lose something are shuffled; the others stay where they are.
+        none = F.lit(0).cast("long")
+        others = rows.join(F.broadcast(held), ["k0", "k1"], "left_anti").select(*plain, none.alias("removed_lines"), none.alias("removed_chunks"))
+        rows = rows.join(F.broadcast(held), ["k0", "k1"], "left_semi")
+    out = rows.join(places.hint("merge"), ["k0", "k1"], "left").select(*plain, "places")
     schema = out.drop("places").schema.add("removed_lines", "long").add("removed_chunks", "long")
     cut = out.mapInArrow(cutting(text), schema)
+    cut = cut if others is None else cut.union(others)
     names = [*docs.columns, "removed_lines", "removed_chunks"]
     cut = cut.toDF(*names) if len(set(names)) == len(names) else cut.select(
         *[F.col(a).alias(b) for a, b in zip(cut.columns, names)]

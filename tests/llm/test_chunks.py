@@ -200,3 +200,9 @@ def test_places_of_equal_rows_count_once(spark, monkeypatch):
     rows = chunks.remove_repeated(df, runs=True).collect()
     assert len(rows) == 600 and most[0] <= 60
     assert all((r["text"] == text) == (r["doc_id"] == 1) for r in rows)
+
+
+def test_texts_that_are_shuffled_or_not_come_out_the_same(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    few, many = (sorted(map(tuple, chunks.remove_repeated(docs, True, True, n).collect())) for n in (0, 500_000))
+    assert few == many and any(row[-1] for row in few) and not all(row[-1] for row in few)
