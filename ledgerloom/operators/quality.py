@@ -176,6 +176,12 @@ class RunMetrics:
         merged = {k: str(v) for k, v in {**self.tags, **tags}.items()}
         self.rows.append((self.run_id, stage.task, status, seconds, records, rate, merged, error))
 
+    def add_batch(self, task: str, seconds: float, records: int, tags: dict) -> None:
+        """Note one batch of a stream that succeeded, with the rows it read."""
+        merged = {k: str(v) for k, v in {**self.tags, **tags}.items()}
+        rate = records / seconds if seconds > 0 else None
+        self.rows.append((self.run_id, task, "succeeded", seconds, records, rate, merged, None))
+
     def record(self, name: str, value, **tags) -> None:
         """Note one value under a name, as a row without timing."""
         merged = {k: str(v) for k, v in {**self.tags, **tags, "value": value}.items()}

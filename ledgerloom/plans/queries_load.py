@@ -409,6 +409,25 @@ def q4(spark, sf):
     return metrics.frame(spark).select("task", "status", "records")
 
 
+@register(
+    "Q4_stream_metrics",
+    """SELECT 'events' AS task, (row_number() OVER (ORDER BY event_type) - 1)::VARCHAR AS batch_id, count(*) AS records,
+              count(*) FILTER (WHERE value > 50)::VARCHAR AS rows_out
+       FROM events GROUP BY event_type""",
+)
+def q4_stream(spark, sf):
+    """A batch per event type, in runs one after the other: rows read and rows kept."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    root, metrics = fresh_path(spark, "q4-stream"), quality.RunMetrics("run-1")
+    kinds = [r["event_type"] for r in events.select("event_type").distinct().orderBy("event_type").collect()]
+    for kind in kinds:
+        events.where(F.col("event_type") == kind).coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        stream = runs.read_file_stream(spark, f"{root}/landing", "parquet", events.schema).where("value > 50")
+        runs.run_to_files(stream, f"{root}/kept", f"{root}/state", metrics=metrics, task="events")
+    found = metrics.frame(spark).where("records > 0")
+    return found.select("task", F.col("tags")["batch_id"].alias("batch_id"), "records", F.col("tags")["rows_out"].alias("rows_out"))
+
+
 @register(
     "J1_records",
     RAW

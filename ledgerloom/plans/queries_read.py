@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.plans.raw import RAW, raw_orders
-from ledgerloom.plans.registry import register, table, table_name
+from ledgerloom.plans.registry import register, released, table, table_name
 from ledgerloom.session import fresh_path
 from ledgerloom.sinks import files as file_sinks, tables as table_sinks
 from ledgerloom.sources import files, incremental, pages, tables
@@ -206,6 +206,19 @@ def s11(spark, sf):
     return incremental.since_mark(events, "ts", incremental.read_high_mark(spark, state, "events"))
 
 
+@register("S11_late_ties", "SELECT event_id, date_trunc('day', ts)::TIMESTAMP AS day, value FROM events")
+def s11_ties(spark, sf):
+    """Marks of a day: rows of the day at the mark that land later are loaded once."""
+    events = table(spark, sf, "events").select("event_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "value")
+    name, state, path = table_name("ties"), fresh_path(spark, "s11-ties-state"), fresh_path(spark, "s11-ties")
+    early = events.where("day <= timestamp_ntz '2024-01-09 00:00:00'")
+    at_mark = F.col("day") == F.lit("2024-01-09 00:00:00").cast("timestamp_ntz")
+    batches = (early.where(~at_mark | (F.col("event_id") % 3 == 0)), early.where(~at_mark | (F.col("event_id") % 3 <= 1)), events, events)
+    for run, rows in enumerate(batches):
+        table_sinks.load_increment(rows, name, "day", state, "events", f"run-{run}", path, late_ties=True)
+    return released(spark, name)
+
+
 @register(
     "S12_lookback_scan",
     "SELECT event_id, ts, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-13 00:00:00'",

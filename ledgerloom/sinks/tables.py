@@ -23,7 +23,14 @@ from ledgerloom.sinks.store import (  # noqa: F401
     rewrite_files,
     rows_of,
 )
-from ledgerloom.sources.incremental import MarkedBatch, finish_pending, read_high_mark, since_mark
+from ledgerloom.sources.incremental import (
+    MarkedBatch,
+    finish_pending,
+    note_ties,
+    read_high_mark,
+    since_mark,
+    since_mark_or_tied,
+)
 
 logger = logging.getLogger(__name__)
 
@@ -260,6 +267,8 @@ def load_increment(
     name: str,
     run_id: str,
     path: str | None = None,
+    late_ties: bool = False,
+    tie_keys: list[str] | None = None,
 ) -> int:
     """Append the rows above the stored mark and store the new one. Returns the rows loaded.
 
@@ -267,11 +276,16 @@ def load_increment(
     to a folder that readers of the table pass over; then the mark, taken from
     these very rows, is stored together with that folder; then its files are
     moved into the table. A run that finds a folder noted but not moved begins
-    by moving it. Rows without a mark are left out and logged.
+    by moving it. Rows without a mark are left out and logged. With ``late_ties``
+    rows equal to the mark that land after it was stored are loaded too, each
+    once, told apart by ``tie_keys`` or else by all columns; run ids must differ.
     """
     spark = df.sparkSession
     finish_pending(spark, state_path, name)
-    new = since_mark(df, watermark_column, read_high_mark(spark, state_path, name))
+    if late_ties:
+        new = since_mark_or_tied(df, watermark_column, state_path, name, tie_keys)
+    else:
+        new = since_mark(df, watermark_column, read_high_mark(spark, state_path, name))
     batch = MarkedBatch(new, watermark_column)
     if not spark.catalog.tableExists(table):
         writer = df.limit(0).write.format("parquet")
@@ -288,6 +302,10 @@ def load_increment(
         discard_increment(spark, staged)
         spark.catalog.refreshTable(table)
         return 0
+    if late_ties:
+        # Read back from what was written: the source may have grown meanwhile.
+        held = spark.read.format(place.provider).options(**place.options).schema(target.schema).load(staged)
+        note_ties(held, watermark_column, batch.high_mark, state_path, name, run_id, tie_keys)
     batch.commit(spark, state_path, name, run_id, staged, place.location)
     finish_pending(spark, state_path, name)
     refreshed(spark, table, place.analyzed)

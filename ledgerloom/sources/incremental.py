@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerloom.functions.columns import column
+from ledgerloom.operators.joins import lookup_join
+from ledgerloom.session import written_table
 from ledgerloom.sinks.store import publish_increment
 
 # ``kind`` is the type of the mark. ``staged`` and ``target`` name files that were
@@ -60,6 +62,51 @@ def since_mark(df: DataFrame, watermark_column: str, high_mark) -> DataFrame:
     return df.where(column(watermark_column) > F.lit(high_mark).cast(kind))
 
 
+# Where the rows at a mark are remembered, below the state folder; readers of the state pass over it.
+TIES = "_ties"
+TIE_SCHEMA = "name string, high_mark string, run_id string, t0 long, t1 long"
+
+
+def _row_hash(df: DataFrame, keys: list[str] | None) -> dict[str, Column]:
+    """Two hashes that tell rows apart by their key columns, or by all."""
+    values = [column(k).cast("string") if isinstance(df.schema[k].dataType, T.MapType) else column(k) for k in keys or df.columns]
+    return {"t0": F.xxhash64(F.lit(0), *values), "t1": F.xxhash64(F.lit(1), *values)}
+
+
+def since_mark_or_tied(
+    df: DataFrame, watermark_column: str, state_path: str, name: str, keys: list[str] | None = None
+) -> DataFrame:
+    """Rows above the stored mark, and rows at the mark that no earlier run has loaded.
+
+    Rows that were loaded at the mark are known by hashes of ``keys`` (all
+    columns without it), so of rows equal in these one counts. They are looked
+    up, however many share the mark; rows above it are not touched by that.
+    """
+    spark = df.sparkSession
+    mark = read_high_mark(spark, state_path, name)
+    if mark is None:
+        return df
+    at = F.lit(mark).cast(df.schema[watermark_column].dataType)
+    runs_at = _state(spark, state_path, name).where(F.col("high_mark") == mark).select("run_id").distinct()
+    spark.createDataFrame([], TIE_SCHEMA).write.mode("ignore").parquet(f"{state_path}/{TIES}")
+    known = spark.read.schema(TIE_SCHEMA).parquet(f"{state_path}/{TIES}").where((F.col("name") == name) & (F.col("high_mark") == mark))
+    # A run that noted its rows but never stored its mark does not count.
+    known = written_table(known.join(runs_at, "run_id", "left_semi").select("t0", "t1").distinct(), "ties")
+    tied = df.where(column(watermark_column) == at).withColumns(_row_hash(df, keys))
+    late = lookup_join(tied, known, ["t0", "t1"], "left_anti").select(*[column(c) for c in df.columns])
+    return df.where(column(watermark_column) > at).unionByName(late)
+
+
+def note_ties(
+    rows: DataFrame, watermark_column: str, high_mark: str, state_path: str, name: str, run_id: str, keys: list[str] | None = None
+) -> None:
+    """Remember the rows of a run that lie at its mark. Call it before the mark is stored."""
+    at = F.lit(high_mark).cast(rows.schema[watermark_column].dataType)
+    hashes = rows.where(column(watermark_column) == at).withColumns(_row_hash(rows, keys)).select("t0", "t1")
+    noted = hashes.select(F.lit(name).alias("name"), F.lit(high_mark).alias("high_mark"), F.lit(run_id).alias("run_id"), "t0", "t1")
+    noted.write.mode("append").parquet(f"{state_path}/{TIES}")
+
+
 def look_back(df: DataFrame, column_name: str, as_of, days: int) -> DataFrame:
     """Rows of the last ``days`` days before ``as_of``, that day included; 0 days means all rows."""
     if days == 0:

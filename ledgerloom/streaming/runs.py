@@ -6,10 +6,13 @@ unchanged; statistics fills and ranked deduplication need a bounded table.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
+from ledgerloom.operators.quality import RunMetrics
 from ledgerloom.sinks.tables import upsert_table
 
 
@@ -44,25 +47,95 @@ def run_to_files(
     checkpoint: str,
     file_format: str = "parquet",
     partition_by: list[str] | None = None,
+    metrics: RunMetrics | None = None,
+    task: str = "stream",
 ) -> None:
-    """Append all new rows to a folder, each exactly once, and stop."""
+    """Append all new rows to a folder, each exactly once, and stop. ``metrics`` gets a row per batch."""
+    if metrics is not None:
+        stream = counted(stream)
     writer = stream.writeStream.format(file_format).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.trigger(availableNow=True).start(path).awaitTermination()
+    _run(writer.trigger(availableNow=True), path, stream.sparkSession, metrics, task)
 
 
 def run_batches(
-    stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str
+    stream: DataFrame,
+    each: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    metrics: RunMetrics | None = None,
+    task: str = "stream",
 ) -> None:
-    """Hand each new batch to a function. A batch may come twice after a failure."""
-    (
-        stream.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    """Hand each new batch to a function. A batch may come twice after a failure. ``metrics`` gets a row per batch."""
+    if metrics is not None:
+        stream = counted(stream)
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    _run(writer, None, stream.sparkSession, metrics, task)
+
+
+WRITTEN = "written"
+
+
+def counted(stream: DataFrame) -> DataFrame:
+    """A stream that counts the rows each batch hands to its sink."""
+    return stream.observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
+
+
+class _Batches(StreamingQueryListener):
+    """What each batch of one query reported, as it came: a query itself keeps the last hundred only."""
+
+    def __init__(self):
+        self.found: dict[str, list] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def of(self, run_id) -> threading.Event:
+        return self.ended.setdefault(str(run_id), threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.found.setdefault(str(event.progress.runId), []).append(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.of(event.runId).set()
+
+
+# Reports follow the end of a query in a thread of their own.
+REPORT_SECONDS = 30
+
+
+def _run(writer, path: str | None, spark: SparkSession, metrics: RunMetrics | None, task: str) -> None:
+    """Run a query to its end; with ``metrics`` add a row per batch, also if the query fails."""
+    if metrics is None:
+        (writer.start(path) if path else writer.start()).awaitTermination()
+        return
+    listener = _Batches()
+    spark.streams.addListener(listener)
+    try:
+        query = writer.start(path) if path else writer.start()
+        try:
+            query.awaitTermination()
+        finally:
+            listener.of(query.runId).wait(REPORT_SECONDS)
+            for progress in listener.found.get(str(query.runId), []):
+                _note(metrics, task, progress)
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def _note(metrics: RunMetrics, task: str, progress) -> None:
+    """One batch as a row: rows in as its records, rows out, time and watermark as tags."""
+    seen = progress.observedMetrics.get(WRITTEN)
+    tags = {"batch_id": progress.batchId, "rows_out": seen["rows"] if seen else 0, "started": progress.timestamp}
+    if progress.eventTime.get("watermark"):
+        tags["watermark"] = progress.eventTime["watermark"]
+    if progress.stateOperators:
+        tags["state_rows"] = sum(op.numRowsTotal for op in progress.stateOperators)
+    metrics.add_batch(task, progress.batchDuration / 1000, progress.numInputRows, tags)
 
 
 def deduplicate_stream(

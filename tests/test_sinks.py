@@ -324,3 +324,38 @@ def test_jdbc_writer_options():
         "url": "u", "dbtable": "t", "batchsize": "500", "numPartitions": "4", "truncate": "true",
         "createTableColumnTypes": "name VARCHAR(64)",
     }
+
+
+def test_rows_at_the_mark_that_land_late(spark, fresh):
+    name, path, state = table_name("late"), fresh("late"), fresh("late-state")
+
+    def run(number, *ids, keys=None):
+        rows = spark.createDataFrame([(i, f"v{i}", 10 + i // 3) for i in ids], "id long, v string, at long")
+        return tables.load_increment(rows, name, "at", state, "late", f"run-{number}", path, late_ties=True, tie_keys=keys)
+
+    assert run(0, 0, 1, 3) == 3
+    # 4 and 5 lie at the mark, 2 below it; nothing is loaded twice.
+    assert run(1, 0, 1, 2, 3, 4) == 1
+    assert run(2, 0, 1, 2, 3, 4, 5) == 1
+    assert run(3, 0, 1, 2, 3, 4, 5) == 0
+    assert run(4, 4, 5, 6) == 1 and run(5, 6, 7, keys=["id"]) >= 1
+    got = sorted(r.id for r in spark.read.table(name).collect())
+    assert got[:6] == [0, 1, 3, 4, 5, 6] and 7 in got
+
+
+def test_ties_of_a_run_that_never_stored_its_mark(spark, fresh, monkeypatch):
+    from ledgerloom.sources.incremental import MarkedBatch
+
+    name, path, state = table_name("stopped"), fresh("stopped"), fresh("stopped-state")
+    rows = spark.range(6).selectExpr("id", "5L AS at")
+
+    def dies(*a, **k):
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(MarkedBatch, "commit", dies)
+        with pytest.raises(OSError):
+            tables.load_increment(rows, name, "at", state, "s", "run-1", path, late_ties=True)
+    assert tables.load_increment(rows.where("id < 3"), name, "at", state, "s", "run-2", path, late_ties=True) == 3
+    assert tables.load_increment(rows, name, "at", state, "s", "run-3", path, late_ties=True) == 3
+    assert spark.read.table(name).count() == 6
