@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+from collections import Counter
 
+import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 from ledgerloom.functions import parsing, text
@@ -14,6 +16,9 @@ from ledgerloom.functions import parsing, text
 # to compile than one higher-order expression.
 LITERAL_MAP_LIMIT = 64
 CONDITION_CHAIN_LIMIT = 64
+# More keywords than this are looked up by their grams, of so many characters.
+KEYWORD_INDEX_LIMIT = 512
+GRAM = 4
 
 
 def literal_map(mapping: dict) -> Column:
@@ -147,10 +152,56 @@ def normal_status(c: Column) -> Column:
     return map_value(F.lower(text.strip(c)), STATUS_NAMES)
 
 
+def keyword_index(words: list[str], size: int = GRAM) -> dict[str, list[int]]:
+    """For each gram the keywords to try, by their rank, where a text holds it.
+
+    A keyword stands under that of its grams which the fewest keywords hold; one
+    shorter than ``size`` stands under itself.
+    """
+    grams_of = [{w[at : at + size] for at in range(len(w) - size + 1)} or {w} for w in words]
+    often = Counter(gram for grams in grams_of for gram in grams)
+    out: dict[str, list[int]] = {}
+    for rank, grams in enumerate(grams_of):
+        out.setdefault(min(grams, key=lambda g: (often[g], g)), []).append(rank)
+    return out
+
+
+def _indexed_tag(pairs: list[tuple[str, str]]):
+    """The tag of the last pair whose keyword a (lower-case) text holds, else null, as a function over Arrow batches.
+
+    A text is cut into its grams once; only the keywords that stand under one of
+    them are looked for, so the number of keywords hardly counts.
+    """
+    tags, words = [tag for tag, _ in pairs], [word for _, word in pairs]
+    index = keyword_index(words)
+    lengths = sorted({len(gram) for gram in index})
+
+    @F.pandas_udf("string")
+    def tagged(texts: pd.Series) -> pd.Series:
+        def tag_of(text):
+            if text is None:
+                return None
+            found = -1
+            for n in lengths:
+                for gram in index.keys() & {text[at : at + n] for at in range(len(text) - n + 1)} if n else ("",):
+                    for rank in reversed(index[gram]):
+                        if rank <= found:
+                            break
+                        if words[rank] in text:
+                            found = rank
+                            break
+            return tags[found] if found >= 0 else None
+
+        return texts.map(tag_of)
+
+    return tagged
+
+
 def keyword_tag(description: Column, rules: dict[str, list[str]], default: str = "OTHER") -> Column:
     """Tag of the last rule, in order of declaration, with a keyword in the text.
 
-    Tags are upper-cased, the default is kept as given.
+    Tags are upper-cased, the default is kept as given. Few keywords become
+    conditions; from ``KEYWORD_INDEX_LIMIT`` on an index of them is asked.
     """
     low = F.lower(description)
     pairs = [(tag.upper(), word.lower()) for tag, words in rules.items() for word in words]
@@ -165,6 +216,8 @@ def keyword_tag(description: Column, rules: dict[str, list[str]], default: str =
                     hit = hit | F.contains(low, F.lit(word.lower()))
                 out = F.when(hit, tag.upper()) if out is None else out.when(hit, tag.upper())
         return out.otherwise(default)
+    if len(pairs) > KEYWORD_INDEX_LIMIT:
+        return F.coalesce(_indexed_tag(pairs)(low), F.lit(default))
     entries = F.array(
         *[F.struct(F.lit(tag).alias("tag"), F.lit(word).alias("word")) for tag, word in pairs[::-1]]
     )

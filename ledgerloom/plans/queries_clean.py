@@ -422,6 +422,20 @@ def v5_many(spark, sf):
 RATES = {"EUR": 1.09, "cad": 0.75}
 
 
+@register(
+    "V5_keyword_index",
+    """SELECT o_orderkey, CASE WHEN o_custkey >= 10000 THEN 'PLACE' WHEN o_custkey % 2 = 0 THEN 'EVEN' ELSE 'ODD' END AS tag
+       FROM orders""",
+)
+def v5_index(spark, sf):
+    """Ten thousand keywords, customer numbers among them; a later rule wins."""
+    numbers = [f"<{n:05d}>" for n in range(10_000)]
+    rules = {"any": ["Customer"], "odd": numbers[1::2], "even": numbers[0::2], "place": ["<1", "<2", "<3", "<4", "<5", "<6", "<7", "<8", "<9"]}
+    said = F.concat(F.lit("An order of CUSTOMER <"), F.lpad(F.col("o_custkey").cast("string"), 5, "0"), F.lit(">, by post"))
+    orders = table(spark, sf, "orders").select("o_orderkey", said.alias("said"))
+    return values.tag_descriptions(orders, "said", rules, "tag", "NONE").select("o_orderkey", "tag")
+
+
 @register(
     "B1_normalize_currency",
     RAW

@@ -241,3 +241,18 @@ def test_numbers_are_spelled_like_python(spark):
     assert values(spark, c, numbers, "x double") == [repr(n) for n in numbers]
     assert values(spark, c, [None, float("nan")], "x double") == [None, None]
     assert values(spark, parsing.to_text(x(), T.BooleanType()), [True, None], "x boolean") == ["True", None]
+
+
+def test_many_keywords_give_what_conditions_give(spark, monkeypatch):
+    import random
+
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choice("abC \u00e9") for _ in range(draw.randint(0 if draw.random() < 0.02 else 1, 7)))
+    for _ in range(12):
+        rules = {f"tag{n}": [word() for _ in range(draw.randint(1, 4))] for n in range(draw.randint(1, 25))}
+        texts = [None, "", *("".join(draw.choice("abcC \u00c9") for _ in range(draw.randint(1, 30))) for _ in range(80))]
+        want = values(spark, mapping.keyword_tag(x(), rules, "Other"), texts)
+        with monkeypatch.context() as m:
+            m.setattr(mapping, "CONDITION_CHAIN_LIMIT", 0)
+            m.setattr(mapping, "KEYWORD_INDEX_LIMIT", 0)
+            assert values(spark, mapping.keyword_tag(x(), rules, "Other"), texts) == want
