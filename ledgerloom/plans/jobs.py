@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ledgerloom.functions import business, mapping, parsing, text
 from ledgerloom.functions.columns import column
 from ledgerloom.operators import convert, dedup, missing, quality, shape, values
+from ledgerloom.session import written_table
 from ledgerloom.sinks import files as file_sinks, journal, store, tables as table_sinks
 from ledgerloom.sources import files, incremental, pages, tables
 
@@ -383,7 +384,10 @@ def run_configured(df: DataFrame, config: dict, run_id: str, run: journal.Run |
     Rows that break the expected types, and rows without a mark, are set aside
     below the staging folder. A run that fails is repeated with the same outcome:
     appended files appear only once its mark is stored, or without a mark once
-    the journal of ``run`` says where they are. Returns the rows read.
+    the journal of ``run`` says where they are. Where the section says
+    ``remember_rows``, a row loaded by an earlier run is left out, told by
+    ``remember_keys`` or else by all columns of the transformed row; run ids must
+    differ. Returns the rows read.
     """
     spark = df.sparkSession
     state = run_state(config)
@@ -409,6 +413,11 @@ def run_configured(df: DataFrame, config: dict, run_id: str, run: journal.Run |
     good = set_aside(landed, config["transformation"], f"{state.staging}/quarantine-{run_id}")
     name = f"run {state.name}"
     out = configured_transform(good, config["transformation"])
+    if batch is not None and config["performance"].get("remember_rows"):
+        # Written once: what is loaded is what is remembered.
+        keys = config["performance"].get("remember_keys")
+        out = written_table(incremental.unseen(out, state.path, state.name, keys), "unseen")
+        incremental.note_seen(out, state.path, state.name, run_id, keys)
     moves = write_configured(out, loading, name if run else None, (name, run.number) if run else None)
     if batch is not None:
         batch.commit(spark, state.path, state.name, run_id, *(moves or ()))

@@ -804,3 +804,27 @@ def j4_resumed(spark, sf):
     for again in ("again", "and again"):
         jobs.run_pipeline(spark, config, again, orders.schema)
     return released(spark, name)
+
+
+@register("J4_dedup_across_runs", "SELECT event_id, event_type, value FROM events")
+def j4_dedup(spark, sf):
+    """Increments that bring rows of earlier ones again, under a later mark."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    root, name = fresh_path(spark, "j4-dedup"), table_name("dedup_runs")
+    config = {
+        "transformation": {"cleaning_rules": {"remove_duplicates": True}},
+        "loading": {"load_method": "append", "target_table": name, "path": f"{root}/table"},
+        "performance": {
+            "watermark_name": "events",
+            "watermark_column": "landed",
+            "watermark_path": f"{root}/state",
+            "staging_path": f"{root}/staged",
+            "remember_rows": True,
+            "remember_keys": ["event_id", "event_type", "value"],
+        },
+    }
+    parts = ("event_id % 3 = 0", "event_id % 3 <= 1", "true")
+    for run, part in enumerate(parts):
+        batch = events.where(part).withColumn("landed", F.lit(run))
+        jobs.run_configured(batch.unionByName(batch.where("event_id % 2 = 0")), config, f"run-{run}")
+    return released(spark, name).drop("landed")

@@ -107,6 +107,35 @@ def note_ties(
     noted.write.mode("append").parquet(f"{state_path}/{TIES}")
 
 
+# Where the rows of all runs are remembered, below the state folder.
+SEEN = "_seen"
+SEEN_SCHEMA = "name string, run_id string, t0 long, t1 long"
+
+
+def unseen(df: DataFrame, state_path: str, name: str, keys: list[str] | None = None) -> DataFrame:
+    """Rows that no run which stored its mark has loaded, told apart by ``keys`` or all columns.
+
+    Hashes of 128 bits are looked up. While those of the batch can be broadcast,
+    the remembered ones that it does not hold leave in the scan, so that neither
+    the batch is shuffled nor what was remembered; beyond, both sides are.
+    """
+    spark = df.sparkSession
+    spark.createDataFrame([], SEEN_SCHEMA).write.mode("ignore").parquet(f"{state_path}/{SEEN}")
+    known = spark.read.schema(SEEN_SCHEMA).parquet(f"{state_path}/{SEEN}").where(F.col("name") == name)
+    done = _state(spark, state_path, name).where(F.col("high_mark").isNotNull()).select("run_id").distinct()
+    hashed = df.withColumns(_row_hash(df, keys))
+    own = written_table(hashed.select("t0", "t1").distinct(), "batch-hashes")
+    known = lookup_join(known.join(done, "run_id", "left_semi"), own, ["t0", "t1"], "left_semi")
+    known = written_table(known.select("t0", "t1").distinct(), "seen")
+    return lookup_join(hashed, known, ["t0", "t1"], "left_anti").select(*[column(c) for c in df.columns])
+
+
+def note_seen(rows: DataFrame, state_path: str, name: str, run_id: str, keys: list[str] | None = None) -> None:
+    """Remember the rows of a run. Call it before its mark is stored; without the mark they do not count."""
+    hashes = rows.withColumns(_row_hash(rows, keys)).select(F.lit(name).alias("name"), F.lit(run_id).alias("run_id"), "t0", "t1")
+    hashes.write.mode("append").parquet(f"{state_path}/{SEEN}")
+
+
 def look_back(df: DataFrame, column_name: str, as_of, days: int) -> DataFrame:
     """Rows of the last ``days`` days before ``as_of``, that day included; 0 days means all rows."""
     if days == 0:

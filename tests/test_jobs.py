@@ -228,3 +228,30 @@ def test_equal_names_stay_apart_in_the_archive(spark, fresh):
     assert sorted(n.rpartition("/done/")[2] for n, _ in jobs.journal.files_in(spark, f"{root}/done")) == ["000000001-daily/day.csv", "000000002-daily/day.csv"]
     assert [r.name for r in spark.read.parquet(f"{root}/staged/unmarked-000000001-daily").collect()] == ["unmarked"]
     assert spark.read.table(name).count() == 2
+
+
+def test_rows_of_earlier_runs_are_left_out(spark, fresh, monkeypatch):
+    root, name = fresh("seen"), table_name("seen")
+    config = {
+        "transformation": {},
+        "loading": {"load_method": "append", "target_table": name, "path": f"{root}/table"},
+        "performance": {
+            "watermark_name": "w", "watermark_column": "at", "watermark_path": f"{root}/state", "staging_path": f"{root}/staged",
+            "remember_rows": True, "remember_keys": ["id", "name"],
+        },
+    }
+
+    def rows(at, *pairs):
+        return spark.createDataFrame([(i, n, at) for i, n in pairs], PLAIN)
+
+    jobs.run_configured(rows(1, (1, "a"), (None, "b")), config, "r1")
+    # A run that remembered its rows and stopped before its mark: they are loaded by the next.
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "write_configured", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.run_configured(rows(2, (2, "c"), (1, "a")), config, "r2")
+    jobs.run_configured(rows(2, (2, "c"), (1, "a")), config, "r3")
+    jobs.run_configured(rows(3, (2, "c"), (None, "b"), (1, "other"), (3, None)), config, "r4")
+    jobs.run_configured(rows(4, (3, None), (1, "a")), config, "r5")
+    got = sorted(str((r.id, r.name)) for r in spark.read.table(name).collect())
+    assert got == sorted(map(str, [(1, "a"), (None, "b"), (2, "c"), (1, "other"), (3, None)]))
