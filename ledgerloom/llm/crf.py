@@ -15,12 +15,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import blocks, joined, runs, span_hashes
+from ledgerloom.llm.common import BLOCK_BYTES, blocks, joined, runs, span_hashes
 from ledgerloom.llm.samples import held_out, labelled
 
 # The fit reads at most so many labelled documents, leaving out those with more lines than this.
 SAMPLE_DOCS = 4000
 SAMPLE_LINES = 1000
+# Lines whose features are held at a time.
+LINES = 1 << 15
 THRESHOLD = 0.7
 ROUNDS = 200
 RATE = 0.1
@@ -153,10 +155,77 @@ def fit_field(features: np.ndarray, first: np.ndarray, labels: np.ndarray) -> Fi
     return Field(at[:FEATURES].copy(), at[FEATURES:].reshape(2, 2).copy())
 
 
+def chain_marginals(scores: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """The probability that each line of one long text is good, with a few numbers a line."""
+    step = np.exp(transitions - transitions.max())
+    (s00, s01), (s10, s11) = step.tolist()
+    bad, good = np.empty(len(scores)), np.empty(len(scores))
+    stretches = range(0, len(scores), LINES)
+
+    def local(begin: int) -> tuple[list[float], list[float]]:
+        part = scores[begin : begin + LINES]
+        top = np.maximum(part, 0)
+        return np.exp(-top).tolist(), np.exp(part - top).tolist()
+
+    before: tuple[float, float] | None = None
+    for begin in stretches:
+        ahead = []
+        for x, y in zip(*local(begin)):
+            a, b = (x, y) if before is None else (x * (before[0] * s00 + before[1] * s10), y * (before[0] * s01 + before[1] * s11))
+            before = (a / (a + b), b / (a + b))
+            ahead.append(before)
+        bad[begin : begin + LINES], good[begin : begin + LINES] = zip(*ahead)
+    b0 = b1 = 1.0
+    for begin in reversed(stretches):
+        xs, ys = local(begin)
+        fs, gs = bad[begin : begin + LINES].tolist(), good[begin : begin + LINES].tolist()
+        out = [0.0] * len(xs)
+        for at in range(len(xs) - 1, -1, -1):
+            a, b = fs[at] * b0, gs[at] * b1
+            out[at] = b / (a + b)
+            a, b = xs[at] * b0, ys[at] * b1
+            b0, b1 = s00 * a + s01 * b, s10 * a + s11 * b
+            b0, b1 = b0 / (b0 + b1), b1 / (b0 + b1)
+        good[begin : begin + LINES] = out
+    return good
+
+
+def line_blocks(texts: list, size: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Whole texts as ``blocks`` gives them, but no more than ``LINES`` lines together; a text of more stands alone."""
+    for at, raws in blocks(texts, size):
+        begin = held = 0
+        for row, raw in enumerate(raws):
+            lines = raw.count(b"\n") + 1
+            if row > begin and held + lines > LINES:
+                yield at + begin, raws[begin:row]
+                begin, held = row, 0
+            held += lines
+        yield at + begin, raws[begin:]
+
+
+def long_text(raw: bytes, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Score and words of each line of a text of many lines, whose features are made for some lines at a time.
+
+    A stretch is read with the line before it and the line behind it, so that
+    its lines have the neighbours they have in the text.
+    """
+    ends = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) == 10), len(raw))
+    scores, words = np.empty(len(ends)), np.empty(len(ends))
+    for begin in range(0, len(ends), LINES):
+        to = min(begin + LINES, len(ends))
+        first, last = max(0, begin - 1), min(to + 1, len(ends))
+        features, count, _ = line_features([raw[ends[first - 1] + 1 if first else 0 : ends[last - 1]]])
+        own = slice(begin - first, begin - first + to - begin)
+        scores[begin:to], words[begin:to] = features[own] @ weights, count[own]
+    return scores, words
+
+
 def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for at, raws in blocks(batch.column("text").to_pylist()):
+        for at, raws in line_blocks(batch.column("text").to_pylist()):
+            if len(raws) == 1 and raws[0].count(b"\n") >= SAMPLE_LINES:
+                continue
             features, _, first = line_features(raws)
             for row in range(len(raws)):
                 if first[row + 1] - first[row] <= SAMPLE_LINES:
@@ -168,7 +237,10 @@ def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", size: int = SAMPLE_DOCS) -> Field:
-    """A field fitted on at most ``size`` labelled documents; without any, every line is as likely good as bad."""
+    """A field fitted on at most ``size`` labelled documents; without any, every line is as likely good as bad.
+
+    Documents of more than ``SAMPLE_LINES`` lines are no part of the sample, which bounds what the driver holds.
+    """
     rows = labelled(docs, labels, label, size).mapInArrow(sampled, "doc_id long, label int, features binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
     each = [np.frombuffer(r["features"], np.float32).reshape(-1, FEATURES) for r in rows]
@@ -181,9 +253,13 @@ def scoring(field: Field, lines: bool):
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, each = [], []
-            for _, raws in blocks(batch.column("text").to_pylist()):
-                features, words, first = line_features(raws)
-                good, _ = marginals(features @ field.weights, first, field.transitions)
+            for _, raws in line_blocks(batch.column("text").to_pylist()):
+                if len(raws) == 1 and raws[0].count(b"\n") >= LINES:
+                    values, words = long_text(raws[0], field.weights)
+                    good, first = chain_marginals(values, field.transitions), np.array([0, len(values)])
+                else:
+                    features, words, first = line_features(raws)
+                    good, _ = marginals(features @ field.weights, first, field.transitions)
                 weight = words + 1
                 scores.append(np.add.reduceat(good * weight, first[:-1]) / np.add.reduceat(weight, first[:-1]))
                 if lines:
@@ -202,7 +278,8 @@ def score(docs: DataFrame, field: Field, lines: bool = False) -> DataFrame:
     """``doc_id`` and ``score`` of every row, with ``lines`` the probability of each line as well.
 
     Whole texts are read; a null text counts as empty, and an empty text is one
-    empty line with a score of its own. Repeated rows and null ids give a row
+    empty line with a score of its own. A text of very many lines is gone through
+    in stretches, at some tens of bytes a line. Repeated rows and null ids give a row
     each, other columns are ignored, an empty table gives no rows.
     """
     schema = f"{docs.select('doc_id').schema['doc_id'].dataType.simpleString()}"

@@ -102,3 +102,38 @@ def test_sample_has_one_row_for_each_id(spark):
     assert all((r["text"] is None) == (r["doc_id"] == 4) and r["label"] == r["doc_id"] % 2 for r in rows)
     again = labelled(docs.repartition(3), labels, "quality", 20).collect()
     assert sorted(map(tuple, again), key=str) == sorted(map(tuple, rows), key=str)
+
+
+def test_long_texts_are_scored_in_stretches_as_at_once(monkeypatch):
+    import pyarrow as pa
+
+    draw = np.random.default_rng(9)
+    kinds = ["a plain line of words", "SHOUT | SHOUT !!", "", "12 34 56", "x"]
+    texts = ["\n".join(draw.choice(kinds, n)) for n in (1, 2, 7, 8, 9, 16, 100, 333)] + ["", None, "\n\n"]
+    field = crf.Field(draw.normal(size=crf.FEATURES) * 3, draw.normal(size=(2, 2)) * 2)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+
+    def scores():
+        (out,) = list(crf.scoring(field, True)(iter([batch])))
+        return np.array(out.column("score").to_pylist()), [np.array(x) for x in out.column("lines_good").to_pylist()]
+
+    whole, lines = scores()
+    monkeypatch.setattr(crf, "LINES", 8)
+    parts, again = scores()
+    assert np.allclose(whole, parts, atol=1e-12)
+    assert all(np.allclose(a, b, atol=1e-12) for a, b in zip(lines, again))
+
+
+def test_one_letter_lines_stay_within_bounds():
+    """A hundred bytes a line at most, beside what a stretch takes."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    field = crf.Field(np.linspace(-1, 1, crf.FEATURES), np.zeros((2, 2)))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a\n" * 5_000_000])], ["doc_id", "text"])
+    tracemalloc.start()
+    (out,) = list(crf.scoring(field, False)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < out.column("score")[0].as_py() < 1 and peak < 100e6, peak
