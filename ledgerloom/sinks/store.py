@@ -6,6 +6,7 @@ import json
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
@@ -18,6 +19,7 @@ from ledgerloom.sinks.files_log import system_of as _system
 # Folders whose names start so are passed over by readers.
 SNAPSHOTS = "_snapshots"
 INCREMENT = "_increment-"
+MOVES_AT_ONCE = 16
 
 
 @dataclass(frozen=True)
@@ -260,14 +262,19 @@ def publish_increment(spark: SparkSession, staged: str, target: str) -> None:
     if not system.exists(top):
         return
     prefix = system.makeQualified(top).toString()
-    found = system.listFiles(top, True)
+    found, names = system.listFiles(top, True), []
     while found.hasNext():
-        file = found.next().getPath()
-        below = file.toString()[len(prefix) + 1 :]
-        if any(part.startswith(("_", ".")) for part in below.split("/")):
-            continue
+        below = found.next().getPath().toString()[len(prefix) + 1 :]
+        if not any(part.startswith(("_", ".")) for part in below.split("/")):
+            names.append(below)
+
+    def move(below: str) -> None:
         goal = path(f"{target.rstrip('/')}/{below}")
         system.mkdirs(goal.getParent())
-        if not system.rename(file, goal) and not system.exists(goal):
-            raise OSError(f"{file} cannot be moved to {goal}")
+        if not system.rename(path(f"{prefix}/{below}"), goal) and not system.exists(goal):
+            raise OSError(f"{prefix}/{below} cannot be moved to {goal}")
+
+    # A move is a call to the file system's own server, so many are under way at a time.
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        list(pool.map(move, names))
     system.delete(top, True)
