@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -118,12 +119,14 @@ def apply_strategies(
     df: DataFrame,
     column_strategies: dict[str, str | tuple[str, object]],
     default_strategy: str | None = None,
+    take: Callable[[DataFrame, list[str], list[str], list[str]], dict[str, object]] | None = None,
 ) -> DataFrame:
     """One strategy per column: drop_row, fill_mean, fill_median, fill_mode or fill_constant.
 
     ``fill_constant`` is written as a pair with its value. Columns not listed
     follow the default. All statistics are taken from the input, means and
-    medians in shared scans; rows are dropped after the fills.
+    medians in shared scans, or by ``take``, which is given the columns of each
+    kind; rows are dropped after the fills.
     """
     by_kind: dict[str, list[str]] = {}
     constants = {}
@@ -139,10 +142,7 @@ def apply_strategies(
         else:
             raise ValueError(f"unknown strategy {kind!r} for column {name}")
     numeric = {c for c in df.columns if statistics.is_numeric(df, c)}
-    found_means, found_medians = statistics.means_and_medians(
-        df, *[[c for c in by_kind.get(k, []) if c in numeric] for k in ("fill_mean", "fill_median")]
-    )
-    found: dict[str, object] = {**found_means, **found_medians}
-    found |= statistics.modes(df, by_kind.get("fill_mode", []))
+    wanted = [[c for c in by_kind.get(k, []) if c in numeric] for k in ("fill_mean", "fill_median")]
+    found = (take or statistics.of_columns)(df, *wanted, by_kind.get("fill_mode", []))
     out = fill_values(_fill_found(df, found), constants)
     return drop_rows(out, by_kind["drop_row"]) if by_kind.get("drop_row") else out

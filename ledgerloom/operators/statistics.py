@@ -212,6 +212,14 @@ def _any_present(names: list[str]) -> Column:
     return test
 
 
+def of_columns(
+    df: DataFrame, mean_columns: list[str], median_columns: list[str], mode_columns: list[str]
+) -> dict[str, object]:
+    """The statistic of each column, by the list it is in."""
+    found_means, found_medians = means_and_medians(df, mean_columns, median_columns)
+    return {**found_means, **found_medians, **modes(df, mode_columns)}
+
+
 def columns_with_missing(df: DataFrame, columns: list[str]) -> set[str]:
     """Names of the columns holding at least one missing value: one job for all columns."""
     if not columns:

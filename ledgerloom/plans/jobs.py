@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.functions import business, mapping, parsing, text
 from ledgerloom.functions.columns import column
-from ledgerloom.operators import convert, dedup, missing, quality, shape, values
+from ledgerloom.operators import convert, dedup, missing, quality, running, shape, values
 from ledgerloom.session import written_table
 from ledgerloom.sinks import files as file_sinks, journal, store, tables as table_sinks
 from ledgerloom.sources import files, incremental, pages, tables
@@ -176,8 +178,11 @@ def run_class_chain(
     return spark.read.table(table)
 
 
-def configured_transform(df: DataFrame, transformation: dict) -> DataFrame:
-    """Validation, cleaning rules and calculated fields of a ``transformation`` section."""
+def configured_transform(df: DataFrame, transformation: dict, take: Callable | None = None) -> DataFrame:
+    """Validation, cleaning rules and calculated fields of a ``transformation`` section.
+
+    ``take`` gives the statistics that gaps are filled with, in place of those of ``df``.
+    """
     validation = transformation.get("schema_validation", {})
     expected = validation.get("expected_columns", [])
     if validation.get("enabled") and validation.get("strict"):
@@ -195,7 +200,7 @@ def configured_transform(df: DataFrame, transformation: dict) -> DataFrame:
     gaps = rules.get("handle_missing_values")
     if gaps:
         out = missing.apply_strategies(
-            out, column_strategies(gaps.get("column_strategies", {})), gaps.get("default_strategy")
+            out, column_strategies(gaps.get("column_strategies", {})), gaps.get("default_strategy"), take
         )
     out = values.normalize_text_fields(out, rules.get("normalize_text_fields", []))
     if rules.get("remove_duplicates"):
@@ -377,6 +382,10 @@ def set_aside(df: DataFrame, transformation: dict, path: str) -> DataFrame:
     return good.select(*[column(c) for c in df.columns])
 
 
+# Where the statistics of all runs are kept, below the state folder; readers of the state pass over it.
+STATISTICS = "_statistics"
+
+
 def run_configured(df: DataFrame, config: dict, run_id: str, run: journal.Run | None = None) -> int:
     """One configured increment: rows above the stored mark, transformed and loaded.
 
@@ -386,12 +395,17 @@ def run_configured(df: DataFrame, config: dict, run_id: str, run: journal.Run |
     appended files appear only once its mark is stored, or without a mark once
     the journal of ``run`` says where they are. Where the section says
     ``remember_rows``, a row loaded by an earlier run is left out, told by
-    ``remember_keys`` or else by all columns of the transformed row; run ids must
-    differ. Returns the rows read.
+    ``remember_keys`` or else by all columns of the transformed row. With
+    ``running_statistics`` gaps are filled with the mean, median or mode over the
+    rows of all runs so far. Both need a watermark and run ids that differ.
+    Returns the rows read.
     """
     spark = df.sparkSession
     state = run_state(config)
     loading = config["loading"]
+    runs_on = config["performance"].get("running_statistics")
+    if runs_on and state.column is None:
+        raise ValueError("running statistics need a watermark: it tells which runs are done")
     if state.column is None:
         landed = file_sinks.stage(df, f"{state.staging}/{run_id}")
         rows, batch = landed.count(), None
@@ -412,7 +426,11 @@ def run_configured(df: DataFrame, config: dict, run_id: str, run: journal.Run |
     table_sinks.run_statements(spark, destination(loading).get("pre_load_sql") or [])
     good = set_aside(landed, config["transformation"], f"{state.staging}/quarantine-{run_id}")
     name = f"run {state.name}"
-    out = configured_transform(good, config["transformation"])
+    take = None
+    if runs_on:
+        done = incremental.done_runs(spark, state.path, state.name)
+        take = running.Running(spark, f"{state.path}/{STATISTICS}/{quote(state.name, safe='')}", run_id, done).take
+    out = configured_transform(good, config["transformation"], take)
     if batch is not None and config["performance"].get("remember_rows"):
         # Written once: what is loaded is what is remembered.
         keys = config["performance"].get("remember_keys")

@@ -828,3 +828,48 @@ def j4_dedup(spark, sf):
         batch = events.where(part).withColumn("landed", F.lit(run))
         jobs.run_configured(batch.unionByName(batch.where("event_id % 2 = 0")), config, f"run-{run}")
     return released(spark, name).drop("landed")
+
+
+@register(
+    "J4_running_statistics",
+    """WITH e AS (SELECT event_id, event_id % 4 AS landed, CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id,
+                      CASE WHEN event_id % 7 <> 0 THEN value END AS value, CASE WHEN event_id % 5 <> 0 THEN event_type END AS event_type
+               FROM events),
+            runs AS (SELECT DISTINCT landed AS run FROM e),
+            numbers AS (SELECT run, avg(user_id) AS mean, list_sort(list(value) FILTER (value IS NOT NULL)) AS v
+                        FROM runs JOIN e ON landed <= run GROUP BY run),
+            kinds AS (SELECT run, event_type AS common, row_number() OVER (PARTITION BY run ORDER BY count(*) DESC, event_type) AS place
+                      FROM runs JOIN e ON landed <= run WHERE event_type IS NOT NULL GROUP BY run, event_type)
+       SELECT event_id, CAST(landed AS BIGINT) AS landed, coalesce(CAST(user_id AS DOUBLE), mean) AS user_id,
+              coalesce(value, (v[(len(v) + 1) // 2] + v[len(v) // 2 + 1]) / 2) AS value, coalesce(event_type, common) AS event_type
+       FROM e JOIN numbers ON numbers.run = landed JOIN kinds ON kinds.run = landed AND place = 1""",
+)
+def j4_running(spark, sf):
+    """Increments whose gaps are filled with the statistics of all rows read so far."""
+    gaps = {"user_id": 11, "value": 7, "event_type": 5}
+    events = table(spark, sf, "events").select(
+        "event_id",
+        (F.col("event_id") % 4).alias("landed"),
+        *[F.when(F.col("event_id") % n != 0, F.col(c)).alias(c) for c, n in gaps.items()],
+    )
+    root, name = fresh_path(spark, "j4-running"), table_name("running")
+    config = {
+        "transformation": {
+            "cleaning_rules": {
+                "handle_missing_values": {
+                    "column_strategies": {"user_id": "fill_mean", "value": "fill_median", "event_type": "fill_mode"}
+                }
+            }
+        },
+        "loading": {"load_method": "append", "target_table": name, "path": f"{root}/table"},
+        "performance": {
+            "watermark_name": "events",
+            "watermark_column": "landed",
+            "watermark_path": f"{root}/state",
+            "staging_path": f"{root}/staged",
+            "running_statistics": True,
+        },
+    }
+    for run in range(4):
+        jobs.run_configured(events.where(F.col("landed") <= run), config, f"run-{run}")
+    return released(spark, name)

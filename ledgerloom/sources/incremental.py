@@ -39,6 +39,11 @@ def read_high_mark(spark: SparkSession, state_path: str, name: str) -> str | Non
     return state.agg(F.max_by("high_mark", F.col("high_mark").cast(kinds[0]))).first()[0]
 
 
+def done_runs(spark: SparkSession, state_path: str, name: str) -> DataFrame:
+    """``run_id`` of the runs of a load that stored their mark."""
+    return _state(spark, state_path, name).where(F.col("high_mark").isNotNull()).select("run_id").distinct()
+
+
 def finish_pending(spark: SparkSession, state_path: str, name: str) -> None:
     """Move the files of runs that stored their mark but did not get further."""
     state = _state(spark, state_path, name).where(F.col("staged").isNotNull())
@@ -122,7 +127,7 @@ def unseen(df: DataFrame, state_path: str, name: str, keys: list[str] | None = N
     spark = df.sparkSession
     spark.createDataFrame([], SEEN_SCHEMA).write.mode("ignore").parquet(f"{state_path}/{SEEN}")
     known = spark.read.schema(SEEN_SCHEMA).parquet(f"{state_path}/{SEEN}").where(F.col("name") == name)
-    done = _state(spark, state_path, name).where(F.col("high_mark").isNotNull()).select("run_id").distinct()
+    done = done_runs(spark, state_path, name)
     hashed = df.withColumns(_row_hash(df, keys))
     own = written_table(hashed.select("t0", "t1").distinct(), "batch-hashes")
     known = lookup_join(known.join(done, "run_id", "left_semi"), own, ["t0", "t1"], "left_semi")
