@@ -1,16 +1,21 @@
-"""License statements in documents, by an index of template tokens and banded alignment.
-
-A statement may miss a fixed number of its template's tokens, so of one token more
-than that at least one is there, whatever was put between them. An inverted index of
-so many tokens of each template, the rarest by their looks, gives candidates with the
-offset at which they would stand; where enough tokens of the template are near, a
-banded alignment finds which of them are there.
+"""License statements in documents, by winnowed fingerprints of templates and banded alignment.
+
+Every template has fingerprints: of each window of grams (one to three tokens) the
+least by a fixed order, in which grams of common words come last. Documents are
+winnowed the same way, and what an inverted index of the templates' fingerprints holds
+gives candidates with the offset at which they would stand; where enough tokens of the
+template are near, a banded alignment finds which of them are there.
+
+Gram and window follow from the template. A statement has ``needed`` of its tokens, in
+at most ``changed + 1`` runs if ``changed`` places differ, so one run has ``needed /
+(changed + 1)`` tokens or more: gram and window together are no longer than that, and
+of a window both sides hold, both pick the same gram. So no statement with up to
+``changed`` (a quarter of the template's tokens) changed places is passed over.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,12 +23,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import blocks, joined, lowered, tokens
+from ledgerloom.llm.common import blocks, grams, joined, span_hashes, tokens
+from ledgerloom.llm.license_texts import BODIES, BSD_TERMS, MIT_GRANT, NOTICES
+from ledgerloom.llm.tiling import folded
 
 FEWEST_TOKENS = 5
 COVERAGE = 0.8
-# Words not looked up as long as others do; only the speed hangs on them.
-COMMON = frozenset(b"a and any as at be but by files for from in is it may not of on or other person such that the this to under use with without work you".split())
+# A statement with so many changed places per token of its template shares a fingerprint with it.
+CHANGED = 0.25
+LONGEST_GRAM = 3
+# Grams of these words alone come last in a window; only the speed hangs on them.
+COMMON = sorted(b"a and any as at be but by files for from in is it may not of on or other person such that the this to under use with without work you".split())
+LAST = np.uint64(1 << 63)
 
 # Statements as their licenses word them.
 TEMPLATES: dict[str, str] = {
@@ -32,12 +43,7 @@ TEMPLATES: dict[str, str] = {
     "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "MIT-grant": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        'documentation files (the "Software"), to deal in the Software without restriction, including without '
-        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
-        "Software, and to permit persons to whom the Software is furnished to do so"
-    ),
+    "MIT-grant": MIT_GRANT,
     "Apache-2.0-notice": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
         "with the License. You may obtain a copy of the License at"
@@ -47,84 +53,135 @@ TEMPLATES: dict[str, str] = {
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."
     ),
-    "BSD-terms": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met"
-    ),
+    "BSD-terms": BSD_TERMS,
+    **NOTICES,
+    **BODIES,
 }
 
 
+@dataclass
+class Postings:
+    """Fingerprints of grams of one length in order of value, and the narrowest window they were picked with."""
+
+    window: int
+    keys: np.ndarray
+    template: np.ndarray
+    place: np.ndarray
+
+
 @dataclass
 class Index:
-    """Tokens of every template, how many a statement needs, and those looked up in order of hash."""
+    """Tokens of every template, how many a statement needs, and the fingerprints by length of gram."""
 
     names: list[str]
     hashes: list[np.ndarray]
     needed: list[int]
-    keys: np.ndarray
-    template: np.ndarray
-    place: np.ndarray
+    postings: dict[int, Postings]
+
+
+def _common() -> np.ndarray:
+    data, starts = joined(list(COMMON))
+    return np.sort(span_hashes(data, starts[:-1], starts[1:] - 1))
+
+
+def ordered_grams(hashes: np.ndarray, k: int, common: np.ndarray) -> np.ndarray:
+    """Hashes of all windows of ``k`` tokens, those of common words alone after all others."""
+    values = grams(hashes, k) & ~LAST
+    if len(values):
+        plain = np.isin(hashes, common)
+        values[np.lib.stride_tricks.sliding_window_view(plain, k).all(axis=1)] |= LAST
+    return values
+
+
+def winnowed(values: np.ndarray, window: int) -> np.ndarray:
+    """Places of the least value of every window, the last one among equals."""
+    if len(values) <= window:
+        return np.array([len(values) - 1 - int(np.argmin(values[::-1]))] if len(values) else [], np.int64)
+    if window == 1:
+        return np.arange(len(values))
+    backwards = np.lib.stride_tricks.sliding_window_view(values, window)[:, ::-1]
+    return np.unique(np.arange(len(backwards)) + window - 1 - np.argmin(backwards, axis=1))
+
+
+def gram_and_window(size: int, needed: int, changed: float = CHANGED) -> tuple[int, int]:
+    """Lengths whose windows lie within the longest run that a statement with so many changed places has left."""
+    run = math.ceil(needed / (int(changed * size) + 1))
+    k = min(LONGEST_GRAM, run // 2 + 1)
+    return k, run - k + 1
 
 
 def index_templates(templates: dict[str, str], coverage: float = COVERAGE) -> Index:
-    hashes, needed, keys, template, place = [], [], [], [], []
-    short = []
+    hashes, needed, short = [], [], []
+    picked: dict[int, list[tuple[int, int, np.ndarray, np.ndarray]]] = {}
+    common = _common()
     for number, (name, text) in enumerate(templates.items()):
-        data = joined([text.lower().encode()])[0]
-        begin, end, found = tokens(data)
+        found = tokens(joined([text.lower().encode()])[0])[2]
         if len(found) < FEWEST_TOKENS:
             short.append(name)
             continue
         hashes.append(found)
         needed.append(max(1, math.ceil(coverage * len(found) - 1e-9)))
-        raw = [data[a:b].tobytes() for a, b in zip(begin, end)]
-        rare = sorted(range(len(raw)), key=lambda at: (raw[at] in COMMON, -len(raw[at]), at))
-        # Missing all of these, a statement would miss one token too many.
-        looked_up = rare[: len(found) - needed[-1] + 1]
-        keys += found[looked_up].tolist()
-        template += [number] * len(looked_up)
-        place += looked_up
+        k, window = gram_and_window(len(found), needed[-1])
+        values = ordered_grams(found, k, common)
+        places = winnowed(values, window)
+        picked.setdefault(k, []).append((number, window, values[places], places))
     if short:
         raise ValueError(f"templates of fewer than {FEWEST_TOKENS} tokens: {', '.join(short)}")
-    keys = np.array(keys, np.uint64)
-    order = np.argsort(keys, kind="stable")
-    return Index(list(templates), hashes, needed, keys[order], np.array(template)[order], np.array(place)[order])
+    postings = {}
+    for k, found in picked.items():
+        keys = np.concatenate([values for _, _, values, _ in found])
+        order = np.argsort(keys, kind="stable")
+        template = np.repeat([number for number, _, _, _ in found], [len(values) for _, _, values, _ in found])
+        place = np.concatenate([places for _, _, _, places in found])
+        postings[k] = Postings(min(window for _, window, _, _ in found), keys[order], template[order], place[order])
+    return Index(list(templates), hashes, needed, postings)
+
+
+def shared_fingerprints(doc: np.ndarray, index: Index) -> Iterator[tuple[Postings, np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of the document's fingerprints that the index holds, and where their postings begin and end.
+
+    A fingerprint picked in a wide window is also picked in a narrower one, so
+    one window per length of gram serves all templates.
+    """
+    common = _common()
+    for k, postings in index.postings.items():
+        values = ordered_grams(doc, k, common)
+        places = winnowed(values, postings.window)
+        low, high = (np.searchsorted(postings.keys, values[places], side) for side in ("left", "right"))
+        held = high > low
+        yield postings, places[held], low[held], high[held]
 
 
 def align(template: np.ndarray | list, doc: np.ndarray | list, offset: int, band: int) -> list[tuple[int, int]]:
     """Pairs (template token, document token) of the best alignment near a diagonal.
 
     Most equal tokens count first, then the fewest gaps between them. Cells off
-    the band around ``offset`` (document place less template place) are not visited.
+    the band around ``offset`` (document place less template place) are not
+    visited; a row of the band is one step of vectors.
     """
+    template, doc = np.asarray(template), np.asarray(doc)
     m, n, width = len(template), len(doc), 2 * band + 1
-    none = (0, 0)
-    best = [none] * (width + 2)
-    back: list[list[int]] = []
-    equal: set[tuple[int, int]] = set()
+    best, before = np.zeros(width + 1, np.int64), np.zeros(width, np.int64)
+    left, steps = np.zeros(width, np.int64), np.empty((m, width), np.int8)
     for i in range(m):
-        row, steps = [none] * (width + 2), [0] * (width + 2)
-        for d in range(width):
-            j = i + offset + d - band
-            skip_template, skip_doc = best[d + 2], row[d]
-            value, step = (skip_template, 1) if skip_template >= skip_doc else (skip_doc, 2)
-            if 0 <= j < n and template[i] == doc[j]:
-                count, near = best[d + 1]
-                equal.add((i, j))
-                match = (count + 1, near + ((i - 1, j - 1) in equal))
-                if match >= value:
-                    value, step = match, 3
-            row[d + 1], steps[d + 1] = value, step
-        best = row
-        back.append(steps)
-    d = max(range(1, width + 1), key=lambda k: best[k])
-    i, pairs = m - 1, []
-    while i >= 0 and 1 <= d <= width:
-        step = back[i][d]
+        # Place j of the document stands at j - start of the band; a pair counts 2^32, two pairs in a row 1 more.
+        start = i + offset - band
+        low, high = min(max(0, -start), width), max(0, min(width, n - start))
+        equal = np.zeros(width, np.int64)
+        if high > low:
+            equal[low:high] = doc[start + low : start + high] == template[i]
+        match = np.where(equal > 0, best[:-1] + (1 << 32) + before, -1)
+        row = np.maximum.accumulate(np.maximum(best[1:], match))
+        left[1:] = row[:-1]
+        steps[i] = np.where(match >= np.maximum(best[1:], left), 3, np.where(best[1:] >= left, 1, 2))
+        best[:-1], before = row, equal
+    d, i, pairs = int(np.argmax(best[:-1])), m - 1, []
+    while i >= 0 and 0 <= d < width:
+        step = steps[i, d]
         if step == 3:
-            pairs.append((i, i + offset + d - 1 - band))
+            pairs.append((i, i + offset + d - band))
             i -= 1
-        elif step == 2 and d > 1:
+        elif step == 2 and d > 0:
             d -= 1
         else:
             i, d = i - 1, d + 1
@@ -132,7 +189,7 @@ def align(template: np.ndarray | list, doc: np.ndarray | list, offset: int, band
 
 
 def offsets_of(diagonals: np.ndarray, doc: np.ndarray, wanted: np.ndarray, needed: int, band: int) -> np.ndarray:
-    """Offsets whose band holds a looked-up token and has enough tokens of the template near."""
+    """Offsets whose band holds a shared fingerprint and has enough tokens of the template near."""
     inside = np.zeros(len(doc) + 1, np.int64)
     np.cumsum(np.isin(doc, wanted), out=inside[1:])
     found = [np.zeros(0, np.int64)]
@@ -147,37 +204,44 @@ def find(doc: np.ndarray, index: Index) -> list[tuple[int, float, list[tuple[int
     """(template, covered share, runs of matched document tokens) of every statement, best first.
 
     Every place where an alignment within a band has the tokens a statement
-    needs is reported, or shares a token with a better one of its template.
+    needs, in up to a quarter as many changed places, is reported, or shares a
+    token with a better one of its template.
     """
-    low, high = np.searchsorted(index.keys, doc, "left"), np.searchsorted(index.keys, doc, "right")
-    candidates: dict[int, list[int]] = {}
-    for number in np.flatnonzero(high > low).tolist():
-        for found in range(int(low[number]), int(high[number])):
-            candidates.setdefault(int(index.template[found]), []).append(number - int(index.place[found]))
+    which, where = [], []
+    for postings, places, low, high in shared_fingerprints(doc, index):
+        counts = high - low
+        entry = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        which.append(postings.template[entry])
+        where.append(np.repeat(places, counts) - postings.place[entry])
+    candidates, diagonals = np.concatenate(which), np.concatenate(where)
     statements = []
-    for template, diagonals in candidates.items():
+    for template in np.unique(candidates).tolist():
         wanted, needed = index.hashes[template], index.needed[template]
         band = max(4, len(wanted) // 5)
-        offsets = offsets_of(np.unique(diagonals), doc, wanted, needed, band).tolist()
-        if not offsets:
+        own, votes = np.unique(diagonals[candidates == template], return_counts=True)
+        offsets = offsets_of(own, doc, wanted, needed, band)
+        if not len(offsets):
             continue
-        counts, votes = Counter(wanted.tolist()), Counter(diagonals)
-        # Tokens that belong to a statement are None from then on.
-        free: list = doc.tolist()
-        tokens_wanted = wanted.tolist()
+        kinds, numbers, counts = np.unique(wanted, return_inverse=True, return_counts=True)
+        # Tokens by their number in the template; others, and those that belong to a statement, have one of their own.
+        none = len(kinds)
+        counts = np.append(counts, 0)
+        free = np.minimum(np.searchsorted(kinds, doc), none - 1)
+        free[kinds[free] != doc] = none
 
         def most(offset: int) -> int:
-            near = Counter(token for token in free[max(0, offset - band) : offset + len(wanted) + band] if token in counts)
-            return sum(min(n, counts[token]) for token, n in near.items())
+            near = free[max(0, offset - band) : max(0, offset + len(wanted) + band)]
+            return int(np.minimum(np.bincount(near, minlength=none + 1), counts).sum())
 
         def aligned(offset: int) -> tuple[list[int], int]:
             begin = max(0, offset - band)
             window = free[begin : max(0, offset + len(wanted) + band + 1)]
-            pairs = align(tokens_wanted, window, offset - begin, band)
+            pairs = align(numbers, window, offset - begin, band)
             diagonal = [begin + j - i for i, j in pairs]
             return [begin + j for _, j in pairs], (min(diagonal) + max(diagonal)) // 2 if pairs else offset
 
-        for _, _, offset in sorted((-most(offset), -votes[offset], offset) for offset in offsets):
+        voted = dict(zip(own.tolist(), votes.tolist()))
+        for _, _, offset in sorted((-most(offset), -voted.get(offset, 0), offset) for offset in offsets.tolist()):
             while most(offset) >= needed:
                 places, middle = aligned(offset)
                 if len(places) < needed:
@@ -185,8 +249,7 @@ def find(doc: np.ndarray, index: Index) -> list[tuple[int, float, list[tuple[int
                 if middle != offset:
                     places = max(places, aligned(middle)[0], key=len)
                 statements.append((template, len(places) / len(wanted), places))
-                for at in places:
-                    free[at] = None
+                free[places] = none
     statements.sort(key=lambda s: (-s[1], -len(s[2]), s[2][0], s[0]))
     out = []
     for template, share, places in statements:
@@ -208,12 +271,14 @@ def scanning(index: Index):
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for _, raws in blocks(lowered(batch.column("text").to_pylist())):
+            for _, raws in blocks([folded(text) for text in batch.column("text").to_pylist()]):
                 data, starts = joined(raws)
                 begin, end, hashes = tokens(data)
-                place = np.minimum(np.searchsorted(index.keys, hashes), len(index.keys) - 1)
+                # Grams over the end of a text only add candidates.
                 hits = np.zeros(len(hashes) + 1, np.int64)
-                np.cumsum(index.keys[place] == hashes, out=hits[1:])
+                for _, places, _, _ in shared_fingerprints(hashes, index):
+                    hits[places + 1] = 1
+                np.cumsum(hits, out=hits)
                 first = np.searchsorted(begin, starts)
                 for row in range(len(raws)):
                     a, b = int(first[row]), int(first[row + 1])
@@ -244,9 +309,10 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float
     """``doc_id`` and one statement per row: ``license, coverage, begin, end, spans``.
 
     ``coverage`` is the share of the template's tokens the alignment matched;
-    spans are bytes of the lower-cased text, one per run of matched tokens.
-    Every place of a statement is reported; places of the same template do not
-    overlap. Null and empty texts have none, repeated rows and null ids give
+    spans are bytes of the text, one per run of matched tokens. Every place of a
+    statement is reported that differs in up to a quarter as many places as its
+    template has tokens, and others that share a fingerprint; places of the same
+    template do not overlap. Null and empty texts have none, repeated rows and null ids give
     theirs each, other columns are ignored. Templates are a parameter of the
     job; documents are not shuffled.
     """

@@ -97,3 +97,68 @@ def test_one_word_replaced_anywhere(spark):
             docs.append((len(docs), "Head of it. " + " ".join([*words[:at], "quux", *words[at + 1 :]]) + " tail"))
     rows = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert want <= {(r["doc_id"], r["license"]) for r in rows}
+
+
+def changed_at(draw, tokens, places):
+    """The tokens with something lacking, foreign or both at so many places."""
+    out = list(tokens)
+    for at in sorted(draw.choice(len(tokens), places, replace=False).tolist(), reverse=True):
+        kind = draw.integers(3)
+        out[at : at + (kind < 2)] = [] if kind == 0 else draw.integers(1, 1 << 60, int(draw.integers(1, 4))).tolist()
+    return out
+
+
+def test_statements_within_the_guarantee_share_a_fingerprint():
+    index = licenses.index_templates(licenses.TEMPLATES)
+    draw = np.random.default_rng(5)
+    kept = 0
+    for number, wanted in enumerate(index.hashes):
+        own = index.needed[number]
+        for _ in range(150):
+            doc = changed_at(draw, wanted.tolist(), int(licenses.CHANGED * len(wanted)))
+            if len(set(doc) & set(wanted.tolist())) == 0 or len(licenses.align(wanted, doc, 0, len(doc) + len(wanted))) < own:
+                continue
+            kept += 1
+            doc = np.array([*draw.integers(1, 1 << 60, 5).tolist(), *doc, *draw.integers(1, 1 << 60, 5).tolist()], np.uint64)
+            hits = [np.concatenate([p.template[a:b] for a, b in zip(low, high)]) for p, _, low, high in licenses.shared_fingerprints(doc, index) if len(low)]
+            assert any(number in found for found in hits), index.names[number]
+    assert kept > 1000
+
+
+def test_gram_and_window_fit_the_longest_run():
+    for size in range(licenses.FEWEST_TOKENS, 400):
+        needed = -(-4 * size // 5)
+        k, window = licenses.gram_and_window(size, needed)
+        assert k >= 1 and window >= 1 and (k + window - 2) * (size // 4 + 1) < needed
+
+
+def test_winnowing_by_definition():
+    draw = np.random.default_rng(6)
+    for _ in range(200):
+        values, window = draw.integers(0, 6, int(draw.integers(0, 15))).astype(np.uint64), int(draw.integers(1, 6))
+        want = set()
+        for start in range(max(1, len(values) - window + 1) if len(values) else 0):
+            part = values[start : start + window].tolist()
+            want.add(start + max(k for k, v in enumerate(part) if v == min(part)))
+        assert licenses.winnowed(values, window).tolist() == sorted(want)
+
+
+def test_bodies_with_a_tenth_of_their_words_changed(spark):
+    draw = np.random.default_rng(7)
+    docs, want = [], set()
+    for name, text in licenses.BODIES.items():
+        for _ in range(4):
+            words = text.split()
+            for at in draw.choice(len(words), len(words) // 10, replace=False):
+                words[at] = "quux"
+            want.add((len(docs), name))
+            docs.append((len(docs), "İstanbul Head of it. " + " ".join(words) + "\nand what follows " * 30))
+    rows = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert want <= {(r["doc_id"], r["license"]) for r in rows}
+    texts = dict(docs)
+    for r in rows:
+        if (r["doc_id"], r["license"]) in want:
+            raw = texts[r["doc_id"]].encode()
+            begin, end = len("İstanbul Head of it. ".encode()), raw.index(b"\nand what")
+            assert 0.85 < r["coverage"] <= 1
+            assert begin <= r["begin"] < begin + 40 and end - 40 < r["end"] <= end
