@@ -109,11 +109,6 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return mixed(value)
 
 
-def lowered(texts: list) -> list:
-    """Lower case, null as it is."""
-    return [None if text is None else text.lower() for text in texts]
-
-
 def small_components(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The smallest index reachable from each of ``n`` nodes."""
     label = np.arange(n)

@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import blocks, joined, lowered, mixed, span_hashes, tokens
+from ledgerloom.llm.common import blocks, joined, mixed, span_hashes, tokens
 from ledgerloom.llm.samples import held_out, labelled
+from ledgerloom.llm.tiling import folded
 from ledgerloom.session import written_table
 
 BITS = 20
@@ -137,7 +138,7 @@ def fit_model(
 def document_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The different features of every document, one row each."""
     for batch in batches:
-        for at, raws in blocks(lowered(batch.column("text").to_pylist())):
+        for at, raws in blocks([folded(text) for text in batch.column("text").to_pylist()]):
             for row, raw in enumerate(raws, at):
                 found = np.unique(sentences([raw]).features)
                 label = batch.column("label")[row].as_py()
@@ -149,7 +150,7 @@ def sampling(known: np.ndarray):
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for at, raws in blocks(lowered(batch.column("text").to_pylist())):
+            for at, raws in blocks([folded(text) for text in batch.column("text").to_pylist()]):
                 for row, raw in enumerate(raws, at):
                     bags = sentences([raw], known)
                     packed = [bags.features.astype(np.int32).tobytes(), bags.sentence.astype(np.int32).tobytes()]
@@ -213,7 +214,7 @@ def scoring(model: Model, threshold: float):
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, offences = [], []
-            for _, raws in blocks(lowered(batch.column("text").to_pylist())):
+            for _, raws in blocks([folded(text) for text in batch.column("text").to_pylist()]):
                 bags = sentences(raws, known)
                 value = sentence_scores(bags, model)
                 # 1 - prod(1 - p), with log(1 - p) = -log(1 + exp(score)); no sentence counts as one without a known word.
@@ -236,7 +237,7 @@ def scoring(model: Model, threshold: float):
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id``, ``score`` and ``offending`` (spans in bytes of the lower-cased text) of every row.
+    """``doc_id``, ``score`` and ``offending`` (spans in bytes of the text) of every row.
 
     Whole texts are read. A text without a word (null, empty, blank) scores like
     one sentence without a known word. Repeated rows and null ids give a row

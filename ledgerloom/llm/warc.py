@@ -311,5 +311,6 @@ def read_chunks(files: DataFrame, chunk_bytes: int = CHUNK_BYTES, with_payload:
     read and digested, but ``chunk`` is null.
     """
     count = max(1, files.count())
-    paths = files.select("path").repartition(count, "path")
+    # By range, as hashes would send several files to one task and none to others.
+    paths = files.select("path").repartitionByRange(count, "path")
     return paths.mapInArrow(reading(chunk_bytes, with_payload), CHUNKS)

@@ -78,6 +78,9 @@ def test_noisy_or_finds_the_sentence(spark):
     text = "Nothing at all. SCUM, I say. Nothing again."
     row = mil.score(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
     assert [text[o["begin"] : o["end"]] for o in row["offending"]] == ["SCUM, I say"]
+    longer = "İzmir İİİ Kelvin K. SCUM, İ say. Nothing again."
+    row_of_longer = mil.score(spark.createDataFrame([(1, longer)], "doc_id long, text string"), model).first()
+    assert [longer.encode()[o["begin"] : o["end"]].decode() for o in row_of_longer["offending"]] == ["SCUM, İ say"]
     whole = 1 - math.prod(1 - 1 / (1 + math.exp(-s)) for s in mil.sentence_scores(mil.sentences([text.lower().encode()]), model))
     assert abs(row["score"] - whole) < 1e-9
 
