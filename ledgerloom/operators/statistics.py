@@ -160,56 +160,38 @@ def _finish(frame: DataFrame, searches: list[_Search], limit: int) -> None:
                 s.value = value
 
 
-# Columns counted in one scan; Spark's grouping sets take 64 at most.
-MODES_AT_ONCE = 50
-
-
 def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
     """Most frequent value of each column, the smallest among ties; None for an empty column.
 
-    One scan counts up to ``MODES_AT_ONCE`` columns' values through grouping
-    sets; the counts are combined before the shuffle and only one row per column
-    leaves the job. More columns are written once and counted group by group.
+    One scan counts the values of all columns: each row gives one short row per
+    column, of its number and its value in a column per type, so that a further
+    column costs its own values only. Counts are combined before the shuffle and
+    one row per column leaves the job.
     """
-    if not columns:
+    by_type: dict[T.DataType, list[str]] = {}
+    for name in dict.fromkeys(columns):
+        by_type.setdefault(df.schema[name].dataType, []).append(name)
+    if not by_type:
         return {}
-    if len(columns) > MODES_AT_ONCE:
-        distinct = list(dict.fromkeys(columns))
-        narrow = written_table(df.select(*[column(c) for c in distinct]), "values")
-        out: dict[str, object] = {}
-        for at in range(0, len(distinct), MODES_AT_ONCE):
-            out |= modes(narrow, distinct[at : at + MODES_AT_ONCE])
-        return out
-    names = [f"v{i}" for i in range(len(columns))]
-    frame = df.select(*[present(df, c).alias(n) for c, n in zip(columns, names)])
-    if len(columns) == 1:
-        counted = frame.groupBy(names[0]).agg(F.count(F.lit(1)).alias("n")).withColumn("g", F.lit(0))
-        groups = {0: 0}
-    else:
-        counted = frame.groupingSets([[column(n)] for n in names], *names).agg(
-            F.grouping_id().alias("g"), F.count(F.lit(1)).alias("n")
-        )
-        all_absent = 2 ** len(names) - 1
-        groups = {all_absent - 2 ** (len(names) - 1 - i): i for i in range(len(names))}
-    order = F.struct(-F.col("n"), *names)
+    arrays = [F.array(*[present(df, c) for c in names]).alias(f"a{i}") for i, names in enumerate(by_type.values())]
+    numbered = [name for names in by_type.values() for name in names]
+    rows = df.select(*arrays).withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(len(numbered) - 1))))
+    values, before = [], 0
+    for i, names in enumerate(by_type.values()):
+        # Null beyond the array's ends, which is where the other types have their numbers.
+        values.append(F.get(f"a{i}", F.col("at") - before).alias(f"v{i}"))
+        before += len(names)
+    held = [f"v{i}" for i in range(len(values))]
+    counted = rows.select("at", *values).dropna("all", subset=held)
     best = (
-        counted.where(_any_present(names))
-        .groupBy("g")
-        .agg(F.min(order).alias("best"))
+        counted.groupBy("at", *held)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("at")
+        .agg(F.min(F.struct(-F.col("n"), *held)).alias("best"))
         .collect()
     )
-    out = dict.fromkeys(columns)
-    for row in best:
-        position = groups[row["g"]]
-        out[columns[position]] = row["best"][1 + position]
-    return out
-
-
-def _any_present(names: list[str]) -> Column:
-    test = column(names[0]).isNotNull()
-    for n in names[1:]:
-        test = test | column(n).isNotNull()
-    return test
+    found = {numbered[row["at"]]: next(v for v in row["best"][1:] if v is not None) for row in best}
+    return {name: found.get(name) for name in columns}
 
 
 def of_columns(

@@ -316,6 +316,19 @@ def test_wide_tables(spark):
         assert mode[name] == min(v for v, k in top if k == top[0][1])
 
 
+def test_modes_of_many_columns_and_types_in_one_scan(spark, monkeypatch):
+    monkeypatch.setattr(statistics, "written_table", lambda *_: pytest.fail("more columns, further scans"))
+    day = dt.date(2024, 1, 1)
+    rows = [(n % 3 or None, [NAN, 2.5, 2.5, -1.0][n % 4], "ba"[n % 2], day, True, None) for n in range(12)]
+    df = spark.createDataFrame(rows, "n long, x double, s string, d date, b boolean, e string").repartition(3)
+    many = [f"n{i}" for i in range(90)]
+    df = df.withColumns({name: F.col("n") * i for i, name in enumerate(many)})
+    found = statistics.modes(df, [*many, "n", "x", "s", "d", "b", "e", "n"])
+    assert found == {**{name: i for i, name in enumerate(many)}, "n": 1, "x": 2.5, "s": "a", "d": day, "b": True, "e": None}
+    assert statistics.modes(df.limit(0), ["n", "s"]) == {"n": None, "s": None}
+    assert statistics.modes(df, []) == {}
+
+
 def test_nested_lookups_are_measured(spark):
     wide = spark.range(50).select(F.col("id").alias("k"), F.sequence(F.lit(1), F.lit(30_000)).alias("v"))
     assert not joins.fits_broadcast(wide, size=4 << 20)
