@@ -137,44 +137,82 @@ def shape(c: Column) -> Column:
     return c
 
 
+# How many digits the marks of a shape stand for, where no digit lies beside them.
+MARKED = {"E": "[0-9]{8}", "Y": "[0-9]{4}", "9": "(?:[0-9]{1,3}|[0-9]{5,7}|[0-9]{9,})", "a": "[A-Za-z]+"}
+# So many rows are looked at for a first guess of the shapes.
+FIRST_ROWS = 1000
+
+
+def has_shape(c: Column, shapes: set[str]) -> Column:
+    """Whether ``shape`` of a text is among some shapes, without working it out."""
+    forms = ["".join(MARKED.get(mark, re.escape(mark)) for mark in s) for s in sorted(shapes)]
+    return c.rlike(rf"\A(?:{'|'.join(forms)})\z") if forms else F.lit(False)
+
+
+def trimmed(c: Column) -> Column:
+    """A text without white space at its ends; one that begins and ends with a plain character is not searched."""
+    text = c.cast("string")
+    plain = F.left(text, F.lit(1)).between("!", "~") & F.right(text, F.lit(1)).between("!", "~")
+    return F.when(plain, text).otherwise(F.btrim(text, F.lit(parsing.WHITESPACE)))
+
+
 def infer_patterns(
     df: DataFrame, names: list[str], candidates: tuple[str, ...] = parsing.CANDIDATES, day_first: bool = False
 ) -> dict[str, Inferred]:
-    """The strftime pattern of each text column, by all its values, in two scans for all columns.
+    """The strftime pattern of each text column, by all its values, in one scan for all columns, two at most.
 
-    The first counts the shapes of values, as many as candidates have at most;
-    the second tries the candidates whose shape occurs. The one that reads the
+    The candidates whose shape occurs are tried on every value. Which shapes
+    occur is guessed from the first rows; the scan finds those that lie further
+    down, and is repeated with their candidates if there are any. The candidate that reads the
     most values is taken. Where others read as many, but some of them to another
     time, they are named as ``ambiguous`` (05/01 against 01/05, where no day is
     above 12); month-first is taken then, or with ``day_first`` the other. A
     column without a readable value has no pattern.
     """
     known = {p: shapes_of(p) for p in candidates}
-    every = sorted(set().union(*known.values()))
-    texts = {name: F.btrim(column(name).cast("string"), F.lit(parsing.WHITESPACE)) for name in names}
-    pairs = [F.struct(F.lit(at).alias("at"), shape(texts[name]).alias("shape")) for at, name in enumerate(names)]
-    seen: dict[int, dict] = {at: {} for at in range(len(names))}
-    rows = df.select(F.explode(F.array(*pairs)).alias("p")).where("p.shape IS NOT NULL")
-    rows = rows.select("p.at", F.when(F.col("p.shape").isin(every), F.col("p.shape")).alias("shape")).groupBy("at", "shape").count()
-    for row in rows.collect():
-        seen[row["at"]][row["shape"]] = row["count"]
-    tried = {at: [p for p in candidates if known[p] & set(found)] for at, found in seen.items()}
     if day_first:
-        tried = {at: sorted(ps, key=lambda p: p.startswith(("%m/", "%m-"))) for at, ps in tried.items()}
-    wanted = []
-    for at, name in enumerate(names):
-        stamps = [parsing.by_pattern(texts[name], p) for p in tried[at]]
-        wanted += [F.count(stamp).alias(f"n{at}_{n}") for n, stamp in enumerate(stamps)]
-        wanted += [
-            F.count(F.when(stamps[m] != stamps[n], 1)).alias(f"d{at}_{m}_{n}")
-            for m in range(len(stamps))
-            for n in range(m + 1, len(stamps))
-            if known[tried[at][m]] & known[tried[at][n]]
-        ]
-    found = df.agg(*wanted).first().asDict() if wanted else {}
+        candidates = tuple(sorted(candidates, key=lambda p: p.startswith(("%m/", "%m-"))))
+    every = sorted(set().union(*known.values()))
+    raw = df.select(*[column(name).cast("string").alias(f"r{at}") for at, name in enumerate(names)])
+
+    def texts(rows: DataFrame, shapes: list[set[str]]) -> DataFrame:
+        """Trimmed texts, and the shapes of those that have none of ``shapes``; what has one needs no trimming."""
+        seen = rows.select("*", *[has_shape(F.col(f"r{at}"), found).alias(f"k{at}") for at, found in enumerate(shapes)])
+        blanks, kept, others = F.lit(parsing.WHITESPACE), [], []
+        for at, found in enumerate(shapes):
+            text, usual = F.col(f"t{at}"), F.col(f"k{at}")
+            kept += [F.when(usual, F.col(f"r{at}")).otherwise(F.btrim(f"r{at}", blanks)).alias(f"t{at}"), usual]
+            others.append(shape(F.when(~usual, F.when(~has_shape(text, found), text))).alias(f"o{at}"))
+        return seen.select(*kept).select("*", *others)
+
+    new = [F.collect_set(F.when(F.col(f"o{at}").isin(every), F.col(f"o{at}"))).alias(f"s{at}") for at in range(len(names))]
+
+    def counted(shapes: list[set[str]]):
+        tried = [[p for p in candidates if known[p] & found] for found in shapes]
+        stamps, wanted = [], list(new)
+        for at, patterns in enumerate(tried):
+            stamps += [parsing.by_pattern(F.col(f"t{at}"), p).alias(f"p{at}_{n}") for n, p in enumerate(patterns)]
+            wanted += [F.count(f"t{at}").alias(f"c{at}")]
+            wanted += [F.count(f"p{at}_{n}").alias(f"n{at}_{n}") for n in range(len(patterns))]
+            wanted += [
+                F.count_if(F.col(f"p{at}_{m}") != F.col(f"p{at}_{n}")).alias(f"d{at}_{m}_{n}")
+                for m in range(len(patterns))
+                for n in range(m + 1, len(patterns))
+                if known[patterns[m]] & known[patterns[n]]
+            ]
+        return tried, texts(raw, shapes).select("*", *stamps).agg(*wanted).first()
+
+    if not names:
+        return {}
+    first = texts(raw.limit(FIRST_ROWS), [set() for _ in names]).agg(*new).first()
+    shapes = [set(first[f"s{at}"]) for at in range(len(names))]
+    tried, found = counted(shapes)
+    if any(found[f"s{at}"] for at in range(len(names))):
+        tried, found = counted([seen | set(found[f"s{at}"]) for at, seen in enumerate(shapes)])
+    found = found.asDict()
     out = {}
     for at, name in enumerate(names):
-        present = sum(seen[at].values())
+        present = found[f"c{at}"]
         counts = [found[f"n{at}_{n}"] for n in range(len(tried[at]))]
         most = max(counts, default=0)
         if not most:
@@ -191,12 +229,12 @@ def parse_inferred(df: DataFrame, names: list[str], day_first: bool = False) ->
 
     Ambiguous columns are logged. A column without a pattern is left as it is.
     """
+    new = {}
     for name, found in infer_patterns(df, [n for n in names if n in df.columns], day_first=day_first).items():
         if found.ambiguous:
             logger.warning("column %s read by %s could also be %s", name, found.pattern, ", ".join(found.ambiguous))
         if found.pattern is None:
             logger.warning("column %s has no known date pattern", name)
             continue
-        text = F.btrim(column(name).cast("string"), F.lit(parsing.WHITESPACE))
-        df = df.withColumn(name, parsing.by_pattern(text, found.pattern))
-    return df
+        new[name] = parsing.by_pattern(trimmed(column(name)), found.pattern, found.parsed < found.present)
+    return df.withColumns(new) if new else df

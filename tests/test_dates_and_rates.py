@@ -68,6 +68,52 @@ def test_every_candidate_is_found_for_its_own_values(spark):
         assert found.pattern and dt.datetime.strptime(texts[n], found.pattern) == dt.datetime.strptime(texts[n], pattern), (n, pattern, found)
 
 
+def test_patterns_take_one_scan_and_shapes_further_down_another(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(n):
+        read.add(1)
+        return None if n % 10 == 9 else f"{n % 28 + 1}/{n % 12 + 1}/{2000 + n % 30}" if n < 19_000 else "2024-05-06"
+
+    df = spark.range(0, 20_000, 1, 2).select(text("id").alias("a"))
+    usual = convert.infer_patterns(df.where("id < 18000"), ["a"])["a"]
+    assert (usual.pattern, usual.present, usual.parsed, usual.ambiguous) == ("%d/%m/%Y", 16_200, 16_200, ())
+    # The shapes are not counted in a scan of their own.
+    assert read.value < 30_000
+    late = convert.infer_patterns(df, ["a"])["a"]
+    assert (late.pattern, late.present, late.parsed) == ("%d/%m/%Y", 18_000, 17_100)
+    mostly = convert.infer_patterns(df.where("id >= 18900").unionByName(df.where("id < 1200")), ["a"])["a"]
+    assert mostly.pattern == "%d/%m/%Y" and (mostly.present, mostly.parsed) == (2070, 1170)
+
+
+ODD_DATES = (
+    *("01/02/2024", "1/2/2024", "13/02/2024", "02/13/2024", "001/0002/2024", "+1/2/2024", "0/2/2024", "31/4/2024", "29/02/2023"),
+    *("1/2/24", "1/2/024", "1/2/+12024", "1/2/-0044", "2024-1-2", "+12024-01-02", "20240102", "2024013", "02.01.2024", "2-Jan-2024"),
+    *("2 JAN 2024", "2 january 2024", "2 May 2024", "2 \u017fep 2024", "Sept 2, 2024", "May 2, 2024", "September 02, 2024", "tomorrow"),
+    *("2024-01-02 25:00:00", "2024-01-02 3:4:5", "2024-01-02t03:04:05", "2024-01-02T03:04:05.1", "2024-01-02T03:04:05.123456"),
+    *("2024-01-02T03:04:05Z", "2024-01-02T03:04:05+01:00", "2024-01-02T03:04:05-0100", "1/2/2024 1:02 pm", "1/2/2024 13:02 PM", ""),
+    *("01/02/2024\n", " 01/02/2024", "\u0661/2/2024", "1/2/2024 01:02:03.5"),
+)
+
+
+def test_plausible_texts_are_all_that_parse(spark):
+    df = spark.createDataFrame([(t,) for t in ODD_DATES], "t string")
+    tests = [parsing.plausible(F.col("t"), p) for p in parsing.CANDIDATES]
+    rows = df.select(
+        F.array(*[parsing.by_pattern(F.col("t"), p).cast("string") for p in parsing.CANDIDATES]).alias("tested"),
+        F.array(*[parsing.by_pattern(F.col("t"), p, False).cast("string") for p in parsing.CANDIDATES]).alias("plain"),
+        F.array(*tests).alias("plausible"),
+        "t",
+    ).collect()
+    assert all(r.tested == r.plain for r in rows), [r.t for r in rows if r.tested != r.plain]
+    assert sum(any(r.plain) for r in rows) > 20
+    # What cannot be a date is not parsed at all, and a day is no month.
+    by_text = {r.t: dict(zip(parsing.CANDIDATES, r.plausible)) for r in rows}
+    assert not any(by_text["tomorrow"].values()) and not by_text["13/02/2024"]["%m/%d/%Y"] and by_text["13/02/2024"]["%d/%m/%Y"]
+    assert parsing.plausible(F.col("t"), "%Z") is None and parsing.plausible(F.col("t"), "[%Y]") is None
+
+
 @pytest.mark.parametrize("bucket", ["month", "day"])
 def test_dated_rates_by_definition(spark, bucket, monkeypatch):
     chance = random.Random(4)
