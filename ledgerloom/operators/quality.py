@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import wraps
@@ -52,7 +53,7 @@ def check_expected(df: DataFrame, expected: list[dict]) -> DataFrame:
     One aggregate over the table counts every rule; the report stays lazy.
     """
     tests, absent = column_rules(df, expected)
-    counted = [F.count_if(test).alias(f"c{i}") for i, test in enumerate(tests.values())]
+    counted = _counts(tests)
     entries = [_entry(rule, F.lit(n).cast("long")) for rule, n in absent.items()]
     entries += [_entry(rule, F.col(f"c{i}")) for i, rule in enumerate(tests)]
     return df.agg(F.count(F.lit(1)).alias("rows"), *counted).select(
@@ -60,6 +61,46 @@ def check_expected(df: DataFrame, expected: list[dict]) -> DataFrame:
     )
 
 
+def _counts(tests: dict[str, Column]) -> list[Column]:
+    return [F.count_if(test).alias(f"c{i}") for i, test in enumerate(tests.values())]
+
+
+def write_checked(
+    df: DataFrame, expected: list[dict], report_path: str, rows_path: str, failing: Callable[[str], bool]
+) -> DataFrame:
+    """Write the report of ``check_expected`` and the rows that break a ``failing`` rule; the other rows are returned.
+
+    One scan counts the rules and writes the rows, which carry the names of
+    those they break as ``failed_rules``. Each test is worked out once a row.
+    """
+    tests, absent = column_rules(df, expected)
+    held = {rule: f"__c{i}" for i, rule in enumerate(tests)}
+    wrong = [rule for rule in tests if failing(rule)]
+    if not wrong:
+        check_expected(df, expected).write.mode("overwrite").json(report_path)
+        df.limit(0).withColumn("failed_rules", F.array().cast("array<string>")).write.mode("overwrite").parquet(rows_path)
+        return df
+    tested = df.withColumns({held[rule]: test for rule, test in tests.items()})
+    seen = Observation()
+    tested = tested.observe(seen, *_counts({rule: F.col(name) for rule, name in held.items()}))
+    names = F.array_compact(F.array(*[F.when(F.col(held[rule]), F.lit(rule)) for rule in wrong]))
+    bad = tested.where(_any_of([F.col(held[rule]) for rule in wrong])).withColumn("failed_rules", names)
+    bad.drop(*held.values()).write.mode("overwrite").parquet(rows_path)
+    counts = seen.get
+    rows = [(*rule.rsplit(".", 1), n) for rule, n in absent.items()]
+    rows += [(*rule.rsplit(".", 1), counts[f"c{i}"]) for i, rule in enumerate(tests)]
+    report = df.sparkSession.createDataFrame(rows, "column_name string, rule string, violations long")
+    report.coalesce(1).write.mode("overwrite").json(report_path)
+    return df.where(~_any_of([tests[rule] for rule in wrong]))
+
+
+def _any_of(tests: list[Column]) -> Column:
+    out = F.lit(False)
+    for test in tests:
+        out = out | test
+    return out
+
+
 def _entry(rule: str, violations: Column) -> Column:
     name, kind = rule.rsplit(".", 1)
     return F.struct(

@@ -374,12 +374,8 @@ def set_aside(df: DataFrame, transformation: dict, path: str) -> DataFrame:
     expected = validation.get("expected_columns", [])
     if not validation.get("enabled") or validation.get("strict") or not expected:
         return df
-    quality.check_expected(df, expected).write.mode("overwrite").json(f"{path}/report")
-    tests, _ = quality.column_rules(df, expected)
-    wrong = {rule: test for rule, test in tests.items() if not rule.endswith(".required")}
-    good, bad = quality.split_quarantine(quality.tag_rows(df, {}, wrong, "__status"), "__status")
-    bad.drop("__status").write.mode("overwrite").parquet(f"{path}/rows")
-    return good.select(*[column(c) for c in df.columns])
+    wrong = lambda rule: not rule.endswith(".required")
+    return quality.write_checked(df, expected, f"{path}/report", f"{path}/rows", wrong)
 
 
 # Where the statistics of all runs are kept, below the state folder; readers of the state pass over it.

@@ -12,7 +12,7 @@ from ledgerloom.plans import jobs
 from ledgerloom.plans.queries_read import EVENTS, ORDERS
 from ledgerloom.plans.raw import NUMBER, PRESENT, RAW, STRIP, raw_orders
 from ledgerloom.plans.registry import register, released, table, table_name
-from ledgerloom.session import fresh_path
+from ledgerloom.session import fresh_path, written_table
 from ledgerloom.sinks import files as file_sinks, journal, store, tables as table_sinks
 from ledgerloom.sources import files, incremental
 from ledgerloom.streaming import runs
@@ -600,7 +600,8 @@ def configured(root: str, loading: dict) -> dict:
 
 @register("J4_configured_upsert", CONFIGURED)
 def j4(spark, sf):
-    records = landed_records(spark, sf)
+    # Landed once: three runs read the records, each of them twice.
+    records = written_table(landed_records(spark, sf), "landed")
     root, name = fresh_path(spark, "j4"), table_name("configured")
     config = configured(
         root,

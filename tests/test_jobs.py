@@ -255,3 +255,34 @@ def test_rows_of_earlier_runs_are_left_out(spark, fresh, monkeypatch):
     jobs.run_configured(rows(4, (3, None), (1, "a")), config, "r5")
     got = sorted(str((r.id, r.name)) for r in spark.read.table(name).collect())
     assert got == sorted(map(str, [(1, "a"), (None, "b"), (2, "c"), (1, "other"), (3, None)]))
+
+
+def test_checked_rows_are_read_once(spark, fresh):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def day(n):
+        read.add(1)
+        return [None, "2024-01-02", "no date"][n % 3]
+
+    amount = F.when(F.col("id") % 5 == 0, "n/a").when(F.col("id") % 5 == 1, None).otherwise("1.5")
+    df = spark.range(0, 300, 1, 3).select("id", amount.alias("amount"), day("id").alias("day"))
+    expected = [
+        {"name": "amount", "type": "float", "required": True},
+        {"name": "day", "type": "datetime", "datetime_format": "%Y-%m-%d", "required": True},
+        {"name": "nowhere", "type": "string"},
+    ]
+    path = fresh()
+    good = jobs.set_aside(df, {"schema_validation": {"enabled": True, "expected_columns": expected}}, path)
+    assert read.value == 300
+    report = {(r.column_name, r.rule): r.violations for r in spark.read.json(f"{path}/report").collect()}
+    assert report == {
+        ("amount", "present"): 0, ("day", "present"): 0, ("nowhere", "present"): 1,
+        ("amount", "required"): 60, ("amount", "type"): 60, ("day", "required"): 100, ("day", "datetime_format"): 100,
+    }
+    bad = {r.id: r.failed_rules for r in spark.read.parquet(f"{path}/rows").collect()}
+    rules = lambda n: ["amount.type"] * (n % 5 == 0) + ["day.datetime_format"] * (n % 3 == 2)
+    assert bad == {n: rules(n) for n in range(300) if rules(n)}
+    assert sorted(r.id for r in good.collect()) == [n for n in range(300) if not rules(n)] and good.columns == df.columns
+    empty = jobs.set_aside(df.where("id < 0"), {"schema_validation": {"enabled": True, "expected_columns": expected[2:]}}, fresh())
+    assert empty.count() == 0
